@@ -1,0 +1,16 @@
+import pytest
+
+from brindle.session import local_session
+
+
+@pytest.fixture(scope="session")
+def spark():
+    return local_session("4", 4)
+
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return SF
