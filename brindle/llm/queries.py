@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brindle.llm import token_records
+from brindle.llm import source_mix, token_records
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,9 +22,13 @@ def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.token_records(documents(spark, sf_dir), word_bpe()).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.mixed(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_token_records,)}
+    return {f.__name__: f for f in (op4_token_records, op6_source_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_source_mix": source_mix.SQL}
