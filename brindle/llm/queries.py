@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brindle.llm import source_mix, token_records
+from brindle.llm import secrets, source_mix, token_records
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,8 +26,12 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mix.mixed(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(documents(spark, sf_dir)).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_token_records, op6_source_mix)}
+    return {f.__name__: f for f in (op4_token_records, op6_source_mix, op7_secrets)}
 
 
 def oracle_sql() -> dict[str, str]:
