@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 _BLANK = " \t\n\x0b\x0c\r"
-_ONE_BLANK = str.maketrans(dict.fromkeys(_BLANK[1:], " "))
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -65,11 +64,6 @@ def pieces(text: str, most: int = 1 << 20) -> Iterator[str]:
     yield text[at:] if at else text
 
 
-def blank_words(text: str) -> list[str]:
-    """The words of a text, by ASCII white space alone."""
-    return [w for w in text.translate(_ONE_BLANK).split(" ") if w]
-
-
 def n_words(text: Column) -> Column:
     """Number of words; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
