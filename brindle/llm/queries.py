@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brindle.llm import quality, secrets, source_mix, token_records, toxicity
+from brindle.llm import html_main, quality, secrets, source_mix, token_records, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,12 +34,16 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op8_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_token_records, op5_quality, op6_source_mix, op7_secrets, op9_toxicity)}
+    return {f.__name__: f for f in (op4_token_records, op5_quality, op6_source_mix, op7_secrets, op8_html_main, op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
