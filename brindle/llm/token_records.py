@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brindle.llm.common import _ONE_BLANK, bounded_batches, column, pieces, scratch
+from brindle.llm.common import bounded_batches, column, pieces, scratch
 
 MAGIC = b"BRNDLIX1"
 _HEAD = "<BBq"
@@ -68,62 +68,96 @@ class Encoder:
     """A tokenizer of the tokenizers library, with the ids of words it has met.
 
     Where the tokenizer drops white space before it looks for merges, no token crosses ASCII white space, and
-    a text's ids are those of its words one after another; then each distinct word is encoded once. The first
-    `keep` distinct words stay (memory is bounded); others are encoded again in each batch. Any other
-    tokenizer gets whole texts.
+    a text's ids are those of its words one after another; then each distinct word is encoded once. A word's
+    trailing ASCII punctuation is a run of its own behind a letter or number, and case falls away, so what is
+    encoded and kept is the stem. The first `keep` distinct words and a third as many stems stay (memory is bounded); others
+    are encoded again in each text. Any other tokenizer gets whole texts.
     """
 
-    def __init__(self, path: str, keep: int = 300_000):
+    def __init__(self, path: str, keep: int = 450_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.of = Tokenizer.from_file(path)
         kind = json.loads(self.of.to_str())
         first = (kind.get("pre_tokenizer") or {}).get("pretokenizers", [kind.get("pre_tokenizer") or {}])[0]
+        norm = kind.get("normalizer") or {}
         self.by_word = (
-            first.get("type") == "Split" and first.get("behavior") == "Removed" and bool(first.get("invert")) and r"^\s" in first["pattern"].get("Regex", "")
-            and all(set(x.get("type", "") for x in (n or {}).get("normalizers", [n or {}])) <= {"NFC", "Replace", "Lowercase", ""} for n in [kind.get("normalizer")])
-            and not kind.get("post_processor")
+            first.get("type") == "Split" and first.get("behavior") == "Removed" and bool(first.get("invert")) and "[^\\s\\p{L}\\p{N}]+" in first["pattern"].get("Regex", "")
+            and {n.get("type") for n in norm.get("normalizers", [norm])} == {"NFC", "Replace", "Lowercase"} and not kind.get("post_processor")
         )
-        self.width = 2 if self.of.get_vocab_size() <= 1 << 16 else 4
+        size = self.of.get_vocab_size()
+        self.width = 2 if size <= 1 << 16 else 4
         self.type = np.dtype("<u2" if self.width == 2 else "<u4")
-        self.keep, self.known = keep, {"": b""}
+        suffix = kind["model"].get("end_of_word_suffix")
+        #: ids that end a run of letters; None if the vocabulary does not mark them
+        self.last = np.array([(self.of.id_to_token(k) or "").endswith(suffix) for k in range(size)]) if suffix else None
+        self.keep, self.known, self.stems = keep, {}, {}
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text, as little-endian unsigned integers of `width` bytes."""
-        if not self.by_word:
-            for t in texts:
-                yield np.asarray(self.of.encode(t, add_special_tokens=False).ids, self.type).tobytes()
-            return
         for t in texts:
+            if not self.by_word:
+                yield self._one(t)
+                continue
             parts = []
             for piece in pieces(t):
-                words = piece.translate(_ONE_BLANK).split(" ")
-                new = list({w for w in words if w not in self.known})
-                get = self.known
-                if new:
-                    made = {w: np.asarray(e.ids, self.type).tobytes() for w, e in zip(new, self.of.encode_batch_fast(new, add_special_tokens=False), strict=True)}
+                words = piece.encode().split()  # bytes part at ASCII white space only
+                ids = list(map(self.known.get, words))
+                if None in ids:
+                    places = [k for k, x in enumerate(ids) if x is None]
+                    made = self._words({words[k] for k in places})
+                    for k in places:
+                        ids[k] = made[words[k]]
                     if len(self.known) + len(made) <= self.keep:
                         self.known |= made
-                    else:
-                        get = _Both(made, self.known)
-                parts.append(b"".join(map(get.__getitem__, words)))
+                parts.append(b"".join(ids))
             yield b"".join(parts)
 
-
-class _Both(dict):
-    def __init__(self, few: dict, many: dict):
-        super().__init__(few)
-        self.many = many
-
-    def __missing__(self, key):
-        return self.many[key]
+    def _one(self, text: str) -> bytes:
+        return np.asarray(self.of.encode(text, add_special_tokens=False).ids, self.type).tobytes()
+
+    def _words(self, words: set[bytes]) -> dict[bytes, bytes]:
+        split = {}
+        for key in words:
+            w = key.decode()
+            stem = w.rstrip(_PUNCTUATION)
+            if not stem or not stem[-1].isalnum() or "<|" in w:
+                stem = w
+            tail = w[len(stem) :]
+            split[key] = (stem.lower() if stem.isascii() else stem), tail
+        stems = self.stems
+        new = {x for pair in split.values() for x in pair if x and x not in stems}
+        if new:
+            stems |= self._stems(list(new))
+        out = {w: stems[a] + stems[b] if b else stems[a] for w, (a, b) in split.items()}
+        if len(stems) > self.keep // 3:
+            for x in new:
+                del stems[x]
+        return out
+
+    def _stems(self, new: list[str]) -> dict[str, bytes]:
+        letters = [w for w in new if w.isalpha()] if self.last is not None else []
+        out = {}
+        if letters:
+            ids = np.asarray(self.of.encode(" ".join(letters), add_special_tokens=False).ids, self.type)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(letters):  # each is one run of letters, as it is but for a few odd characters
+                data, at = ids.tobytes(), 0
+                for w, end in zip(letters, (ends * self.width).tolist(), strict=True):
+                    out[w] = data[at:end]
+                    at = end
+        return out | {w: self._one(w) for w in new if w not in out}
+
+
+#: ASCII punctuation but the apostrophe, which the tokenizer's own patterns may tie to letters.
+_PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 _encoders: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str, keep: int = 300_000) -> Encoder:
+def encoder(path: str, keep: int = 450_000) -> Encoder:
     """One a worker: workers are used again, and with them what they know."""
     if (path, keep) not in _encoders:
         _encoders.clear()
