@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from brindle.llm import html_main, quality, secrets, source_mix, token_records, toxicity
+from brindle.llm import decontaminate, html_main, quality, secrets, source_mix, token_records, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +19,11 @@ def word_bpe() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.withColumn("similarity", F.round("similarity", 6))
+
+
 def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.token_records(documents(spark, sf_dir), word_bpe()).select("doc_id", "start", "n_tokens", "ids_crc32")
 
@@ -43,8 +49,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_token_records, op5_quality, op6_source_mix, op7_secrets, op8_html_main, op9_toxicity)}
+    return {f.__name__: f for f in (op1_decontaminate, op4_token_records, op5_quality, op6_source_mix, op7_secrets, op8_html_main, op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_source_mix": source_mix.SQL}
+    return {"op1_decontaminate": decontaminate.SQL, "op6_source_mix": source_mix.SQL}
