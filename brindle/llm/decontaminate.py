@@ -117,8 +117,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, radius: i
 
 #: The same rows by DuckDB: every window that starts with a shared shingle or ends the document, without fingerprints.
 SQL = r"""
-WITH d AS (SELECT doc_id, row_number() OVER () AS k, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
-i AS (SELECT item_id, row_number() OVER () AS key, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM benchmark),
+WITH d AS (SELECT doc_id, row_number() OVER () AS k, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM documents),
+i AS (SELECT item_id, row_number() OVER () AS key, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM benchmark),
 ds AS MATERIALIZED (SELECT doc_id, k, len(w) AS n, unnest(range(len(w) - 4)) AS pos, array_to_string(w[pos + 1 : pos + 5], ' ') AS s FROM d WHERE len(w) >= 5),
 ie AS (SELECT item_id, key, len(w) AS len, unnest(range(len(w) - 4)) AS pos, array_to_string(w[pos + 1 : pos + 5], ' ') AS s FROM i WHERE len(w) >= 5),
 bag AS MATERIALIZED (SELECT item_id, key, len, s, count(*) AS c FROM ie GROUP BY ALL),
