@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import decontaminate, html_main, ngram_join, quality, secrets, source_mix, token_records, toxicity
+from brindle.llm import decontaminate, hamming_topk, html_main, ngram_join, quality, secrets, source_mix, token_records, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.joined(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
+def op3_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming_topk.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.token_records(documents(spark, sf_dir), word_bpe()).select("doc_id", "start", "n_tokens", "ids_crc32")
 
@@ -53,8 +57,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_decontaminate, op2_ngram_join, op4_token_records, op5_quality, op6_source_mix, op7_secrets, op8_html_main, op9_toxicity)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_ngram_join, op3_hamming_topk, op4_token_records, op5_quality, op6_source_mix, op7_secrets, op8_html_main, op9_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": decontaminate.SQL, "op2_ngram_join": ngram_join.SQL, "op6_source_mix": source_mix.SQL}
+    return {"op1_decontaminate": decontaminate.SQL, "op2_ngram_join": ngram_join.SQL, "op3_hamming_topk": hamming_topk.SQL, "op6_source_mix": source_mix.SQL}
