@@ -44,6 +44,11 @@ def shingles(w: Column, k: int = SHINGLE) -> Column:
     return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), at)).otherwise(F.array().cast("array<long>"))
 
 
+def cut(text: Column) -> Column:
+    """(n, s): number of words and shingles. The words are bound once: an optimizer that moves the expression cannot repeat them for each shingle."""
+    return F.get(F.transform(F.array(words(text)), lambda w: F.struct(F.size(w).alias("n"), shingles(w).alias("s"))), 0)
+
+
 def fingerprint(shingle: Column, count: Column) -> list[Column]:
     """Aggregates whose signs are the bits of the SimHash of (shingle, count) rows."""
     one = lambda k: F.when(F.shiftright(shingle, k).bitwiseAND(F.lit(1)) == 1, count).otherwise(-count)
@@ -73,30 +78,31 @@ def matched(x: DataFrame, y: DataFrame, *names: str, how: str = "inner") -> Data
 
 def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, radius: int = RADIUS) -> DataFrame:
     """doc_id, item_id, similarity for each document of docs (doc_id, text) and item of benchmark (item_id, text) it leaks."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words(F.col("text")).alias("w")).select("item_id", F.size("w").alias("len"), shingles(F.col("w")).alias("s"))
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), cut(F.col("text")).alias("c")).select("item_id", F.col("c.n").alias("len"), F.col("c.s").alias("s"))
     # an item is its id and its shingles: rows of equal id but other texts are items of their own
-    items = items.where(F.size("s") > 0).withColumn("key", F.xxhash64("s"))
-    bag = stored(items.select("item_id", "key", "len", F.explode("s").alias("shingle")).groupBy("item_id", "key", "len", "shingle").agg(F.count("*").alias("n_item")), "bench")
+    # (generators are outer ones with a filter above, so that none asks for the arrays' sizes below)
+    items = items.withColumn("key", F.xxhash64("s"))
+    bag = stored(items.select("item_id", "key", "len", F.explode_outer("s").alias("shingle")).where("shingle is not null").groupBy("item_id", "key", "len", "shingle").agg(F.count("*").alias("n_item")), "bench")
     prints = bag.groupBy("item_id", "key", "len").agg(*fingerprint(F.col("shingle"), F.col("n_item"))).select("item_id", "key", "len", packed().alias("f_item"))
     prints = stored(prints, "bench-prints")
 
-    cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("of"), words(F.col("text")).alias("w")).select("doc_id", "of", F.size("w").alias("n"), shingles(F.col("w")).alias("s"))
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("of"), cut(F.col("text")).alias("c"))
     # 1. positions that hold a shingle of an item, for each item length
-    anchors = cut.select("doc_id", "of", "n", F.posexplode("s").alias("pos", "shingle")).join(bag.select("shingle", "len").distinct(), "shingle")
+    anchors = whole.select("doc_id", "of", F.col("c.n").alias("n"), F.posexplode_outer("c.s").alias("pos", "shingle")).join(bag.select("shingle", "len").distinct(), "shingle")
     # a document's positions are no more than its words, so a group is bounded by a row that was read
     per = anchors.groupBy("doc_id", "of", "n", "len").agg(F.array_sort(F.collect_set("pos")).alias("at"))
     end, inner = F.greatest(F.col("n") - F.col("len"), F.lit(0)), F.least("n", "len") - (SHINGLE - 1)
     need = F.ceil((inner + F.col("len") - (SHINGLE - 1)) * (least / (1 + least)) - 1e-9).cast("int")
     last = lambda p, i: F.get(F.col("at"), i + need - 1) < F.least(p, end) + inner
     starts = F.array_distinct(F.transform(F.filter(F.col("at"), last), lambda p: F.least(p, end)))
-    windows = stored(per.select("doc_id", "of", "len", F.explode(starts).alias("start")), "windows")
+    windows = stored(per.select("doc_id", "of", "len", F.explode_outer(starts).alias("start")).where("start is not null"), "windows")
 
     # 2. the windows' shingles from the few documents that have windows, and their fingerprints
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("of"))
     source = matched(text, windows.select("doc_id", "of").distinct(), "doc_id", "of", how="left_semi").dropDuplicates(["doc_id", "of"])
-    source = source.select("doc_id", "of", words(F.col("text")).alias("w")).select("doc_id", "of", shingles(F.col("w")).alias("s"))
+    source = source.select("doc_id", "of", cut(F.col("text"))["s"].alias("s"))
     held = matched(windows, source, "doc_id", "of")
-    held = held.select("doc_id", "of", "len", "start", F.explode(F.slice("s", F.col("start") + 1, F.col("len") - (SHINGLE - 1))).alias("shingle"))
+    held = held.select("doc_id", "of", "len", "start", F.explode_outer(F.slice("s", F.col("start") + 1, F.col("len") - (SHINGLE - 1))).alias("shingle"))
     held = stored(held.groupBy("doc_id", "of", "len", "start", "shingle").agg(F.count("*").alias("n_doc")), "window-bags")
     f = held.groupBy("doc_id", "of", "len", "start").agg(F.sum("n_doc").alias("size"), *fingerprint(F.col("shingle"), F.col("n_doc"))).select("doc_id", "of", "len", "start", "size", packed().alias("f_doc"))
 
