@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brindle.plans import extension, relational, scalars, sources, streams
+from brindle.plans.query import Query
 from brindle.session import table
 
 
@@ -33,9 +35,13 @@ WHERE r_name = 'ASIA' GROUP BY n_name
 """
 
 
+def _every() -> dict[str, Query]:
+    return {"regional_revenue": Query(regional_revenue, REGIONAL_REVENUE)} | relational.QUERIES | scalars.QUERIES | sources.QUERIES | streams.QUERIES | extension.QUERIES
+
+
 def queries() -> dict:
-    return {"regional_revenue": regional_revenue}
+    return {name: q.run for name, q in _every().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"regional_revenue": REGIONAL_REVENUE}
+    return {name: q.oracle for name, q in _every().items() if q.oracle}

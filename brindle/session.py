@@ -20,6 +20,7 @@ def local_session(cores: str = "*", partitions: int = 8, **conf: str) -> SparkSe
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.driver.host", "127.0.0.1")
     )
     for key, value in conf.items():
