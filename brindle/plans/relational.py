@@ -17,6 +17,7 @@ QUERIES: dict[str, Query] = {
     "p1_project": sql("SELECT l_orderkey, l_linenumber, round(l_quantity * 2, 2) AS twice, l_shipdate FROM {lineitem}"),
     "p2_filter": sql("SELECT o_orderkey, o_totalprice FROM {orders} WHERE o_totalprice > 150000 AND o_orderstatus <> 'F' AND o_orderdate >= TIMESTAMP '1997-01-01'", "SELECT o_orderkey, o_totalprice FROM {orders} WHERE o_totalprice > 150000 AND o_orderstatus <> 'F' AND o_orderdate >= TIMESTAMP '1997-01-01'"),
     "p3_predicates": sql("SELECT p_partkey, CASE WHEN p_size BETWEEN 1 AND 10 THEN 'small' WHEN p_size IN (11, 12, 13) THEN 'odd' ELSE 'large' END AS kind, coalesce(nullif(p_brand, 'Brand#11'), 'none') AS brand FROM {part} WHERE p_name LIKE '%a%'"),
+    "p4_sample": Query(sql("SELECT l_orderkey, l_linenumber FROM {lineitem} TABLESAMPLE (10 PERCENT) REPEATABLE (7)").run),
     "p5_recursive": sql("WITH RECURSIVE t(n, f) AS (SELECT CAST(1 AS BIGINT), CAST(1 AS BIGINT) UNION ALL SELECT n + 1, f * (n + 1) FROM t WHERE n < 12) SELECT n, f, r_name FROM t JOIN {region} ON n % 5 = r_regionkey"),
     # joins
     "j1_broadcast": frame(lambda o, c: o.join(broadcast_below(c.where("c_mktsegment = 'BUILDING'").select("c_custkey", "c_name")), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name"), "orders customer", "SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING'"),

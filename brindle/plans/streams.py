@@ -21,6 +21,32 @@ def stream(spark, sf_dir, where: str = "true"):
     return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
+def ordered_stream(spark, sf_dir, *parts: str):
+    """The events of each condition in a file of its own, one batch each, in this order."""
+    path = workspace(spark)
+    events = table(spark, sf_dir, "events")
+    for part in parts:
+        events.where(part).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+_PARTS = ("ts < timestamp_ntz '2024-01-10'", "ts >= timestamp_ntz '2024-01-10' and ts < timestamp_ntz '2024-01-20'", "ts >= timestamp_ntz '2024-01-20' and ts < timestamp_ntz '2024-01-27'", "ts >= timestamp_ntz '2024-01-27'")
+_LATE = "ts < timestamp_ntz '2024-01-05'"  # once more, when the watermark has long passed
+
+
+def _append(*parts):
+    return _files(lambda s, d: w.tumbling(ordered_stream(s, d, *parts), "1 hour", "1 hour"))
+
+
+def _restart(spark, sf_dir):
+    path, out, checkpoint = workspace(spark), workspace(spark), workspace(spark)
+    events = table(spark, sf_dir, "events")
+    for part in ("event_id % 3 = 0", "event_id % 3 <> 0"):
+        events.where(part).write.mode("append").parquet(path)
+        w.run_to_files(spark.readStream.schema(events.schema).parquet(path), out, checkpoint)
+    return files.read(spark, out, schema=events.schema).select("event_id", "ts", "event_type")
+
+
 def _memory(build, mode):
     def run(spark, sf_dir):
         return w.run(spark, build(stream(spark, sf_dir)), workspace(spark), mode, f"out_{uuid.uuid4().hex}")
@@ -57,7 +83,15 @@ g AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM s)
 SELECT min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS "end", user_id, count(*) AS n FROM g GROUP BY user_id, k
 """
 
+_CLOSED = """
+SELECT start, start + INTERVAL 1 HOUR AS "end", event_type, n FROM (SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2)
+WHERE start + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)
+"""
+
 QUERIES: dict[str, Query] = {
+    "t1_watermark": Query(_append(*_PARTS), _CLOSED),
+    "t8_late_data": Query(_append(*_PARTS, _LATE), _CLOSED),
+    "t9_restart": Query(_restart, "SELECT event_id, ts, event_type FROM events"),
     "t2_tumbling": Query(_memory(lambda e: w.tumbling(e, "1 hour", "1 hour"), "complete"), """SELECT date_trunc('hour', ts) AS start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS "end", event_type, count(*) AS n FROM events GROUP BY 1, 2, 3"""),
     "t3_sliding": Query(_memory(lambda e: w.sliding(e, "1 hour", "30 minutes", "1 hour"), "complete"), """SELECT s AS start, s + INTERVAL 1 HOUR AS "end", count(*) AS n FROM (SELECT unnest([time_bucket(INTERVAL 30 MINUTE, ts), time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30 MINUTE]) AS s FROM events) GROUP BY 1, 2"""),
     "t4_sessions": Query(lambda spark, d: w.sessions(table(spark, d, "events"), "30 minutes", "1 hour"), _SESSIONS),
