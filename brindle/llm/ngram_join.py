@@ -38,6 +38,7 @@ from brindle.llm.prefix_tree import links
 
 #: Tokens of a tree at most (a longer set is a chunk of its own), of a block of nodes, and of a bucket of hashes on average.
 CHUNK, BLOCK, BUCKET = 400_000, 500_000, 1_000_000
+NODES = 60_000  # of a block at most
 SLACK = 20  # l is a 20th of a set
 BROADCAST_ROWS = 500_000  # two numbers each: some 30 MB
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -101,11 +102,6 @@ def spare(n: int, num: int, den: int) -> int:
     return n - -(-n * num // den)
 
 
-def _low48(s: np.ndarray) -> bytes:
-    """The upper 48 bits of each hash: another token of the same bits can only keep a node in."""
-    return (s >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-
-
 def _from48(b: bytes) -> np.ndarray:
     out = np.zeros((len(b) // 6, 8), np.uint8)
     out[:, :6] = np.frombuffer(b, np.uint8).reshape(-1, 6)
@@ -129,7 +125,7 @@ def _blocks(nodes: DataFrame, tokens: str, most: int) -> DataFrame:
             for h in zip(*(column(batch, c) for c in ("hi", "lo", "n", tokens)), strict=True):
                 held.append(h)
                 size += len(h[3])
-                if size >= 8 * most:
+                if size >= 8 * most or len(held) == NODES:
                     yield row()
                     count, held, size = count + 1, [], 0
         if held:
@@ -145,114 +141,177 @@ def _BLOCK_KINDS():
     return [pa.int64(), *[pa.list_(pa.int64())] * 4, pa.binary()]
 
 
-def _frequencies(blocks: DataFrame, wide: bool, total: int) -> DataFrame:
-    """block, shared, df: for each block those of its tokens that two nodes or more have anywhere, and how many have them.
+def _cuts(tokens: np.ndarray, buckets: int, bits: int) -> Iterator[tuple[int, int, int]]:
+    """bucket, begin, end over ascending tokens: ascending tokens fall into ascending buckets."""
+    b = ((tokens >> np.uint64(bits - 16)).astype(np.int64) * buckets) >> 16
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(b)) + 1, [len(tokens)]))
+    return ((int(b[x]), int(x), int(y)) for x, y in zip(cuts, cuts[1:]) if y > x)
+
+
+def _six(t: np.ndarray) -> bytes:
+    return t.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _shared_counts(rows: DataFrame, total: int) -> DataFrame:
+    """block, place, have: for rows (block, place, sample) how many of the sample's tokens another row has, where any.
+
+    A block (its rows lie together) sends each of its distinct tokens once, with the place of the row that has it. Of a token that
+    several of its own rows have it sends no place but a mark, and counts for them itself: a token that every row has
+    is one entry of each block. Rows of one set count as others here; that only lets them through.
+    """
+    buckets = max(8, total // BUCKET)
+    several = 0xFFFF
+
+    def one(block: int, places: list[int], samples: list[bytes]) -> pa.RecordBatch:
+        t = _from48(b"".join(samples))
+        of = np.repeat(np.asarray(places, np.int64), [len(x) // 6 for x in samples])
+        u, at, back, c = np.unique(t, return_index=True, return_inverse=True, return_counts=True)
+        mine = of[c[back] > 1].astype("<u2")
+        place = np.where(c > 1, several, of[at]).astype("<u2")
+        out = [(-1 - block % buckets, block, b"", mine.tobytes())]
+        out += [(k, block, _six(u[x:y]), place[x:y].tobytes()) for k, x, y in _cuts(u, buckets, 48)]
+        return _batch(out, ["bucket", "block", "tokens", "places"], [pa.int64(), pa.int64(), pa.binary(), pa.binary()])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, places, samples = None, [], []
+        for batch in batches:
+            for block, place, sample in zip(*(column(batch, c) for c in ("block", "place", "sample")), strict=True):
+                if block != now and places:
+                    yield one(now, places, samples)
+                    places, samples = [], []
+                now = block
+                places.append(place)
+                samples.append(sample)
+        if places:
+            yield one(now, places, samples)
 
-    A block sends each of its distinct tokens once, with its own count: a token that every node has is a row of
-    each block. Buckets of tokens are as many as the tokens need.
+    def count(key, table):
+        blocks, places = table["block"].to_pylist(), [np.frombuffer(x, "<u2") for x in table["places"].to_pylist()]
+        if key[0].as_py() >= 0:
+            parts = [_from48(x) for x in table["tokens"].to_pylist()]
+            mark = np.concatenate(places) == several
+            _, back = np.unique(np.concatenate(parts), return_inverse=True)
+            more = (np.bincount(back, 1 + mark)[back] > 1) & ~mark
+            ends = np.cumsum([0, *map(len, places)])
+            places = [p[more[x:y]] for p, x, y in zip(places, ends, ends[1:])]
+        at, have, owner = [], [], []
+        for block, p in zip(blocks, places, strict=True):
+            u, c = np.unique(p, return_counts=True)
+            at.append(u.astype(np.int64))
+            have.append(c.astype(np.int64))
+            owner.append(np.full(len(u), block, np.int64))
+        return pa.table([np.concatenate(owner), np.concatenate(at), np.concatenate(have)], names=["block", "place", "have"])
+
+    dealt = rows.select("block", "place", "sample").mapInArrow(deal, "bucket long, block long, tokens binary, places binary")
+    counted = dealt.groupBy("bucket").applyInArrow(count, "block long, place long, have long")
+    return counted.groupBy("block", "place").agg(F.sum("have").alias("have"))
+
+
+def _frequencies(blocks: DataFrame, total: int) -> DataFrame:
+    """block, parts (bucket, codes): for each block how many nodes anywhere have each of its distinct tokens, two bytes a token.
+
+    A block sends each of its distinct tokens once, with its own count. Counts end at 65535: tokens beyond are alike in
+    the order by (count, token), which stays the same for all sets.
     """
     buckets = max(8, total // BUCKET)
-    width = 8 if wide else 6
-    top = np.uint64(64 - 16 if wide else 48 - 16)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, tokens in zip(column(batch, "block"), column(batch, "tokens"), strict=True):
-                t = np.frombuffer(tokens, "<u8") if wide else _from48(tokens)
-                u, c = np.unique(t, return_counts=True)
-                # ascending tokens fall into ascending buckets
-                b = ((u >> top).astype(np.int64) * buckets) >> 16
-                cuts = np.concatenate(([0], np.flatnonzero(np.diff(b)) + 1, [len(u)]))
+                u, c = np.unique(np.frombuffer(tokens, "<u8"), return_counts=True)
                 rows = []
-                for x, y in zip(cuts, cuts[1:]):
-                    own = u[x:y]
+                for k, x, y in _cuts(u, buckets, 64):
                     many = np.flatnonzero(c[x:y] > 1)
-                    rows.append((int(b[x]), block, own.astype("<u8").tobytes() if wide else own.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes(), many.astype("<u4").tobytes(), c[x:y][many].astype("<u4").tobytes()))
+                    rows.append((k, block, u[x:y].tobytes(), many.astype("<u4").tobytes(), c[x:y][many].astype("<u4").tobytes()))
                 yield _batch(rows, ["bucket", "block", "tokens", "at", "more"], [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()])
 
     def count(key, table):
         parts, sums = [], []
-        for tokens, at, more in zip(table["tokens"].to_pylist(), table["at"].to_pylist(), table["more"].to_pylist(), strict=True):
-            t = np.frombuffer(tokens, "<u8") if width == 8 else _from48(tokens)
-            n = np.ones(len(t), np.int64)
+        for tokens, at, more in zip(*(table[c].to_pylist() for c in ("tokens", "at", "more")), strict=True):
+            parts.append(np.frombuffer(tokens, "<u8"))
+            n = np.ones(len(parts[-1]), np.int64)
             n[np.frombuffer(at, "<u4")] = np.frombuffer(more, "<u4")
-            parts.append(t)
             sums.append(n)
         _, back = np.unique(np.concatenate(parts), return_inverse=True)
-        df = np.bincount(back, np.concatenate(sums)).astype(np.int64)[back]
-        rows, x = [], 0
-        for block, t in zip(table["block"].to_pylist(), parts, strict=True):
-            own = df[x : x + len(t)]
-            x += len(t)
-            shared = np.flatnonzero(own > 1)
-            if len(shared):
-                rows.append((block, t[shared].astype("<u8").tobytes(), own[shared].astype("<u4").tobytes()))
-        return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], names=["block", "shared", "df"])
+        codes = np.minimum(np.bincount(back, np.concatenate(sums)), 0xFFFF).astype("<u2")[back]
+        ends = np.cumsum([0, *map(len, parts)])
+        own = [codes[x:y].tobytes() for x, y in zip(ends, ends[1:])]
+        return pa.table([table["block"].combine_chunks(), pa.array([key[0].as_py()] * len(own), pa.int64()), pa.array(own, pa.binary())], names=["block", "bucket", "codes"])
 
     dealt = blocks.select("block", "tokens").mapInArrow(deal, "bucket long, block long, tokens binary, at binary, more binary")
-    counted = dealt.groupBy("bucket").applyInArrow(count, "block long, shared binary, df binary")
-    # a block's parts are no more than its own tokens
-    return counted.groupBy("block").agg(F.collect_list(F.struct("shared", "df")).alias("parts"))
-
+    counted = dealt.groupBy("bucket").applyInArrow(count, "block long, bucket long, codes binary")
+    return counted.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("bucket", "codes"))).alias("parts"))
 
-def _with_shared(blocks: DataFrame, total: int, wide: bool) -> DataFrame:
-    return blocks.join(_frequencies(blocks, wide, total), "block", "left")
-
-
-def _shared(parts) -> tuple[np.ndarray, np.ndarray]:
-    if not parts:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    t = np.concatenate([np.frombuffer(p["shared"], "<u8") for p in parts])
-    d = np.concatenate([np.frombuffer(p["df"], "<u4") for p in parts]).astype(np.int64)
-    o = np.argsort(t)
-    return t[o], d[o]
 
+def joined(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, chunk: int = CHUNK, block: int = BLOCK) -> DataFrame:
+    """doc_id, n_shingles, component_id, and hi, lo (fingerprint of the set), for each row of docs (doc_id, text)."""
+    tagged = _tagged(docs, n, num, den, chunk, block)
+    by_root = tagged.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("m"))
+    by_set = tagged.where("root is null and hi is not null").groupBy("hi", "lo").agg(F.min("doc_id").alias("m"))
+    linked = tagged.where("root is not null").join(by_root, "root").select("doc_id", "n", "hi", "lo", "m")
+    alone = tagged.where("root is null and hi is not null").join(by_set, ["hi", "lo"]).select("doc_id", "n", "hi", "lo", "m")
+    blank = tagged.where("hi is null").select("doc_id", "n", "hi", "lo", F.col("doc_id").alias("m"))
+    return linked.unionAll(alone).unionAll(blank).select("doc_id", F.col("n").alias("n_shingles"), F.col("m").alias("component_id"), "hi", "lo")
 
-def _df_of(tokens: np.ndarray, shared: np.ndarray, df: np.ndarray) -> np.ndarray:
-    if not len(shared):
-        return np.ones(len(tokens), np.int64)
-    at = np.minimum(np.searchsorted(shared, tokens), len(shared) - 1)
-    return np.where(shared[at] == tokens, df[at], 1)
 
+def first_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, chunk: int = CHUNK, block: int = BLOCK) -> DataFrame:
+    """The rows of docs but for all but one of each component: that of the least doc_id stays (null last; of several, one row).
 
-def joined(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, chunk: int = CHUNK, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles, component_id, and hi, lo (fingerprint of the set), for each row of docs (doc_id, text)."""
+    Rows without words are linked with nothing and stay. What goes is broadcast if it is at most BROADCAST_ROWS rows,
+    else joined; texts are dealt out only in the latter case, and those of rows that are repeated as a whole.
+    """
+    tagged = _tagged(docs, n, num, den, chunk, block).where("hi is not null")
+    # a component is its root, or the set itself where nothing else is linked with it
+    own = tagged.withColumns({"a": F.coalesce("root", "hi"), "b": F.when(F.col("root").isNull(), F.col("lo")), "row": F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "of")})
+    rows = own.groupBy("a", "b", "row").agg(F.count("*").alias("many"))
+    least = rows.groupBy("a", "b").agg(F.min("row").alias("least"), F.count("*").alias("rows"), F.sum("many").alias("all")).where("all > 1")
+    marked = rows.join(least.withColumnsRenamed({"a": "_a", "b": "_b"}), (F.col("a") == F.col("_a")) & F.col("b").eqNullSafe(F.col("_b")))
+    marked = settle(marked.select("row.doc_id", "row.of", (F.col("row") == F.col("least")).alias("stays"), "many").where("not stays or many > 1"))
+
+    def without(rows: DataFrame, which: DataFrame, how: str) -> DataFrame:
+        which = which.select(F.col("doc_id").alias("_gone"), F.col("of").alias("_gone_of")).distinct()
+        few = which.count() <= BROADCAST_ROWS
+        return rows.join(F.broadcast(which) if few else which, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_gone_of")), how)
+
+    kept = without(docs, marked, "left_anti")
+    repeated = marked.where("stays")
+    if not repeated.isEmpty():
+        again = without(docs, repeated, "left_semi").withColumn("_of", F.xxhash64(F.col("text").cast("string")))
+        kept = kept.unionByName(again.dropDuplicates(["doc_id", "_of"]).drop("_of"))
+    return kept
+
+
+def _tagged(docs: DataFrame, n: int, num: int, den: int, chunk: int, block: int) -> DataFrame:
+    """doc_id, of (hash of the text), n, hi, lo, root for each row of docs; root is null where a set is linked with no other."""
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = shingler(n)
+        number, place, size = TaskContext.get().partitionId() << 32, 0, 0
         for batch in batches:
             out = []
             for doc_id, of, text in zip(*(column(batch, c) for c in ("doc_id", "of", "text")), strict=True):
                 s = make.set_of(text)
                 hi, lo = fingerprint(s) if len(s) else (None, None)
-                out.append((doc_id, of, len(s), hi, lo, _low48(s[: spare(len(s), num, den) + len(s) // SLACK + 1])))
-            yield _batch(out, ["doc_id", "of", "n", "hi", "lo", "sample"], [pa.int64()] * 5 + [pa.binary()])
+                sample = _six(s[: spare(len(s), num, den) + len(s) // SLACK + 1] >> np.uint64(16))
+                if place == NODES or size > 6 * block:
+                    number, place, size = number + 1, 0, 0
+                out.append((doc_id, of, len(s), hi, lo, number, place, sample))
+                place += 1
+                size += len(sample)
+            yield _batch(out, ["doc_id", "of", "n", "hi", "lo", "block", "place", "sample"], [pa.int64()] * 7 + [pa.binary()])
 
     # 1. a row for each document; nodes are distinct sets
-    read = stored(rows.select("doc_id", F.xxhash64("text").alias("of"), "text").mapInArrow(sets, "doc_id long, of long, n long, hi long, lo long, sample binary"), "sets")
-    nodes = read.where("n > 0").groupBy("hi", "lo").agg(F.first("n").alias("n"), F.first("sample").alias("sample"))
-    blocks = stored(_blocks(nodes, "sample", block), "samples")
-
-    # 2. the sieve
-    total = blocks.agg(F.coalesce(F.sum(F.length("tokens")), F.lit(0))).first()[0] // 6
-
-    def sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for hi, lo, size, lens, tokens, parts in zip(*(column(batch, c) for c in ("hi", "lo", "n", "lens", "tokens", "parts")), strict=True):
-                shared, df = _shared(parts)
-                t = _from48(tokens)
-                known = np.concatenate(([0], np.cumsum(_df_of(t, shared, df) > 1)))
-                ends = np.cumsum([0, *lens]) // 6
-                have = known[ends[1:]] - known[ends[:-1]]
-                # the least l of a similar set, which may be the smaller
-                need = [(-(-k * num // den)) // SLACK + 1 for k in size]
-                out = [(a, b) for a, b, x, y in zip(hi, lo, have, need, strict=True) if x >= y]
-                yield _batch(out, ["hi", "lo"], [pa.int64()] * 2)
-
-    left = settle(_with_shared(blocks, total, False).mapInArrow(sieve, "hi long, lo long"))
+    read = stored(rows.select("doc_id", F.xxhash64("text").alias("of"), "text").mapInArrow(sets, "doc_id long, of long, n long, hi long, lo long, block long, place long, sample binary"), "sets")
+
+    # 2. the sieve; need is the least l of a similar set, which may be the smaller
+    total = read.agg(F.coalesce(F.sum(F.length("sample")), F.lit(0))).first()[0] // 6
+    need = F.floor(F.ceil(F.col("n") * num / den - 1e-9) / SLACK) + 1
+    have = _shared_counts(read.where("n > 0"), total)
+    left = read.where("n > 0").select("block", "place", "n", "hi", "lo").join(have, ["block", "place"]).where(F.col("have") >= need)
+    left = settle(left.select("hi", "lo").distinct())
     few = left.count() <= BROADCAST_ROWS
     hint = F.broadcast if few else (lambda x: x)
 
@@ -271,7 +330,7 @@ def joined(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, chunk: in
                     out.append((*fingerprint(s), len(s), s.astype("<u8").tobytes()))
             yield _batch(out, ["hi", "lo", "n", "tokens"], [pa.int64()] * 3 + [pa.binary()])
 
-    whole = again.mapInArrow(full, "hi long, lo long, n long, tokens binary").dropDuplicates(["hi", "lo"])
+    whole = again.mapInArrow(full, "hi long, lo long, n long, tokens binary")  # a set twice, from rows repeated as a whole, does no harm
     blocks = stored(_blocks(whole, "tokens", block), "blocks")
     total = blocks.agg(F.coalesce(F.sum(F.length("tokens")), F.lit(0))).first()[0] // 8
 
@@ -279,9 +338,8 @@ def joined(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, chunk: in
         """Tokens of prefixes with the least node of the block that has each, and the other nodes of the block."""
         for batch in batches:
             for number, size, lens, tokens, parts in zip(*(column(batch, c) for c in ("block", "n", "lens", "tokens", "parts")), strict=True):
-                shared, df = _shared(parts)
                 t = np.frombuffer(tokens, "<u8")
-                every = _df_of(t, shared, df)
+                every = np.frombuffer(b"".join(p["codes"] for p in parts), "<u2")[np.unique(t, return_inverse=True)[1]]
                 x, own, who = 0, [], []
                 for k, m in enumerate(size):
                     d = every[x : x + m]
@@ -301,7 +359,7 @@ def joined(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, chunk: in
                     yield pa.RecordBatch.from_arrays([pa.array(v[s : s + 20_000]) for v in (kind, a, b)], names=["kind", "a", "b"])
 
     # 4. clusters: in a block here, between blocks by the least node of each token
-    found = stored(_with_shared(blocks, total, True).mapInArrow(prefixes, "kind long, a long, b long"), "prefixes")
+    found = stored(blocks.join(_frequencies(blocks, total), "block").mapInArrow(prefixes, "kind long, a long, b long"), "prefixes")
     across = found.where("kind = 0").select(F.col("a").alias("token"), F.col("b").alias("node"))
     least = across.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most")
     across = across.join(least, "token").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
@@ -317,20 +375,18 @@ def joined(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, chunk: in
                 for s in range(0, len(out), 500):
                     yield _batch(out[s : s + 500], ["node", "hi", "lo", "n", "tokens"], [pa.int64()] * 4 + [pa.binary()])
 
-    members = blocks.mapInArrow(spread, "node long, hi long, lo long, n long, tokens binary").join(cluster.withColumnRenamed("root", "cluster"), "node")
+    # a node's chunk is settled by numbers alone, so its set is dealt out once
+    sizes = blocks.select("block", F.posexplode("n").alias("at", "n")).select((F.shiftleft("block", 20) + F.col("at")).alias("node"), "n")
+    cluster = settle(_chunked(cluster.withColumnRenamed("root", "cluster").join(sizes, "node"), chunk).drop("n"))
+    members = blocks.mapInArrow(spread, "node long, hi long, lo long, n long, tokens binary")
+    members = members.join(F.broadcast(cluster) if cluster.count() <= BROADCAST_ROWS else cluster, "node")
     members = stored(members, "members")
     root = _linked(members, num, den, chunk)
 
     # 5. back to the documents
-    node = members.select("node", "hi", "lo").join(root, "node").select("hi", "lo", "root")
-    tagged = read.select("doc_id", "n", "hi", "lo").join(node.withColumnsRenamed({"hi": "_h", "lo": "_l"}), (F.col("hi") == F.col("_h")) & (F.col("lo") == F.col("_l")), "left")
-    tagged = settle(tagged.select("doc_id", "n", "hi", "lo", "root"))
-    by_root = tagged.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("m"))
-    by_set = tagged.where("root is null and hi is not null").groupBy("hi", "lo").agg(F.min("doc_id").alias("m"))
-    linked = tagged.where("root is not null").join(by_root, "root").select("doc_id", "n", "hi", "lo", "m")
-    alone = tagged.where("root is null and hi is not null").join(by_set, ["hi", "lo"]).select("doc_id", "n", "hi", "lo", "m")
-    blank = tagged.where("hi is null").select("doc_id", "n", "hi", "lo", F.col("doc_id").alias("m"))
-    return linked.unionAll(alone).unionAll(blank).select("doc_id", F.col("n").alias("n_shingles"), F.col("m").alias("component_id"), "hi", "lo")
+    node = members.select("node", "hi", "lo").join(root, "node").select("hi", "lo", "root").dropDuplicates(["hi", "lo"])
+    tagged = read.select("doc_id", "of", "n", "hi", "lo").join(node.withColumnsRenamed({"hi": "_h", "lo": "_l"}), (F.col("hi") == F.col("_h")) & (F.col("lo") == F.col("_l")), "left")
+    return settle(tagged.select("doc_id", "of", "n", "hi", "lo", "root"))
 
 
 def _pairs(rows: DataFrame, by: list[str], num: int, den: int) -> DataFrame:
@@ -349,20 +405,18 @@ def _pairs(rows: DataFrame, by: list[str], num: int, den: int) -> DataFrame:
 
 
 def _chunked(rows: DataFrame, chunk: int) -> DataFrame:
-    """Adds `chunk`: by a running sum of the tokens before, over a cluster's nodes. Only sizes are sorted, not sets."""
+    """Adds `chunk` and `large` to rows (cluster, node, n): a cluster beyond `chunk` tokens has as many chunks as it needs, dealt by hash."""
     sums = rows.groupBy("cluster").agg(F.sum("n").alias("size"))
     large = sums.where(F.col("size") > chunk)
-    # within a large cluster a node's chunk is drawn by its number: as many chunks as the cluster needs
     many = F.ceil(F.coalesce(F.col("size"), F.lit(1)) / chunk).cast("long")
     return rows.join(large, "cluster", "left").withColumn("chunk", F.when(F.col("size").isNull(), 0).otherwise(F.pmod(F.xxhash64("node"), many))).withColumn("large", F.col("size").isNotNull()).drop("size")
 
 
 def _linked(members: DataFrame, num: int, den: int, chunk: int) -> DataFrame:
-    """node, root of the nodes of members (cluster, node, n, tokens)."""
-    rows = _chunked(members.select("cluster", "node", "n", "tokens"), chunk)
-    found = settle(_pairs(rows.withColumn("label", F.col("node")).withColumn("sought", F.lit(True)), ["cluster", "chunk"], num, den))
+    """node, root of the nodes of members (cluster, chunk, large, node, n, tokens)."""
+    found = settle(_pairs(members.withColumn("label", F.col("node")).withColumn("sought", F.lit(True)), ["cluster", "chunk"], num, den))
     root = settle(components(found))
-    where = settle(rows.where("large").select("cluster", "chunk", "node", "n"))
+    where = settle(members.where("large").select("cluster", "chunk", "node", "n"))
     if where.isEmpty():
         return root
 
@@ -379,7 +433,7 @@ def _linked(members: DataFrame, num: int, den: int, chunk: int) -> DataFrame:
         return True
 
     # one node for each component, joined across the chunks of its cluster while that joins any
-    tokens = members.select("node", "tokens")
+    tokens = stored(members.where("large").select("node", "tokens"), "large")
     while True:
         reps = labelled(where).groupBy("cluster", "label").agg(F.min("node").alias("node"), F.min_by("n", "node").alias("n")).select("cluster", "node", "n")
         reps = _chunked(reps, chunk).join(tokens, "node").withColumn("label", F.col("node")).withColumn("sought", F.lit(True))
