@@ -28,9 +28,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brindle.llm.common import SPACE, stored
+from brindle.llm.common import SPACE, settle, stored
 
 SHINGLE, LEAST, BITS, RADIUS = 5, 0.8, 64, 20
+BROADCAST_ROWS = 500_000  # two numbers each: some 30 MB
 
 
 def words(text: Column) -> Column:
@@ -78,6 +79,18 @@ def matched(x: DataFrame, y: DataFrame, *names: str, how: str = "inner") -> Data
 
 def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, radius: int = RADIUS) -> DataFrame:
     """doc_id, item_id, similarity for each document of docs (doc_id, text) and item of benchmark (item_id, text) it leaks."""
+    return leaks_by_text(docs, benchmark, least, radius).groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, radius: int = RADIUS) -> DataFrame:
+    """The rows of docs that leak no item. What leaks is broadcast if it is at most BROADCAST_ROWS rows, else joined."""
+    bad = settle(leaks_by_text(docs, benchmark, least, radius).select(F.col("doc_id").alias("_bad"), F.col("of").alias("_bad_of")).distinct())
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col("_bad")) & (F.xxhash64(F.col("text")) == F.col("_bad_of"))
+    return docs.join(F.broadcast(bad) if bad.count() <= BROADCAST_ROWS else bad, on, "left_anti")
+
+
+def leaks_by_text(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, radius: int = RADIUS) -> DataFrame:
+    """As leaks(), for each text of a doc_id: `of` is the text's hash."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), cut(F.col("text")).alias("c")).select("item_id", F.col("c.n").alias("len"), F.col("c.s").alias("s"))
     # an item is its id and its shingles: rows of equal id but other texts are items of their own
     # (generators are outer ones with a filter above, so that none asks for the arrays' sizes below)
@@ -118,7 +131,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, radius: i
     total = F.col("size") + F.col("len") - (SHINGLE - 1)
     found = both.groupBy("doc_id", "of", "start", "item_id", "key", "size", "len").agg(F.sum("common").alias("common"))
     found = found.withColumn("similarity", F.col("common") / (total - F.col("common"))).where(F.col("common") * (1 + least) >= least * total - 1e-9)
-    return found.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"))
+    return found.groupBy("doc_id", "of", "item_id").agg(F.max("similarity").alias("similarity"))
 
 
 #: The same rows by DuckDB: every window that starts with a shared shingle or ends the document, without fingerprints.

@@ -37,8 +37,8 @@ from brindle.llm.components import components
 from brindle.llm.prefix_tree import links
 
 #: Tokens of a tree at most (a longer set is a chunk of its own), of a block of nodes, and of a bucket of hashes on average.
-CHUNK, BLOCK, BUCKET = 400_000, 500_000, 1_000_000
-NODES = 60_000  # of a block at most
+CHUNK, BLOCK, BUCKET = 400_000, 500_000, 250_000
+NODES = 60_000  # of a block at most: a node is its block's number and 16 bits, a block its partition's and 24
 SLACK = 20  # l is a 20th of a set
 BROADCAST_ROWS = 500_000  # two numbers each: some 30 MB
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -119,7 +119,7 @@ def _blocks(nodes: DataFrame, tokens: str, most: int) -> DataFrame:
         part, count, held, size = TaskContext.get().partitionId(), 0, [], 0
 
         def row():
-            return _batch([((part << 32) + count, [h[0] for h in held], [h[1] for h in held], [h[2] for h in held], [len(h[3]) for h in held], b"".join(h[3] for h in held))], _BLOCK_NAMES, _BLOCK_KINDS())
+            return _batch([((part << 24) + count, [h[0] for h in held], [h[1] for h in held], [h[2] for h in held], [len(h[3]) for h in held], b"".join(h[3] for h in held))], _BLOCK_NAMES, _BLOCK_KINDS())
 
         for batch in batches:
             for h in zip(*(column(batch, c) for c in ("hi", "lo", "n", tokens)), strict=True):
@@ -346,7 +346,7 @@ def _tagged(docs: DataFrame, n: int, num: int, den: int, chunk: int, block: int)
                     p = np.lexsort((t[x : x + m], d))[: spare(m, num, den) + 1]
                     p = p[d[p] > 1]
                     own.append(t[x : x + m][p])
-                    who.append(np.full(len(p), (number << 20) + k))
+                    who.append(np.full(len(p), (number << 16) + k))
                     x += m
                 own, who = np.concatenate(own), np.concatenate(who)
                 tok, at, back = np.unique(own, return_index=True, return_inverse=True)
@@ -370,13 +370,13 @@ def _tagged(docs: DataFrame, n: int, num: int, den: int, chunk: int, block: int)
             for number, hi, lo, size, tokens in zip(*(column(batch, c) for c in ("block", "hi", "lo", "n", "tokens")), strict=True):
                 x, out = 0, []
                 for k, m in enumerate(size):
-                    out.append(((number << 20) + k, hi[k], lo[k], m, tokens[8 * x : 8 * (x + m)]))
+                    out.append(((number << 16) + k, hi[k], lo[k], m, tokens[8 * x : 8 * (x + m)]))
                     x += m
                 for s in range(0, len(out), 500):
                     yield _batch(out[s : s + 500], ["node", "hi", "lo", "n", "tokens"], [pa.int64()] * 4 + [pa.binary()])
 
     # a node's chunk is settled by numbers alone, so its set is dealt out once
-    sizes = blocks.select("block", F.posexplode("n").alias("at", "n")).select((F.shiftleft("block", 20) + F.col("at")).alias("node"), "n")
+    sizes = blocks.select("block", F.posexplode("n").alias("at", "n")).select((F.shiftleft("block", 16) + F.col("at")).alias("node"), "n")
     cluster = settle(_chunked(cluster.withColumnRenamed("root", "cluster").join(sizes, "node"), chunk).drop("n"))
     members = blocks.mapInArrow(spread, "node long, hi long, lo long, n long, tokens binary")
     members = members.join(F.broadcast(cluster) if cluster.count() <= BROADCAST_ROWS else cluster, "node")

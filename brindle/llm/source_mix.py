@@ -29,6 +29,7 @@ from brindle.llm.common import n_words, settle
 
 BINS = 4096
 STEPS = 60
+BROADCAST_SOURCES = 100_000  # some 10 MB
 FLIPS = 3
 
 
@@ -60,9 +61,8 @@ def tilt(size: Column, target: Column) -> Column:
     return F.when((size > 0) & (target > 0), F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), F.lit(0.0), step))
 
 
-def mixed(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken of docs (doc_id, text, source)."""
-    sized = settle(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), _hash().alias("u")))
+def _plan(sized: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
+    """source, source_size, target, base, level, flips: a row for each source of sized (source, size, u)."""
     per_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = targets(per_source, weights, most).withColumn("rate", F.coalesce(F.exp(tilt(F.col("source_size"), F.col("target"))), F.lit(0.0)))
     plan = plan.withColumn("base", F.floor(F.round("rate", 9)).cast("long"))
@@ -93,10 +93,41 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3)
         level = level.join(near, _same(level, near), "left").drop(near["source"])
         level = settle(level.select("source", "level", F.coalesce(F.col("rest") - F.signum("rest").cast("long") * F.col("m.size"), F.col("rest")).alias("rest"), F.when(F.col("m").isNull(), F.col("flips")).otherwise(F.concat("flips", F.array("m.u"))).alias("flips")))
 
-    chosen = plan.join(level.drop("rest"), _same(plan, level), "left").drop(level["source"])
-    out = sized.join(chosen, _same(sized, chosen)).drop(chosen["source"])
-    copies = F.when(F.col("size") > 0, F.col("base") + F.coalesce(taken_now, F.lit(False)).cast("long")).otherwise(0).cast("long")
-    return out.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"))
+    return settle(plan.join(level.drop("rest"), _same(plan, level), "left").drop(level["source"]).select("source", "source_size", "target", "base", "level", "flips"))
+
+
+def _copies() -> Column:
+    """Copies of a row (size, u) beside its source's plan."""
+    extra = (F.col("u") <= F.col("level")) != F.array_contains("flips", F.col("u"))
+    return F.when(F.col("size") > 0, F.col("base") + F.coalesce(extra, F.lit(False)).cast("long")).otherwise(0).cast("long")
+
+
+def _sized(docs: DataFrame) -> DataFrame:
+    return settle(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), _hash().alias("u")))
+
+
+def _beside(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """Each row with its source's plan; broadcast where the sources are few, else a join that a hot source may split."""
+    plan = plan.withColumnRenamed("source", "_plan_source")
+    few = plan.count() <= BROADCAST_SOURCES
+    return rows.join(F.broadcast(plan) if few else plan, F.col("source").eqNullSafe(F.col("_plan_source"))).drop("_plan_source")
+
+
+def mixed(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies, taken of docs (doc_id, text, source)."""
+    sized = _sized(docs)
+    out = _beside(sized, _plan(sized, weights, most)).withColumn("copies", _copies())
+    return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def copied(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
+    """The rows of docs, each as often as the mix takes it. Texts stay where they are: only a source's plan comes to them."""
+    plan = _plan(_sized(docs), weights, most)
+    names = {c: f"_doc_{c}" for c in docs.columns}
+    rows = docs.withColumnsRenamed(names).withColumn("source", F.col("_doc_source").cast("string"))
+    rows = _beside(rows, plan).withColumn("size", n_words(F.col("_doc_text"))).withColumn("doc_id", F.col("_doc_doc_id").cast("long")).withColumn("u", _hash())
+    rows = rows.select(*(F.col(v).alias(k) for k, v in names.items()), F.explode(F.array_repeat(F.lit(0), _copies().cast("int"))).alias("_copy"))
+    return rows.drop("_copy")
 
 
 HASHES = 1 << 60
