@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -54,6 +56,37 @@ def bounded_batches(spark: SparkSession, rows: int = 500) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+_turn: list = [None, None]
+
+
+def take_turn(name, forget) -> None:
+    """What a Python worker keeps between tasks is one operator's at a time: before another's turn the last is told to forget."""
+    if _turn[0] != name:
+        if _turn[1]:
+            _turn[1]()
+        release()
+        _turn[:] = [name, forget]
+
+
+def release() -> None:
+    """Give freed memory back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def tidy(run):
+    """For functions over batches: leave nothing freed but held behind when a task ends."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
+
+
 def pieces(text: str, most: int = 1 << 20) -> Iterator[str]:
     """The text in pieces of about `most` characters, cut before ASCII white space only."""
     at = 0

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from brindle.llm.common import bounded_batches, column, pieces
+from brindle.llm.common import bounded_batches, column, pieces, take_turn, tidy
 from brindle.llm.labelled import fold, sample, sigmoid, temperature
 
 DIM, SEEDS, SPAN, HIDDEN, VOCABULARY, BUCKETS = 128, 6, 2, 24, 20_000, 1 << 14
@@ -74,6 +74,9 @@ class Model:
     def __getstate__(self):
         return self.__dict__ | {"known": {}, "rows": self.rows[:0]}
 
+    def forget(self) -> None:
+        self.known, self.rows, self._room = {}, self.rows[:0].copy(), None
+
     def _form(self, f: str) -> int:
         at = self.names.get(f)
         return len(self.names) + zlib.crc32(f.encode("utf-8", "replace")) % BUCKETS if at is None else at
@@ -215,6 +218,8 @@ def scored(docs: DataFrame, model: Model | None, carry: tuple[str, ...] = ()) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
+        if m:
+            take_turn(("quality", id(m)), m.forget)
         for batch in batches:
             texts = [t or "" for t in column(batch, "_text")]
             s = pa.array(m.scores(texts) if m else np.zeros(len(texts)), pa.float64())
@@ -222,7 +227,7 @@ def scored(docs: DataFrame, model: Model | None, carry: tuple[str, ...] = ()) ->
             yield pa.RecordBatch.from_arrays([*own, s], names=[*kept, "_score"])
 
     schema = StructType([*(docs.schema[c] for c in kept), StructField("_score", DoubleType())])
-    return docs.select(*kept, F.col("text").cast("string").alias("_text")).mapInArrow(run, schema)
+    return docs.select(*kept, F.col("text").cast("string").alias("_text")).mapInArrow(tidy(run), schema)
 
 
 def fit_on(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1) -> Model | None:

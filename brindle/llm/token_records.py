@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brindle.llm.common import bounded_batches, column, pieces, scratch
+from brindle.llm.common import bounded_batches, column, pieces, scratch, take_turn, tidy
 
 MAGIC = b"BRNDLIX1"
 _HEAD = "<BBq"
@@ -159,6 +159,7 @@ _encoders: dict[tuple[str, int], Encoder] = {}
 
 def encoder(path: str, keep: int = 450_000) -> Encoder:
     """One a worker: workers are used again, and with them what they know."""
+    take_turn("tokens", _encoders.clear)
     if (path, keep) not in _encoders:
         _encoders.clear()
         _encoders[path, keep] = Encoder(path, keep)
@@ -218,7 +219,7 @@ def write_token_records(docs: DataFrame, out_dir: str, tokenizer: str, end_id: i
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("_tie"))
         .select("doc_id", "text")
     )
-    rows.mapInArrow(write, MANIFEST).write.mode("overwrite").parquet(f"{out_dir}/manifest")
+    rows.mapInArrow(tidy(write), MANIFEST).write.mode("overwrite").parquet(f"{out_dir}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{out_dir}/manifest")
 
 
@@ -274,7 +275,7 @@ def read_token_records(spark: SparkSession, out_dir: str, ids: bool = True) -> D
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=names)
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long, shard string, record long" + ", ids array<long>" * ids
-    return shards.select("shard", before.alias("before")).repartition("shard").mapInArrow(read, schema)
+    return shards.select("shard", before.alias("before")).repartition("shard").mapInArrow(tidy(read), schema)
 
 
 def token_records(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
