@@ -68,14 +68,16 @@ def _plan(sized: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
     plan = plan.withColumn("base", F.floor(F.round("rate", 9)).cast("long"))
     plan = settle(plan.withColumn("want", F.floor(F.round(F.col("rate") * F.col("source_size") - F.col("base") * F.col("source_size"), 3) + 0.5).cast("long")))
 
-    open_ = sized.where("size > 0").join(plan.where("want > 0").select("source", "want"), _same(sized, plan)).drop(plan["source"])
+    # a source's row comes to its documents where sources are few, so a hot source is not dealt out by its key
+    few = F.broadcast if plan.count() <= BROADCAST_SOURCES else (lambda x: x)
+    open_ = sized.where("size > 0").join(few(plan.where("want > 0").select("source", "want")), _same(sized, plan)).drop(plan["source"])
     open_ = open_.withColumn("bin", F.floor(F.col("u") / (HASHES // BINS)).cast("int"))
     bins = open_.groupBy("source", "want", "bin").agg(F.sum("size").alias("in_bin"))
     upto = F.sum("in_bin").over(Window.partitionBy("source").orderBy("bin"))
     bins = bins.withColumn("upto", upto).withColumn("below", F.col("upto") - F.col("in_bin"))
     # the bin in which the sum reaches what is wanted, and what lies below it
     edge = bins.where("below < want and upto >= want").select("source", F.col("bin").alias("edge"), F.col("below"))
-    at_edge = open_.join(edge, F.col("bin").eqNullSafe(F.col("edge")) & open_["source"].eqNullSafe(edge["source"])).drop(edge["source"])
+    at_edge = open_.join(few(edge), F.col("bin").eqNullSafe(F.col("edge")) & open_["source"].eqNullSafe(edge["source"])).drop(edge["source"])
     at_edge = at_edge.groupBy("source", "want", "below", "u").agg(F.sum("size").alias("size"))
     run = F.col("below") + F.sum("size").over(Window.partitionBy("source").orderBy("u"))
     at_edge = at_edge.withColumn("run", run)
@@ -87,7 +89,7 @@ def _plan(sized: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
     level = level.withColumn("flips", F.array().cast("array<long>"))
     taken_now = (F.col("u") <= F.col("level")) != F.array_contains("flips", F.col("u"))
     for _ in range(FLIPS):
-        near = open_.join(level.where("rest <> 0"), _same(open_, level)).drop(level["source"]).where(taken_now == (F.col("rest") < 0))
+        near = open_.join(few(level.where("rest <> 0")), _same(open_, level)).drop(level["source"]).where(taken_now == (F.col("rest") < 0))
         near = near.groupBy("source", "rest", "u").agg(F.sum("size").alias("size")).where("size < 2 * abs(rest)")
         near = near.groupBy("source").agg(F.min(F.struct(F.abs(F.col("size") - F.abs("rest")).alias("off"), F.col("u"), F.col("size"))).alias("m"))
         level = level.join(near, _same(level, near), "left").drop(near["source"])
