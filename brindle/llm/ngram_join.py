@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brindle.llm.common import bounded_batches, column, pieces, settle, stored
+from brindle.llm.common import bounded_batches, column, pieces, settle, stored, take_turn, tidy
 from brindle.llm.components import components
 from brindle.llm.prefix_tree import links
 
@@ -53,7 +53,7 @@ def _finish(h: np.ndarray) -> np.ndarray:
 class Shingler:
     """Sets of hashed n-word shingles; hashes of words met before are kept, to a bound."""
 
-    def __init__(self, n: int, keep: int = 300_000):
+    def __init__(self, n: int, keep: int = 200_000):
         self.n, self.keep, self.known = n, keep, {}
 
     def words(self, text: str) -> np.ndarray:
@@ -87,6 +87,7 @@ _shinglers: dict[int, Shingler] = {}
 
 def shingler(n: int) -> Shingler:
     """One a worker."""
+    take_turn("shingles", _shinglers.clear)
     if n not in _shinglers:
         _shinglers[n] = Shingler(n)
     return _shinglers[n]
@@ -131,7 +132,7 @@ def _blocks(nodes: DataFrame, tokens: str, most: int) -> DataFrame:
         if held:
             yield row()
 
-    return nodes.select("hi", "lo", "n", tokens).mapInArrow(run, "block long, hi array<long>, lo array<long>, n array<long>, lens array<long>, tokens binary")
+    return nodes.select("hi", "lo", "n", tokens).mapInArrow(tidy(run), "block long, hi array<long>, lo array<long>, n array<long>, lens array<long>, tokens binary")
 
 
 _BLOCK_NAMES = ["block", "hi", "lo", "n", "lens", "tokens"]
@@ -194,17 +195,19 @@ def _shared_counts(rows: DataFrame, total: int) -> DataFrame:
             more = (np.bincount(back, 1 + mark)[back] > 1) & ~mark
             ends = np.cumsum([0, *map(len, places)])
             places = [p[more[x:y]] for p, x, y in zip(places, ends, ends[1:])]
-        at, have, owner = [], [], []
-        for block, p in zip(blocks, places, strict=True):
-            u, c = np.unique(p, return_counts=True)
-            at.append(u.astype(np.int64))
-            have.append(c.astype(np.int64))
-            owner.append(np.full(len(u), block, np.int64))
-        return pa.table([np.concatenate(owner), np.concatenate(at), np.concatenate(have)], names=["block", "place", "have"])
+        rows = [(block, p.tobytes()) for block, p in zip(blocks, places, strict=True) if len(p)]
+        return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.binary()))], names=["block", "places"])
 
-    dealt = rows.select("block", "place", "sample").mapInArrow(deal, "bucket long, block long, tokens binary, places binary")
-    counted = dealt.groupBy("bucket").applyInArrow(count, "block long, place long, have long")
-    return counted.groupBy("block", "place").agg(F.sum("have").alias("have"))
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, parts in zip(column(batch, "block"), column(batch, "parts"), strict=True):
+                u, c = np.unique(np.frombuffer(b"".join(parts), "<u2"), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(u), block, np.int64)), pa.array(u.astype(np.int64)), pa.array(c.astype(np.int64))], names=["block", "place", "have"])
+
+    dealt = rows.select("block", "place", "sample").mapInArrow(tidy(deal), "bucket long, block long, tokens binary, places binary")
+    counted = dealt.groupBy("bucket").applyInArrow(count, "block long, places binary")
+    # a bucket sends a block one row, and a block's rows are no more than its own tokens
+    return counted.groupBy("block").agg(F.collect_list("places").alias("parts")).mapInArrow(tidy(sums), "block long, place long, have long")
 
 
 def _frequencies(blocks: DataFrame, total: int) -> DataFrame:
@@ -238,7 +241,7 @@ def _frequencies(blocks: DataFrame, total: int) -> DataFrame:
         own = [codes[x:y].tobytes() for x, y in zip(ends, ends[1:])]
         return pa.table([table["block"].combine_chunks(), pa.array([key[0].as_py()] * len(own), pa.int64()), pa.array(own, pa.binary())], names=["block", "bucket", "codes"])
 
-    dealt = blocks.select("block", "tokens").mapInArrow(deal, "bucket long, block long, tokens binary, at binary, more binary")
+    dealt = blocks.select("block", "tokens").mapInArrow(tidy(deal), "bucket long, block long, tokens binary, at binary, more binary")
     counted = dealt.groupBy("bucket").applyInArrow(count, "block long, bucket long, codes binary")
     return counted.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("bucket", "codes"))).alias("parts"))
 
@@ -304,7 +307,7 @@ def _tagged(docs: DataFrame, n: int, num: int, den: int, chunk: int, block: int)
             yield _batch(out, ["doc_id", "of", "n", "hi", "lo", "block", "place", "sample"], [pa.int64()] * 7 + [pa.binary()])
 
     # 1. a row for each document; nodes are distinct sets
-    read = stored(rows.select("doc_id", F.xxhash64("text").alias("of"), "text").mapInArrow(sets, "doc_id long, of long, n long, hi long, lo long, block long, place long, sample binary"), "sets")
+    read = stored(rows.select("doc_id", F.xxhash64("text").alias("of"), "text").mapInArrow(tidy(sets), "doc_id long, of long, n long, hi long, lo long, block long, place long, sample binary"), "sets")
 
     # 2. the sieve; need is the least l of a similar set, which may be the smaller
     total = read.agg(F.coalesce(F.sum(F.length("sample")), F.lit(0))).first()[0] // 6
@@ -330,7 +333,7 @@ def _tagged(docs: DataFrame, n: int, num: int, den: int, chunk: int, block: int)
                     out.append((*fingerprint(s), len(s), s.astype("<u8").tobytes()))
             yield _batch(out, ["hi", "lo", "n", "tokens"], [pa.int64()] * 3 + [pa.binary()])
 
-    whole = again.mapInArrow(full, "hi long, lo long, n long, tokens binary")  # a set twice, from rows repeated as a whole, does no harm
+    whole = again.mapInArrow(tidy(full), "hi long, lo long, n long, tokens binary")  # a set twice, from rows repeated as a whole, does no harm
     blocks = stored(_blocks(whole, "tokens", block), "blocks")
     total = blocks.agg(F.coalesce(F.sum(F.length("tokens")), F.lit(0))).first()[0] // 8
 
@@ -359,7 +362,7 @@ def _tagged(docs: DataFrame, n: int, num: int, den: int, chunk: int, block: int)
                     yield pa.RecordBatch.from_arrays([pa.array(v[s : s + 20_000]) for v in (kind, a, b)], names=["kind", "a", "b"])
 
     # 4. clusters: in a block here, between blocks by the least node of each token
-    found = stored(blocks.join(_frequencies(blocks, total), "block").mapInArrow(prefixes, "kind long, a long, b long"), "prefixes")
+    found = stored(blocks.join(_frequencies(blocks, total), "block").mapInArrow(tidy(prefixes), "kind long, a long, b long"), "prefixes")
     across = found.where("kind = 0").select(F.col("a").alias("token"), F.col("b").alias("node"))
     least = across.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most")
     across = across.join(least, "token").where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
@@ -378,7 +381,7 @@ def _tagged(docs: DataFrame, n: int, num: int, den: int, chunk: int, block: int)
     # a node's chunk is settled by numbers alone, so its set is dealt out once
     sizes = blocks.select("block", F.posexplode("n").alias("at", "n")).select((F.shiftleft("block", 16) + F.col("at")).alias("node"), "n")
     cluster = settle(_chunked(cluster.withColumnRenamed("root", "cluster").join(sizes, "node"), chunk).drop("n"))
-    members = blocks.mapInArrow(spread, "node long, hi long, lo long, n long, tokens binary")
+    members = blocks.mapInArrow(tidy(spread), "node long, hi long, lo long, n long, tokens binary")
     members = members.join(F.broadcast(cluster) if cluster.count() <= BROADCAST_ROWS else cluster, "node")
     members = stored(members, "members")
     root = _linked(members, num, den, chunk)
