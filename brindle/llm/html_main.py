@@ -8,8 +8,12 @@ page of a host and come out low; branches below LOW are removed from each page.
 
 Two things entropy cannot tell are settled by what the page itself says, before the tree is asked. A branch whose tag,
 role or class names it as a menu, header, footer, sidebar, notice, advert, form or reader comment is noise, however
-varied (adverts rotate). And the article, where the page marks it (article, else main), is the text, however often it
-recurs: copies of a page and repeated sentences stay. The tree decides on the branches that neither covers.
+varied (adverts rotate). And where the page marks an article (article, else main), only what lies in it is text. The tree
+decides on the rest: on all branches of pages without a marked article, and on the branches within marked ones, where what
+recurs on different articles goes. There copies must not pass for notices: a page counts for a branch by the
+least hash of the article's sentences outside that branch, so copies count once, and near copies nearly always. And
+the body is guarded: the article itself, inline tags, and headings, paragraphs, lists' items and table cells without class or
+id stay, and where low branches hold more than half of an article, all of it stays.
 
 Text: character references decoded; white space within a block one space; blocks joined by one space in page order. Defined
 cases: null or empty html and pages without text give ''; null url is a host of its own; a row for each input row; copies
@@ -39,6 +43,7 @@ INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"tr", "td", "th", "thead"}}
 ENDS_P = set("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "thead": {"table"}, "tbody": {"table"}}
+BODY = INLINE | set("article main h1 h2 h3 h4 h5 h6 p pre blockquote figure figcaption li dt dd table caption thead tbody tfoot tr td th".split())
 # What names noise.
 NOISE_TAGS = set("head nav footer aside form menu dialog button select datalist object applet canvas audio video map".split()) | RAW
 NOISE_ROLES = set("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
@@ -54,6 +59,7 @@ OUTER_NAMES = {"header", "head", "top", "bottom"}  # only outside the article
 _TAG = re.compile(r"""<(?:(?P<close>/)?(?P<tag>[A-Za-z][^\s/>]*+)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)>|!--(?P<comment>)|(?P<odd>[!?/]))""")
 _ATTR = re.compile(r"""(?P<name>class|id|role)\s*+=\s*+(?:"(?P<a>[^"]*+)"|'(?P<b>[^']*+)'|(?P<c>[^\s"'>]++))""", re.IGNORECASE)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
+_SENTENCE = re.compile(r"[.!?\u3002\uff01\uff1f]+")
 _HOST = re.compile(r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)")
 
 
@@ -173,7 +179,7 @@ class Page:
 
     def extract(self, low: set[int] = frozenset()) -> str:
         kept = self.main()
-        removed = self._below(lambda k: self.paths[k] in low) if low and not self.marked() else None
+        removed = self._removed(kept, low) if low else None
         blocks, now = [], []
         for node, t in self.text:
             if node < 0:
@@ -186,8 +192,44 @@ class Page:
         # a reference may stand across no tag, so each block is decoded whole
         return " ".join(filter(None, (" ".join(entities.unescape(b).split()) for b in blocks)))
 
-    def style_nodes(self) -> Iterator[tuple[int, int, int]]:
-        """(path, presentation, content) hashes of the distinct paths that are not noise by name."""
+    def _removed(self, kept: list[bool], low: set[int]) -> list[bool] | None:
+        """For each node, whether the tree removes it; None for no node."""
+        if not self.marked():
+            return self._below(lambda k: self.paths[k] in low)
+        out = self._below(lambda k: kept[k] and self.paths[k] in low and (self.tags[k] not in BODY or bool(self.names[k] and self.tags[k] not in INLINE | {"article", "main"})))
+        if not any(out):
+            return None
+        sizes = [(out[k], len("".join(t.split()))) for k, t in self.text if k >= 0 and kept[k] and not self.noise[k]]
+        return out if 2 * sum(n for z, n in sizes if z) <= sum(n for _, n in sizes) else None
+
+    def _others(self, kept: list[bool]) -> dict[int, int]:
+        """For the paths within the marked article the least hash of a sentence of the article outside the path's branch, if any."""
+        hashes: dict[int, int] = {}
+        for k, t in self.text:
+            if k >= 0 and kept[k] and not self.noise[k]:
+                for part in _SENTENCE.split(t):
+                    words = " ".join(part.split())
+                    if words:
+                        h = crc32(words.encode("utf-8", "replace"))
+                        if h < hashes.get(k, 1 << 32):
+                            hashes[k] = h
+        found: dict[int, int] = {}
+        wanted = {self.paths[k] for k in range(1, len(self.tags)) if kept[k] and not self.noise[k]}
+        for k, h in sorted(hashes.items(), key=lambda x: x[1]):
+            above = set()
+            while k > 0:
+                above.add(self.paths[k])
+                k = self.parents[k]
+            found.update((p, h) for p in wanted - above)
+            wanted &= above
+            if not wanted:
+                break
+        return found
+
+    def style_nodes(self, page: int) -> Iterator[tuple[int, int, int, int]]:
+        """(page, path, presentation, content) hashes of the distinct paths that are not noise by name; page is what counts once."""
+        kept = self.main()
+        others = self._others(kept) if self.marked() else {}
         kids: dict[int, list[str]] = {}
         for k in range(1, len(self.tags)):
             kids.setdefault(self.paths[self.parents[k]], []).append(self.tags[k])
@@ -202,10 +244,10 @@ class Page:
         seen = set()
         for k in range(1, len(self.tags)):
             p = self.paths[k]
-            if not self.noise[k] and not self.inside[k] and p not in seen:
+            if not self.noise[k] and p not in seen and (not self.inside[k] or p in others):
                 seen.add(p)
                 shape = " ".join(dict.fromkeys(kids.get(p, ())))
-                yield p, crc32(shape.encode()), words.get(p, 0)
+                yield others[p] if self.inside[k] else page, p, crc32(shape.encode()), words.get(p, 0)
 
 
 def style_trees(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
@@ -219,7 +261,7 @@ def style_trees(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
                 if source:
                     h = host(url)
                     whole = crc32(source.encode("utf-8", "replace")) | len(source) << 32
-                    rows += [(h, whole, *x) for x in Page(source).style_nodes()]
+                    rows += [(h, *x) for x in Page(source).style_nodes(whole)]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate([pa.string()] + [pa.int64()] * 4)], names=["host", "page", "path", "shape", "content"])
 
     nodes = pages.select("url", "html").mapInArrow(run, "host string, page long, path long, shape long, content long").distinct()

@@ -66,3 +66,20 @@ def test_whole_table(spark, sf_dir):
     for r in hm.extract(pages).join(pages.select("page_id", "html"), "page_id").collect():
         inner = re.search(r"<article>(.*)</article>", r.html, re.S)[1]
         assert r.text == " ".join(html.unescape(re.sub(r"</?(?:p|h1|br)>", "\n", inner).replace("<b>", "").replace("</b>", "")).split())
+
+
+def test_style_tree_within_articles(spark):
+    page = lambda k, body: f"<div class=ad>{k}</div><article><h1>Title {k % 9}</h1><p>{body}</p><div class=more><p>Read this as well.</p><p>And that.</p></div><p class=lead>End of {k % 9}.</p></article>"
+    rows = [(k, "http://a.org/x", page(k, f"Story {k}. It has words of its own, {k * k} of them, and more than what stands below.")) for k in range(9)]
+    rows += [(k, "http://a.org/x", page(k, "Story 3. It has words of its own, 9 of them, and more than what stands below.")) for k in range(12, 300, 9)]  # one article
+    copies = [(1000 + k, "http://b.org/x", page(9 * k, "All say this. And this.")) for k in range(12)]
+    half = [(2000 + k, "http://c.org/x", f"<main><p>{k}</p><div class=body>The same long text on all the pages.</div></main>") for k in range(12)]
+    got = {r.page_id: r.text for r in hm.extract(spark.createDataFrame(rows + copies + half, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(rows + copies + half)
+    for k, t in got.items():
+        if k < 1000:
+            assert t.startswith(f"Title {k % 9} Story") and t.endswith(f"below. End of {k % 9}."), t
+        elif k < 2000:
+            assert t == "Title 0 All say this. And this. Read this as well. And that. End of 0."
+        else:
+            assert t == f"{k - 2000} The same long text on all the pages."
