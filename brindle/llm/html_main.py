@@ -3,7 +3,7 @@
 The DOMs of a host's pages are merged: nodes whose paths (tag and class names from the root) agree are one node of the
 host's style tree. Such a node has the presentations (sequences of child tags) and contents (own texts) seen in the pages it
 stands in, and the importance of its branch is how evenly these spread: entropy over log of the number of pages, the larger
-of the two, 1 where fewer than LEAST_PAGES different pages have it. Menus, notices and the like look alike on every
+of the two, 1 where a single page has it. Menus, notices and the like look alike on every
 page of a host and come out low; branches below LOW are removed from each page.
 
 Two things entropy cannot tell are settled by what the page itself says, before the tree is asked. A branch whose tag,
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from brindle.llm.common import bounded_batches, column, stored
 
-LEAST_PAGES, LOW = 8, 0.35
+LOW = 0.35
 
 # Fixed values of HTML: tags by kind.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -250,7 +250,7 @@ class Page:
                 yield others[p] if self.inside[k] else page, p, crc32(shape.encode()), words.get(p, 0)
 
 
-def style_trees(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
+def style_trees(pages: DataFrame) -> DataFrame:
     """host, path, n_pages, importance of every node of every host's style tree."""
     bounded_batches(pages.sparkSession, 200)
 
@@ -274,13 +274,13 @@ def style_trees(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
     a, b = spread("shape", "h_shape"), spread("content", "h_content").drop("n_pages")
     both = a.join(b, a["host"].eqNullSafe(b["host"]) & (a["path"] == b["path"])).drop(b["host"]).drop(b["path"])
     even = F.greatest("h_shape", "h_content") / F.log("n_pages")
-    return both.select("host", "path", "n_pages", F.when(F.col("n_pages") >= least_pages, even).otherwise(1.0).alias("importance"))
+    return both.select("host", "path", "n_pages", F.when(F.col("n_pages") > 1, even).otherwise(1.0).alias("importance"))
 
 
-def extract(pages: DataFrame, low: float = LOW, least_pages: int = LEAST_PAGES) -> DataFrame:
+def extract(pages: DataFrame, low: float = LOW) -> DataFrame:
     """page_id, url, text, n_chars for every row of pages (page_id, url, html)."""
     spark = pages.sparkSession
-    trees = style_trees(pages, least_pages)
+    trees = style_trees(pages)
     removed = stored(trees.where(F.col("importance") < low).groupBy("host").agg(F.collect_set("path").alias("low")), "style")
     url = F.lower(F.regexp_extract(F.col("url"), r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))

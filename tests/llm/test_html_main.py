@@ -83,3 +83,10 @@ def test_style_tree_within_articles(spark):
             assert t == "Title 0 All say this. And this. Read this as well. And that. End of 0."
         else:
             assert t == f"{k - 2000} The same long text on all the pages."
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 8])
+def test_small_hosts(spark, n):
+    rows = [(k, "http://s.org/x", f"<div class=x>Home and more</div><div class=y>Story {k}</div><div class=z>Always the same</div>") for k in range(n)]
+    got = [r.text for r in hm.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
+    assert got == ([f"Story {k}" for k in range(n)] if n > 1 else ["Home and more Story 0 Always the same"])
