@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from brindle.llm.common import bounded_batches, column, pieces, settle, stored, take_turn, tidy
 from brindle.llm.components import components
-from brindle.llm.prefix_tree import links
+from brindle.llm.prefix_tree import degrees, links
 
 #: Tokens of a tree at most (a longer set is a chunk of its own), of a block of nodes, and of a bucket of hashes on average.
 CHUNK, BLOCK, BUCKET = 400_000, 500_000, 250_000
@@ -246,15 +246,19 @@ def _frequencies(blocks: DataFrame, total: int) -> DataFrame:
     return counted.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("bucket", "codes"))).alias("parts"))
 
 
-def joined(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, chunk: int = CHUNK, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles, component_id, and hi, lo (fingerprint of the set), for each row of docs (doc_id, text)."""
-    tagged = _tagged(docs, n, num, den, chunk, block)
+def joined(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, chunk: int = CHUNK, block: int = BLOCK, counted: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id, and hi, lo (fingerprint of the set), for each row of docs (doc_id, text).
+
+    counted: with n_links, too: how many other rows have a set of similarity num/den or more (copies are links; none without words).
+    """
+    tagged = _tagged(docs, n, num, den, chunk, block, counted)
+    more = ["n_links"] if counted else []
     by_root = tagged.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("m"))
     by_set = tagged.where("root is null and hi is not null").groupBy("hi", "lo").agg(F.min("doc_id").alias("m"))
-    linked = tagged.where("root is not null").join(by_root, "root").select("doc_id", "n", "hi", "lo", "m")
-    alone = tagged.where("root is null and hi is not null").join(by_set, ["hi", "lo"]).select("doc_id", "n", "hi", "lo", "m")
-    blank = tagged.where("hi is null").select("doc_id", "n", "hi", "lo", F.col("doc_id").alias("m"))
-    return linked.unionAll(alone).unionAll(blank).select("doc_id", F.col("n").alias("n_shingles"), F.col("m").alias("component_id"), "hi", "lo")
+    linked = tagged.where("root is not null").join(by_root, "root").select("doc_id", "n", "hi", "lo", "m", *more)
+    alone = tagged.where("root is null and hi is not null").join(by_set, ["hi", "lo"]).select("doc_id", "n", "hi", "lo", "m", *more)
+    blank = tagged.where("hi is null").select("doc_id", "n", "hi", "lo", F.col("doc_id").alias("m"), *more)
+    return linked.unionAll(alone).unionAll(blank).select("doc_id", F.col("n").alias("n_shingles"), F.col("m").alias("component_id"), "hi", "lo", *more)
 
 
 def first_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, chunk: int = CHUNK, block: int = BLOCK) -> DataFrame:
@@ -284,8 +288,8 @@ def first_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, ch
     return kept
 
 
-def _tagged(docs: DataFrame, n: int, num: int, den: int, chunk: int, block: int) -> DataFrame:
-    """doc_id, of (hash of the text), n, hi, lo, root for each row of docs; root is null where a set is linked with no other."""
+def _tagged(docs: DataFrame, n: int, num: int, den: int, chunk: int, block: int, counted: bool = False) -> DataFrame:
+    """doc_id, of (hash of the text), n, hi, lo, root (and n_links) for each row of docs; root is null where a set is linked with no other."""
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -389,7 +393,30 @@ def _tagged(docs: DataFrame, n: int, num: int, den: int, chunk: int, block: int)
     # 5. back to the documents
     node = members.select("node", "hi", "lo").join(root, "node").select("hi", "lo", "root").dropDuplicates(["hi", "lo"])
     tagged = read.select("doc_id", "of", "n", "hi", "lo").join(node.withColumnsRenamed({"hi": "_h", "lo": "_l"}), (F.col("hi") == F.col("_h")) & (F.col("lo") == F.col("_l")), "left")
-    return settle(tagged.select("doc_id", "of", "n", "hi", "lo", "root"))
+    if not counted:
+        return settle(tagged.select("doc_id", "of", "n", "hi", "lo", "root"))
+    copies = settle(read.where("n > 0").groupBy("hi", "lo").agg(F.count("*").alias("copies")))
+    once = members.groupBy("hi", "lo").agg(F.min("node").alias("node")).join(copies, ["hi", "lo"])  # a set may be there twice
+    degree = _degrees(members.select("cluster", "chunk", "node", "tokens").join(once.select("node", "copies"), "node"), num, den)
+    per = copies.join(once.select("hi", "lo", "node").join(degree, "node"), ["hi", "lo"], "left").select(F.col("hi").alias("_h"), F.col("lo").alias("_l"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    tagged = tagged.select("doc_id", "of", "n", "hi", "lo", "root").join(per, (F.col("hi") == F.col("_h")) & (F.col("lo") == F.col("_l")), "left")
+    return settle(tagged.select("doc_id", "of", "n", "hi", "lo", "root", F.coalesce("n_links", F.lit(0)).alias("n_links")))
+
+
+def _degrees(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """node, links of the nodes of rows (cluster, chunk, node, tokens, copies): each chunk in itself, and with each other chunk of its cluster."""
+
+    def run(key, table):
+        nodes, chunks = table["node"].to_pylist(), table["chunk"].to_pylist()
+        seek = None if key[1] == key[2] else [k for k, c in enumerate(chunks) if c == key[1].as_py()]
+        found = degrees([np.frombuffer(t, "<u8") for t in table["tokens"].to_pylist()], num, den, table["copies"].to_pylist(), seek)
+        return pa.table([pa.array(nodes, pa.int64()), pa.array(found, pa.int64())], names=["node", "links"])
+
+    chunks = rows.select("cluster", "chunk").distinct()
+    pairs = chunks.withColumnRenamed("chunk", "a").join(chunks.withColumnRenamed("chunk", "b"), "cluster").where("a <= b")
+    sides = pairs.select("cluster", "a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("chunk"))
+    dealt = rows.join(sides, ["cluster", "chunk"]).select("cluster", "a", "b", "chunk", "node", "tokens", "copies")
+    return dealt.groupBy("cluster", "a", "b").applyInArrow(run, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
 
 
 def _pairs(rows: DataFrame, by: list[str], num: int, den: int) -> DataFrame:

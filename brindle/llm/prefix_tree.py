@@ -3,8 +3,9 @@
 Tokens get ranks by how many of the sets hold them, most first, so similar sets share long paths; paths without a branch
 are one node. A set is sought by walking the tree once: what a shared path has in common with it is counted once
 for all sets below, and a branch is left when not even its largest set could still reach the similarity,
-given the tokens missed on either side so far (remaining-length bounds). Branches whose sets all are in the seeking
+given the tokens missed on either side so far (remaining-length bounds). For links(), branches whose sets all are in the seeking
 set's component already have nothing to add and are left, too: enough links are found to join what is linked, not all of them.
+degrees() counts all links: it leaves no branch, and takes the overlaps of all paths with a set in one pass over the tree.
 """
 
 from __future__ import annotations
@@ -38,54 +39,10 @@ def links(sets: list[np.ndarray], num: int, den: int, labels: list[int] | None =
     n = len(sets)
     if n < 2:
         return []
-    flat = np.concatenate(sets)
-    starts = np.cumsum([0, *map(len, sets)])
-    _, inverse, counts = np.unique(flat, return_inverse=True, return_counts=True)
-    rank = np.empty(len(counts), np.int64)
-    rank[np.argsort(-counts, kind="stable")] = np.arange(len(counts))
-    ranked = rank[inverse]
-    rows = [np.sort(ranked[a:b]) for a, b in zip(starts, starts[1:])]
+    rows, distinct = _ranked(sets)
     size = [len(r) for r in rows]
-    order = sorted(range(n), key=lambda k: rows[k].astype(">u4").tobytes())
-
-    # nodes: segment of a set's ranks, children, sets that end here, greatest size below, whether of one component
-    seg, kids, ends, largest, member, uniform = [], [], [], [], [], []
-
-    def node(k: int, a: int, b: int) -> int:
-        seg.append((k, a, b))
-        kids.append([])
-        ends.append([])
-        largest.append(0)
-        member.append(k)
-        uniform.append(False)
-        return len(seg) - 1
-
-    root = node(order[0], 0, 0)
-    path = [(root, 0)]  # nodes with the depth at which each ends
-    before = None
-    for k in order:
-        row = rows[k]
-        common = 0
-        if before is not None:
-            m = min(len(row), len(before))
-            differ = np.flatnonzero(row[:m] != before[:m])
-            common = int(differ[0]) if len(differ) else m
-        while len(path) > 1 and path[-2][1] >= common:
-            path.pop()
-        at, depth = path[-1]
-        if depth > common:  # the last node is cut in two
-            owner, a, b = seg[at]
-            cut = node(owner, common, b)
-            kids[cut], kids[at] = kids[at], [cut]
-            ends[cut], ends[at] = ends[at], []
-            seg[at] = (owner, a, common)
-            path[-1] = (at, common)
-        if len(row) > common:
-            new = node(k, common, len(row))
-            kids[path[-1][0]].append(new)
-            path.append((new, len(row)))
-        ends[path[-1][0]].append(k)
-        before = row
+    order, root, seg, kids, ends = _tree(rows, range(n))
+    largest, uniform = [0] * len(seg), [False] * len(seg)  # greatest size below, whether of one component
     below = [root]
     for x in below:
         below.extend(kids[x])
@@ -96,7 +53,7 @@ def links(sets: list[np.ndarray], num: int, den: int, labels: list[int] | None =
         members[x] = ends[x][0] if ends[x] else members[kids[x][0]]
 
     unions = Unions(labels if labels is not None else list(range(n)))
-    mark = np.zeros(len(counts) + 1, bool)
+    mark = np.zeros(distinct + 1, bool)
     found = []
     both = num + den
     for k in seek if seek is not None else order:
@@ -133,3 +90,102 @@ def links(sets: list[np.ndarray], num: int, den: int, labels: list[int] | None =
             stack.extend((c, overlap) for c in kids[x])
         mark[row] = False
     return found
+
+
+def _ranked(sets: list[np.ndarray]) -> tuple[list[np.ndarray], int]:
+    """The sets as ascending ranks, and the number of distinct tokens."""
+    flat = np.concatenate(sets)
+    starts = np.cumsum([0, *map(len, sets)])
+    _, inverse, counts = np.unique(flat, return_inverse=True, return_counts=True)
+    rank = np.empty(len(counts), np.int64)
+    rank[np.argsort(-counts, kind="stable")] = np.arange(len(counts))
+    ranked = rank[inverse]
+    return [np.sort(ranked[a:b]) for a, b in zip(starts, starts[1:])], len(counts)
+
+
+def _tree(rows: list[np.ndarray], which) -> tuple[list[int], int, list, list, list]:
+    """The order of the sets `which`, the root, and for each node the segment of a set's ranks, the children, the sets that end there."""
+    order = sorted(which, key=lambda k: rows[k].astype(">u4").tobytes())
+    seg, kids, ends = [], [], []
+
+    def node(k: int, a: int, b: int) -> int:
+        seg.append((k, a, b))
+        kids.append([])
+        ends.append([])
+        return len(seg) - 1
+
+    root = node(order[0], 0, 0)
+    path = [(root, 0)]  # nodes with the depth at which each ends
+    before = None
+    for k in order:
+        row = rows[k]
+        common = 0
+        if before is not None:
+            m = min(len(row), len(before))
+            differ = np.flatnonzero(row[:m] != before[:m])
+            common = int(differ[0]) if len(differ) else m
+        while len(path) > 1 and path[-2][1] >= common:
+            path.pop()
+        at, depth = path[-1]
+        if depth > common:  # the last node is cut in two
+            owner, a, b = seg[at]
+            cut = node(owner, common, b)
+            kids[cut], kids[at] = kids[at], [cut]
+            ends[cut], ends[at] = ends[at], []
+            seg[at] = (owner, a, common)
+            path[-1] = (at, common)
+        if len(row) > common:
+            new = node(k, common, len(row))
+            kids[path[-1][0]].append(new)
+            path.append((new, len(row)))
+        ends[path[-1][0]].append(k)
+        before = row
+    return order, root, seg, kids, ends
+
+
+def degrees(sets: list[np.ndarray], num: int, den: int, weights: list[int], seek: list[int] | None = None) -> list[int]:
+    """For each place the sum of the weights of the other sets of similarity num/den or more.
+
+    sets: distinct uint64 each, not empty. seek: if given, only links between these places and the others count.
+    """
+    out = np.zeros(len(sets), np.int64)
+    held = range(len(sets)) if seek is None else sorted(set(range(len(sets))) - set(seek))
+    if len(sets) < 2 or not len(held):
+        return out.tolist()
+    weight = np.asarray(weights, np.int64)
+    rows, distinct = _ranked(sets)
+    order, root, seg, kids, ends = _tree(rows, held)
+    # a node is entered and left: between, its segment's overlap is on the path
+    parts, at, who, where, events, signs = [], [0], [], [], [], []
+    stack = [(root, False)]
+    while stack:
+        x, leave = stack.pop()
+        if leave:
+            events.append(x)
+            signs.append(-1)
+            continue
+        who += ends[x]
+        where += [len(events)] * len(ends[x])
+        events.append(x)
+        signs.append(1)
+        stack.append((x, True))
+        stack.extend((c, False) for c in kids[x])
+    for owner, a, b in seg:
+        parts.append(rows[owner][a:b])
+        at.append(at[-1] + b - a)
+    flat, at = np.concatenate(parts), np.array(at)
+    who, where, events, signs = np.array(who), np.array(where), np.array(events), np.array(signs)
+    size = np.array([len(rows[k]) for k in who])
+    mark = np.zeros(distinct, bool)
+    sums = np.zeros(len(flat) + 1, np.int64)
+    for k in order if seek is None else seek:
+        mark[rows[k]] = True
+        np.cumsum(mark[flat], out=sums[1:])
+        mark[rows[k]] = False
+        own = sums[at[1:]] - sums[at[:-1]]
+        overlap = np.cumsum(own[events] * signs)[where]
+        like = who[(overlap * (num + den) >= num * (len(rows[k]) + size)) & (who != k)]
+        out[k] += weight[like].sum()
+        if seek is not None:
+            out[like] += weight[k]
+    return out.tolist()

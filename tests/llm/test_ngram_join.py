@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 
 from brindle.llm import ngram_join as nj
 from brindle.llm.components import components
-from brindle.llm.prefix_tree import links
+from brindle.llm.prefix_tree import degrees, links
 
 
 def roots(n, pairs):
@@ -115,3 +115,25 @@ def test_components(spark):
 
 def test_spare():
     assert [nj.spare(k, 85, 100) for k in (1, 6, 7, 20, 100)] == [0, 0, 1, 3, 15]
+
+
+def brute_degrees(sets, num, den):
+    return [sum(bool(x and y) and a != b and den * len(x & y) >= num * len(x | y) for b, y in enumerate(sets)) for a, x in enumerate(sets)]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 30), min_size=1, max_size=25), min_size=1, max_size=14, unique_by=frozenset), st.sampled_from([(1, 2), (85, 100), (1, 5)]))
+def test_degrees_count_every_link(sets, t):
+    arrays = [np.array(sorted(s), np.uint64) for s in sets]
+    assert degrees(arrays, *t, [1] * len(sets)) == brute_degrees(sets, *t)
+    seek = list(range(0, len(sets), 2))
+    linked = [[a != b and (a % 2 != b % 2) and t[1] * len(x & y) >= t[0] * len(x | y) for b, y in enumerate(sets)] for a, x in enumerate(sets)]
+    assert degrees(arrays, *t, list(range(3, len(sets) + 3)), seek) == [sum(b + 3 for b, z in enumerate(row) if z) for row in linked]
+
+
+@pytest.mark.parametrize("chunk, block", [(nj.CHUNK, nj.BLOCK), (900, 2000)])
+def test_links_by_brute_force(spark, chunk, block):
+    rows = corpus(7) + [(9000, None), (9001, "one two three four five six")] + [(9002, "copied row of six words here")] * 3
+    got = nj.joined(spark.createDataFrame(rows, "doc_id long, text string"), chunk=chunk, block=block, counted=True).collect()
+    sets = brute_sets([t for _, t in rows])
+    assert sorted(((r.doc_id, r.n_shingles, r.n_links) for r in got), key=str) == sorted(((d, len(s), c) for (d, _), s, c in zip(rows, sets, brute_degrees(sets, 85, 100))), key=str)
