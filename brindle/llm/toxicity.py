@@ -1,7 +1,9 @@
 """Toxicity by subword-bag embeddings averaged into a linear softmax.
 
 A word is the bag of its character n-grams (3 to 5 characters of `<word>`, and the whole), each with an embedding of its own
-in a hashed table; words that were never met, and misspellings, share the n-grams of those that were. The embeddings of a
+in a hashed table; words that were never met, and misspellings, share the n-grams of those that were. Words are parted by Unicode
+white space; of a run of more than LONGEST characters (scripts without spaces, minified code) each part up to punctuation is a word, and of
+a part still longer each piece of LONGEST, which overlap so that no n-gram is lost. The embeddings of a
 window of WINDOW words are averaged and go into a linear softmax over (clean, toxic); embeddings and softmax are trained jointly
 in numpy. A document's logit is that of its most toxic window, so a few words count in a text of any length.
 
@@ -16,6 +18,7 @@ labels of both kinds in the sample every score is 0; a row for each row of the i
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -29,13 +32,14 @@ from brindle.llm.common import bounded_batches, column, pieces, take_turn, tidy
 from brindle.llm.labelled import fold, sample, sigmoid, temperature
 
 BUCKETS, DIM, WINDOW, ROUNDS, EPOCHS = 1 << 17, 12, 5, 3, 12
+LONGEST, OVERLAP = 64, 4
 MOST, MOST_CHARS = 1500, 16_000_000
 
 
 def grams(word: bytes) -> list[int]:
     """Buckets of the n-grams of a word (UTF-8): lower case, without punctuation at its ends."""
     w = word.decode("utf-8", "replace").lower().strip(_PUNCT) or word.decode("utf-8", "replace")
-    w = f"<{w[:64]}>"
+    w = f"<{w}>"
     out = {w} | {w[k : k + n] for n in (3, 4, 5) for k in range(len(w) - n + 1)}
     return [zlib.crc32(g.encode()) % BUCKETS for g in sorted(out)]
 
@@ -44,7 +48,24 @@ _PUNCT = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def words_of(text: str) -> list[bytes]:
-    return [w for p in pieces(text) for w in p.encode().split()]
+    out = []
+    for p in pieces(text):
+        for w in p.split():
+            if len(w) <= LONGEST:
+                out.append(w.encode())
+            else:
+                out += _parts(w)
+    return out
+
+
+_PART = re.compile(r"[^\W_]*+[\W_]++|[^\W_]++")  # a word with the punctuation behind it
+
+
+def _parts(run: str) -> Iterator[bytes]:
+    for m in _PART.finditer(run):
+        w = m[0]
+        for at in range(0, max(1, len(w) - OVERLAP), LONGEST - OVERLAP):
+            yield w[at : at + LONGEST].encode()
 
 
 class Model:

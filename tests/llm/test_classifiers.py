@@ -74,3 +74,27 @@ def test_caches_change_nothing():
     want = t.word_scores([b"abc", b"new"])
     t.known = {}
     assert (t.word_scores([b"abc", b"new"], keep=0) == want).all()
+
+
+def test_long_runs_are_read_whole():
+    from brindle.llm.toxicity import grams, words_of
+
+    assert words_of("a b,c\u00a0d\u3000e\n" + "x" * 64) == [b"a", b"b,c", b"d", b"e", b"x" * 64]
+    for run in ("字" * 300, "ab," * 100, "x" * 65, "x_" * 200, "," * 500, "".join(chr(0x4E00 + k) for k in range(1000))):
+        got = [w.decode() for w in words_of(run)]
+        assert all(len(w) <= 64 for w in got)
+        assert all(any(run[k : k + 5] in w for w in got) for k in range(len(run) - 4)) or "," in run or "_" in run
+        assert set("".join(got)) == set(run) and sum(map(len, got)) >= len(run)
+    assert len(set(grams("".join(map(str, range(100, 200))).encode()))) > 300
+
+
+def test_toxic_text_behind_a_long_run_counts():
+    from brindle.llm import toxicity
+
+    rng = np.random.default_rng(3)
+    clean = lambda: " ".join(f"w{rng.integers(0, 60)}" for _ in range(20))
+    model = toxicity.fit([(clean(), 0) for _ in range(80)] + [(clean() + " vilest scum " + clean(), 1) for _ in range(80)])
+    for sep in ("\u00a0", "\u3000", ","):
+        plain = sep.join(clean().split() * 2)
+        a, b = model.scores([plain, plain + sep + sep.join(["vilest", "scum"])])
+        assert a < 0.5 < b, (sep, a, b)
