@@ -90,50 +90,99 @@ Literal = tuple[int, int, str]
 def assigned(text: str) -> Iterator[tuple[str, list[Literal]]]:
     """Each target's name with the literals that reach it, constants propagated."""
     known: dict[str, list[Literal]] = {}
+    unclosed: set[str] = set()  # triple quotes that don't come again
     at = 0
     while at < len(text):
-        # lines without an assignment have nothing to lex
+        # lines without an assignment have nothing to lex, but those that one goes on in
         stops = [p for p in (text.find("=", at), text.find(":", at)) if p >= 0]
         if not stops:
             return
         at = text.rfind("\n", at, min(stops)) + 1 or at
-        end = text.find("\n", min(stops))
-        end = len(text) if end < 0 else end
-        yield from _line(text, at, end, known)
-        at = end + 1
+        at = yield from _statement(text, at, known, unclosed)
 
 
-def _line(text: str, at: int, end: int, known: dict[str, list[Literal]]) -> Iterator[tuple[str, list[Literal]]]:
+_BLOCK = re.compile(r"[^\S\n]*+[|>][+\-0-9]{0,2}[^\S\n]*+(?:\#[^\n]*+)?\n")
+_INDENT = re.compile(r"[^\S\n]*+")
+_WORD_LINE = re.compile(r"^[^\S\n]*+(\S++)[^\S\n]*+$", re.MULTILINE)
+
+
+def _words(text: str, at: int, end: int) -> list[Literal]:
+    """The lines that are one word: a key over several lines without its head and foot."""
+    return [(m.start(1) + at, m.end(1) + at, m[1]) for m in _WORD_LINE.finditer(text[at:end])]
+
+
+def _statement(text: str, at: int, known: dict[str, list[Literal]], unclosed: set[str]):
+    """As assigned(), to the end of the line, or of what goes on behind it: brackets (to a blank line at most; on further lines
+    quoted literals count), continued lines, triple quotes, block scalars. Returns the place behind."""
     before: str | None = None  # the last name, which an operator may make a target
     target: str | None = None
     got: list[Literal] = []
     joined = True
     quoted_key = False
+    colon: str | None = None  # the name before a colon, whose type may stand before an equals sign
+    alias: str | None = None
+    inside: list[str | None] = []  # the targets of open brackets
+    further = False
 
     def done():
         if target is not None and got:
             known[target] = got
+            if alias is not None:
+                known[alias] = got
+                return [(target, got), (alias, got)]
             return [(target, got)]
         return []
 
-    for m in _LEX.finditer(text, at, end):
+    end = len(text)
+    while at < end:
+        m = _LEX.search(text, at)
+        if m is None:
+            break
         kind, s, e = m.lastgroup, *m.span()
+        at = e
         if kind == "gap":
             continue
+        if kind == "bare" and m[0] == "\\" and text[e : e + 1] == "\n":
+            at = e + 1
+            continue
+        quotes = text[s : s + 3]
+        if kind in ("text", "quote") and quotes in ('"""', "'''") and quotes not in unclosed:
+            close = text.find(quotes, s + 3)
+            if close >= 0:
+                if target is not None and joined:
+                    got, joined = [*got, *_words(text, s + 3, close)], False
+                at, before, quoted_key = close + 3, None, False
+                continue
+            unclosed.add(quotes)
         if kind == "op":
+            block = _BLOCK.match(text, e) if m[0] == ":" and before is not None else None
+            if block:
+                yield from done()
+                at, indent = block.end(), len(_INDENT.match(text, text.rfind("\n", 0, s) + 1)[0])
+                while at < end:
+                    k = _INDENT.match(text, at).end()
+                    if k < end and text[k] != "\n" and k - at <= indent:
+                        break
+                    at = text.find("\n", k) + 1 or end
+                target, alias, got = before, None, _words(text, block.end(), at)
+                yield from done()
+                return at
             if m[0] in ("=", "==") and got and not joined and got[-1][1] == s and (e == end or text[e].isspace()):
                 got[-1] = (got[-1][0], e, text[got[-1][0] : e])  # padding of a bare literal
                 before = None
                 continue
-            if m[0] in ("=", ":", ":=", "=>") and before is not None:
+            typed = colon if m[0] == "=" and not inside else None
+            if m[0] in ("=", ":", ":=", "=>") and (before or typed) is not None:
                 if target is not None and (not got or quoted_key):
                     got = got[:-1] if quoted_key else got
                 yield from done()
-                target, got, joined = before, [], True
+                target, got, joined = before or typed, [], True
+                alias, colon = typed, before if m[0] == ":" else None
             before, quoted_key = None, False
         elif kind == "text":
             inner = (s + 1, e - 1, text[s + 1 : e - 1])
-            if target is not None and joined:
+            colon = None
+            if target is not None and (joined or (inside and target == inside[-1] and got)):
                 got, joined = [*got, inner], False
             elif target is not None:
                 yield from done()
@@ -145,7 +194,9 @@ def _line(text: str, at: int, end: int, known: dict[str, list[Literal]]) -> Iter
                 got[-1] = (got[-1][0], e, text[got[-1][0] : e])
                 before = None
                 continue
-            if target is not None and joined:
+            if target is not None and joined and further and m[0] not in known:
+                pass
+            elif target is not None and joined:
                 word = m[0]
                 got = [*got, *(known[word] if word in known else [(s, e, word)])]
                 joined = False
@@ -160,11 +211,36 @@ def _line(text: str, at: int, end: int, known: dict[str, list[Literal]]) -> Iter
                 got[-1] = (got[-1][0], e, text[got[-1][0] : e])
             before = None
         elif kind == "end":
+            opens, closes = m[0] in ("(", "[", "{"), m[0] in (")", "]", "}")
+            if opens and (inside or (target is not None and joined and m[0] != "{")):
+                if m[0] == "{":
+                    yield from done()
+                    target, got = None, []
+                inside.append(target)
+                before = None
+                continue
+            if inside and (closes or m[0] in (",", "\n")):
+                if m[0] == "\n" and text[e : e + 1] == "\n":
+                    inside = []
+                else:
+                    further = further or m[0] == "\n"
+                    if m[0] == "," or target != inside[-1]:
+                        yield from done()
+                        target, alias, got, joined = inside[-1], alias if target == inside[-1] else None, [], True
+                    if closes:
+                        inside.pop()
+                        joined, further = False, further and bool(inside)
+                    before = None
+                    continue
             yield from done()
+            alias = None
+            if m[0] in ",;{\n#" or m[0] == "//":
+                colon = None
+            if m[0] == "\n":
+                return e
             target, got, before, joined = None, [], None, True
-            if m[0] in ("#", "//"):
-                continue
     yield from done()
+    return end
 
 
 def spans(text: str) -> tuple[list[Span], list[Span]]:

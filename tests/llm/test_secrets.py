@@ -63,3 +63,22 @@ def test_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = {r.doc_id: r.base_sha256 for r in sc.scan(docs).collect()}
     assert got == {r.doc_id: hashlib.sha256(sc.joined(plain(r.text)).encode()).hexdigest() for r in docs.collect()}
+
+
+@pytest.mark.parametrize("text", [
+    'auth_key = ("Zq81kf!Lm20vv")', 'auth_key = (\n    "Zq81kf!Lm20vv"\n)', 'auth_key = \\\n    "Zq81kf!Lm20vv"',
+    'auth_key = """Zq81kf!Lm20vv"""', "auth_key = '''\nZq81kf!Lm20vv\n'''", 'a:\n  private_key: |\n    Zq81kf!Lm20vv\n  other: x', 'auth_keys_pwd = ["changeme", "Zq81kf!Lm20vv"]',
+    'pwd: [\n  "changeme",\n  "Zq81kf!Lm20vv",\n]', 'api_token: str = "Zq81kf!Lm20vv"', 'pwd: Optional[str] = "Zq81kf!Lm20vv"',
+])
+def test_lexer_reads_on(text):
+    assert "Zq81kf!Lm20vv" in [text[s:e] for _, s, e in sc.spans(text)[1]]
+
+
+@pytest.mark.parametrize("text", ["pwd: (see\nZq81kfLm20vv, Qw45rtYu78zz", 'pwd = ("a"\n\n"Zq81kf!Lm20vv"', 'x: |\n  a\npwd_name: y\n"Zq81kf!Lm20vv"'])
+def test_lexer_stops(text):
+    assert sc.spans(text)[1] == []
+
+
+def test_long_open_text_is_linear():
+    sc.spans("a=(" * 100_000 + '"""' + "k: |\n" * 100_000 + "'''" * 3)
+    sc.spans("k=[" + '"x",\n' * 200_000)
