@@ -51,15 +51,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Long texts: Arrow batches of few rows, so that a Python worker holds a few MB at a time."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+#: What a worker keeps of words are those of this many bytes at most, so a bound on their number is one on memory.
+KEPT_BYTES = 64
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 500 rows and 8 MB (one longer text is a batch of its own), so that a Python worker holds a few MB
+    at a time. The same for every operator: which was called last makes no difference."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
 
 
 _turn: list = [None, None]
 
 
-def take_turn(name, forget) -> None:
+def take_turn(name, forget=None) -> None:
     """What a Python worker keeps between tasks is one operator's at a time: before another's turn the last is told to forget."""
     if _turn[0] != name:
         if _turn[1]:
@@ -75,13 +81,15 @@ def release() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
-def tidy(run):
-    """For functions over batches: leave nothing freed but held behind when a task ends."""
+def tidy(run, forget=None):
+    """For functions over batches: when a task ends, leave nothing freed but held behind, and nothing that `forget` drops."""
 
     def wrapped(batches):
         try:
             yield from run(batches)
         finally:
+            if forget:
+                forget()
             release()
 
     return wrapped
@@ -97,6 +105,14 @@ def pieces(text: str, most: int = 1 << 20) -> Iterator[str]:
     yield text[at:] if at else text
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, or the first longer one that no column of df has: columns of the input may be called anything."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def n_words(text: Column) -> Column:
     """Number of words; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -16,23 +16,31 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, train, most: int, mos
     """Up to `most` documents of either label that `train` (a condition on doc_id) admits, least MD5 of the id first.
 
     Labels come once for each doc_id (the greatest, if rows differ; nulls don't count). Texts come to
-    the driver, at most 2 * most of them and most_chars characters in all: documents beyond that, in the order
-    of their ids' MD5, are left out of the fit (never out of the scoring).
+    the driver, at most 2 * most of them and most_chars characters in all: a text of more than a sixteenth of that, and what
+    is beyond the sum in the order of the ids' MD5, is left out of the fit (never out of the scoring); so that a few very long texts
+    leave others in, 2 * most ids of either label are looked at. Only ids and lengths are ordered; texts are read for those chosen.
     """
     key = F.md5(F.col("doc_id").cast("string").cast("binary"))
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).where(train).groupBy("doc_id").agg(F.max(label).alias("y"))
     few = None
     for y in (0, 1):
-        part = known.where(F.col("y") == y).orderBy(key).limit(most)
+        part = known.where(F.col("y") == y).orderBy(key).limit(2 * most)
         few = part if few is None else few.unionAll(part)
-    # at most 2 * most ids: small whatever the input
-    texts = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").where("text is not null")
-    sized = texts.groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
-    from pyspark.sql import Window
-
-    upto = F.sum(F.length("text")).over(Window.orderBy(key))
-    rows = sized.select("doc_id", "y", "text", upto.alias("upto")).where(F.col("upto") <= most_chars).orderBy(key).select("text", "y").collect()
-    return [(r.text, int(r.y)) for r in rows]
+    # at most 4 * most ids: small whatever the input
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null")
+    sizes = texts.join(F.broadcast(few), "doc_id").groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("of"), F.length("text").alias("size"))).alias("m"))
+    rows = sizes.where(F.col("m.size") <= most_chars // 16).select("doc_id", "y", "m.of", "m.size", key.alias("key")).collect()
+    chosen, held, total = [], {0: 0, 1: 0}, 0
+    for r in sorted(rows, key=lambda r: r.key):
+        if held[r.y] < most and total + r.size <= most_chars:
+            held[r.y], total = held[r.y] + 1, total + r.size
+            chosen.append((r.doc_id, r.of, int(r.y), r.key))
+    if not chosen:
+        return []
+    spark = docs.sparkSession
+    ids = spark.createDataFrame(chosen, f"_id {docs.schema['doc_id'].dataType.simpleString()}, _of long, y int, key string")
+    got = texts.join(F.broadcast(ids), (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_of"))).dropDuplicates(["doc_id"]).select("key", "text", "y").collect()
+    return [(r.text, int(r.y)) for r in sorted(got, key=lambda r: r.key)]
 
 
 def sigmoid(x):

@@ -2,10 +2,11 @@
 
 Random indexing: every word has a sparse index vector of SEEDS ones and minus ones at places that its hash gives; a
 word of the sample's vocabulary also gathers the index vectors of its neighbours (up to SPAN words away). Both
-together are its vector; words outside the vocabulary have their index vector alone. Besides the word itself, a token
+together are its vector; words outside the vocabulary have an index vector alone, that of the one of BUCKETS their hash gives, so that
+the model is of fixed size. Besides the word itself, a token
 stands for its shape (case, digits, each run of punctuation) and for repeating the word before it, so that junk of words never
 met looks like junk of known words. A document is the mean of its tokens' vectors; the first layer is linear up to there, so each distinct
-token is put through it once. Two layers (HIDDEN relu units) give a logit, whose temperature and shift are calibrated
+token is put through it once. Two layers (HIDDEN relu units) give a logit, whose temperature (and a shift, as 0.5 is to be the border) is calibrated
 on a part of the sample the layers were not trained on.
 
 The fit takes a bounded sample of labelled rows (labelled.sample: at most 2,000 of either label, 16 million characters);
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from brindle.llm.common import bounded_batches, column, pieces, take_turn, tidy
+from brindle.llm.common import bounded_batches, column, pieces, take_turn, tidy, unused
 from brindle.llm.labelled import fold, sample, sigmoid, temperature
 
 DIM, SEEDS, SPAN, HIDDEN, VOCABULARY, BUCKETS = 128, 6, 2, 24, 20_000, 1 << 14
@@ -210,24 +211,27 @@ def _train(x: np.ndarray, y: np.ndarray, rng, steps: int = 1500, rate: float = 0
     return params
 
 
-def scored(docs: DataFrame, model: Model | None, carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the carried columns and _score (0 to 1) of each row of docs (doc_id, text)."""
+def scored(docs: DataFrame, model: Model | None, carry: tuple[str, ...] = (), name: str = "_score") -> DataFrame:
+    """doc_id, the carried columns and `name`, the score (0 to 1), of each row of docs (doc_id, text)."""
     bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # VOCABULARY and BUCKETS rows: fixed size
-    kept = list(dict.fromkeys(["doc_id", *carry]))
+    kept, text = list(dict.fromkeys(["doc_id", *carry])), unused(docs, "_text")
+
+    def forget() -> None:
+        if sent.value:
+            sent.value.forget()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        if m:
-            take_turn(("quality", id(m)), m.forget)
+        take_turn("quality")
         for batch in batches:
-            texts = [t or "" for t in column(batch, "_text")]
+            texts = [t or "" for t in column(batch, text)]
             s = pa.array(m.scores(texts) if m else np.zeros(len(texts)), pa.float64())
             own = [batch.column(batch.schema.get_field_index(c)) for c in kept]
-            yield pa.RecordBatch.from_arrays([*own, s], names=[*kept, "_score"])
+            yield pa.RecordBatch.from_arrays([*own, s], names=[*kept, name])
 
-    schema = StructType([*(docs.schema[c] for c in kept), StructField("_score", DoubleType())])
-    return docs.select(*kept, F.col("text").cast("string").alias("_text")).mapInArrow(tidy(run), schema)
+    schema = StructType([*(docs.schema[c] for c in kept), StructField(name, DoubleType())])
+    return docs.select(*kept, F.col("text").cast("string").alias(text)).mapInArrow(tidy(run, forget), schema)
 
 
 def fit_on(docs: DataFrame, labels: DataFrame, folds: int = 3, held_out: int = 1) -> Model | None:

@@ -27,8 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from brindle.llm.common import bounded_batches, column, pieces, take_turn, tidy
+from brindle.llm.common import KEPT_BYTES, bounded_batches, column, pieces, take_turn, tidy, unused
 from brindle.llm.labelled import fold, sample, sigmoid, temperature
 
 BUCKETS, DIM, WINDOW, ROUNDS, EPOCHS = 1 << 17, 12, 5, 3, 12
@@ -91,7 +92,7 @@ class Model:
             for k in places:
                 got[k] = made[words[k]]
             if len(self.known) + len(made) <= keep:
-                self.known |= made
+                self.known |= {w: x for w, x in made.items() if len(w) <= KEPT_BYTES}
         return np.array(got)
 
     def windows(self, words: list[bytes]) -> np.ndarray:
@@ -194,28 +195,29 @@ def _train(windows, emb, out, bias, rng, rate: float = 0.5, batch: int = 64):
     return emb, out, bias
 
 
-def scored(docs: DataFrame, model: Model | None, carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the carried columns and score (0 to 1) of each row of docs (doc_id, text)."""
+def scored(docs: DataFrame, model: Model | None, carry: tuple[str, ...] = (), name: str = "_score") -> DataFrame:
+    """doc_id, the carried columns and `name`, the score (0 to 1), of each row of docs (doc_id, text)."""
     bounded_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS doubles: fixed size
     kept = list(dict.fromkeys(["doc_id", *carry]))
-    text = "text" if "text" in kept else "_text"  # a carried text travels once
+    text = "text" if "text" in kept else unused(docs, "_text")  # a carried text travels once
+
+    def forget() -> None:
+        if sent.value:
+            sent.value.known.clear()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        if m:
-            take_turn(("toxicity", id(m)), m.known.clear)
+        take_turn("toxicity")
         for batch in batches:
             texts = [t or "" for t in column(batch, text)]
             s = pa.array(m.scores(texts) if m else [0.0] * len(texts), pa.float64())
             own = [batch.column(batch.schema.get_field_index(c)) for c in kept]
-            yield pa.RecordBatch.from_arrays([*own, s], names=[*kept, "_score"])
-
-    from pyspark.sql.types import DoubleType, StructField, StructType
+            yield pa.RecordBatch.from_arrays([*own, s], names=[*kept, name])
 
-    schema = StructType([*(docs.schema[c] for c in kept), StructField("_score", DoubleType())])
-    sent_columns = kept if text == "text" else [*kept, F.col("text").cast("string").alias("_text")]
-    return docs.select(*sent_columns).mapInArrow(tidy(run), schema)
+    schema = StructType([*(docs.schema[c] for c in kept), StructField(name, DoubleType())])
+    sent_columns = kept if text == "text" else [*kept, F.col("text").cast("string").alias(text)]
+    return docs.select(*sent_columns).mapInArrow(tidy(run, forget), schema)
 
 
 def fit_on(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0) -> Model | None:

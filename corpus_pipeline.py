@@ -12,14 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brindle.llm import decontaminate, ngram_join, source_mix, token_records, toxicity
-from brindle.llm.common import stored
+from brindle.llm.common import stored, unused
 from brindle.llm.queries import word_bpe
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity is below one half. The model learns from docs themselves, by the labels of op9's training folds."""
     model = toxicity.fit_on(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.scored(docs, model, tuple(docs.columns)).where(F.col("_score") < 0.5).select(*docs.columns)
+    score = unused(docs, "_score")
+    return toxicity.scored(docs, model, tuple(docs.columns), score).where(F.col(score) < 0.5).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

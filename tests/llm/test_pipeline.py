@@ -72,6 +72,16 @@ def test_odd_rows(spark, sf_dir, odd):
         assert stage(spark, docs.limit(0), sf_dir).count() == 0
 
 
+def test_clashing_columns(spark, sf_dir):
+    """Columns of any name pass through every stage."""
+    names = ["_score", "_text", "_bad", "_bad_of", "_gone", "_gone_of", "_of", "_copy", "_plan_source", "size", "target", "u", "root"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("*", *(f"doc_id as {c}" for c in names))
+    for _, stage in cp.STAGES[:-1]:
+        got = stage(spark, docs, sf_dir)
+        assert got.columns == docs.columns and all(r[0] == r["u"] == r["_bad"] for r in got.select("doc_id", *names).collect())
+    assert cp.write_tokens(spark, docs, sf_dir).count() == docs.count()
+
+
 def test_registered():
     import __spark_entry__
 
