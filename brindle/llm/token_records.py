@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import os
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -29,10 +30,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brindle.llm.common import bounded_batches, column, pieces, scratch, take_turn, tidy
+from brindle.llm.common import KEPT_BYTES, bounded_batches, column, pieces, scratch, take_turn, tidy
 
 MAGIC = b"BRNDLIX1"
 _HEAD = "<BBq"
+#: Of token files that a task reads back, where there are more than tasks can run at once.
+READ_BYTES = 64 << 20
 MANIFEST = "shard string, n_docs long, n_tokens long, n_bytes long"
 
 
@@ -58,6 +61,13 @@ def unframe(data: memoryview) -> tuple[memoryview, int]:
     return payload, n + 16
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with scheme and authority, as Spark resolves it: workers' own default must not decide where a file goes."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(conf).makeQualified(where).toString()
+
+
 def _fs(uri: str) -> tuple[pafs.FileSystem, str]:
     if uri.startswith("file:"):
         uri = "/" + uri[5:].lstrip("/")
@@ -69,12 +79,12 @@ class Encoder:
 
     Where the tokenizer drops white space before it looks for merges, no token crosses ASCII white space, and
     a text's ids are those of its words one after another; then each distinct word is encoded once. A word's
-    trailing ASCII punctuation is a run of its own behind a letter or number, and case falls away, so what is
-    encoded and kept is the stem. The first `keep` distinct words and a third as many stems stay (memory is bounded); others
-    are encoded again in each text. Any other tokenizer gets whole texts.
+    trailing ASCII punctuation is a run of its own behind what is a letter or number in normal form, and case falls away, so what is
+    encoded and kept is the stem. The first `keep` distinct words of KEPT_BYTES at most and a third as many stems stay (memory
+    is bounded); others are encoded again in each text. Any other tokenizer gets whole texts.
     """
 
-    def __init__(self, path: str, keep: int = 450_000):
+    def __init__(self, path: str, keep: int = 300_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -110,7 +120,7 @@ class Encoder:
                     for k in places:
                         ids[k] = made[words[k]]
                     if len(self.known) + len(made) <= self.keep:
-                        self.known |= made
+                        self.known |= {w: x for w, x in made.items() if len(w) <= KEPT_BYTES}
                 parts.append(b"".join(ids))
             yield b"".join(parts)
 
@@ -122,7 +132,7 @@ class Encoder:
         for key in words:
             w = key.decode()
             stem = w.rstrip(_PUNCTUATION)
-            if not stem or not stem[-1].isalnum() or "<|" in w:
+            if not stem or not _stays(stem[-1]) or "<|" in w:
                 stem = w
             tail = w[len(stem) :]
             split[key] = (stem.lower() if stem.isascii() else stem), tail
@@ -131,8 +141,9 @@ class Encoder:
         if new:
             stems |= self._stems(list(new))
         out = {w: stems[a] + stems[b] if b else stems[a] for w, (a, b) in split.items()}
-        if len(stems) > self.keep // 3:
-            for x in new:
+        full = len(stems) > self.keep // 3
+        for x in new:
+            if full or len(x) > KEPT_BYTES:
                 del stems[x]
         return out
 
@@ -154,10 +165,18 @@ class Encoder:
 _PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
+def _stays(last: str) -> bool:
+    """Whether a letter or number still is one at its end when normalised: of some (a capital I with a dot, letters that
+    are taken apart) a mark is left last, which would be one run with punctuation behind it."""
+    if last.isascii():
+        return last.isalnum()
+    return unicodedata.category(unicodedata.normalize("NFC", last).lower()[-1])[0] in "LN" and last.isalnum()
+
+
 _encoders: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder(path: str, keep: int = 450_000) -> Encoder:
+def encoder(path: str, keep: int = 300_000) -> Encoder:
     """One a worker: workers are used again, and with them what they know."""
     take_turn("tokens", _encoders.clear)
     if (path, keep) not in _encoders:
@@ -176,6 +195,7 @@ def write_token_records(docs: DataFrame, out_dir: str, tokenizer: str, end_id: i
     """
     spark = docs.sparkSession
     bounded_batches(spark)
+    out_dir = qualified(spark, out_dir)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, fs, base = encoder(tokenizer), *_fs(out_dir)
@@ -188,7 +208,7 @@ def write_token_records(docs: DataFrame, out_dir: str, tokenizer: str, end_id: i
 
         def flush() -> None:
             nonlocal data, index, tokens, at
-            name = f"part-{part:06d}-{len(done):06d}"
+            name = f"part-{part:08d}-{len(done):06d}"
             body = (("rec", data), ("idx", [MAGIC, np.asarray(index, "<u8").tobytes()]))
             for kind, blocks in body:
                 with fs.open_output_stream(f"{base}/.{name}.{kind}.{attempt}") as f:
@@ -253,11 +273,19 @@ def _parse(payload: memoryview) -> tuple[int | None, np.ndarray]:
 def read_token_records(spark: SparkSession, out_dir: str, ids: bool = True) -> DataFrame:
     """The records below out_dir: doc_id, start (ids before it), n_tokens, ids_crc32 (of the ids as u32), and ids where asked for.
 
-    Each task reads whole files named by the manifest and checks both checksums of each record. What comes
-    before a file is a running sum over the manifest, which has a row for each file, not for each document.
+    Each task reads whole files named by the manifest, READ_BYTES of them at a time or more, and checks both checksums of each record.
+    What comes before a file are the sums of the parts (a writing task's files) before its own, and of the files before it
+    in its part: no window runs over more rows than there were writing tasks, or files of one.
     """
-    shards = spark.read.schema(MANIFEST).parquet(f"{out_dir}/manifest")
-    before = F.coalesce(F.sum("n_tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    out_dir = qualified(spark, out_dir)
+    shards = spark.read.schema(MANIFEST).parquet(f"{out_dir}/manifest").withColumn("part", F.substring_index("shard", "-", 2))
+    earlier = lambda w: F.coalesce(F.sum("n_tokens").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = shards.groupBy("part").agg(F.sum("n_tokens").alias("n_tokens")).select(F.col("part").alias("_part"), earlier(Window.orderBy("part")).alias("_before"))
+    shards = shards.withColumn("_within", earlier(Window.partitionBy("part").orderBy("shard"))).join(parts, F.col("part") == F.col("_part"))
+    before = F.col("_before") + F.col("_within")
+    # AQE would put the manifest's few bytes into one task: the number of tasks goes by the bytes of the files it names
+    n, size = shards.agg(F.count("*"), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
+    tasks = max(1, min(n, max(spark.sparkContext.defaultParallelism, -(-size // READ_BYTES))))
     names = ["doc_id", "start", "n_tokens", "ids_crc32", "shard", "record"] + ["ids"] * ids
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64()] + [pa.list_(pa.int64())] * ids
 
@@ -275,7 +303,7 @@ def read_token_records(spark: SparkSession, out_dir: str, ids: bool = True) -> D
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=names)
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long, shard string, record long" + ", ids array<long>" * ids
-    return shards.select("shard", before.alias("before")).repartition("shard").mapInArrow(tidy(read), schema)
+    return shards.select("shard", before.alias("before")).repartition(tasks, "shard").mapInArrow(tidy(read), schema)
 
 
 def token_records(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:

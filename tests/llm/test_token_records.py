@@ -1,3 +1,5 @@
+import sys
+import unicodedata
 import zlib
 
 import numpy as np
@@ -8,7 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from brindle.llm import token_records as tr
-from brindle.llm.common import scratch
+from brindle.llm.common import KEPT_BYTES, scratch
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 WHOLE = Tokenizer.from_file(PATH)
@@ -30,6 +32,35 @@ def test_word_by_word_equals_whole_text(text):
     assert got == WHOLE.encode(text, add_special_tokens=False).ids
 
 
+def test_every_letter_and_number_before_punctuation():
+    """Each alphanumeric code point (of ideographs and Hangul syllables, which behave alike, with two marks) before each mark of punctuation."""
+    every = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000 and chr(c).isalnum()]
+    alike = [c for c in every if unicodedata.name(c, "").startswith(("CJK UNIFIED", "HANGUL SYLLABLE", "TANGUT", "CUNEIFORM", "EGYPTIAN", "NUSHU", "KHITAN", "BAMUM", "YI SYLLABLE"))]
+    rest = sorted(set(every) - set(alike))
+    enc = tr.Encoder(PATH, keep=1_000_000)
+    for mark in tr._PUNCTUATION:
+        text = " ".join(c + mark for c in (rest + alike if mark in ".)" else rest))
+        assert np.frombuffer(next(enc.encode([text])), "<u2").tolist() == WHOLE.encode(text, add_special_tokens=False).ids, mark
+
+
+@pytest.mark.parametrize("text", ["DENİZLİ, İSTANBUL. İ.", "क़) ड़. ग़! য়. ড়,", "שׁ) בּ. וֹ, ﭏ.", "é. É, ñ) ß! ﬁ."])
+def test_words_whose_letters_decompose(text):
+    assert np.frombuffer(next(tr.encoder(PATH).encode([text])), "<u2").tolist() == WHOLE.encode(text, add_special_tokens=False).ids
+
+
+def test_long_words_are_not_kept():
+    enc = tr.Encoder(PATH)
+    list(enc.encode(["x" * 5000 + ". short"]))
+    assert set(enc.known) == {b"short"} and max(map(len, enc.stems)) <= KEPT_BYTES
+
+
+def test_read_back_is_not_one_task(spark):
+    docs = spark.range(3000).selectExpr("id as doc_id", "repeat('word ', 50) as text")
+    out = scratch(spark, "t")
+    tr.write_token_records(docs, out, PATH, shard_bytes=20_000)
+    assert tr.read_token_records(spark, out, ids=False).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
 def test_bounded_memory_changes_nothing():
     texts = ["a b c d e f g a b", "h. I j! a c,"]
     few, many = tr.Encoder(PATH, keep=4), tr.Encoder(PATH)
