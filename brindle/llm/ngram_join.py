@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from brindle.llm.common import bounded_batches, column, pieces, settle, stored, take_turn, tidy
+from brindle.llm.common import KEPT_BYTES, bounded_batches, column, pieces, settle, stored, take_turn, tidy, unused
 from brindle.llm.components import components
 from brindle.llm.prefix_tree import degrees, links
 
@@ -53,7 +53,7 @@ def _finish(h: np.ndarray) -> np.ndarray:
 class Shingler:
     """Sets of hashed n-word shingles; hashes of words met before are kept, to a bound."""
 
-    def __init__(self, n: int, keep: int = 200_000):
+    def __init__(self, n: int, keep: int = 100_000):
         self.n, self.keep, self.known = n, keep, {}
 
     def words(self, text: str) -> np.ndarray:
@@ -65,7 +65,7 @@ class Shingler:
                 made = {w: xxhash.xxh64_intdigest(w) for w, k in zip(words, ids, strict=True) if k is None}
                 ids = [made[w] if k is None else k for w, k in zip(words, ids, strict=True)]
                 if len(self.known) + len(made) <= self.keep:
-                    self.known |= made
+                    self.known |= {w: x for w, x in made.items() if len(w) <= KEPT_BYTES}
             out.append(np.array(ids, np.uint64))
         return np.concatenate(out) if len(out) > 1 else out[0]
 
@@ -82,17 +82,6 @@ class Shingler:
         return np.unique(_finish(h))
 
 
-_shinglers: dict[int, Shingler] = {}
-
-
-def shingler(n: int) -> Shingler:
-    """One a worker."""
-    take_turn("shingles", _shinglers.clear)
-    if n not in _shinglers:
-        _shinglers[n] = Shingler(n)
-    return _shinglers[n]
-
-
 def fingerprint(s: np.ndarray) -> tuple[int, int]:
     d = xxhash.xxh128_digest(s.tobytes())
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
@@ -113,26 +102,30 @@ def _batch(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=names)
 
 
-def _blocks(nodes: DataFrame, tokens: str, most: int) -> DataFrame:
-    """Rows of nodes (hi, lo, n, <tokens>) packed: block, hi, lo, n, lens (arrays), tokens (one after another)."""
+def _blocks(texts: DataFrame, n: int, most: int) -> DataFrame:
+    """Sets of the rows of texts (text), packed: block, hi, lo, n, lens (arrays), tokens (one after another)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, count, held, size = TaskContext.get().partitionId(), 0, [], 0
+        take_turn("shingles")
+        make, part, count, held, size = Shingler(n), TaskContext.get().partitionId(), 0, [], 0
 
         def row():
-            return _batch([((part << 24) + count, [h[0] for h in held], [h[1] for h in held], [h[2] for h in held], [len(h[3]) for h in held], b"".join(h[3] for h in held))], _BLOCK_NAMES, _BLOCK_KINDS())
+            return _batch([((part << 24) + count, [h[0] for h in held], [h[1] for h in held], [h[2] for h in held], [h[2] for h in held], b"".join(h[3] for h in held))], _BLOCK_NAMES, _BLOCK_KINDS())
 
         for batch in batches:
-            for h in zip(*(column(batch, c) for c in ("hi", "lo", "n", tokens)), strict=True):
-                held.append(h)
-                size += len(h[3])
-                if size >= 8 * most or len(held) == NODES:
+            for text in column(batch, "text"):
+                s = make.set_of(text)
+                if not len(s):
+                    continue
+                held.append((*fingerprint(s), len(s), s.astype("<u8").tobytes()))
+                size += len(s)
+                if size >= most or len(held) == NODES:
                     yield row()
                     count, held, size = count + 1, [], 0
         if held:
             yield row()
 
-    return nodes.select("hi", "lo", "n", tokens).mapInArrow(tidy(run), "block long, hi array<long>, lo array<long>, n array<long>, lens array<long>, tokens binary")
+    return texts.select("text").mapInArrow(tidy(run), "block long, hi array<long>, lo array<long>, n array<long>, lens array<long>, tokens binary")
 
 
 _BLOCK_NAMES = ["block", "hi", "lo", "n", "lens", "tokens"]
@@ -144,7 +137,7 @@ def _BLOCK_KINDS():
 
 def _cuts(tokens: np.ndarray, buckets: int, bits: int) -> Iterator[tuple[int, int, int]]:
     """bucket, begin, end over ascending tokens: ascending tokens fall into ascending buckets."""
-    b = ((tokens >> np.uint64(bits - 16)).astype(np.int64) * buckets) >> 16
+    b = ((tokens >> np.uint64(bits - 31)).astype(np.int64) * buckets) >> 31  # fewer than 2**31 buckets
     cuts = np.concatenate(([0], np.flatnonzero(np.diff(b)) + 1, [len(tokens)]))
     return ((int(b[x]), int(x), int(y)) for x, y in zip(cuts, cuts[1:]) if y > x)
 
@@ -253,12 +246,13 @@ def joined(docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, chunk: in
     """
     tagged = _tagged(docs, n, num, den, chunk, block, counted)
     more = ["n_links"] if counted else []
-    by_root = tagged.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("m"))
-    by_set = tagged.where("root is null and hi is not null").groupBy("hi", "lo").agg(F.min("doc_id").alias("m"))
-    linked = tagged.where("root is not null").join(by_root, "root").select("doc_id", "n", "hi", "lo", "m", *more)
-    alone = tagged.where("root is null and hi is not null").join(by_set, ["hi", "lo"]).select("doc_id", "n", "hi", "lo", "m", *more)
-    blank = tagged.where("hi is null").select("doc_id", "n", "hi", "lo", F.col("doc_id").alias("m"), *more)
-    return linked.unionAll(alone).unionAll(blank).select("doc_id", F.col("n").alias("n_shingles"), F.col("m").alias("component_id"), "hi", "lo", *more)
+    # sets that stand alone need no join; of the others a row for each component, or set that is repeated, comes to its documents
+    of_set = tagged.where("hi is not null").select(F.coalesce("root", "hi").alias("_a"), F.when(F.col("root").isNull(), F.col("lo")).alias("_b"), "doc_id")
+    least = settle(of_set.groupBy("_a", "_b").agg(F.min("doc_id").alias("_m"), F.count("*").alias("_rows")).where("_rows > 1").drop("_rows"))
+    least = F.broadcast(least) if least.count() <= BROADCAST_ROWS else least
+    own = tagged.withColumns({"a": F.coalesce("root", "hi"), "b": F.when(F.col("root").isNull(), F.col("lo"))})
+    found = own.join(least, (F.col("a") == F.col("_a")) & F.col("b").eqNullSafe(F.col("_b")), "left")
+    return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("_m", "doc_id").alias("component_id"), "hi", "lo", *more)
 
 
 def first_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, chunk: int = CHUNK, block: int = BLOCK) -> DataFrame:
@@ -275,16 +269,18 @@ def first_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, ch
     marked = rows.join(least.withColumnsRenamed({"a": "_a", "b": "_b"}), (F.col("a") == F.col("_a")) & F.col("b").eqNullSafe(F.col("_b")))
     marked = settle(marked.select("row.doc_id", "row.of", (F.col("row") == F.col("least")).alias("stays"), "many").where("not stays or many > 1"))
 
+    gone, of = unused(docs, "_gone"), unused(docs, "_of")
+
     def without(rows: DataFrame, which: DataFrame, how: str) -> DataFrame:
-        which = which.select(F.col("doc_id").alias("_gone"), F.col("of").alias("_gone_of")).distinct()
+        which = which.select(F.col("doc_id").alias(gone), F.col("of").alias(of)).distinct()
         few = which.count() <= BROADCAST_ROWS
-        return rows.join(F.broadcast(which) if few else which, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")) & (F.xxhash64(F.col("text").cast("string")) == F.col("_gone_of")), how)
+        return rows.join(F.broadcast(which) if few else which, F.col("doc_id").cast("long").eqNullSafe(F.col(gone)) & (F.xxhash64(F.col("text").cast("string")) == F.col(of)), how)
 
     kept = without(docs, marked, "left_anti")
     repeated = marked.where("stays")
     if not repeated.isEmpty():
-        again = without(docs, repeated, "left_semi").withColumn("_of", F.xxhash64(F.col("text").cast("string")))
-        kept = kept.unionByName(again.dropDuplicates(["doc_id", "_of"]).drop("_of"))
+        again = without(docs, repeated, "left_semi").withColumn(of, F.xxhash64(F.col("text").cast("string")))
+        kept = kept.unionByName(again.dropDuplicates(["doc_id", of]).drop(of))
     return kept
 
 
@@ -295,7 +291,8 @@ def _tagged(docs: DataFrame, n: int, num: int, den: int, chunk: int, block: int,
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = shingler(n)
+        take_turn("shingles")
+        make = Shingler(n)
         number, place, size = TaskContext.get().partitionId() << 32, 0, 0
         for batch in batches:
             out = []
@@ -327,18 +324,8 @@ def _tagged(docs: DataFrame, n: int, num: int, den: int, chunk: int, block: int,
     first = settle(first.withColumnRenamed("doc_id", "_d").withColumnRenamed("of", "_o"))
     again = rows.withColumn("of", F.xxhash64("text")).join(hint(first), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("of") == F.col("_o")), "left_semi").select("text")
 
-    def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make = shingler(n)
-        for batch in batches:
-            out = []
-            for text in column(batch, "text"):
-                s = make.set_of(text)
-                if len(s):
-                    out.append((*fingerprint(s), len(s), s.astype("<u8").tobytes()))
-            yield _batch(out, ["hi", "lo", "n", "tokens"], [pa.int64()] * 3 + [pa.binary()])
-
-    whole = again.mapInArrow(tidy(full), "hi long, lo long, n long, tokens binary")  # a set twice, from rows repeated as a whole, does no harm
-    blocks = stored(_blocks(whole, "tokens", block), "blocks")
+    # (a set twice, from rows repeated as a whole, does no harm)
+    blocks = stored(_blocks(again, n, block), "blocks")
     total = blocks.agg(F.coalesce(F.sum(F.length("tokens")), F.lit(0))).first()[0] // 8
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -500,6 +487,6 @@ l AS MATERIALIZED (
   SELECT a, b FROM pairs JOIN n x ON x.k = a JOIN n y ON y.k = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
 e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r AS (SELECT k AS a, k AS b FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
-SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(o.doc_id) AS component_id
-FROM d LEFT JOIN n ON n.k = d.k JOIN r ON r.a = d.k JOIN d o ON o.k = r.b GROUP BY d.k, d.doc_id
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(o.doc_id) AS component_id, coalesce(any_value(c.c), 0)::BIGINT AS n_links
+FROM d LEFT JOIN n ON n.k = d.k LEFT JOIN (SELECT a, count(*) AS c FROM e GROUP BY a) c ON c.a = d.k JOIN r ON r.a = d.k JOIN d o ON o.k = r.b GROUP BY d.k, d.doc_id
 """

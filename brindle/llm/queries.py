@@ -25,7 +25,7 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.joined(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+    return ngram_join.joined(documents(spark, sf_dir), counted=True).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 def op3_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -96,7 +96,10 @@ def test_sql():
     rows = corpus(3)
     con = duckdb.connect()
     con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]).astype({"doc_id": "Int64"}))
-    assert sorted(con.execute(nj.SQL).fetchall(), key=str) == brute(rows)
+    sql = con.execute(nj.SQL).fetchall()
+    assert sorted((r[:3] for r in sql), key=str) == brute(rows)
+    sets = brute_sets([t for _, t in rows])
+    assert sorted(((r[0], r[1], r[3]) for r in sql), key=str) == sorted(((d, len(s), c) for (d, _), s, c in zip(rows, sets, brute_degrees(sets, 85, 100))), key=str)
 
 
 def test_empty(spark):
