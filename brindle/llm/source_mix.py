@@ -1,111 +1,170 @@
 """Mixing sources to target weights by entropy balancing.
 
-Of all document rates r that give each source s its token target T_s, the dual picks those nearest to rate 1
-in token-weighted relative entropy:
+Of all document rates r between 0 and `most` that give each source s its token target T_s, those are taken that are nearest to rate 1 in
+relative entropy, a document counting by the root of its size (between one document, one voice, and one word, one voice):
 
-    minimise  sum_i size_i * (r_i * ln r_i - r_i + 1)   subject to  sum_{i in s} size_i * r_i = T_s
+    minimise  sum_i sqrt(size_i) * (r_i ln r_i - r_i + 1)   subject to  sum_{i in s} size_i r_i = T_s
 
-whose solution is exponentially tilted, r_i = exp(lambda_s). Newton's method runs on the convex dual
-D(lambda) = sum_s (S_s * exp(lambda_s) - lambda_s * T_s). Its gradient and Hessian need only S_s, the size of each source, so the
-documents are summed once, in parallel and before any shuffle (a hot source is one row for each task), and
-the steps are taken by every source's row at once.
+so rates are exponentially tilted, r_i = min(most, exp(lambda_s * sqrt(size_i))): a source that has to shrink gives up long documents
+first, and one that has to grow repeats them first. Newton's method finds lambda on the convex dual: each step sums
+size_i r_i (gradient) and size_i^1.5 r_i (Hessian, of documents below the cap) over the documents and moves all sources at once. Documents of one source and
+size have one rate, so the steps run over the counts of (source, size), made once with map-side sums. A step that leaves the
+bracket of lambda is replaced by its middle; the steps end when all gradients are within TOLERANCE of their targets. The sums are of decimals, so
+their order does not matter.
 
-Rates become copies: each document has floor(r), and some have one more. Which: those whose hash of doc_id lies
-below a level of their source, at which the words so taken come nearest the target. The level is found through a
-histogram of the hashes (4096 bins a source) and, within the one bin that holds it, by a running sum; then, three
-times, the one document whose size best makes up for the rest is added or taken out. All sums are of integers, so reruns agree.
+Rates become copies: each document has floor(r), and some have one more. Which: those whose key, a hash of doc_id over the
+fraction of r, lies below a level of their source, at which the words so taken come nearest the target (the level would be 1
+on average). The level is found digit by digit through histograms of the keys (BINS a source and digit); then, three times, the
+one key whose size best makes up for the rest is added or taken out. All of this is in integers, so reruns agree.
 
 Defined cases: null or empty text has size 0, takes 0 words and counts in its source; source null is a source of its
-own, last in order, whose weight follows; a source without words has target 0; rows of equal doc_id
+own, last in order, whose weight follows; a source without words has target 0; rows of equal doc_id and size
 get the same number of copies; no rows, no result. Other columns are not read.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brindle.llm.common import n_words, settle
+from brindle.llm.common import n_words, settle, unused
 
-BINS = 4096
-STEPS = 60
+TOLERANCE, STEPS, HALVED = 1e-11, 120, 30
+UNIT = 1_000_000_000  # a fraction of a rate is a number of billionths
+HASH_BITS, DIGIT, DIGITS = 30, 12, 3
+BINS = 1 << DIGIT
+LAST_KEY = (1 << DIGIT * DIGITS) - 1
 BROADCAST_SOURCES = 100_000  # some 10 MB
 FLIPS = 3
 
 
+def ordered(df: DataFrame, order: list[Column], **sums: Column) -> DataFrame:
+    """df with, for each of sums, what it comes to over the rows before a row in the given order (which has no ties).
+
+    In two levels, the ranges of a range partitioning and the rows of a range, so no task has all rows.
+    """
+    df = settle(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    before = lambda c, w: F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = df.groupBy("_range").agg(*(F.sum(c).alias(n) for n, c in sums.items()))
+    ranges = ranges.select(F.col("_range").alias("_of"), *(before(F.col(n), Window.orderBy("_range")).alias(f"_{n}") for n in sums))
+    within = Window.partitionBy("_range").orderBy(*order)
+    out = df.withColumns({n: before(c, within) for n, c in sums.items()}).join(ranges, F.col("_range") == F.col("_of"))
+    return out.withColumns({n: F.col(n) + F.col(f"_{n}") for n in sums}).drop("_range", "_of", *(f"_{n}" for n in sums))
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
-    """Of source, source_size (a row for each source): target.
+    """Of source, source_size (a row for each source): place (0, 1, ... by code point, null last), target.
 
-    Sources by code point, null last, weigh `weights`, repeating, and share all words; a target stops at `most`
+    Sources weigh `weights`, repeating, and share all words; a target stops at `most`
     times its source's size, the excess going to the others by weight until none is above. With c = most * size / weight
     in ascending order, a source stops exactly if c is no more than what is left for a unit of weight, and
-    this holds for a prefix of that order: two windows over the few rows of sources find it without rounds.
+    this holds for a prefix of that order: sums over what comes before find it without rounds.
+    """
+    place = [F.col("source").isNull(), F.col("source").cast("binary")]
+    known = ordered(sizes, place, place=F.lit(1).cast("long"))
+    known = settle(known.withColumn("weight", F.element_at(F.array(*map(F.lit, weights)), (F.col("place") % len(weights) + 1).cast("int")).cast("long")))
+    words, weight = known.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0))).first()
+    known = ordered(known, [F.col("source_size") / F.col("weight"), F.col("place")], size_before=F.col("source_size"), weight_before=F.col("weight"))
+    known = settle(known.withColumn("_stops", F.col("source_size") * most * (F.lit(weight) - F.col("weight_before")) <= (F.lit(words) - F.col("size_before") * most) * F.col("weight")))
+    gone, share = known.agg(F.coalesce(F.sum(F.when(F.col("_stops"), F.col("source_size") * most)), F.lit(0)), F.sum(F.when(~F.col("_stops"), F.col("weight")))).first()
+    even = F.col("weight") * (words - gone) / F.lit(share or 1)
+    return known.select("place", "source", "source_size", F.when(F.col("_stops"), (F.col("source_size") * most).cast("double")).otherwise(even).alias("target"))
+
+
+def rate(tilt: Column, size: Column, most: int) -> Column:
+    """A document's rate; null without words or tilt."""
+    return F.when(size > 0, F.least(F.lit(float(most)), F.exp(tilt * F.sqrt(size))))
+
+
+def balanced(counts: DataFrame, plan: DataFrame, most: int) -> DataFrame:
+    """plan with tilt (lambda) and off (what the gradient is short of 0) for each source; counts (place, size, n) are its documents.
+
+    Newton's steps on the dual; tilt is null where nothing can or need be taken.
     """
-    n = len(weights)
-    place = F.row_number().over(Window.orderBy(F.col("source").isNull(), F.col("source").cast("binary")))
-    weight = F.element_at(F.array(*map(F.lit, weights)), ((place - 1) % n + 1).cast("int"))
-    order = Window.orderBy(F.col("source_size") / F.col("weight"), F.col("source").isNull(), F.col("source").cast("binary"))
-    before, after, every = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing), Window.partitionBy()
-    left = F.sum("source_size").over(every) - F.coalesce(F.sum(F.col("source_size") * most).over(before), F.lit(0))
-    known = sizes.withColumn("weight", weight).withColumns({"_left": left, "_share": F.sum("weight").over(after)})
-    known = known.withColumn("_stops", F.col("source_size") * most * F.col("_share") <= F.col("_left") * F.col("weight"))
-    rest = F.sum("source_size").over(every) - F.sum(F.when(F.col("_stops"), F.col("source_size") * most).otherwise(0)).over(every)
-    share = F.col("weight") * rest / F.sum(F.when(~F.col("_stops"), F.col("weight"))).over(every)
-    return known.select("source", "source_size", F.when(F.col("_stops"), (F.col("source_size") * most).cast("double")).otherwise(share).alias("target"))
-
-
-def tilt(size: Column, target: Column) -> Column:
-    """lambda by Newton's steps on the dual, from 0: lambda - (S e^lambda - T) / (S e^lambda). Null where nothing can or need be taken."""
-    ratio = target / size
-    step = lambda at, _: at - F.lit(1.0) + ratio * F.exp(-at)
-    return F.when((size > 0) & (target > 0), F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), F.lit(0.0), step))
+    few = F.broadcast if plan.count() <= BROADCAST_SOURCES else (lambda x: x)
+    counts = counts.where("size > 0")
+    exact = lambda c: F.sum(c.cast("decimal(38,9)")).cast("double")
+    mean = counts.groupBy("place").agg((exact(F.col("n") * F.col("size") * F.sqrt("size")) / F.sum(F.col("n") * F.col("size"))).alias("mean"))
+    log, top = F.log(F.col("target") / F.col("source_size")), F.lit(math.log(most))
+    # documents have a word or more, so lambda lies between these two
+    state = plan.where((F.col("source_size") > 0) & (F.col("target") > 0)).join(mean, "place")
+    state = state.select("place", "source_size", "target", F.least(F.lit(0.0), log).alias("low"), top.alias("high"), F.when(F.col("target") >= F.col("source_size") * most, top).otherwise(F.least(top, log / F.col("mean"))).alias("tilt"), F.lit(0.0).alias("off"))
+    state = settle(state)
+    for step in range(STEPS):
+        tilted = counts.join(few(state.select("place", "tilt")), "place").withColumn("words", F.col("n") * F.col("size") * rate(F.col("tilt"), F.col("size"), most))
+        below = F.when(F.exp(F.col("tilt") * F.sqrt("size")) < most, F.col("words") * F.sqrt("size")).otherwise(0.0)
+        sums = tilted.groupBy("place").agg(exact(F.col("words")).alias("words"), exact(below).alias("slope"))
+        now = state.drop("off").join(sums, "place").withColumn("off", F.col("words") - F.col("target"))
+        now = now.withColumns({"low": F.when(F.col("off") < 0, F.col("tilt")).otherwise(F.col("low")), "high": F.when(F.col("off") > 0, F.col("tilt")).otherwise(F.col("high"))})
+        newton, middle = F.col("tilt") - F.col("off") / F.col("slope"), (F.col("low") + F.col("high")) / 2
+        inside = (F.col("slope") > 0) & (newton > F.col("low")) & (newton < F.col("high")) & F.lit(step < HALVED)
+        done = (F.abs("off") <= F.col("target") * TOLERANCE + 1e-6) | (F.col("high") - F.col("low") < 1e-14)
+        state = settle(now.select("place", "source_size", "target", "low", "high", F.when(done, F.col("tilt")).when(inside, newton).otherwise(middle).alias("tilt"), "off", done.alias("done")))
+        if state.where("not done").isEmpty():
+            break
+        state = state.drop("done")
+    return plan.join(few(state.select(F.col("place").alias("_p"), "tilt", "off")), F.col("place") == F.col("_p"), "left").drop("_p")
+
+
+def _drawn(df: DataFrame, most: int) -> DataFrame:
+    """Rows with size, hash and their source's tilt: base (whole copies), part (billionths of a further one), key (what the level is held against)."""
+    r = F.round(rate(F.col("tilt"), F.col("size"), most), 9)
+    df = df.withColumn("base", F.coalesce(F.floor(r), F.lit(0)).cast("long"))
+    df = df.withColumn("part", F.coalesce(F.round((r - F.col("base")) * UNIT), F.lit(0)).cast("long"))
+    return df.withColumn("key", F.when(F.col("part") > 0, F.least(F.lit(LAST_KEY), F.expr(f"hash * {UNIT} div part"))).cast("long"))
 
 
 def _plan(sized: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
-    """source, source_size, target, base, level, flips: a row for each source of sized (source, size, u)."""
-    per_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    plan = targets(per_source, weights, most).withColumn("rate", F.coalesce(F.exp(tilt(F.col("source_size"), F.col("target"))), F.lit(0.0)))
-    plan = plan.withColumn("base", F.floor(F.round("rate", 9)).cast("long"))
-    plan = settle(plan.withColumn("want", F.floor(F.round(F.col("rate") * F.col("source_size") - F.col("base") * F.col("source_size"), 3) + 0.5).cast("long")))
+    """source, place, source_size, target, tilt, level, flips: a row for each source of sized (source, size, hash)."""
+    counts = settle(sized.groupBy("source", "size").agg(F.count("*").alias("n")))
+    plan = settle(targets(counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, most))
+    counts = settle(_beside(counts, plan.select("source", "place")))
+    plan = settle(balanced(counts.select("place", "size", "n"), plan, most))
 
     # a source's row comes to its documents where sources are few, so a hot source is not dealt out by its key
     few = F.broadcast if plan.count() <= BROADCAST_SOURCES else (lambda x: x)
-    open_ = sized.where("size > 0").join(few(plan.where("want > 0").select("source", "want")), _same(sized, plan)).drop(plan["source"])
-    open_ = open_.withColumn("bin", F.floor(F.col("u") / (HASHES // BINS)).cast("int"))
-    bins = open_.groupBy("source", "want", "bin").agg(F.sum("size").alias("in_bin"))
-    upto = F.sum("in_bin").over(Window.partitionBy("source").orderBy("bin"))
-    bins = bins.withColumn("upto", upto).withColumn("below", F.col("upto") - F.col("in_bin"))
-    # the bin in which the sum reaches what is wanted, and what lies below it
-    edge = bins.where("below < want and upto >= want").select("source", F.col("bin").alias("edge"), F.col("below"))
-    at_edge = open_.join(few(edge), F.col("bin").eqNullSafe(F.col("edge")) & open_["source"].eqNullSafe(edge["source"])).drop(edge["source"])
-    at_edge = at_edge.groupBy("source", "want", "below", "u").agg(F.sum("size").alias("size"))
-    run = F.col("below") + F.sum("size").over(Window.partitionBy("source").orderBy("u"))
-    at_edge = at_edge.withColumn("run", run)
-    # of the levels in this bin (and its lower end) that with the nearest sum, the lower at a tie
-    level = at_edge.groupBy("source", "want").agg(F.min(F.struct(F.abs(F.col("run") - F.col("want")).alias("off"), F.col("u"), F.col("run"))).alias("m"), F.first("below").alias("below"), F.min("u").alias("first"))
-    lower = F.col("want") - F.col("below") <= F.col("m.off")
-    level = settle(level.select("source", F.when(lower, F.col("first") - 1).otherwise(F.col("m.u")).alias("level"), (F.col("want") - F.when(lower, F.col("below")).otherwise(F.col("m.run"))).alias("rest")))
-    # then, FLIPS times, the one document that best makes up for the rest is added if words are missing, else taken out
-    level = level.withColumn("flips", F.array().cast("array<long>"))
-    taken_now = (F.col("u") <= F.col("level")) != F.array_contains("flips", F.col("u"))
+    whole = _drawn(counts.join(few(plan.select("place", "tilt")), "place").withColumn("hash", F.lit(0).cast("long")), most)
+    whole = whole.groupBy("place").agg(F.sum(F.col("n") * F.col("size") * F.col("base")).alias("held"))
+    want = F.floor(F.round(F.col("target") - F.col("held"), 3) + 0.5).cast("long")
+    wants = settle(plan.join(whole, "place").select("place", want.alias("want")).where("want > 0"))
+    open_ = _drawn(_beside(sized.where("size > 0"), plan.select("source", "place", "tilt")), most).where("part > 0")
+    open_ = settle(open_.groupBy("place", "key").agg(F.sum("size").alias("size")))
+
+    # the level: the key at which the sum in order of the keys reaches what is wanted, digit by digit
+    at = wants.select("place", "want", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("below"))
+    for digit in range(DIGITS - 1, -1, -1):
+        shift = DIGIT * digit
+        inside = open_.join(few(at), "place").where(F.shiftright("key", shift + DIGIT) == F.col("prefix"))
+        bins = inside.groupBy("place", "want", "below", F.shiftright("key", shift).alias("bin")).agg(F.sum("size").alias("in_bin"))
+        upto = F.col("below") + F.sum("in_bin").over(Window.partitionBy("place").orderBy("bin"))
+        bins = bins.withColumn("upto", upto).withColumn("under", F.col("upto") - F.col("in_bin")).where("under < want and upto >= want")
+        at = settle(bins.select("place", "want", F.col("bin").alias("prefix"), F.col("under").alias("below"), "upto"))
+        last, at = at, at.drop("upto")
+    # this key or the one below, whichever sum is nearer, the lower at a tie
+    lower = F.col("want") - F.col("below") <= F.col("upto") - F.col("want")
+    level = settle(last.select("place", (F.col("prefix") - F.when(lower, 1).otherwise(0)).alias("level"), (F.col("want") - F.when(lower, F.col("below")).otherwise(F.col("upto"))).alias("rest"), F.array().cast("array<long>").alias("flips")))
+
+    # then, FLIPS times, the one key that best makes up for the rest is added if words are missing, else taken out
+    taken_now = (F.col("key") <= F.col("level")) != F.array_contains("flips", F.col("key"))
     for _ in range(FLIPS):
-        near = open_.join(few(level.where("rest <> 0")), _same(open_, level)).drop(level["source"]).where(taken_now == (F.col("rest") < 0))
-        near = near.groupBy("source", "rest", "u").agg(F.sum("size").alias("size")).where("size < 2 * abs(rest)")
-        near = near.groupBy("source").agg(F.min(F.struct(F.abs(F.col("size") - F.abs("rest")).alias("off"), F.col("u"), F.col("size"))).alias("m"))
-        level = level.join(near, _same(level, near), "left").drop(near["source"])
-        level = settle(level.select("source", "level", F.coalesce(F.col("rest") - F.signum("rest").cast("long") * F.col("m.size"), F.col("rest")).alias("rest"), F.when(F.col("m").isNull(), F.col("flips")).otherwise(F.concat("flips", F.array("m.u"))).alias("flips")))
+        near = open_.join(few(level.where("rest <> 0")), "place").where((taken_now == (F.col("rest") < 0)) & (F.col("size") < 2 * F.abs("rest")))
+        near = near.groupBy("place").agg(F.min(F.struct(F.abs(F.col("size") - F.abs("rest")).alias("gap"), F.col("key"), F.col("size"))).alias("m"))
+        level = level.join(near, "place", "left")
+        level = settle(level.select("place", "level", F.coalesce(F.col("rest") - F.signum("rest").cast("long") * F.col("m.size"), F.col("rest")).alias("rest"), F.when(F.col("m").isNull(), F.col("flips")).otherwise(F.concat("flips", F.array("m.key"))).alias("flips")))
 
-    return settle(plan.join(level.drop("rest"), _same(plan, level), "left").drop(level["source"]).select("source", "source_size", "target", "base", "level", "flips"))
+    return settle(plan.join(level.drop("rest"), "place", "left"))
 
 
 def _copies() -> Column:
-    """Copies of a row (size, u) beside its source's plan."""
-    extra = (F.col("u") <= F.col("level")) != F.array_contains("flips", F.col("u"))
-    return F.when(F.col("size") > 0, F.col("base") + F.coalesce(extra, F.lit(False)).cast("long")).otherwise(0).cast("long")
+    """Copies of a row (base, part, key) beside its source's level."""
+    extra = (F.col("key") <= F.col("level")) != F.array_contains("flips", F.col("key"))
+    return F.col("base") + F.coalesce(extra, F.lit(False)).cast("long")
 
 
 def _sized(docs: DataFrame) -> DataFrame:
-    return settle(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), _hash().alias("u")))
+    return settle(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), _hash().alias("hash")))
 
 
 def _beside(rows: DataFrame, plan: DataFrame) -> DataFrame:
@@ -116,10 +175,10 @@ def _beside(rows: DataFrame, plan: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken of docs (doc_id, text, source)."""
+    """doc_id, source, size, source_size, target, rate, copies, taken of docs (doc_id, text, source)."""
     sized = _sized(docs)
-    out = _beside(sized, _plan(sized, weights, most)).withColumn("copies", _copies())
-    return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+    out = _drawn(_beside(sized, _plan(sized, weights, most)), most).withColumn("copies", _copies())
+    return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce(rate(F.col("tilt"), F.col("size"), most), F.lit(0.0)).alias("rate"), "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def copied(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
@@ -127,63 +186,67 @@ def copied(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3)
     plan = _plan(_sized(docs), weights, most)
     names = {c: f"_doc_{c}" for c in docs.columns}
     rows = docs.withColumnsRenamed(names).withColumn("source", F.col("_doc_source").cast("string"))
-    rows = _beside(rows, plan).withColumn("size", n_words(F.col("_doc_text"))).withColumn("doc_id", F.col("_doc_doc_id").cast("long")).withColumn("u", _hash())
-    rows = rows.select(*(F.col(v).alias(k) for k, v in names.items()), F.explode(F.array_repeat(F.lit(0), _copies().cast("int"))).alias("_copy"))
-    return rows.drop("_copy")
-
-
-HASHES = 1 << 60
+    rows = _beside(rows, plan).withColumn("size", n_words(F.col("_doc_text"))).withColumn("doc_id", F.col("_doc_doc_id").cast("long")).withColumn("hash", _hash())
+    rows = _drawn(rows, most).select(*(F.col(v).alias(k) for k, v in names.items()), F.explode(F.array_repeat(F.lit(0), _copies().cast("int"))).alias(unused(docs, "_copy")))
+    return rows.select(*docs.columns)
 
 
 def _hash() -> Column:
-    """60 bits of the MD5 of doc_id as text ('' for null)."""
-    return F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long")
-
-
-def _same(a: DataFrame, b: DataFrame) -> Column:
-    return a["source"].eqNullSafe(b["source"])
+    """HASH_BITS bits of the MD5 of doc_id as text ('' for null)."""
+    return F.shiftright(F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long"), 60 - HASH_BITS)
 
 
-#: The same rows by DuckDB. Newton's fixed point is target / size.
+#: The same rows by DuckDB, which halves the bracket of lambda instead of taking Newton's steps.
 SQL = r"""
-WITH sized AS MATERIALIZED (
+WITH RECURSIVE sized AS MATERIALIZED (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS u FROM documents),
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT >> 30 AS hash FROM documents),
 sources AS (
-  SELECT source, sum(size)::BIGINT AS source_size,
-         (row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % 3 + 1 AS weight FROM sized GROUP BY source),
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source IS NULL, encode(source)) AS place FROM sized GROUP BY source),
+weighed AS (SELECT *, (place - 1) % 3 + 1 AS weight FROM sources),
 walk AS (
   SELECT *, sum(source_size) OVER () - coalesce(sum(source_size * 3) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
-         sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS share FROM sources
-  WINDOW o AS (ORDER BY source_size::DOUBLE / weight, source IS NULL, encode(source))),
+         sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS share FROM weighed
+  WINDOW o AS (ORDER BY source_size::DOUBLE / weight, place)),
 stops AS (SELECT *, source_size * 3 * share <= rest * weight AS stop FROM walk),
 plan AS MATERIALIZED (
-  SELECT source, source_size, CASE WHEN stop THEN (source_size * 3)::DOUBLE ELSE
+  SELECT place, source, source_size, CASE WHEN stop THEN (source_size * 3)::DOUBLE ELSE
     (weight * (sum(source_size) OVER () - coalesce(sum(source_size * 3) FILTER (stop) OVER (), 0)))::DOUBLE
     / (sum(weight) FILTER (NOT stop) OVER ())::DOUBLE END AS target FROM stops),
-wants AS MATERIALIZED (
-  SELECT *, CASE WHEN source_size > 0 THEN floor(round(target / source_size, 9))::BIGINT ELSE 0 END AS base,
-         CASE WHEN source_size > 0 THEN floor(round(target - floor(round(target / source_size, 9)) * source_size, 3) + 0.5)::BIGINT ELSE 0 END AS want
-  FROM plan),
-levels AS (
-  SELECT s.source, u, want, sum(s.size)::BIGINT AS size FROM sized s JOIN wants w ON s.source IS NOT DISTINCT FROM w.source
-  WHERE want > 0 AND s.size > 0 GROUP BY ALL),
-runs AS MATERIALIZED (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY u)::BIGINT AS run FROM levels),
+counts AS MATERIALIZED (
+  SELECT place, target, size, count(*) AS n FROM sized s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source
+  WHERE size > 0 AND target > 0 GROUP BY ALL),
+solve AS (
+  SELECT 0 AS k, place, least(0.0, ln(target / source_size)) AS low, ln(3.0::DOUBLE) AS high FROM plan WHERE source_size > 0 AND target > 0
+  UNION ALL
+  SELECT k + 1, place, CASE WHEN g < 0 THEN tilt ELSE low END, CASE WHEN g < 0 THEN high ELSE tilt END FROM (
+    SELECT s.k, place, low, high, (low + high) / 2 AS tilt, sum(n * size * least(3.0::DOUBLE, exp((low + high) / 2 * sqrt(size)))) - any_value(target) AS g
+    FROM solve s JOIN counts c USING (place) WHERE s.k < 60 GROUP BY s.k, place, low, high)),
+tilts AS MATERIALIZED (SELECT place, (low + high) / 2 AS tilt FROM solve WHERE k = 60),
+rates AS MATERIALIZED (
+  SELECT s.*, p.place, source_size, target, CASE WHEN size > 0 THEN coalesce(round(least(3.0::DOUBLE, exp(tilt * sqrt(size))), 9), 0) ELSE 0 END AS r
+  FROM sized s JOIN plan p ON s.source IS NOT DISTINCT FROM p.source LEFT JOIN tilts t ON t.place = p.place),
+parts AS (SELECT *, floor(r)::BIGINT AS base, round((r - floor(r)) * 1000000000)::BIGINT AS part FROM rates),
+drawn AS MATERIALIZED (
+  SELECT *, CASE WHEN part > 0 THEN least(68719476735, (hash * 1000000000) // part) END AS key FROM parts),
+wants AS (
+  SELECT place, floor(round(any_value(target) - sum(size * base), 3) + 0.5)::BIGINT AS want FROM drawn GROUP BY place HAVING want > 0),
+keys AS (SELECT place, want, key, sum(size)::BIGINT AS size FROM drawn JOIN wants USING (place) WHERE part > 0 GROUP BY ALL),
+runs AS MATERIALIZED (SELECT *, sum(size) OVER (PARTITION BY place ORDER BY key)::BIGINT AS run FROM keys),
 best AS MATERIALIZED (
-  SELECT source, want, arg_min(u, (abs(run - want), u)) AS level, arg_min(run, (abs(run - want), u)) AS got
-  FROM (SELECT source, want, u, run FROM runs UNION ALL SELECT DISTINCT source, want, -1, 0 FROM runs) GROUP BY ALL),
-s0 AS (SELECT source, level, want - got AS rest, []::BIGINT[] AS flips FROM best),
+  SELECT place, want, arg_min(key, (abs(run - want), key)) AS level, arg_min(run, (abs(run - want), key)) AS got
+  FROM (SELECT place, want, key, run FROM runs UNION ALL SELECT DISTINCT place, want, -1, 0 FROM runs) GROUP BY ALL),
+s0 AS (SELECT place, level, want - got AS rest, []::BIGINT[] AS flips FROM best),
 {rounds}
-SELECT doc_id, size, w.source_size, w.target,
-       CASE WHEN size > 0 THEN size * (base + coalesce((u <= level) <> list_contains(flips, u), false)::BIGINT) ELSE 0 END AS taken
-FROM sized s JOIN wants w ON s.source IS NOT DISTINCT FROM w.source LEFT JOIN s{n} b ON s.source IS NOT DISTINCT FROM b.source
+SELECT doc_id, size, source_size, target, size * (base + coalesce((key <= level) <> list_contains(flips, key), false)::BIGINT) AS taken
+FROM drawn d LEFT JOIN s{n} b ON d.place = b.place
 """
 _ROUND = """
 n{k} AS MATERIALIZED (
-  SELECT r.source, arg_min(u, (abs(r.size - abs(rest)), u)) AS u, arg_min(size, (abs(r.size - abs(rest)), u)) AS size
-  FROM runs r JOIN s{j} b ON r.source IS NOT DISTINCT FROM b.source
-  WHERE rest <> 0 AND ((u <= level) <> list_contains(flips, u)) = (rest < 0) AND r.size < 2 * abs(rest) GROUP BY r.source),
+  SELECT r.place, arg_min(key, (abs(r.size - abs(rest)), key)) AS key, arg_min(size, (abs(r.size - abs(rest)), key)) AS size
+  FROM runs r JOIN s{j} b ON r.place = b.place
+  WHERE rest <> 0 AND ((key <= level) <> list_contains(flips, key)) = (rest < 0) AND r.size < 2 * abs(rest) GROUP BY r.place),
 s{k} AS MATERIALIZED (
-  SELECT b.source, level, coalesce(rest - sign(rest) * n.size, rest) AS rest, CASE WHEN n.u IS NULL THEN flips ELSE list_append(flips, n.u) END AS flips
-  FROM s{j} b LEFT JOIN n{k} n ON b.source IS NOT DISTINCT FROM n.source)"""
+  SELECT b.place, level, coalesce(rest - sign(rest) * n.size, rest) AS rest, CASE WHEN n.key IS NULL THEN flips ELSE list_append(flips, n.key) END AS flips
+  FROM s{j} b LEFT JOIN n{k} n ON b.place = n.place)"""
 SQL = SQL.replace("{rounds}", ",".join(_ROUND.format(k=k, j=k - 1) for k in range(1, FLIPS + 1))).replace("{n}", str(FLIPS))

@@ -1,4 +1,7 @@
+import math
+
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -45,3 +48,48 @@ def test_near_targets_and_limits(spark):
     assert sum(t for _, t in by) == pytest.approx(sum(r[1] for r in got))
     for (_, target), (taken,) in by.items():
         assert abs(taken - target) <= 0.005 * target + 2
+
+
+def solved(sizes, target, most=3.0):
+    """Rates by plain bisection in numpy: least divergence from 1 under the one constraint and the cap."""
+    x = np.sqrt(sizes)
+    rates = lambda tilt: np.minimum(most, np.exp(tilt * x))
+    low, high = min(0.0, math.log(target / sizes.sum())), math.log(most)
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if (sizes * rates(mid)).sum() < target else (low, mid)
+    return rates((low + high) / 2)
+
+
+def test_optimality(spark):
+    """Constraints met, rates tilted by document as an independent solver has them, and no feasible shift of words lowers the divergence."""
+    rng = np.random.default_rng(5)
+    rows = [(k, "w " * int(n), f"s{int(rng.integers(0, 6)) if k % 3 else 0}") for k, n in enumerate(np.exp(rng.normal(3, 1.2, 1500)).astype(int) + 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = source_mix.mixed(docs).toPandas()
+    assert len(set(got.rate.round(6))) > 100
+    for _, g in got.groupby("source"):
+        size, rate, target = g["size"].to_numpy(float), g["rate"].to_numpy(), g["target"].iloc[0]
+        assert abs((size * rate).sum() - target) <= 1e-8 * target + 1e-4
+        assert np.allclose(rate, solved(size, target), rtol=1e-8)
+        # KKT: below the cap ln(r) / sqrt(size) is one number, lambda; at the cap it would be no less
+        free = rate < 3 - 1e-9
+        if free.any():
+            tilt = np.log(rate[free]) / np.sqrt(size[free])
+            assert np.ptp(tilt) < 1e-9 and (tilt.mean() * np.sqrt(size[~free]) >= math.log(3) - 1e-9).all()
+        # a copy more or less than the rate at most
+        assert (np.abs(g["copies"] - rate) < 1).all() and abs((g["taken"]).sum() - target) <= size.max()
+
+
+def test_ordered_in_ranges(spark):
+    rows = spark.range(5000).selectExpr("(id * 7919) % 5000 as k")
+    got = source_mix.ordered(rows, [rows["k"]], n=source_mix.F.lit(1), s=source_mix.F.col("k")).collect()
+    assert all(r.n == r.k and r.s == r.k * (r.k - 1) // 2 for r in got)
+
+
+def test_native_and_same_again(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    once = source_mix.mixed(docs)
+    plan = once._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, source_mix.mixed(docs.repartition(7)).collect()))
