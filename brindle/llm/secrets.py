@@ -8,7 +8,8 @@ reach a threshold. The spans so found have the kind `lex` and cover the literal.
 
 Spans are in code points, end exclusive. Defined cases: null or empty text has no spans; a row for each input row, so
 repeated rows repeat; other columns are not read. Texts are scanned whole, in linear time: every pattern
-runs possessively or over disjoint classes. No shuffle, and a Python worker holds one small batch.
+runs possessively or over disjoint classes, no unclosed quote is looked for twice, and values share the constants they
+are made of (a graph, in which every literal is reported once). No shuffle, and a Python worker holds one small batch.
 """
 
 from __future__ import annotations
@@ -53,8 +54,9 @@ def base_spans(text: str) -> list[Span]:
 
 
 _LEX = re.compile(
-    r"""(?P<name>[A-Za-z_][A-Za-z0-9_]*+(?:[.-][A-Za-z0-9_]++)*+)|(?P<text>"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+')|(?P<op>:=|=>|==|!=|<=|>=|[=:])|(?P<plus>\+)|(?P<end>[;,\n{}()\[\]]|\#|//)|(?P<bare>[^\s"'=:;,{}()\[\]\#]++)|(?P<quote>["'])|(?P<gap>[^\S\n]++)"""
+    r"""(?P<name>[A-Za-z_][A-Za-z0-9_]*+(?:[.-][A-Za-z0-9_]++)*+)|(?P<op>:=|=>|==|!=|<=|>=|[=:])|(?P<plus>\+)|(?P<end>[;,\n{}()\[\]]|\#|//)|(?P<bare>[^\s"'=:;,{}()\[\]\#]++)|(?P<quote>["'])|(?P<gap>[^\S\n]++)"""
 )
+_INNER = {q: re.compile(rf"(?:[^{q}\\\n]|\\.)*+") for q in "\"'"}
 # Parts of names, and how much each says of a secret.
 PARTS = {
     "password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "pass": 0.7, "secret": 1.0, "token": 0.9, "apikey": 1.0,
@@ -62,7 +64,10 @@ PARTS = {
     "api": 0.4, "access": 0.4, "key": 0.5, "salt": 0.5, "webhook": 0.4, "session": 0.3, "cookie": 0.3, "client": 0.2,
 }
 HARMLESS = {"public", "length", "size", "type", "name", "count", "max", "min", "url", "path", "file", "id", "field", "label", "policy", "hint", "ttl", "expiry", "limit", "tokenizer"}
-PLACEHOLDER = re.compile(r"(?i)(?:x{4,}|\*{3,}|\.{3,}|<.*>|\$\{.*|\$\(.*|%.*%|\{\{.*|changeme|change_me|example|placeholder|redacted|dummy|none|null|true|false|undefined|todo|your[_-].*)")
+# Literals that stand for a secret; beginnings, and ends, of such.
+PLACEHOLDERS = {"changeme", "change_me", "example", "placeholder", "redacted", "dummy", "none", "null", "true", "false", "undefined", "todo"}
+BEFORE, AROUND = ("${", "$(", "{{", "your_", "your-"), {"<>", "%%"}
+_HEAD = 16
 LEAST = 1.3
 
 
@@ -74,49 +79,138 @@ def name_score(name: str) -> float:
     return min(1.0, sum(PARTS.get(p, 0.0) for p in set(parts)))
 
 
+class Look:
+    """What is asked of a literal's text, kept without the text, so that sums of constants need not be written out: its length,
+    how often each character comes (as a share; beyond ASCII by its low seven bits), its ends, whether it has white space."""
+
+    __slots__ = ("n", "shares", "head", "last", "space")
+
+    def __init__(self, text: str = ""):
+        self.n, self.head, self.last, self.space = float(len(text)), text[:_HEAD], text[-1:], any(c.isspace() for c in text)
+        self.shares: dict[int, float] = {}
+        for c, k in Counter(text).items():
+            c = ord(c) if c.isascii() else 128 + ord(c) % 128
+            self.shares[c] = self.shares.get(c, 0.0) + k / self.n
+
+    def __add__(self, other: Look) -> Look:
+        out = Look()
+        both = self.n + other.n
+        out.n, out.space, out.last = min(both, 1e300), self.space or other.space, other.last or self.last
+        out.head = self.head if len(self.head) == _HEAD else (self.head + other.head)[:_HEAD]
+        if both:
+            out.shares = {c: (self.shares.get(c, 0.0) * self.n + other.shares.get(c, 0.0) * other.n) / both for c in self.shares.keys() | other.shares.keys()}
+        return out
+
+    def random(self) -> float:
+        """0 to 1: how much the text looks random; 0 for placeholders and very short ones."""
+        if self.n < 6 or self.space or self._placeholder():
+            return 0.0
+        entropy = -sum(p * math.log2(p) for p in self.shares.values())
+        kinds = {"a" if 97 <= c <= 122 else "A" if 65 <= c <= 90 else "0" if 48 <= c <= 57 else "" for c in self.shares}
+        return min(1.0, entropy / 5 + 0.1 * len(kinds))
+
+    def _placeholder(self) -> bool:
+        head = self.head.lower()
+        if self.n < _HEAD and head in PLACEHOLDERS:
+            return True
+        if len(self.shares) <= 2 and {chr(c).lower() for c in self.shares} in ({"x"}, {"*"}, {"."}):
+            return True
+        return head.startswith(BEFORE) or (head[:1] + self.last) in AROUND
+
+
 def look(value: str) -> float:
-    """0 to 1: how much a literal looks random; 0 for placeholders and very short ones."""
-    if len(value) < 6 or PLACEHOLDER.fullmatch(value) or any(c.isspace() for c in value):
-        return 0.0
-    n = len(value)
-    entropy = -sum(k / n * math.log2(k / n) for k in Counter(value).values())
-    kinds = sum(bool(re.search(x, value)) for x in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    return min(1.0, entropy / 5 + 0.1 * kinds)
+    return Look(value).random()
 
 
-Literal = tuple[int, int, str]
+class Value:
+    """What is assigned: literals (begin, end) and values assigned before, one after another. Shared, not copied: constants that
+    double line by line stay as large as their lines."""
 
+    __slots__ = ("parts", "seen", "_look")
 
-def assigned(text: str) -> Iterator[tuple[str, list[Literal]]]:
-    """Each target's name with the literals that reach it, constants propagated."""
-    known: dict[str, list[Literal]] = {}
-    unclosed: set[str] = set()  # triple quotes that don't come again
+    def __init__(self, parts: list):
+        self.parts, self.seen, self._look = tuple(parts), False, None
+
+    def look(self, text: str) -> Look:
+        todo = [self]
+        while todo:  # values name earlier ones only
+            v = todo[-1]
+            open_ = [x for x in v.parts if isinstance(x, Value) and x._look is None] if v._look is None else []
+            if open_:
+                todo += open_
+                continue
+            todo.pop()
+            if v._look is None:
+                v._look = Look()
+                for x in v.parts:
+                    v._look = v._look + (x._look if isinstance(x, Value) else Look(text[x[0] : x[1]]))
+        return self._look
+
+    def literals(self) -> Iterator[tuple[int, int]]:
+        """The literals that no call for another value has given yet."""
+        todo = [self]
+        while todo:
+            v = todo.pop()
+            if not v.seen:
+                v.seen = True
+                for x in v.parts:
+                    if isinstance(x, Value):
+                        todo.append(x)
+                    else:
+                        yield x
+
+
+def assigned(text: str) -> Iterator[tuple[str, Value]]:
+    """Each target's name with the value that reaches it, constants propagated."""
+    state = _State()
     at = 0
     while at < len(text):
         # lines without an assignment have nothing to lex, but those that one goes on in
-        stops = [p for p in (text.find("=", at), text.find(":", at)) if p >= 0]
-        if not stops:
+        stop = _ASSIGNS.search(text, at)
+        if stop is None:
             return
-        at = text.rfind("\n", at, min(stops)) + 1 or at
-        at = yield from _statement(text, at, known, unclosed)
+        at = text.rfind("\n", at, stop.start()) + 1 or at
+        at = yield from _statement(text, at, state)
+
 
+class _State:
+    """What the lexer knows from line to line."""
 
+    def __init__(self):
+        self.known: dict[str, Value] = {}
+        self.unclosed: set[str] = set()  # triple quotes that don't come again
+        self.dead = {'"': 0, "'": 0}  # up to here no quote of the kind is closed
+
+    def closing(self, text: str, at: int) -> int:
+        """The place behind the quoted text that begins at `at`, 0 if it is not closed on its line. No stretch is looked at twice."""
+        q = text[at]
+        if at < self.dead[q]:
+            return 0
+        end = _INNER[q].match(text, at + 1).end()
+        if text[end : end + 1] == q:
+            return end + 1
+        self.dead[q] = end
+        return 0
+
+
+_ASSIGNS = re.compile("[=:]")
 _BLOCK = re.compile(r"[^\S\n]*+[|>][+\-0-9]{0,2}[^\S\n]*+(?:\#[^\n]*+)?\n")
 _INDENT = re.compile(r"[^\S\n]*+")
 _WORD_LINE = re.compile(r"^[^\S\n]*+(\S++)[^\S\n]*+$", re.MULTILINE)
 
 
-def _words(text: str, at: int, end: int) -> list[Literal]:
+def _words(text: str, at: int, end: int) -> list[tuple[int, int]]:
     """The lines that are one word: a key over several lines without its head and foot."""
-    return [(m.start(1) + at, m.end(1) + at, m[1]) for m in _WORD_LINE.finditer(text[at:end])]
+    return [(m.start(1) + at, m.end(1) + at) for m in _WORD_LINE.finditer(text[at:end])]
 
 
-def _statement(text: str, at: int, known: dict[str, list[Literal]], unclosed: set[str]):
+def _statement(text: str, at: int, state: _State):
     """As assigned(), to the end of the line, or of what goes on behind it: brackets (to a blank line at most; on further lines
     quoted literals count), continued lines, triple quotes, block scalars. Returns the place behind."""
     before: str | None = None  # the last name, which an operator may make a target
     target: str | None = None
-    got: list[Literal] = []
+    known, unclosed = state.known, state.unclosed
+    got: list = []  # literals and values, as a Value has them
     joined = True
     quoted_key = False
     colon: str | None = None  # the name before a colon, whose type may stand before an equals sign
@@ -126,13 +220,17 @@ def _statement(text: str, at: int, known: dict[str, list[Literal]], unclosed: se
 
     def done():
         if target is not None and got:
-            known[target] = got
+            value = known[target] = Value(got)
             if alias is not None:
-                known[alias] = got
-                return [(target, got), (alias, got)]
-            return [(target, got)]
+                known[alias] = value
+                return [(target, value), (alias, value)]
+            return [(target, value)]
         return []
 
+    def last() -> int:
+        """Where the last literal ends; -1 behind anything else."""
+        return got[-1][1] if got and isinstance(got[-1], tuple) else -1
+
     end = len(text)
     while at < end:
         m = _LEX.search(text, at)
@@ -146,14 +244,17 @@ def _statement(text: str, at: int, known: dict[str, list[Literal]], unclosed: se
             at = e + 1
             continue
         quotes = text[s : s + 3]
-        if kind in ("text", "quote") and quotes in ('"""', "'''") and quotes not in unclosed:
+        if kind == "quote" and quotes in ('"""', "'''") and quotes not in unclosed:
             close = text.find(quotes, s + 3)
             if close >= 0:
                 if target is not None and joined:
-                    got, joined = [*got, *_words(text, s + 3, close)], False
+                    got += _words(text, s + 3, close)
+                    joined = False
                 at, before, quoted_key = close + 3, None, False
                 continue
             unclosed.add(quotes)
+        if kind == "quote" and (close := state.closing(text, s)):
+            kind, at = "text", close
         if kind == "op":
             block = _BLOCK.match(text, e) if m[0] == ":" and before is not None else None
             if block:
@@ -167,38 +268,39 @@ def _statement(text: str, at: int, known: dict[str, list[Literal]], unclosed: se
                 target, alias, got = before, None, _words(text, block.end(), at)
                 yield from done()
                 return at
-            if m[0] in ("=", "==") and got and not joined and got[-1][1] == s and (e == end or text[e].isspace()):
-                got[-1] = (got[-1][0], e, text[got[-1][0] : e])  # padding of a bare literal
+            if m[0] in ("=", "==") and not joined and last() == s and (e == end or text[e].isspace()):
+                got[-1] = (got[-1][0], e)  # padding of a bare literal
                 before = None
                 continue
             typed = colon if m[0] == "=" and not inside else None
             if m[0] in ("=", ":", ":=", "=>") and (before or typed) is not None:
                 if target is not None and (not got or quoted_key):
-                    got = got[:-1] if quoted_key else got
+                    del got[len(got) - quoted_key :]
                 yield from done()
                 target, got, joined = before or typed, [], True
                 alias, colon = typed, before if m[0] == ":" else None
             before, quoted_key = None, False
         elif kind == "text":
-            inner = (s + 1, e - 1, text[s + 1 : e - 1])
+            inner = (s + 1, at - 1)
             colon = None
             if target is not None and (joined or (inside and target == inside[-1] and got)):
-                got, joined = [*got, inner], False
+                got.append(inner)
+                joined = False
             elif target is not None:
                 yield from done()
                 target, got = None, []
-            key = inner[2]
+            key = text[slice(*inner)]
             before, quoted_key = (key, target is not None) if re.fullmatch(r"[A-Za-z_][\w.-]*+", key, re.ASCII) else (None, False)
         elif kind in ("name", "bare"):
-            if target is not None and got and not joined and got[-1][1] == s:  # a bare literal goes on
-                got[-1] = (got[-1][0], e, text[got[-1][0] : e])
+            if target is not None and not joined and last() == s:  # a bare literal goes on
+                got[-1] = (got[-1][0], e)
                 before = None
                 continue
             if target is not None and joined and further and m[0] not in known:
                 pass
             elif target is not None and joined:
                 word = m[0]
-                got = [*got, *(known[word] if word in known else [(s, e, word)])]
+                got.append(known[word] if word in known else (s, e))
                 joined = False
             elif target is not None:
                 yield from done()
@@ -207,8 +309,8 @@ def _statement(text: str, at: int, known: dict[str, list[Literal]], unclosed: se
         elif kind == "plus":
             if target is not None and got and text[s - 1 : s].isspace():
                 joined = True
-            elif target is not None and got and got[-1][1] == s:
-                got[-1] = (got[-1][0], e, text[got[-1][0] : e])
+            elif target is not None and last() == s:
+                got[-1] = (got[-1][0], e)
             before = None
         elif kind == "end":
             opens, closes = m[0] in ("(", "[", "{"), m[0] in (")", "]", "}")
@@ -249,12 +351,10 @@ def spans(text: str) -> tuple[list[Span], list[Span]]:
     if "=" not in text and ":" not in text:
         return base, []
     more = set()
-    for name, literals in assigned(text):
+    for name, value in assigned(text):
         of = name_score(name)
-        if of >= 0.5:
-            whole = "".join(v for _, _, v in literals)
-            if of + look(whole) >= LEAST:
-                more |= {("lex", s, e) for s, e, _ in literals if e > s}
+        if of >= 0.5 and not value.seen and of + value.look(text).random() >= LEAST:
+            more |= {("lex", s, e) for s, e in value.literals() if e > s}
     # base spans are in order of their starts: one walk finds the literals within them
     out, k, far = [], 0, -1
     for x in sorted(more, key=lambda x: x[1:]):

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -82,3 +83,63 @@ def test_lexer_stops(text):
 def test_long_open_text_is_linear():
     sc.spans("a=(" * 100_000 + '"""' + "k: |\n" * 100_000 + "'''" * 3)
     sc.spans("k=[" + '"x",\n' * 200_000)
+
+
+def took(text):
+    began = time.perf_counter()
+    sc.spans(text)
+    return time.perf_counter() - began
+
+
+MB = 1 << 20
+HOSTILE = {
+    "escaped quotes": '"' + '\\"' * (MB // 2) + "=", "escaped quotes on lines": 'a="' + ('\\"' * 300 + "\n") * (MB // 601), "sums": "pwd=" + "+" * MB, "bare sums": "pwd=" + "a+" * (MB // 2),
+    "equals only": "a=b\n" * (MB // 4), "colons only": "a:b\n" * (MB // 4), "quotes": "a=" + "'\"" * (MB // 2), "keys": '{"a": ' * (MB // 6), "open": "a=(" * (MB // 3), "triple": "a='" + "''" * (MB // 2),
+    "chain": "a=b0\n" + "".join(f'pwd{k} = pwd{k - 1} + "Zq8{k}"\n' for k in range(1, MB // 28)), "wide": "".join(f'a{k}="{chr(0x4E00 + k % 20000)}Zq8kfL1"\n' for k in range(30000)) + "pwd = " + " + ".join(f"a{k}" for k in range(30000)),
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_hostile_megabyte(name):
+    assert took(HOSTILE[name]) < 4 * max(1.0, took("a='b'\n" * (MB // 6)))
+
+
+def test_doubling_constants():
+    text = 'a = "Zq81kf!Lm20vv"\n' + "a = a + a\n" * 40 + "b_password = a"
+    assert took(text) < 0.05
+    assert [text[s:e] for _, s, e in sc.spans(text)[1]] == ["Zq81kf!Lm20vv"]
+    assert took('a = "Zq8!kf"\n' + "a = a + a\n" * 50_000 + "b_pwd = a") < 10
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b_pwd", "c1", "d.e", "signing-key"]), st.lists(st.one_of(st.sampled_from(["a", "b_pwd", "c1", "d.e"]), st.tuples(st.sampled_from("'\""), st.text("xY7!é \\", max_size=9))), min_size=1, max_size=3), st.sampled_from([" = ", " := ", ": ", " => "]), st.sampled_from(["", "# x", ";"])), max_size=10))
+def test_values_against_a_reader_of_its_own(lines):
+    """Random programs of sums of literals and names, written together with what each target must hold."""
+    text, want, known = "", [], {}
+    for target, terms, op, tail in lines:
+        text += target + op
+        value = []
+        for k, term in enumerate(terms):
+            text += " + " * (k > 0)
+            if isinstance(term, tuple):
+                inner = term[1].replace("\\", "\\\\")
+                value.append((len(text) + 1, len(text) + 1 + len(inner)))
+                text += term[0] + inner + term[0]
+            elif term in known:
+                value += known[term]
+                text += term
+            else:
+                value.append((len(text), len(text) + len(term)))
+                text += term
+        known[target] = value
+        want.append((target, value))
+        text += tail + "\n"
+
+    def flat(v):
+        return [y for x in v.parts for y in (flat(x) if isinstance(x, sc.Value) else [x])]
+
+    assert [(name, flat(v)) for name, v in sc.assigned(text)] == want
+    whole = {name: "".join(text[s:e] for s, e in v) for name, v in known.items()}
+    for name, v in sc.assigned(text):
+        assert v.look(text).random() == pytest.approx(sc.look("".join(text[s:e] for s, e in flat(v))))
+    assert whole or not lines
