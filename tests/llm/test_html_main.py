@@ -1,6 +1,9 @@
 import html
+import math
 import re
+import time
 
+import numpy as np
 import pytest
 
 from brindle.llm import html_main as hm
@@ -25,6 +28,105 @@ def test_pages(source, want):
     assert text(source) == want
 
 
+@pytest.mark.parametrize("source, want", [
+    ('<article class="post comments-open"><p>Body</p></article>', "Body"), ('<form id="aspnetForm"><article><p>Body</p></article><input></form>', "Body"),
+    ('<div class="post has-comments"><p>Body</p></div>', "Body"), ('<div class="top-story"><p>Body</p></div>', "Body"),
+    ('<article><p>Body <span class="share-price">12</span></p></article>', "Body 12"), ('<div class="banner"><article>Body</article></div>', "Body"),
+    ('<article>Body<div class="share-buttons">Share</div><div class="notice">n</div><div class="site-search-form">s</div></article>', "Body"),
+    ('<section id="comments"><article><p>I say</p></article></section><article>Body</article>', "Body"), ('<main class="with-sidebar">Body<div class="sidebar-left">s</div></main>', "Body"),
+    ("<form><p>name</p></form><p>t</p>", "t"), ("<p>a<b>b<div>c</b>d</div>e", "ab cd e"), ("<table><tr><td>a<td>b<tr><td>c</table>", "a b c"), ('<a title="x>y" href=">">q</a><a "b>c', 'qc'),
+])
+def test_shapes(source, want):
+    assert " ".join(text(source).split()) == want
+
+
+HOSTILE = {
+    "unclosed tags": "<a " * 350_000, "quotes": "<a '\"" * 200_000 + ">", "one quote": "<a>" * 200_000 + "<a \">" + "<a>" * 100_000, "deep": "<div>" * 200_000 + "x", "deep texts": "<div>x. " * 100_000,
+    "stray ends": "<div>" * 80_000 + "</p>" * 80_000 + "</section>" * 20_000, "svg": "<svg>" * 200_000, "lists": "<ul>" * 80_000 + "<li>" * 120_000, "inline": "<p>" + "<b>" * 120_000 + "<div>" * 80_000,
+    "entities": "&amp" * 250_000, "article": "<article>" + "<div>x. " * 100_000, "comments": "<!--" * 250_000, "odd": "<!" * 500_000,
+}
+
+
+@pytest.mark.parametrize("name", HOSTILE)
+def test_hostile_megabyte(name):
+    """Seconds beside what a plain page of the size takes."""
+    def took(source):
+        began = time.perf_counter()
+        page = hm.Page(source)
+        list(page.style_nodes(0))
+        page.extract({1})
+        return time.perf_counter() - began
+
+    assert took(HOSTILE[name]) < 4 * max(1.0, took("<article>" + "<p>a <b>word.</b></p>" * 50_000))
+
+
+def site(rng):
+    """A host's pages as trees of (tag, class, [text or tree, ...])."""
+    fixed = [("div", f"fix{k}", [("p", "", [f"Same words {k}."])]) for k in range(3)]
+    out = []
+    for k in range(int(rng.integers(2, 9))):
+        body = [("p", "", [f"Story {k} says {int(rng.integers(1e9))}."]) for _ in range(int(rng.integers(1, 4)))]
+        kids = [("div", "story", body), *[f for f in fixed if rng.random() < 0.8], ("div", "rot", [f"Say {int(rng.integers(3))}"])]
+        rng.shuffle(kids := list(kids))
+        out.append(("body", "", kids))
+    return out
+
+
+def written(node):
+    if isinstance(node, str):
+        return node
+    return f"<{node[0]}{f' class={node[1]}' * bool(node[1])}>{''.join(map(written, node[2]))}</{node[0]}>"
+
+
+def by_hand(pages, low):
+    """The merged tree of unmarked pages, entropies by plain counting, and the pages' texts without low branches."""
+    stats = {}
+
+    def walk(node, path, at):
+        path = (*path, node[:2])
+        here = at.setdefault(path, [[], []])
+        here[0] += [x[0] for x in node[2] if not isinstance(x, str)]
+        here[1].append(written(node))
+        for x in node[2]:
+            if not isinstance(x, str):
+                walk(x, path, at)
+
+    for page in {written(p): p for p in pages}.values():
+        at = {}
+        walk(page, (), at)
+        for path, (shape, content) in at.items():
+            stats.setdefault(path, []).append((tuple(dict.fromkeys(shape)), tuple(content)))
+
+    def entropy(values):
+        n = len(values)
+        return sum(-c / n * math.log(c / n) for c in (values.count(v) for v in set(values)))
+
+    importance = {p: 1.0 if len(v) < 2 else max(entropy([x[0] for x in v]), entropy([x[1] for x in v])) / math.log(len(v)) for p, v in stats.items()}
+
+    def kept(node, path):
+        path = (*path, node[:2])
+        if importance[path] < low:
+            return []
+        return [y for x in node[2] for y in ([x] if isinstance(x, str) else kept(x, path))]
+
+    return [" ".join(kept(p, ())) for p in pages]
+
+
+@pytest.mark.parametrize("most", [0, 1000])
+def test_tree_against_brute_force(spark, most):
+    """Merge, entropy and removal over whole sites, against plain Python on the trees the pages were written from."""
+    rng = np.random.default_rng(9)
+    sites = {f"h{k}.org": site(rng) for k in range(25)}
+    rows, want = [], {}
+    for name, pages in sites.items():
+        for k, (page, expected) in enumerate(zip(pages, by_hand(pages, hm.LOW))):
+            rows.append((len(rows), f"http://{name}/{k}", written(page)))
+            want[len(rows) - 1] = expected
+    got = {r.page_id: r.text for r in hm.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), broadcast_paths=most).collect()}
+    assert got == want
+    assert sum("Same words" in t for t in want.values()) < len(rows) / 2 < sum("Story" in t for t in want.values())
+
+
 def test_long_and_odd():
     assert len(text("<article>" + "<p>word &amp; " * 50_000)) == 50_000 * 7 - 1
     text("<a '" * 20_000)
@@ -49,7 +151,6 @@ def test_style_tree_removes_what_recurs(spark):
 
 
 def test_sst_entropy_against_counts(spark):
-    import math
     from collections import Counter
 
     rows = [(k, "http://a/x", f"<div class=z><i>{k % 3}</i></div><p>{k}</p>") for k in range(20)]
