@@ -1,6 +1,7 @@
 import json
+from decimal import Decimal
 
-import pytest
+import numpy as np
 
 from brindle.llm import tool_calls as tc
 
@@ -48,6 +49,117 @@ def test_linking(spark):
     assert len([r for r in got if r.kind == "message"]) == 13
 
 
+def script(x):
+    """A number as JavaScript writes it, from Python's shortest digits."""
+    if isinstance(x, int):
+        return str(x)
+    sign, digits, exponent = Decimal(repr(x)).normalize().as_tuple()
+    d, n = "".join(map(str, digits)), len(digits) + exponent
+    if d == "0":
+        return "0"
+    if len(d) <= n <= 21:
+        out = d + "0" * (n - len(d))
+    elif 0 < n <= 21:
+        out = d[:n] + "." + d[n:]
+    elif -6 < n <= 0:
+        out = "0." + "0" * -n + d
+    else:
+        out = (d[0] + "." * (len(d) > 1) + d[1:]) + f"e{'+' if n > 0 else '-'}{abs(n - 1)}"
+    return "-" * sign + out
+
+
+def test_one_spelling_of_numbers(spark):
+    rng = np.random.default_rng(2)
+    numbers = [0.0, -0.0, 1e2, 100.0, 1.5, -2.50, 1e21, 1e20, 123e-20, 1e-6, 1e-7, 12345678.25, 0.001, 5e-5, 12345678901234567890, 10**30, 7, -7, 0]
+    numbers += [float(f"{rng.integers(-10**9, 10**9)}e{rng.integers(-30, 30)}") for _ in range(300)]
+    text = '{"a": [' + ", ".join(map(repr, numbers)) + '], "s": "1e2 \\\\\\" 1.0", "t": "-", "u": "\\\\"}'
+    got = spark.createDataFrame([(text,)], "t string").select(tc.canonical(tc.F.to_json(tc.F.parse_json("t")))).first()[0]
+    inner = got[got.index("[") + 1 : got.index("]")].split(",")
+    assert inner == [script(x) for x in numbers]
+    assert got.endswith('],"s":"1e2 \\\\\\" 1.0","t":"-","u":"\\\\"}')
+    long = json.dumps({"a": "\n\"" * 200_000})
+    assert spark.createDataFrame([(long,)], "t string").select(tc.canonical(tc.F.col("t"))).first()[0] == long
+
+
+def test_forms_and_other_keys(spark):
+    rows = [
+        (1, 0, "assistant", json.dumps({"tool_calls": [{"id": "t", "type": "function", "function": {"name": "f", "arguments": '{"x": 1e2}'}, "index": 0}, {"name": "g", "arguments": "not json"}, {"name": "g"}, 5], "content": [{"type": "text", "text": "hi"}], "refusal": None, "model": "m"})),
+        (1, 1, "tool", json.dumps({"tool_call_id": "t", "content": 1.0})),
+    ]
+    got = {r.json for r in tc.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert got == {
+        '{"content":[{"text":"hi","type":"text"}],"extra":{"model":"m","refusal":null},"kind":"message","role":"assistant"}', '{"content":1,"id":"t","kind":"result","name":"f"}',
+        '{"arguments":{"x":100},"extra":{"index":0},"id":"t","kind":"call","name":"f"}', '{"arguments":"not json","kind":"call","name":"g"}', '{"kind":"call","name":"g"}', '{"kind":"call"}',
+    }
+
+
+def judged(v, s, path=""):
+    """The schema's complaints, by plain recursion."""
+    name = path or "$"
+    below = lambda k: f"{path}.{k}" if path else k
+    num = lambda x: isinstance(x, (int, float)) and not isinstance(x, bool)
+    of = {"string": lambda x: isinstance(x, str), "integer": lambda x: num(x) and x == int(x), "number": num, "boolean": lambda x: isinstance(x, bool), "array": lambda x: isinstance(x, list), "object": lambda x: isinstance(x, dict), "null": lambda x: x is None}
+    out = set()
+    types = s.get("type")
+    types = [types] if isinstance(types, str) else types
+    if types is not None and not any(of[t](v) for t in types):
+        out.add(f"type {name}")
+    if "enum" in s and not any(type(e) is type(v) and e == v or num(e) and num(v) and e == v for e in s["enum"]):
+        out.add(f"enum {name}")
+    if isinstance(v, dict):
+        out |= {f"missing {below(k)}" for k in s.get("required", []) if k not in v}
+        for k, x in v.items():
+            if k in s.get("properties", {}):
+                out |= judged(x, s["properties"][k], below(k))
+            elif s.get("additionalProperties") is False:
+                out.add(f"unexpected {below(k)}")
+            elif isinstance(s.get("additionalProperties"), dict):
+                out |= judged(x, s["additionalProperties"], below(k))
+    if isinstance(v, list) and "items" in s:
+        for k, x in enumerate(v):
+            out |= judged(x, s["items"], f"{name}[{k}]")
+    return out
+
+
+def test_validation_against_brute_force(spark):
+    rng = np.random.default_rng(4)
+    pick = lambda x: x[int(rng.integers(len(x)))]
+
+    def value(depth):
+        kind = int(rng.integers(8 if depth else 6))
+        if kind == 6:
+            return [value(depth - 1) for _ in range(int(rng.integers(3)))]
+        if kind == 7:
+            return {k: value(depth - 1) for k in "abc" if rng.random() < 0.5}
+        return [1, 2.5, 3.0, "x", True, None][kind] if rng.random() < 0.9 else 12345678901234567890
+
+    def schema(depth):
+        s = {}
+        if rng.random() < 0.8:
+            s["type"] = pick(["string", "integer", "number", "boolean", "array", "object", "null", ["string", "null"], ["object", "integer"], ["array", "number"]])
+        if rng.random() < 0.15:
+            s["enum"] = [value(1) for _ in range(3)]
+        if depth and rng.random() < 0.8:
+            s["properties"] = {k: schema(depth - 1) for k in "abc" if rng.random() < 0.6}
+        if rng.random() < 0.3:
+            s["required"] = [k for k in "abc" if rng.random() < 0.5]
+        if rng.random() < 0.4:
+            s["additionalProperties"] = pick([False, True, schema(depth - 1) if depth else False])
+        if depth and rng.random() < 0.6:
+            s["items"] = schema(depth - 1)
+        return s
+
+    rows, want = [], {}
+    for k in range(150):
+        s = schema(3) | ({"type": "object"} if rng.random() < 0.7 else {})
+        args = {n: value(3) for n in "abc"}
+        rows.append((k, 0, "system", json.dumps({"tools": [{"name": "f", "parameters": s}]})))
+        rows.append((k, 1, "assistant", json.dumps({"tool_calls": [{"id": "1", "name": "f", "arguments": args}]})))
+        want[k] = ":".join(["no_result", *filter(None, [",".join(sorted(judged(args, s)))])])
+    got = {r.conv_id: r.status for r in tc.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).where("kind = 'call'").collect()}
+    assert got == want and sum(":" in x for x in want.values()) > 50
+
+
 def test_long_chain_and_repeats(spark):
     rows = [(1, k, "assistant", call((str(k), "f", {"x": f"${{{k - 1}}}"} if k else {}))) for k in range(12)] * 2
     got = tc.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).where("kind = 'call'").collect()
