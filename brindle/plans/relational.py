@@ -18,6 +18,8 @@ QUERIES: dict[str, Query] = {
     "p2_filter": sql("SELECT o_orderkey, o_totalprice FROM {orders} WHERE o_totalprice > 150000 AND o_orderstatus <> 'F' AND o_orderdate >= TIMESTAMP '1997-01-01'", "SELECT o_orderkey, o_totalprice FROM {orders} WHERE o_totalprice > 150000 AND o_orderstatus <> 'F' AND o_orderdate >= TIMESTAMP '1997-01-01'"),
     "p3_predicates": sql("SELECT p_partkey, CASE WHEN p_size BETWEEN 1 AND 10 THEN 'small' WHEN p_size IN (11, 12, 13) THEN 'odd' ELSE 'large' END AS kind, coalesce(nullif(p_brand, 'Brand#11'), 'none') AS brand FROM {part} WHERE p_name LIKE '%a%'"),
     "p4_sample": Query(sql("SELECT l_orderkey, l_linenumber FROM {lineitem} TABLESAMPLE (10 PERCENT) REPEATABLE (7)").run),
+    "p4_sample_bounds": frame(lambda l: _sampled(l.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")), "lineitem", "SELECT count(*) AS total, true AS near, 0::BIGINT AS others FROM lineitem"),
+    "p5_pipe": sql("FROM {orders} |> WHERE o_totalprice > 150000 |> AGGREGATE count(*) AS n, max(o_totalprice) AS most GROUP BY o_orderstatus |> WHERE n > 5 |> SELECT o_orderstatus, n, most", "SELECT o_orderstatus, count(*) AS n, max(o_totalprice) AS most FROM {orders} WHERE o_totalprice > 150000 GROUP BY o_orderstatus HAVING count(*) > 5"),
     "p5_recursive": sql("WITH RECURSIVE t(n, f) AS (SELECT CAST(1 AS BIGINT), CAST(1 AS BIGINT) UNION ALL SELECT n + 1, f * (n + 1) FROM t WHERE n < 12) SELECT n, f, r_name FROM t JOIN {region} ON n % 5 = r_regionkey"),
     # joins
     "j1_broadcast": frame(lambda o, c: o.join(broadcast_below(c.where("c_mktsegment = 'BUILDING'").select("c_custkey", "c_name")), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name"), "orders customer", "SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING'"),
@@ -34,6 +36,7 @@ QUERIES: dict[str, Query] = {
     "j10_scalar_subquery": sql("SELECT c_custkey, (SELECT max(o_totalprice) FROM {orders} WHERE o_custkey = c_custkey) AS most FROM {customer}"),
     "j10_exists": sql("SELECT s_suppkey FROM {supplier} WHERE EXISTS (SELECT 1 FROM {lineitem} WHERE l_suppkey = s_suppkey AND l_discount = 0.1 AND l_quantity > 49)"),
     "j11_lateral": sql("SELECT r_name, t.n_name FROM {region}, LATERAL (SELECT n_name FROM {nation} WHERE n_regionkey = r_regionkey ORDER BY n_name LIMIT 2) t"),
+    "j11_lateral_outer": frame(lambda r, n: r.lateralJoin(n.where((F.col("n_regionkey") == F.col("r_regionkey").outer()) & (F.col("n_nationkey") < 8)).select("n_name").orderBy("n_name").limit(1), how="left").select("r_name", "n_name"), "region nation", "SELECT r_name, t.n_name FROM (SELECT * FROM region) r LEFT JOIN LATERAL (SELECT n_name FROM nation WHERE n_regionkey = r_regionkey AND n_nationkey < 8 ORDER BY n_name LIMIT 1) t ON true"),
     "j12_interval": sql("SELECT a.event_id AS a, b.event_id AS b FROM {events} a JOIN {events} b ON a.user_id = b.user_id AND b.ts > a.ts AND b.ts <= a.ts + INTERVAL '30' MINUTE", "SELECT a.event_id AS a, b.event_id AS b FROM {events} a JOIN {events} b ON a.user_id = b.user_id AND b.ts > a.ts AND b.ts <= a.ts + INTERVAL 30 MINUTE"),
     "j13_range": frame(lambda e: _near(e), "events", "SELECT a.event_id AS a, b.event_id AS b FROM events a JOIN events b ON epoch_us(b.ts) >= epoch_us(a.ts) AND epoch_us(b.ts) < epoch_us(a.ts) + 60000000 WHERE a.event_type = 'purchase' AND b.event_type = 'view'"),
     "j14_asof": frame(lambda e: _asof(e, True), "events", "SELECT p.event_id, p.ts, v.event_id AS last_view FROM (SELECT * FROM events WHERE event_type = 'purchase') p ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'view') v ON p.user_id = v.user_id AND p.ts >= v.ts"),
@@ -50,6 +53,7 @@ QUERIES: dict[str, Query] = {
     "a7_percentiles": sql("SELECT event_type, round(percentile(value, 0.9), 6) AS p90, round(median(value), 6) AS mid FROM {events} GROUP BY event_type", "SELECT event_type, round(quantile_cont(value, 0.9), 6) AS p90, round(median(value), 6) AS mid FROM {events} GROUP BY event_type"),
     "a7_mode": frame(lambda n: n.groupBy("l_returnflag").agg(F.mode("l_linestatus", True).alias("common")), "lineitem", "SELECT l_returnflag, arg_max(l_linestatus, (n, -ascii(l_linestatus))) AS common FROM (SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY ALL) GROUP BY 1"),
     "a8_approximate": frame(lambda e: e.groupBy("event_type").agg(F.approx_count_distinct("user_id", 0.02).alias("users"), F.percentile_approx("value", 0.5, 10_000).alias("mid"), F.hll_sketch_estimate(F.hll_sketch_agg("user_id")).alias("hll")), "events", None),
+    "a8_error": frame(lambda e: _errors(e), "events", "SELECT event_type, count(DISTINCT user_id) AS users, true AS near, true AS sketch, true AS mid FROM events GROUP BY 1"),
     "a9_arg_max": sql("SELECT event_type, max_by(event_id, ts) AS last_id, min_by(event_id, ts) AS first_id FROM {events} GROUP BY event_type", "SELECT event_type, arg_max(event_id, ts) AS last_id, arg_min(event_id, ts) AS first_id FROM {events} GROUP BY event_type"),
     "a9_listagg": sql("SELECT n_regionkey, listagg(n_name, '|') WITHIN GROUP (ORDER BY n_name) AS names FROM {nation} GROUP BY n_regionkey", "SELECT n_regionkey, string_agg(n_name, '|' ORDER BY n_name) AS names FROM {nation} GROUP BY n_regionkey"),
     "a10_pivot": frame(lambda e: e.groupBy("user_id").pivot("event_type", ["click", "view", "purchase"]).agg(F.count("event_id")), "events", "SELECT user_id, nullif(count(*) FILTER (event_type = 'click'), 0) AS click, nullif(count(*) FILTER (event_type = 'view'), 0) AS view, nullif(count(*) FILTER (event_type = 'purchase'), 0) AS purchase FROM events GROUP BY 1"),
@@ -79,6 +83,21 @@ QUERIES: dict[str, Query] = {
 }
 
 
+def _sampled(lines):
+    """A tenth of the rows, within five standard deviations, and none that the table lacks."""
+    part = lines.sample(0.1, seed=7)
+    n, total, others = part.agg(F.count("*").alias("n")), lines.agg(F.count("*").alias("total")), part.exceptAll(lines).agg(F.count("*").alias("others"))
+    return total.join(n).join(others).select("total", (F.abs(F.col("n") - F.col("total") * 0.1) <= 5 * F.sqrt(F.col("total") * 0.09)).alias("near"), "others")
+
+
+def _errors(events):
+    """Approximate against exact aggregates: distinct counts within three times the stated error, the median by rank within one in a thousand."""
+    by = events.groupBy("event_type").agg(F.countDistinct("user_id").alias("users"), F.approx_count_distinct("user_id", 0.02).alias("a"), F.hll_sketch_estimate(F.hll_sketch_agg("user_id", 12)).alias("h"), F.percentile_approx("value", 0.5, 10_000).alias("m"))
+    ranks = events.join(broadcast_below(by.select(F.col("event_type").alias("_t"), "m")), F.col("event_type") == F.col("_t")).groupBy("_t").agg(F.avg((F.col("value") < F.col("m")).cast("double")).alias("below"), F.avg((F.col("value") <= F.col("m")).cast("double")).alias("upto"))
+    near = lambda c, e: F.abs(F.col(c) - F.col("users")) <= F.greatest(F.lit(1.0), 3 * e * F.col("users"))
+    return by.join(ranks, F.col("event_type") == F.col("_t")).select("event_type", "users", near("a", 0.02).alias("near"), near("h", 0.016).alias("sketch"), ((F.col("below") <= 0.501) & (F.col("upto") >= 0.499)).alias("mid"))
+
+
 def _near(events):
     us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     a = events.where("event_type = 'purchase'").select(F.col("event_id").alias("a"), us("ts").alias("low"), (us("ts") + 60_000_000).alias("high"))

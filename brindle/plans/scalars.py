@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from brindle.functions.times import trunc
 from brindle.functions.vectors import cosine, dot
+from brindle.operators.joins import broadcast_below
 from brindle.plans.query import Query, frame, sql
 
 _VECTOR = """
@@ -23,6 +24,11 @@ QUERIES: dict[str, Query] = {
         "SELECT user_id, event_id, regexp_extract(props, '([0-9]+)', 1) AS digits, regexp_replace(props, '[0-9]', '#', 'g') AS masked, regexp_matches(props, '5') AS five, len(regexp_extract_all(props, '[0-9]')) AS n FROM {events}",
     ),
     "f1_url": frame(lambda p: p.select("page_id", F.parse_url("url", F.lit("HOST")).alias("host")), "pages", "SELECT page_id, regexp_extract(url, '//([^/?#:]+)', 1) AS host FROM pages"),
+    "f1_more": sql(
+        "SELECT event_id, array_join(regexp_extract_all(props, '[0-9]', 0), '-') AS digits, event_type COLLATE UTF8_LCASE = upper(event_type) AS same, soundex('Miller') AS sound, CAST(char_length(event_type) AS BIGINT) AS n, initcap(event_type) AS cap FROM {events}",
+        "SELECT event_id, array_to_string(regexp_extract_all(props, '[0-9]'), '-') AS digits, lower(event_type) = lower(upper(event_type)) AS same, 'M460' AS sound, length(event_type) AS n, upper(event_type[1]) || lower(event_type[2:]) AS cap FROM {events}",
+    ),
+    "f2_known": sql("SELECT crc32('123456789') AS c, crc32('Spark') AS d, xxhash64('Spark', array(123), 2) AS x", "SELECT 3421780262::BIGINT AS c, 1557323817::BIGINT AS d, 5602566077635097486::BIGINT AS x"),
     "f2_hashes": sql("SELECT doc_id, md5(text) AS m, sha2(text, 256) AS s FROM {documents}", "SELECT doc_id, md5(text) AS m, sha256(text) AS s FROM {documents}"),
     "f2_crc32": frame(lambda d: d.select("doc_id", F.crc32("text").alias("c"), F.xxhash64("text").alias("x")), "documents", None),
     "f3_dates": frame(
@@ -31,6 +37,11 @@ QUERIES: dict[str, Query] = {
         "SELECT o_orderkey, date_trunc('month', o_orderdate) AS m, year(o_orderdate) AS y, quarter(o_orderdate) AS q, isodow(o_orderdate) - 1 AS wd, datediff('day', DATE '1995-01-01', o_orderdate::DATE) AS days, (o_orderdate::DATE + INTERVAL 1 MONTH)::DATE AS next, last_day(o_orderdate::DATE) AS last, strftime(o_orderdate, '%Y/%m/%d') AS text FROM orders",
     ),
     "f3_intervals": sql("SELECT event_id, ts + INTERVAL '90' MINUTE AS later, CAST(timestampdiff(HOUR, TIMESTAMP_NTZ '2024-01-01', ts) AS BIGINT) AS hours FROM {events}", "SELECT event_id, ts + INTERVAL 90 MINUTE AS later, datesub('hour', TIMESTAMP '2024-01-01', ts) AS hours FROM {events}"),
+    "f3_calendar": sql(
+        "SELECT o_orderkey, round(months_between(CAST(o_orderdate AS DATE), DATE '1995-01-01'), 6) AS months, CAST(extract(DOY FROM o_orderdate) AS BIGINT) AS doy, CAST(extract(WEEK FROM o_orderdate) AS BIGINT) AS week, date_add(CAST(o_orderdate AS DATE), 10) AS later, next_day(CAST(o_orderdate AS DATE), 'MON') AS monday FROM {orders}",
+        "SELECT o_orderkey, round((year(o_orderdate) - 1995) * 12 + month(o_orderdate) - 1 + (day(o_orderdate) - 1) / 31.0, 6)::DOUBLE AS months, dayofyear(o_orderdate) AS doy, weekofyear(o_orderdate) AS week, (o_orderdate::DATE + INTERVAL 10 DAY)::DATE AS later, (o_orderdate::DATE + (8 - isodow(o_orderdate))::INTEGER) AS monday FROM {orders}",
+    ),
+    "f4_rounding": sql("SELECT l_orderkey, l_linenumber, pmod(l_partkey - 1000, 7) AS p, CAST(bround(l_quantity / 2, 0) AS BIGINT) AS even, shiftleft(l_partkey, 2) AS s, l_partkey & 12 AS a, hex(l_linenumber) AS h FROM {lineitem}", "SELECT l_orderkey, l_linenumber, ((l_partkey - 1000) % 7 + 7) % 7 AS p, CAST(round_even(l_quantity / 2, 0) AS BIGINT) AS even, l_partkey << 2 AS s, l_partkey & 12 AS a, upper(to_hex(l_linenumber)) AS h FROM {lineitem}"),
     "f4_math": sql(
         "SELECT l_orderkey, l_linenumber, l_partkey DIV 7 AS d, l_partkey % 7 AS m, CAST(round(l_extendedprice, 0) AS BIGINT) AS r, CAST(ceil(l_discount * 10) AS BIGINT) AS c, CAST(floor(l_tax * 100) AS BIGINT) AS f, round(sqrt(l_quantity), 9) AS sq, abs(l_quantity - 25) AS a, sign(l_quantity - 25) AS sg, greatest(l_discount, l_tax) AS g, least(l_discount, l_tax) AS l, round(ln(l_quantity + 1), 9) AS ln, round(power(l_quantity, 2), 3) AS p, try_divide(l_quantity, l_discount) AS q FROM {lineitem}",
         "SELECT l_orderkey, l_linenumber, l_partkey // 7 AS d, l_partkey % 7 AS m, CAST(round(l_extendedprice, 0) AS BIGINT) AS r, CAST(ceil(l_discount * 10) AS BIGINT) AS c, CAST(floor(l_tax * 100) AS BIGINT) AS f, round(sqrt(l_quantity), 9) AS sq, abs(l_quantity - 25) AS a, CAST(sign(l_quantity - 25) AS DOUBLE) AS sg, greatest(l_discount, l_tax) AS g, least(l_discount, l_tax) AS l, round(ln(l_quantity + 1), 9) AS ln, round(power(l_quantity, 2), 3) AS p, CASE WHEN l_discount = 0 THEN NULL ELSE l_quantity / l_discount END AS q FROM {lineitem}",
@@ -55,6 +66,6 @@ QUERIES: dict[str, Query] = {
 
 
 def _vectors(embeddings):
-    one = embeddings.where("vec_id = 0").select(F.col("embedding").alias("q"))  # a single row
-    both = embeddings.join(F.broadcast(one))
+    one = embeddings.where("vec_id = 0").select(F.col("embedding").alias("q"))
+    both = embeddings.join(broadcast_below(one, 1000))
     return both.select("vec_id", F.round(dot(F.col("embedding"), F.col("q")), 9).alias("d"), F.round(cosine(F.col("embedding"), F.col("q")), 9).alias("cosine"))

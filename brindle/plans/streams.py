@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from brindle.plans.query import Query
@@ -21,13 +19,16 @@ def stream(spark, sf_dir, where: str = "true"):
     return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
+FILES = 4
+
+
 def ordered_stream(spark, sf_dir, *parts: str):
-    """The events of each condition in a file of its own, one batch each, in this order."""
+    """The events of each condition in FILES files of their own, which are one batch, in this order (a condition has many more rows than files)."""
     path = workspace(spark)
     events = table(spark, sf_dir, "events")
     for part in parts:
-        events.where(part).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        events.where(part).repartition(FILES).write.mode("append").parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", FILES).parquet(path)
 
 
 _PARTS = ("ts < timestamp_ntz '2024-01-10'", "ts >= timestamp_ntz '2024-01-10' and ts < timestamp_ntz '2024-01-20'", "ts >= timestamp_ntz '2024-01-20' and ts < timestamp_ntz '2024-01-27'", "ts >= timestamp_ntz '2024-01-27'")
@@ -47,11 +48,8 @@ def _restart(spark, sf_dir):
     return files.read(spark, out, schema=events.schema).select("event_id", "ts", "event_type")
 
 
-def _memory(build, mode):
-    def run(spark, sf_dir):
-        return w.run(spark, build(stream(spark, sf_dir)), workspace(spark), mode, f"out_{uuid.uuid4().hex}")
-
-    return run
+def _complete(build):
+    return lambda spark, sf_dir: w.run_complete(spark, build(stream(spark, sf_dir)), workspace(spark), workspace(spark))
 
 
 def _files(build):
@@ -65,8 +63,13 @@ def _files(build):
 
 
 def _state(spark, sf_dir):
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", w.ROCKSDB)
-    out = _files(lambda s, d: w.running_total(stream(s, d)))(spark, sf_dir)
+    conf = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, w.ROCKSDB)
+    try:  # other queries keep the store they had
+        out = _files(lambda s, d: w.running_total(stream(s, d)))(spark, sf_dir)
+    finally:
+        spark.conf.set(conf, before)
     # files arrive in no fixed order, but each place is taken once
     return out.groupBy("user_id").agg(F.max("nth").alias("last"), F.countDistinct("nth").alias("places"), F.countDistinct("event_id").alias("events"))
 
@@ -92,9 +95,10 @@ QUERIES: dict[str, Query] = {
     "t1_watermark": Query(_append(*_PARTS), _CLOSED),
     "t8_late_data": Query(_append(*_PARTS, _LATE), _CLOSED),
     "t9_restart": Query(_restart, "SELECT event_id, ts, event_type FROM events"),
-    "t2_tumbling": Query(_memory(lambda e: w.tumbling(e, "1 hour", "1 hour"), "complete"), """SELECT date_trunc('hour', ts) AS start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS "end", event_type, count(*) AS n FROM events GROUP BY 1, 2, 3"""),
-    "t3_sliding": Query(_memory(lambda e: w.sliding(e, "1 hour", "30 minutes", "1 hour"), "complete"), """SELECT s AS start, s + INTERVAL 1 HOUR AS "end", count(*) AS n FROM (SELECT unnest([time_bucket(INTERVAL 30 MINUTE, ts), time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30 MINUTE]) AS s FROM events) GROUP BY 1, 2"""),
-    "t4_sessions": Query(lambda spark, d: w.sessions(table(spark, d, "events"), "30 minutes", "1 hour"), _SESSIONS),
+    "t2_tumbling": Query(_complete(lambda e: w.tumbling(e, "1 hour", "1 hour")), """SELECT date_trunc('hour', ts) AS start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS "end", event_type, count(*) AS n FROM events GROUP BY 1, 2, 3"""),
+    "t3_sliding": Query(_complete(lambda e: w.sliding(e, "1 hour", "30 minutes", "1 hour")), """SELECT s AS start, s + INTERVAL 1 HOUR AS "end", count(*) AS n FROM (SELECT unnest([time_bucket(INTERVAL 30 MINUTE, ts), time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30 MINUTE]) AS s FROM events) GROUP BY 1, 2"""),
+    "t4_sessions": Query(_files(lambda s, d: w.sessions(ordered_stream(s, d, *_PARTS), "30 minutes", "1 hour")), f'SELECT * FROM ({_SESSIONS}) WHERE "end" <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)'),
+    "t4_sessions_batch": Query(lambda spark, d: w.sessions(table(spark, d, "events"), "30 minutes", "1 hour"), _SESSIONS),
     "t5_deduplicated": Query(_files(lambda s, d: w.deduplicated(stream(s, d).unionByName(stream(s, d)), ["event_id"], "90 days").select("event_id", "event_type")), "SELECT event_id, event_type FROM events"),
     "t6_stream_join": Query(_files(lambda s, d: w.followed(stream(s, d, "event_type = 'view'"), stream(s, d, "event_type = 'purchase'"), "6 HOURS", "40 days")), "SELECT a.event_id AS a, b.event_id AS b FROM events a JOIN events b ON a.user_id = b.user_id AND b.ts > a.ts AND b.ts <= a.ts + INTERVAL 6 HOUR WHERE a.event_type = 'view' AND b.event_type = 'purchase'"),
     "t7_state": Query(_state, "SELECT user_id, count(*) AS last, count(*) AS places, count(*) AS events FROM events GROUP BY 1"),

@@ -70,16 +70,23 @@ def running_total(events: DataFrame) -> DataFrame:
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def run(spark: SparkSession, df: DataFrame, checkpoint: str, mode: str, name: str) -> DataFrame:
-    """Run to the end of what is there, into an in-memory table, for small results; returns the table."""
-    query = df.writeStream.outputMode(mode).format("memory").queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return spark.table(name)
+def run_complete(spark: SparkSession, df: DataFrame, out: str, checkpoint: str) -> DataFrame:
+    """Run to the end of what is there in complete mode; each batch writes the whole result to a folder of its own, the last of which is returned."""
+    last = []
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/{number}")
+        last[:] = [number]
 
+    df.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(df.schema).parquet(f"{out}/{last[0]}") if last else spark.createDataFrame([], df.schema)
 
-def run_to_files(df: DataFrame, out: str, checkpoint: str) -> None:
-    """Append to parquet files exactly once; a restart from the checkpoint goes on where it stopped."""
-    df.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+def run_to_files(df: DataFrame, out: str, checkpoint: str) -> int:
+    """Append to parquet files exactly once; a restart from the checkpoint goes on where it stopped. Returns how many rows came too late."""
+    query = df.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
 
 
 def run_each_batch(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:

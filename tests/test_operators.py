@@ -98,11 +98,19 @@ def test_late_events_are_dropped_after_the_watermark(spark):
     checkpoint, out = workspace(spark), workspace(spark)
     for upto in range(1, 5):
         src = spark.readStream.schema(schema).parquet(f"{path}/b[0-{upto - 1}]")
-        w.run_to_files(w.tumbling(src, "1 hour", "1 hour"), out, checkpoint)
+        late = w.run_to_files(w.tumbling(src, "1 hour", "1 hour"), out, checkpoint)
+        assert late == (upto == 4)
     got = sorted((r.start.hour, r.n) for r in spark.read.parquet(out).collect())
     assert got[0] == (0, 1)
 
 
+def test_the_state_store_of_other_queries_stays(spark, sf_dir):
+    conf = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(conf)
+    registry.queries()["t7_state"](spark, sf_dir)
+    assert spark.conf.get(conf) == before != w.ROCKSDB
+
+
 def test_restart_loses_and_repeats_nothing(spark, sf_dir):
     path, out, checkpoint = workspace(spark), workspace(spark), workspace(spark)
     events = table(spark, sf_dir, "events")
