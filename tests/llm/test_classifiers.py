@@ -98,3 +98,42 @@ def test_toxic_text_behind_a_long_run_counts():
         plain = sep.join(clean().split() * 2)
         a, b = model.scores([plain, plain + sep + sep.join(["vilest", "scum"])])
         assert a < 0.5 < b, (sep, a, b)
+
+
+def quality_by_hand(m, text):
+    """Every token's vectors averaged and put through the network, one by one."""
+    words, rows = text.encode().split(), []
+    for before, word in zip([None, *words], words):
+        rows += [m.image[m._form(f)].astype(float) for f in quality.forms(word)]
+        if before == word:
+            rows.append(m.image[m.names[quality.AGAIN]].astype(float))
+    x = sum(rows) / len(rows) if rows else np.zeros(m.image.shape[1])
+    b1, w2, b2 = m.layers
+    return labelled.sigmoid(m.scale * (sum(max(0.0, a) * b for a, b in zip(x + b1, w2)) + b2) + m.shift)
+
+
+def toxicity_by_hand(m, text):
+    """The greatest mean over all windows of the means of their words' n-grams."""
+    one = {w: sum(m.buckets[g] for g in toxicity.grams(w)) / len(toxicity.grams(w)) for w in set(toxicity.words_of(text))}
+    values = [one[w] for w in toxicity.words_of(text)]
+    n = toxicity.WINDOW
+    best = max((sum(values[k : k + n]) / len(values[k : k + n]) for k in range(max(1, len(values) - n + 1))), default=0.0) if values else 0.0
+    return labelled.sigmoid(m.scale * (best + m.bias) + m.shift)
+
+
+@pytest.mark.parametrize("of, by_hand", [(quality, quality_by_hand), (toxicity, toxicity_by_hand)])
+def test_scores_against_brute_force(spark, sf_dir, of, by_hand):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = of.fit_on(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    got = {r.doc_id: r._score for r in of.scored(docs, model).collect()}
+    want = {r.doc_id: by_hand(model, r.text) for r in docs.collect()}
+    assert got.keys() == want.keys() and max(abs(got[k] - want[k]) for k in got) < 1e-4
+
+
+def test_sample_leaves_giants_out_and_stays_full(spark):
+    docs = spark.createDataFrame([(k, "x" * (70 if k % 10 == 0 else 5)) for k in range(100)] + [(1, "x"), (None, "y")], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(100)] + [(200, 1)], "doc_id long, toxic int")
+    got = labelled.sample(docs, labels, "toxic", labelled.F.lit(True), 20, 1000)
+    assert len(got) == 40 and {y for _, y in got} == {0, 1} and max(len(t) for t, _ in got) <= 5
+    assert labelled.sample(docs, labels, "toxic", labelled.F.lit(True), 20, 1000) == got
+    assert labelled.sample(docs.limit(0), labels, "toxic", labelled.F.lit(True), 20, 1000) == []
