@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_time: str, right_time: str, columns: list[str], inclusive: bool = True) -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_time: str, right_time: str, columns: list[str], inclusive: bool = True, span: Callable[[Column], Column] | None = None) -> DataFrame:
     """Each row of left with `columns` of the last row of right of the same `by` at or before (or strictly before) its time.
 
     Both sides are put in one sequence for each key and the last row of right is carried along: one shuffle and one sort,
     whatever the number of rows of right before each row of left. Rows of left whose time is null get nulls; keys
     that are null never meet; of rows of right at one time the one with the greatest columns counts. Names of `columns` must not be in left.
+
+    span: for keys with more rows than a task should sort, a function of time that never falls (a day, say). Sequences are then of a key
+    and a span; what earlier spans leave comes from their last rows, of which there is one for each key and span.
     """
     after, before = (1, 0) if inclusive else (0, 1)
     l = left.select(F.struct(*left.columns).alias("_l"), *(F.col(c).alias(f"_k{i}") for i, c in enumerate(by)), F.col(left_time).alias("_t"), F.lit(after).alias("_side"), F.lit(None).cast(right.select(F.struct(*columns)).schema[0].dataType).alias("_r"))
@@ -21,8 +25,17 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_time: str,
     r = r.select(F.lit(None).cast(l.schema["_l"].dataType).alias("_l"), *(F.col(c).alias(f"_k{i}") for i, c in enumerate(by)), F.col(right_time).alias("_t"), F.lit(before).alias("_side"), F.struct(*columns).alias("_r"))
     keys = [f"_k{i}" for i in range(len(by))]
     known = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys)) & F.col("_t").isNotNull()
-    order = Window.partitionBy(*keys).orderBy("_t", "_side", F.col("_r").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    out = l.unionByName(r).withColumn("_got", F.when(known, F.last("_r", ignorenulls=True).over(order))).where("_l is not null")
+    every = l.unionByName(r)
+    parts = keys
+    if span is not None:
+        parts, every = [*keys, "_span"], every.withColumn("_span", span(F.col("_t")))
+    order = Window.partitionBy(*parts).orderBy("_t", "_side", F.col("_r").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    out = every.withColumn("_got", F.when(known, F.last("_r", ignorenulls=True).over(order))).where("_l is not null")
+    if span is not None:
+        # the last row of right of each key and span, and what it is for the spans behind
+        ends = every.where(known).groupBy(*parts).agg(F.max(F.when(F.col("_r").isNotNull(), F.struct("_t", "_r")))["_r"].alias("_end"))
+        carried = ends.select(*(F.col(c).alias(f"{c}_") for c in parts), F.last("_end", ignorenulls=True).over(Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)).alias("_earlier"))
+        out = out.join(carried, reduce(lambda a, b: a & b, (F.col(c) == F.col(f"{c}_") for c in parts)), "left").withColumn("_got", F.when(known, F.coalesce("_got", "_earlier")))
     return out.select("_l.*", *(F.col(f"_got.{c}").alias(c) for c in columns))
 
 

@@ -41,6 +41,7 @@ QUERIES: dict[str, Query] = {
     "j13_range": frame(lambda e: _near(e), "events", "SELECT a.event_id AS a, b.event_id AS b FROM events a JOIN events b ON epoch_us(b.ts) >= epoch_us(a.ts) AND epoch_us(b.ts) < epoch_us(a.ts) + 60000000 WHERE a.event_type = 'purchase' AND b.event_type = 'view'"),
     "j14_asof": frame(lambda e: _asof(e, True), "events", "SELECT p.event_id, p.ts, v.event_id AS last_view FROM (SELECT * FROM events WHERE event_type = 'purchase') p ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'view') v ON p.user_id = v.user_id AND p.ts >= v.ts"),
     "j14_asof_strict": frame(lambda e: _asof(e, False), "events", "SELECT p.event_id, p.ts, v.event_id AS last_view FROM (SELECT * FROM events WHERE event_type = 'purchase') p ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'view') v ON p.user_id = v.user_id AND p.ts > v.ts"),
+    "j14_asof_spans": frame(lambda e: _asof(e, True, lambda t: F.date_trunc("day", t)), "events", "SELECT p.event_id, p.ts, v.event_id AS last_view FROM (SELECT * FROM events WHERE event_type = 'purchase') p ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'view') v ON p.user_id = v.user_id AND p.ts >= v.ts"),
     "j15_salted": frame(lambda l, s: salted_join(l.withColumnRenamed("l_suppkey", "k"), s.withColumnRenamed("s_suppkey", "k"), "k", 4).groupBy("s_nationkey").agg(F.count("*").alias("n")), "lineitem supplier", "SELECT s_nationkey, count(*) AS n FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1"),
     # aggregation
     "a1_grouped": sql(f"SELECT l_returnflag, l_linestatus, CAST(sum({D.format('l_quantity')}) AS DOUBLE) AS qty, CAST(sum({REVENUE}) AS DOUBLE) AS revenue, count(*) AS n, min(l_shipdate) AS first_ship, max(l_discount) AS most FROM {{lineitem}} GROUP BY l_returnflag, l_linestatus"),
@@ -105,7 +106,7 @@ def _near(events):
     return range_join(b, a, F.col("at"), F.col("low"), F.col("high"), 60_000_000).select("a", "b")
 
 
-def _asof(events, inclusive):
+def _asof(events, inclusive, span=None):
     views = events.where("event_type = 'view'").select("user_id", "ts", F.col("event_id").alias("last_view"))
-    out = asof_join(events.where("event_type = 'purchase'"), views, ["user_id"], "ts", "ts", ["last_view"], inclusive)
+    out = asof_join(events.where("event_type = 'purchase'"), views, ["user_id"], "ts", "ts", ["last_view"], inclusive, span)
     return out.select("event_id", "ts", "last_view")

@@ -23,6 +23,9 @@ def test_asof_nulls_and_ties(spark, inclusive, want):
     left = spark.createDataFrame([(1, "x", 5), (2, "x", 0), (3, "y", 9), (4, None, 9), (5, "x", None)], "id int, k string, t int")
     right = spark.createDataFrame([("x", 1, "a"), ("x", 5, "b"), ("x", 6, "z"), ("y", 2, "c"), ("y", 2, "b"), (None, 1, "n"), ("x", None, "q")], "k string, t int, v string")
     assert sorted(map(tuple, asof_join(left, right, ["k"], "t", "t", ["v"], inclusive).select("id", "v").collect())) == want
+    for span in (1, 3, 100):
+        got = asof_join(left, right, ["k"], "t", "t", ["v"], inclusive, lambda t: F.floor(t / span))
+        assert sorted(map(tuple, got.select("id", "v").collect())) == want
     assert asof_join(left, right.limit(0), ["k"], "t", "t", ["v"]).where("v is not null").count() == 0
 
 
