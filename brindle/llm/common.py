@@ -34,8 +34,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, in a folder of this application's: it may be deleted when the application is over."""
+    return f"{shared_dir(spark)}/brindle-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:
