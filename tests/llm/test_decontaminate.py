@@ -56,6 +56,8 @@ def test_brute_force_and_sql(spark):
     got = {(r.doc_id, r.item_id): round(r.similarity, 6) for r in dc.leaks(d, b).collect()}
     assert len(want) > 30 and any(v < 1 for v in want.values())
     assert got == want
+    sieved = dc.leaks_by_text(d, b, broadcast_rows=0)
+    assert {(r.doc_id, r.item_id): round(r.similarity, 6) for r in sieved.orderBy("similarity").collect()} == want
     con = duckdb.connect()
     con.register("documents", pd.DataFrame(docs, columns=["doc_id", "text"]).astype({"doc_id": "Int64"}))
     con.register("benchmark", pd.DataFrame(items, columns=["item_id", "text"]).astype({"item_id": "Int64"}))
