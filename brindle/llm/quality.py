@@ -20,6 +20,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from brindle.llm.common import bounded_batches, column, pieces, take_turn, tidy, unused
-from brindle.llm.labelled import fold, sample, sigmoid, temperature
+from brindle.llm.labelled import add_rows, fold, sample, sigmoid, temperature
 
 DIM, SEEDS, SPAN, HIDDEN, VOCABULARY, BUCKETS = 128, 6, 2, 24, 20_000, 1 << 14
 MOST, MOST_CHARS = 2000, 16_000_000
@@ -43,12 +44,16 @@ def forms(word: bytes) -> list[str]:
         out.append("\x00upper")
     elif core[:1].isupper():
         out.append("\x00title")
-    if any(c.isdigit() for c in core):
+    if not core.isalpha() and any(map(str.isdigit, core)):
         out.append("\x00digit")
     if len(core) > 20:
         out.append("\x00long")
-    marks = re.findall(r"([^\w\s])(\1*)", w)
-    return out + [f"\x00{a}{'+' * bool(b)}" for a, b in marks]
+    if w.isalnum():
+        return out
+    return out + [f"\x00{a}{'+' * bool(b)}" for a, b in _MARKS.findall(w)]
+
+
+_MARKS = re.compile(r"([^\w\s])(\1*)")
 
 
 _PUNCT = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -88,7 +93,7 @@ class Model:
         out = np.zeros((len(words), self.image.shape[1] + 1), np.float32)
         ids = np.fromiter((self._form(f) for fs in own for f in fs), np.int64)
         owner = np.repeat(np.arange(len(words)), [len(fs) for fs in own])
-        np.add.at(out[:, :-1], owner, self.image[ids])
+        add_rows(out[:, :-1], owner, self.image[ids])
         out[:, -1] = [len(fs) for fs in own]
         return out
 
@@ -152,10 +157,11 @@ def fit(rows: list[tuple[str, int]], seed: int = 1) -> Model | None:
     y = np.array([k for _, k in rows], float)
     if len(set(y.tolist())) < 2:
         return None
+    forms_of = lru_cache(None)(forms)  # over the words of the bounded sample
     docs = []
     for text, _ in rows:
         words = text.encode().split()
-        docs.append([f for a, b in zip([b"", *words], words) for f in [*forms(b), *([AGAIN] if a == b else [])]])
+        docs.append([f for a, b in zip([b"", *words], words) for f in [*forms_of(b), *([AGAIN] if a == b else [])]])
     count = Counter(f for d in docs for f in set(d))
     vocabulary = [w for w, n in sorted(count.items(), key=lambda x: (-x[1], x[0]))[:VOCABULARY] if n >= 3 and w != AGAIN]
     names = {w: k for k, w in enumerate([AGAIN, *vocabulary])}
@@ -170,7 +176,7 @@ def fit(rows: list[tuple[str, int]], seed: int = 1) -> Model | None:
         for gap in range(1, SPAN + 1):
             for a, b in ((ids[gap:], ids[:-gap]), (ids[:-gap], ids[gap:])):
                 known = a < len(names)
-                np.add.at(near, a[known], vectors[b[known]])
+                add_rows(near, a[known], vectors[b[known]])
     # of a word's neighbours, what all words' neighbours have in common says nothing
     near -= near.sum(1, keepdims=True) / DIM
     norm = np.linalg.norm(near, axis=1, keepdims=True)

@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,19 +29,38 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from brindle.llm.common import KEPT_BYTES, bounded_batches, column, pieces, take_turn, tidy, unused
-from brindle.llm.labelled import fold, sample, sigmoid, temperature
+from brindle.llm.labelled import add_rows, fold, sample, sigmoid, temperature
 
 BUCKETS, DIM, WINDOW, ROUNDS, EPOCHS = 1 << 17, 12, 5, 3, 12
 LONGEST, OVERLAP = 64, 4
 MOST, MOST_CHARS = 1500, 16_000_000
 
 
-def grams(word: bytes) -> list[int]:
-    """Buckets of the n-grams of a word (UTF-8): lower case, without punctuation at its ends."""
-    w = word.decode("utf-8", "replace").lower().strip(_PUNCT) or word.decode("utf-8", "replace")
-    w = f"<{w}>"
-    out = {w} | {w[k : k + n] for n in (3, 4, 5) for k in range(len(w) - n + 1)}
-    return [zlib.crc32(g.encode()) % BUCKETS for g in sorted(out)]
+def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of words (UTF-8; in lower case, without punctuation at their ends): the bucket of each, and the place of its word.
+
+    All at once: characters of all words in one array, hashed over each run of 3, 4 and 5 that lies in a word; and each word as a whole.
+    """
+    text = [w.decode("utf-8", "replace") for w in words]
+    text = [f"<{t.lower().strip(_PUNCT) or t}>" for t in text]
+    size = np.fromiter(map(len, text), np.int64, len(text))
+    code = np.frombuffer("".join(text).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    owner = np.repeat(np.arange(len(text)), size)
+    left = np.repeat(np.cumsum(size), size) - np.arange(len(code))  # characters from here to the word's end
+    h = np.full(len(code), 0x9E3779B97F4A7C15, np.uint64)
+    found, of = [], []
+    for n in range(1, 6):
+        h = h[: max(0, len(code) - n + 1)]
+        h = (h ^ code[n - 1 :]) * np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(29)
+        if n >= 3:
+            inside = left[: len(h)] >= n
+            found.append(h[inside] + np.uint64(n))
+            of.append(owner[: len(h)][inside])
+    found.append(np.fromiter((zlib.crc32(t.encode("utf-8", "replace")) for t in text), np.uint64, len(text)))
+    of.append(np.arange(len(text)))
+    x = np.concatenate(found)
+    return ((x ^ (x >> np.uint64(32))) % np.uint64(BUCKETS)).astype(np.int64), np.concatenate(of)
 
 
 _PUNCT = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -84,10 +102,8 @@ class Model:
         if None in got:
             places = [k for k, x in enumerate(got) if x is None]
             new = list({words[k] for k in places})
-            bags = [grams(w) for w in new]
-            starts = np.cumsum([0, *map(len, bags)])
-            flat = self.buckets[np.fromiter((b for bag in bags for b in bag), np.int64, starts[-1])]
-            means = np.add.reduceat(flat, starts[:-1]) / np.diff(starts)
+            ids, owner = grams(new)
+            means = np.bincount(owner, self.buckets[ids], len(new)) / np.bincount(owner, minlength=len(new))
             made = dict(zip(new, means.tolist(), strict=True))
             for k in places:
                 got[k] = made[words[k]]
@@ -97,11 +113,7 @@ class Model:
 
     def windows(self, words: list[bytes]) -> np.ndarray:
         """Logits of all windows; the whole text is the one window of a shorter text."""
-        s = self.word_scores(words)
-        if len(s) <= WINDOW:
-            return np.array([s.mean() + self.bias]) if len(s) else np.array([self.bias])
-        c = np.concatenate(([0.0], np.cumsum(s)))
-        return (c[WINDOW:] - c[:-WINDOW]) / WINDOW + self.bias
+        return _means(self.word_scores(words)) + self.bias
 
     def logit(self, words: list[bytes]) -> float:
         return float(self.windows(words).max())
@@ -112,79 +124,83 @@ class Model:
 
 def fit(rows: list[tuple[str, int]], seed: int = 1) -> Model | None:
     """The model for (text, 0 or 1) rows; None without both labels."""
-    same: dict[bytes, bytes] = {}
-    docs = [[same.setdefault(w, w) for w in words_of(t)] for t, _ in rows]  # a word is held once
+    number: dict[bytes, int] = {}  # documents are arrays of words' numbers
+    docs = [np.array([number.setdefault(w, len(number)) for w in words_of(t)], np.int32) for t, _ in rows]
     y = np.array([y for _, y in rows])
-    keep = [k for k, d in enumerate(docs) if d]
+    keep = [k for k, d in enumerate(docs) if len(d)]
     docs, y = [docs[k] for k in keep], y[keep] if len(keep) else y[:0]
     if len(set(y.tolist())) < 2:
         return None
     rng = np.random.default_rng(seed)
-    core = {w: w.lower().strip(_PUNCT.encode()) for w in same}
-    df = [Counter(), Counter()]
-    for d, k in zip(docs, y, strict=True):
-        df[k].update({core[w] for w in d})
-    n = [int((y == 0).sum()), int((y == 1).sum())]
-    odds = {w: np.log((df[1][w] + 0.5) / (n[1] + 1)) - np.log((df[0][w] + 0.5) / (n[0] + 1)) for w in df[1]}
-    # words met in one document say little
-    odds = {w: v if df[1][w] + df[0][w] > 2 else 0.0 for w, v in odds.items()}
-
-    def first(k: int) -> np.ndarray:
-        return _sums(np.array([odds.get(core[w], 0.0) for w in docs[k]]))
+    words = list(number)
+    ids, owner = grams(words)
+    order = np.argsort(owner, kind="stable")
+    ids, size = ids[order].astype(np.int32), np.bincount(owner, minlength=len(words))
+    at = np.concatenate(([0], np.cumsum(size)))
+
+    def firsts() -> np.ndarray:
+        """Each word's log odds to stand in toxic documents; words met in one or two documents say little."""
+        cores: dict[bytes, int] = {}
+        core = np.array([cores.setdefault(w.lower().strip(_PUNCT.encode()), len(cores)) for w in words])
+        df = np.zeros((2, len(cores)))
+        for d, k in zip(docs, y, strict=True):
+            df[k, np.unique(core[d])] += 1
+        n = np.bincount(y, minlength=2)
+        odds = np.log((df[1] + 0.5) / (n[1] + 1)) - np.log((df[0] + 0.5) / (n[0] + 1))
+        return np.where((df[1] > 0) & (df.sum(0) > 2), odds, 0.0)[core]
 
     emb = rng.normal(0, 0.05, (BUCKETS, DIM))
     out, bias = rng.normal(0, 0.1, (DIM, 2)), np.zeros(2)
-    model = None
-    for turn in range(ROUNDS):
-        chosen: list[tuple[list[bytes], int]] = []
-        for k, d in enumerate(docs):
-            s = first(k) if model is None else model.windows(docs[k])
+    score, model = firsts(), None
+    for _ in range(ROUNDS):
+        chosen: list[tuple[np.ndarray, int]] = []
+        for d, k in zip(docs, y, strict=True):
+            s = _means(score[d])
             top = int(s.argmax())
-            chosen.append((d[top : top + WINDOW], int(y[k])))
-            if not y[k]:
-                for at in rng.integers(0, len(s), 2):
-                    chosen.append((d[at : at + WINDOW], 0))
-        emb, out, bias = _train(chosen, emb, out, bias, rng)
+            chosen.append((d[top : top + WINDOW], int(k)))
+            if not k:
+                for a in rng.integers(0, len(s), 2):
+                    chosen.append((d[a : a + WINDOW], 0))
+        emb, out, bias = _train(chosen, ids, at, emb, out, bias, rng)
         model = Model(emb @ (out[:, 1] - out[:, 0]), float(bias[1] - bias[0]), 1.0, 0.0)
-    logits = np.array([model.logit(d) for d in docs])
+        score = np.add.reduceat(model.buckets[ids], at[:-1]) / size
+    logits = np.array([_means(score[d]).max() + model.bias for d in docs])
     model.scale, model.shift = temperature(logits, y)
-    model.known = {}
     return model
 
 
-def _sums(s: np.ndarray) -> np.ndarray:
+def _means(s: np.ndarray) -> np.ndarray:
+    """The mean of each window of a text's words; the whole text is the one window of a shorter text."""
     if len(s) <= WINDOW:
-        return np.array([s.sum()])
+        return np.array([s.mean() if len(s) else 0.0])
     c = np.concatenate(([0.0], np.cumsum(s)))
-    return c[WINDOW:] - c[:-WINDOW]
+    return (c[WINDOW:] - c[:-WINDOW]) / WINDOW
 
 
-def _train(windows, emb, out, bias, rng, rate: float = 0.5, batch: int = 64):
-    """Adagrad over windows: embeddings, softmax and bias jointly."""
+def _train(windows, ids, at, emb, out, bias, rng, rate: float = 0.5, batch: int = 64):
+    """Adagrad over windows (words, label): embeddings, softmax and bias jointly. A word's n-grams are ids[at[word] : at[word + 1]]."""
     seen_e, seen_o, seen_b = np.full(len(emb), 1e-4), np.full(out.shape, 1e-4), np.full(2, 1e-4)
     weight = len(windows) / 2 / np.maximum(1, np.bincount([y for _, y in windows], minlength=2))
-    bags = {w: np.array(grams(w), np.int32) for ws, _ in windows for w in ws}
-    flat = [np.concatenate([bags[w] for w in ws]) for ws, _ in windows]
+    flat = [np.concatenate([ids[at[w] : at[w + 1]] for w in ws]) for ws, _ in windows]
     # each word's n-grams share the word's part of the window
-    part = [np.concatenate([np.full(len(bags[w]), 1 / len(bags[w]) / len(ws)) for w in ws]) for ws, _ in windows]
+    part = [np.concatenate([np.full(at[w + 1] - at[w], 1 / (at[w + 1] - at[w]) / len(ws)) for w in ws]) for ws, _ in windows]
     label = np.array([y for _, y in windows])
     for _ in range(EPOCHS):
         order = rng.permutation(len(windows))
-        for at in range(0, len(order), batch):
-            rows = order[at : at + batch]
-            ids, coef = np.concatenate([flat[k] for k in rows]), np.concatenate([part[k] for k in rows])
+        for begin in range(0, len(order), batch):
+            rows = order[begin : begin + batch]
+            here, coef = np.concatenate([flat[k] for k in rows]), np.concatenate([part[k] for k in rows])
             owner = np.repeat(np.arange(len(rows)), [len(flat[k]) for k in rows])
             cuts = np.cumsum([0, *[len(flat[k]) for k in rows]])[:-1]
-            mean = np.add.reduceat(emb[ids] * coef[:, None], cuts)
+            mean = np.add.reduceat(emb[here] * coef[:, None], cuts)
             z = mean @ out + bias
             p = np.exp(z - z.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
             g = (p - np.eye(2)[label[rows]]) * weight[label[rows]][:, None] / len(rows)
             g_out, g_mean, g_b = mean.T @ g + 1e-4 * out, g @ out.T, g.sum(0)
-            g_emb = g_mean[owner] * coef[:, None]
-            uniq, back = np.unique(ids, return_inverse=True)
+            uniq, back = np.unique(here, return_inverse=True)
             total = np.zeros((len(uniq), emb.shape[1]))
-            np.add.at(total, back, g_emb)
+            add_rows(total, back, g_mean[owner] * coef[:, None])
             total += 1e-5 * emb[uniq]
             seen_e[uniq] += (total**2).mean(1)
             emb[uniq] -= rate * 0.2 * total / np.sqrt(seen_e[uniq])[:, None]

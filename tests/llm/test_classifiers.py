@@ -85,7 +85,18 @@ def test_long_runs_are_read_whole():
         assert all(len(w) <= 64 for w in got)
         assert all(any(run[k : k + 5] in w for w in got) for k in range(len(run) - 4)) or "," in run or "_" in run
         assert set("".join(got)) == set(run) and sum(map(len, got)) >= len(run)
-    assert len(set(grams("".join(map(str, range(100, 200))).encode()))) > 300
+    assert len(set(grams(["".join(map(str, range(100, 200))).encode()])[0].tolist())) > 300
+
+
+def test_grams_of_words_at_once():
+    """A word's n-grams are the same alone and among others; words share those of equal runs of characters; punctuation and case fall away."""
+    words = [b"idiot", b"Idiots!", b"a", b"", b"...", "\u5b57\u5b57".encode(), b"\xff\xfe", b"idiot"]
+    ids, of = toxicity.grams(words)
+    alone = [sorted(toxicity.grams([w])[0].tolist()) for w in words]
+    assert [sorted(ids[of == k].tolist()) for k in range(len(words))] == alone
+    assert [len(x) for x in alone[:3]] == [5 + 4 + 3 + 1, 6 + 5 + 4 + 1, 1 + 1] and alone[0] == alone[7]
+    assert len(set(alone[0]) & set(alone[1])) >= 9 and len(set(ids.tolist())) > 20
+    assert [len(x) for x in toxicity.grams([])] == [0, 0]
 
 
 def test_toxic_text_behind_a_long_run_counts():
@@ -114,7 +125,7 @@ def quality_by_hand(m, text):
 
 def toxicity_by_hand(m, text):
     """The greatest mean over all windows of the means of their words' n-grams."""
-    one = {w: sum(m.buckets[g] for g in toxicity.grams(w)) / len(toxicity.grams(w)) for w in set(toxicity.words_of(text))}
+    one = {w: np.mean([m.buckets[g] for g in toxicity.grams([w])[0]]) for w in set(toxicity.words_of(text))}
     values = [one[w] for w in toxicity.words_of(text)]
     n = toxicity.WINDOW
     best = max((sum(values[k : k + n]) / len(values[k : k + n]) for k in range(max(1, len(values) - n + 1))), default=0.0) if values else 0.0
