@@ -33,7 +33,7 @@ from brindle.llm.common import n_words, settle, unused
 
 TOLERANCE, STEPS, HALVED = 1e-11, 120, 30
 UNIT = 1_000_000_000  # a fraction of a rate is a number of billionths
-HASH_BITS, DIGIT, DIGITS = 30, 12, 3
+HASH_BITS, DIGIT, DIGITS = 30, 9, 4
 BINS = 1 << DIGIT
 LAST_KEY = (1 << DIGIT * DIGITS) - 1
 BROADCAST_SOURCES = 100_000  # some 10 MB
