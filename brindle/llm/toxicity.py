@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from brindle.llm.common import KEPT_BYTES, bounded_batches, column, pieces, take_turn, tidy, unused
+from brindle.llm.common import KEPT_BYTES, bounded_batches, column, pieces, release, take_turn, tidy, unused
 from brindle.llm.labelled import add_rows, fold, sample, sigmoid, temperature
 
 BUCKETS, DIM, WINDOW, ROUNDS, EPOCHS = 1 << 17, 12, 5, 3, 12
@@ -238,7 +238,9 @@ def scored(docs: DataFrame, model: Model | None, carry: tuple[str, ...] = (), na
 
 def fit_on(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0) -> Model | None:
     """Fit on a sample of the labelled rows outside the held-out fold."""
-    return fit(sample(docs, labels, "toxic", fold(n=folds) != held_out, MOST, MOST_CHARS))
+    model = fit(sample(docs, labels, "toxic", fold(n=folds) != held_out, MOST, MOST_CHARS))
+    release()  # the sample and what was made of it
+    return model
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
