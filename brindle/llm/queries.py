@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brindle.llm import decontaminate, hamming_topk, html_main, lexical_search, ngram_join, packing, quality, secrets, source_mix, token_records, tool_calls, toxicity
+from brindle.llm import decontaminate, hamming_topk, html_main, lexical_search, ngram_join, packing, prefix_trie, quality, secrets, source_mix, token_records, tool_calls, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +60,10 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tool_calls.formatted(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def byte_bpe() -> str:
     """The file of the tokenizer that the packing query uses."""
     import public_tokenizers
@@ -76,8 +80,8 @@ def op13_max_sketch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_decontaminate, op2_ngram_join, op3_hamming_topk, op4_token_records, op5_quality, op6_source_mix, op7_secrets, op8_html_main, op9_toxicity, op10_tool_calls, op12_sequence_packing, op13_max_sketch_search)}
+    return {f.__name__: f for f in (op1_decontaminate, op2_ngram_join, op3_hamming_topk, op4_token_records, op5_quality, op6_source_mix, op7_secrets, op8_html_main, op9_toxicity, op10_tool_calls, op11_prefix_trie, op12_sequence_packing, op13_max_sketch_search)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontaminate": decontaminate.SQL, "op2_ngram_join": ngram_join.SQL, "op3_hamming_topk": hamming_topk.SQL, "op6_source_mix": source_mix.SQL, "op10_tool_calls": tool_calls.SQL, "op13_max_sketch_search": lexical_search.SQL}
+    return {"op1_decontaminate": decontaminate.SQL, "op2_ngram_join": ngram_join.SQL, "op3_hamming_topk": hamming_topk.SQL, "op6_source_mix": source_mix.SQL, "op10_tool_calls": tool_calls.SQL, "op11_prefix_trie": prefix_trie.SQL, "op13_max_sketch_search": lexical_search.SQL}
