@@ -42,18 +42,23 @@ PIECE = 1 << 20
 #: The white space of Unicode, as the tokenizer's pattern takes it.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _RUN = re.compile(rf"[{WHITE}]{{3,}}|[{WHITE}]{{2,}}\Z")
-_PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_WHITE = re.compile(rf"[{WHITE}]")
+#: As bytes, to see at once that a text has no long run: ASCII white space made one, what a text may not end in, beginnings of the rest.
+_SPACES = bytes(32 if chr(b) in WHITE and b < 128 else b for b in range(256))
+_ENDS = (b"\t", b"\n", b"\x0b", b"\x0c", b"\r", b" ")
+_BEYOND = tuple({c.encode()[:2] for c in WHITE if ord(c) >= 128})
 
 
 class ByteLevel:
     """A tokenizer's ids, word by word where it is byte-level and has no other rules; else of whole texts.
 
     The tokenizer takes a run of white space before a word as all but its last character, then that one (a space with the word behind it). So a text
-    without runs of three and more falls apart before each space and line break; longer runs are encoded for themselves. A word's
-    ASCII punctuation behind a Latin letter or digit is a run of its own. The first `keep` words of KEPT_BYTES at most stay, others are encoded again.
+    without runs of three and more falls apart before each space and line break; longer runs are encoded for themselves. The first `keep`
+    words of KEPT_BYTES at most stay. Words that were not met yet are encoded together: a token that begins with a space or a line break begins the
+    next. Where the file's merges are in the order of ids, tiktoken does that, for which the file's vocabulary is a table of ranks: the same ids in a third of the time.
     """
 
-    def __init__(self, path: str, keep: int = 300_000):
+    def __init__(self, path: str, keep: int = 400_000, ranked: bool = True):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -72,23 +77,30 @@ class ByteLevel:
         texts = [self.of.decode([k], skip_special_tokens=False) if len(t) < 64 else t for k, t in enumerate(names)]
         self.ends = np.array([t.endswith((".", "!", "?", "\n")) for t in texts])
         self.begins = np.array([t[:1].isspace() for t in texts])
-        self.keep, self.known, self.stems = keep, {}, {}
+        self.first = np.array([t[:1] in (_BYTES[32], _BYTES[10]) for t in names])
+        self.ranks = _ranks(kind["model"], {t["content"] for t in added}) if self.by_word and ranked else None
+        self.keep, self.known = keep, {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, self.type).tobytes() for e in self.of.encode_batch(texts, add_special_tokens=False)]
 
-    def ids(self, text: str) -> np.ndarray:
+    def ids(self, text: str) -> bytes:
+        """As little-endian unsigned integers of `type`."""
         if not self.by_word:
-            return np.frombuffer(self._whole([text])[0], self.type)
+            return self._whole([text])[0]
         out: list[bytes] = []
         for k, part in enumerate(self.special.split(text) if self.special else [text]):
             if k % 2:
                 out += self._whole([part])
             elif part:
                 self._segment(part, out)
-        return np.frombuffer(b"".join(out), self.type)
+        return b"".join(out)
 
     def _segment(self, text: str, out: list[bytes]) -> None:
+        raw = text.encode()
+        if b"   " not in raw.translate(_SPACES) and raw[-1:] not in _ENDS and not any(x in raw for x in _BEYOND):
+            self._words(text, out)
+            return
         at = 0
         for m in _RUN.finditer(text):
             self._words(text[at : m.start()], out)
@@ -98,7 +110,7 @@ class ByteLevel:
         self._words(text[at:] if at else text, out)
 
     def _words(self, text: str, out: list[bytes]) -> None:
-        """Of a text without long runs of white space. A word that begins with a line break has no space before it, others have."""
+        """Of a text without long runs of white space."""
         at = 0
         while len(text) - at > PIECE:  # a piece ends before a word
             cut = text.find(" ", at + PIECE)
@@ -111,43 +123,59 @@ class ByteLevel:
         self._piece(text[at:] if at else text, out)
 
     def _piece(self, text: str, out: list[bytes]) -> None:
+        # a word that begins with a line break has no space before it, others have; but the first, which is encoded by itself
         words = text.encode().replace(b"\n", b" \n").split(b" ")
         if words[0]:
-            out += self._whole([words[0].decode()])  # the first has no space before it
+            out += self._whole([words[0].decode()])
         del words[0]
         ids = list(map(self.known.get, words))
         if None in ids:
             places = [k for k, x in enumerate(ids) if x is None]
-            made = self._made({words[k] for k in places})
+            made = self._made(list({words[k] for k in places}))
             for k in places:
                 ids[k] = made[words[k]]
             if len(self.known) + len(made) <= self.keep:
                 self.known |= {w: x for w, x in made.items() if len(w) <= KEPT_BYTES}
         out += ids
 
-    def _made(self, words: set[bytes]) -> dict[bytes, bytes]:
-        split, stems = {}, self.stems
-        for key in words:
-            w = key.decode()
-            stem = w.rstrip(_PUNCTUATION)
-            if not stem or not (stem[-1] < "\u0250" and stem[-1].isalnum()):
-                stem = w
-            split[key] = (stem if w[:1] == "\n" else " " + stem), w[len(stem) :]
-        new = list({x for pair in split.values() for x in pair if x and x not in stems})
-        if new:
-            stems.update(zip(new, self._whole(new), strict=True))
-        out = {w: stems[a] + stems[b] if b else stems[a] for w, (a, b) in split.items()}
-        full = len(stems) > self.keep // 3
-        for x in new:
-            if full or len(x) > KEPT_BYTES:
-                del stems[x]
-        return out
+    def _made(self, words: list[bytes]) -> dict[bytes, bytes]:
+        out: dict[bytes, bytes] = {}
+        texts = [w.decode() if w[:1] == b"\n" else " " + w.decode() for w in words]
+        if self.ranks:
+            plain = [k for k, t in enumerate(texts) if len(t) > 1 and not _WHITE.search(t, 1)]
+            ids = self.ranks.encode_to_numpy("".join([texts[k] for k in plain]), allowed_special=set(), disallowed_special=()).astype(self.type)
+            starts = np.flatnonzero(self.first[ids])
+            if len(starts) == len(plain):
+                raw, width = ids.tobytes(), self.type.itemsize
+                cuts = [*(starts * width).tolist(), len(raw)]
+                out = {words[k]: raw[a:b] for k, a, b in zip(plain, cuts, cuts[1:])}
+        rest = [k for k, w in enumerate(words) if w not in out]
+        return out | dict(zip([words[k] for k in rest], self._whole([texts[k] for k in rest]), strict=True))
+
+
+#: The character that stands for each byte in byte-level vocabularies: printable ones of Latin-1 for themselves, the others from U+0100 on.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = [chr(b) if b in _SHOWN else chr(256 + b - sum(c < b for c in _SHOWN)) for b in range(256)]
+#: A fixed value: the words of byte-level tokenizers.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _ranks(model: dict, special: set[str]):
+    """tiktoken's form of the model, where merges and ids are in one order; else None."""
+    import tiktoken
+
+    back = {c: b for b, c in enumerate(_BYTES)}
+    vocab = {t: k for t, k in model["vocab"].items() if t not in special}
+    merged = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
+    if len(vocab) != 256 + len(merged) or any(vocab.get(t) != 256 + k for k, t in enumerate(merged)) or {vocab.get(c) for c in _BYTES} != set(range(256)):
+        return None
+    return tiktoken.Encoding("words", pat_str=_PATTERN, mergeable_ranks={bytes(back[c] for c in t): k for t, k in vocab.items()}, special_tokens={})
 
 
 _encoders: dict[tuple[str, int], ByteLevel] = {}
 
 
-def encoder(path: str, keep: int = 300_000) -> ByteLevel:
+def encoder(path: str, keep: int = 400_000) -> ByteLevel:
     """One a worker."""
     take_turn("packing", _encoders.clear)
     if (path, keep) not in _encoders:
@@ -156,15 +184,14 @@ def encoder(path: str, keep: int = 300_000) -> ByteLevel:
     return _encoders[path, keep]
 
 
-def places(ids: np.ndarray, enc: ByteLevel, most: int = MOST) -> tuple[np.ndarray, np.ndarray]:
-    """Where a document's ids (its end id last) may be cut, ascending from 1 to their number, and the penalty of each."""
-    n = len(ids)
-    ends = enc.ends[ids[:-1]] & enc.begins[ids[1:]] if n > 1 else np.zeros(0, bool)
-    if n > 1:
-        ends[-1] = False  # nothing is gained by parting the end id from its text
-    at = np.append(np.flatnonzero(ends) + 1, n)
+def places(ids: np.ndarray, ends: np.ndarray, enc: ByteLevel, most: int = MOST) -> tuple[np.ndarray, np.ndarray]:
+    """Where documents' ids, one after another (each one's end id last, at ends - 1), may be cut, ascending, and the penalty of each place."""
+    cut = enc.ends[ids[:-1]] & enc.begins[ids[1:]]
+    cut[ends[ends > 1] - 2] = False  # nothing is gained by parting the end id from its text
+    cut[ends[:-1] - 1] = True
+    at = np.append(np.flatnonzero(cut) + 1, len(ids))
     cost = np.full(len(at), SENTENCE)
-    cost[-1] = 0
+    cost[np.searchsorted(at, ends)] = 0
     gap, stretch = np.diff(at, prepend=0), min(STRETCH, most)
     wide = np.flatnonzero(gap > stretch)
     if len(wide):
@@ -234,24 +261,27 @@ def packed(docs: DataFrame, tokenizer: str, most: int = MOST, end_id: int = 1, b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, number = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        held: list[tuple] = []  # doc_id, ids, places, penalties
+        end = np.asarray(end_id, enc.type).tobytes()
+        held: list[tuple[int | None, bytes]] = []
         size = 0
 
         def pack() -> Iterator[pa.RecordBatch]:
             nonlocal held, size, number
-            starts = np.cumsum([0, *[len(h[1]) for h in held]])
-            cuts = windows(np.concatenate([h[2] + s for h, s in zip(held, starts)]), np.concatenate([h[3] for h in held]), most)
-            rows, k, begin = [], 0, 0
-            for (doc_id, own, _, _), s in zip(held, starts.tolist()):
-                at, n = 0, len(own)
-                wide = own.astype("<u4")
-                raw = memoryview(wide.tobytes())
+            flat = np.frombuffer(b"".join([raw for _, raw in held]), enc.type)
+            ends = np.cumsum([len(raw) // enc.type.itemsize for _, raw in held])
+            cuts = windows(*places(flat, ends, enc, most), most)
+            rows, k, begin, s = [], 0, 0, 0
+            for (doc_id, _), stop in zip(held, ends.tolist()):
+                at, n = 0, stop - s
+                wide = flat[s:stop].astype("<u4")
+                raw = memoryview(wide).cast("B")
                 while at < n:
-                    end = min(n, cuts[k] - s)
-                    rows.append((doc_id, at, end - at, zlib.crc32(raw[4 * at : 4 * end]), n, part, number, s + at - begin) + ((wide[at:end].astype("i8"),) if ids else ()))
-                    at = end
-                    if s + end == cuts[k]:
+                    to = min(n, cuts[k] - s)
+                    rows.append((doc_id, at, to - at, zlib.crc32(raw[4 * at : 4 * to]), n, part, number, s + at - begin) + ((wide[at:to].astype("i8"),) if ids else ()))
+                    at = to
+                    if s + to == cuts[k]:
                         k, begin, number = k + 1, cuts[k], number + 1
+                s = stop
                 if len(rows) >= 5000:
                     yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(kinds)], names=names)
                     rows = []
@@ -260,9 +290,8 @@ def packed(docs: DataFrame, tokenizer: str, most: int = MOST, end_id: int = 1, b
 
         for batch in batches:
             for doc_id, text in zip(column(batch, "doc_id"), column(batch, "text"), strict=True):
-                own = np.append(enc.ids(text or ""), np.asarray(end_id, enc.type)).astype(enc.type)
-                held.append((doc_id, own, *places(own, enc, most)))
-                size += len(own)
+                held.append((doc_id, enc.ids(text or "") + end))
+                size += len(held[-1][1]) // enc.type.itemsize
                 if size >= block:
                     yield from pack()
         if held:
