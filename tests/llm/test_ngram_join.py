@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -140,3 +142,35 @@ def test_links_by_brute_force(spark, chunk, block):
     got = nj.joined(spark.createDataFrame(rows, "doc_id long, text string"), chunk=chunk, block=block, counted=True).collect()
     sets = brute_sets([t for _, t in rows])
     assert sorted(((r.doc_id, r.n_shingles, r.n_links) for r in got), key=str) == sorted(((d, len(s), c) for (d, _), s, c in zip(rows, sets, brute_degrees(sets, 85, 100))), key=str)
+
+
+def fan(n, common, own, pool=10**6, seed=1):
+    """Sets that share a path and differ behind it."""
+    rng = np.random.default_rng(seed)
+    return [np.unique(np.concatenate((np.arange(common), 100 + rng.choice(pool, own, replace=False)))).astype(np.uint64) for _ in range(n)]
+
+
+@pytest.mark.parametrize("step", [0, 3000, 10**12])
+@pytest.mark.parametrize("common,own,pool", [(6, 1, 10**6), (17, 3, 40), (12, 2, 9), (30, 6, 12), (0, 5, 8), (3, 4, 60)])
+def test_wide_nodes(monkeypatch, step, common, own, pool):
+    """Nodes of many children, by the index, and where walks are given up at once or never."""
+    monkeypatch.setattr("brindle.llm.prefix_tree.STEP", step)
+    arrays = fan(90, common, own, pool) + fan(40, common, own + 1, pool, 2)
+    sets = [set(a.tolist()) for a in arrays]
+    for t in ((85, 100), (80, 100), (1, 2)):
+        assert degrees(arrays, *t, [1] * len(sets)) == brute_degrees(sets, *t)
+        pairs = [(a, b) for a in range(len(sets)) for b in range(a) if t[1] * len(sets[a] & sets[b]) >= t[0] * len(sets[a] | sets[b])]
+        assert roots(len(sets), links(arrays, *t)) == roots(len(sets), pairs)
+        assert degrees(arrays, *t, [1] * len(sets), list(range(30))) == [sum(1 for a, b in pairs if k in (a, b) and (a < 30) != (b < 30)) for k in range(len(sets))]
+
+
+@pytest.mark.parametrize("n,common,own", [(20_000, 6, 1), (15_000, 17, 3), (15_000, 19, 1)])
+def test_many_sets_of_one_path(n, common, own):
+    """In time that grows with the sets, not with their pairs, where they are not linked; where all are, the component stops the search."""
+    base = np.arange(common, dtype=np.uint64)
+    sets = [np.concatenate((base, np.arange(1000 + k * own, 1000 + (k + 1) * own, dtype=np.uint64))) for k in range(n)]
+    began = time.perf_counter()
+    assert len(links(sets, 85, 100)) == (n - 1 if (common, own) == (19, 1) else 0)
+    if own != 1 or common == 6:
+        assert degrees(sets, 85, 100, [1] * n) == [0] * n
+    assert time.perf_counter() - began < 10
