@@ -63,6 +63,12 @@ def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return ((x ^ (x >> np.uint64(32))) % np.uint64(BUCKETS)).astype(np.int64), np.concatenate(of)
 
 
+def _by_word(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The words' n-grams one after another, and how many each word has."""
+    ids, owner = grams(words)
+    return ids[np.argsort(owner, kind="stable")].astype(np.int32), np.bincount(owner, minlength=len(words)).astype(np.int32)
+
+
 _PUNCT = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -102,9 +108,12 @@ class Model:
         if None in got:
             places = [k for k, x in enumerate(got) if x is None]
             new = list({words[k] for k in places})
-            ids, owner = grams(new)
-            means = np.bincount(owner, self.buckets[ids], len(new)) / np.bincount(owner, minlength=len(new))
-            made = dict(zip(new, means.tolist(), strict=True))
+            made = {}
+            for at in range(0, len(new), 4096):
+                some = new[at : at + 4096]
+                ids, owner = grams(some)
+                means = np.bincount(owner, self.buckets[ids], len(some)) / np.bincount(owner, minlength=len(some))
+                made |= zip(some, means.tolist(), strict=True)
             for k in places:
                 got[k] = made[words[k]]
             if len(self.known) + len(made) <= keep:
@@ -133,9 +142,10 @@ def fit(rows: list[tuple[str, int]], seed: int = 1) -> Model | None:
         return None
     rng = np.random.default_rng(seed)
     words = list(number)
-    ids, owner = grams(words)
-    order = np.argsort(owner, kind="stable")
-    ids, size = ids[order].astype(np.int32), np.bincount(owner, minlength=len(words))
+    del number
+    parts = [_by_word(words[k : k + 4096]) for k in range(0, len(words), 4096)]
+    ids, size = np.concatenate([i for i, _ in parts]), np.concatenate([n for _, n in parts])
+    del parts
     at = np.concatenate(([0], np.cumsum(size)))
 
     def firsts() -> np.ndarray:
