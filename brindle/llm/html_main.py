@@ -9,8 +9,9 @@ page of a host and come out low; branches below LOW are removed from each page.
 Two things entropy cannot tell are settled by what the page itself says, as priors of 0 before the tree is asked. A branch whose tag,
 role or class names it as a menu, header, footer, sidebar, notice, advert, form or reader comment is noise, however
 varied (adverts rotate); a class that tells a state (has-comments, comments-open) or names something else besides (share-price) is
-no such name, and a form, or a branch that only looks like noise, is none if it holds the article. And where the page marks an article (article,
-else main), only what lies in it is text. The tree
+no such name, and a form, or a branch that only looks like noise, is none if it holds the article. Where a page's only article lies below strong names
+(content-sidebar-wrap), they are none if it is as long as the rest; within an article a name must consist of words of noise (promo-box, not promo-code), and
+a menu element is a list. And where the page marks an article (article, else main; main, too, if it has more text besides its articles), only what lies in it is text. The tree
 decides on the rest: on all branches of pages without a marked article, and on the branches within marked ones, where what
 recurs on different articles goes. There copies must not pass for notices: a page counts for a branch by the
 least hash of the article's sentences outside that branch, so copies count once, and near copies nearly always. And
@@ -67,6 +68,9 @@ PLACES = set("""
 bar box button buttons link links list icon icons wrapper wrap container inner outer area block section panel row col column item items left right
 main site page global primary secondary fixed sticky small large text content group message info count title heading label top bottom
 """.split())
+#: Within articles, what names of noise hold besides.
+NOUNS = set("slot unit units post posts article articles story stories card cards reading news feed body thread author meta avatar date more read up sign reader readers user users latest popular featured our your".split())
+ALL_NOISE = STRONG | WEAK | PLACES | NOUNS
 OUTER_NAMES = {"header", "head", "top", "bottom"}  # weak, outside the article
 ARTICLE_NOISE = {"comment", "comments", "reply", "replies", "teaser", "related", "ad", "ads", "advert", "promo", "sponsored"}
 STATES, STATE_ENDS = {"has", "no", "with", "without", "is", "not", "hide", "show"}, {"open", "closed", "enabled", "disabled", "on", "off"}
@@ -101,14 +105,44 @@ class Page:
         self.noise = self._noise()
 
     def _noise(self) -> list[bool]:
-        """For each node, whether it or one above is named as noise; what only looks like it is not if it holds the article."""
+        """For each node, whether it or one above is named as noise; what only looks like it is not if it holds the article.
+
+        A strong name binds where an article is marked elsewhere. Where all lie below such names (content-sidebar-wrap, modal-content), those above the
+        longest are none, if that is as long as what the page has besides.
+        """
+        out = self._named_noise(frozenset())
+        if any(t in ("article", "main") and not z for t, z in zip(self.tags, out, strict=True)):
+            return out
+        inner, rest = [0] * len(self.tags), 0
+        for k, t in self.text:
+            if k >= 0:
+                size = len("".join(t.split()))
+                inner[k] += size
+                rest += 0 if out[k] else size
+        hard = [False]  # below what no name excuses
+        for k in range(1, len(self.tags)):
+            hard.append(hard[self.parents[k]] or self._own[k] == 3)
+        for k in range(len(self.tags) - 1, 0, -1):
+            inner[self.parents[k]] += inner[k]
+        best = max((k for k, t in enumerate(self.tags) if t in ("article", "main") and not self._own[k] and not hard[k]), key=lambda k: inner[k], default=0)
+        if not best or inner[best] < rest or not inner[best]:
+            return out
+        above, k = set(), self.parents[best]
+        while k > 0:
+            if self._own[k] == 2:
+                above.add(k)
+            k = self.parents[k]
+        return self._named_noise(above)
+
+    def _named_noise(self, excused: frozenset[int] | set[int]) -> list[bool]:
         holds = [t in ("article", "main") and not z for t, z in zip(self.tags, self._own, strict=True)]
         for k in range(len(holds) - 1, 0, -1):
-            if holds[k] and self._own[k] < 2:
+            if holds[k] and (self._own[k] < 2 or k in excused):
                 holds[self.parents[k]] = True
         out = [False]
         for k in range(1, len(holds)):
-            out.append(out[self.parents[k]] or self._own[k] == 2 or (self._own[k] == 1 and not holds[k]))
+            own = self._own[k]
+            out.append(out[self.parents[k]] or (own > 1 and k not in excused) or (own == 1 and not holds[k]))
         return out
 
     def _open(self, tag: str, attrs: str, parent: int) -> int:
@@ -121,8 +155,9 @@ class Page:
                 else:
                     names += " " + value
         inside = self.inside[parent] or tag in ("article", "main")
-        own = 2 if tag in NOISE_TAGS or role in NOISE_ROLES or (tag == "header" and not self.inside[parent]) else 1 if tag == "form" or role in ("form", "search") else 0
-        if names and own < 2 and tag not in ("html", "body", "main"):
+        listed = tag == "menu" and self.inside[parent]  # there a list like others
+        own = 3 if (tag in NOISE_TAGS and not listed) or role in NOISE_ROLES or (tag == "header" and not self.inside[parent]) else 1 if tag == "form" or role in ("form", "search") else 0
+        if names and own < 3 and tag not in ("html", "body", "main"):
             own = max(own, _named(names, tag, inside))
         self.tags.append(tag)
         self.names.append(names)
@@ -200,11 +235,22 @@ class Page:
                 stack.append(node)
 
     def main(self) -> list[bool]:
-        """For each node, whether it lies in the marked article; all true if none is marked."""
-        for kind in ("article", "main"):
-            if any(t == kind and not z for t, z in zip(self.tags, self.noise, strict=True)):
-                return self._below(lambda k: self.tags[k] == kind)
-        return [True] * len(self.tags)
+        """For each node, whether it lies in the marked article; all true if none is marked. What a main has besides its articles is
+        the article if it is longer than they are."""
+        has = {t for t, z in zip(self.tags, self.noise, strict=True) if not z}
+        if not has & {"article", "main"}:
+            return [True] * len(self.tags)
+        articles = self._below(lambda k: self.tags[k] == "article")
+        if "main" not in has:
+            return articles
+        mains = self._below(lambda k: self.tags[k] == "main")
+        if "article" not in has:
+            return mains
+        sizes = [0, 0]
+        for k, t in self.text:
+            if k >= 0 and mains[k] and not self.noise[k]:
+                sizes[articles[k]] += len("".join(t.split()))
+        return mains if sizes[0] > sizes[1] else articles
 
     def _below(self, of) -> list[bool]:
         out = [False]
@@ -332,9 +378,11 @@ def _named(names: str, tag: str, inside: bool) -> int:
             continue
         own = set(parts)
         if tag == "article":
-            out = 2 if own & ARTICLE_NOISE else out
+            out = 2 if own & ARTICLE_NOISE and own <= ALL_NOISE | {p for p in own if p.isdigit()} else out
         elif own & STRONG:
-            return 2
+            # within an article a name that says something else besides (promo-code, menu-plan) is none
+            if not inside or own <= ALL_NOISE | {p for p in own if p.isdigit()}:
+                return 2
         else:
             weak = WEAK if inside else WEAK | OUTER_NAMES
             if own & weak and own <= weak | PLACES | {p for p in own if p.isdigit()}:

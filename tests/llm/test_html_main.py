@@ -191,3 +191,36 @@ def test_small_hosts(spark, n):
     rows = [(k, "http://s.org/x", f"<div class=x>Home and more</div><div class=y>Story {k}</div><div class=z>Always the same</div>") for k in range(n)]
     got = [r.text for r in hm.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
     assert got == ([f"Story {k}" for k in range(n)] if n > 1 else ["Home and more Story 0 Always the same"])
+
+
+BODY = "<p>Long real text of the article, which says something.</p>"
+
+
+@pytest.mark.parametrize("name", ['class="content-sidebar-wrap"', 'class="container sidebar-right"', 'id="nav-layout"', 'class="modal-content"', 'class="signup-page"', 'id="related-work"', 'id="newsletter-archive"'])
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_wrappers_with_strong_names_hold_the_article(name, tag):
+    page = f"<body><nav>Menu</nav><div {name}><div class=inner><{tag}>{BODY}<div class=comments>c</div></{tag}></div></div><footer>f</footer></body>"
+    assert hm.Page(page).extract() == "Long real text of the article, which says something."
+
+
+def test_strong_names_bind_where_the_article_is_elsewhere():
+    cards = "<div class=related><article><p>A card.</p></article></div>"
+    assert hm.Page(f"<body><article>{BODY}</article>{cards}</body>").extract() == "Long real text of the article, which says something."
+    assert hm.Page(f"<body><div class=text>{BODY}</div>{cards}</body>").extract() == "Long real text of the article, which says something."
+    assert hm.Page(f"<body><nav><article>{BODY}</article></nav><p>x</p></body>").extract() == "x"
+
+
+@pytest.mark.parametrize("name,kept", [("promo-code", True), ("menu-plan", True), ("comment-on-law", True), ("ad-hoc", True), ("related-work", True), ("ad", False), ("ad-slot-2", False), ("related-posts", False), ("newsletter-signup", False), ("comment-body", False), ("sidebar-left", False)])
+def test_names_within_articles(name, kept):
+    assert hm.Page(f"<article><p>A</p><div class={name}>more</div></article>").extract() == ("A more" if kept else "A")
+    assert hm.Page(f"<article><p>A</p></article><article class={name}>more</article>").extract() == ("A more" if kept or name in ("newsletter-signup", "sidebar-left") else "A")
+
+
+def test_menus_within_articles_are_lists():
+    assert hm.Page("<article><p>A</p><menu><li>one</menu></article>").extract() == "A one"
+    assert hm.Page("<menu><li>Home</menu><article><p>A</p></article>").extract() == "A"
+
+
+def test_the_longer_of_main_and_its_articles():
+    assert hm.Page("<main><h1>T</h1><p>Long real text</p><article><p>related card</p></article></main>").extract() == "T Long real text related card"
+    assert hm.Page("<main><p>Home</p><article><h1>T</h1><p>Long real text</p></article></main>").extract() == "T Long real text"
