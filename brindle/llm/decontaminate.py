@@ -16,7 +16,7 @@ five words is one shingle, the whole of it, so a document leaks it where it hold
 4. Verification of each candidate by the exact weighted similarity.
 
 DataFrame operations only. Documents are cut into shingles where they lie; only positions that hold a shingle of the benchmark leave
-the scan: its shingles come there by a broadcast up to BROADCAST_ROWS of them, and beyond as a sieve of 8 MB that lets few others through. What comes to the driver is
+the scan: its shingles come there by a broadcast up to BROADCAST_ROWS of them, and beyond as a sieve of up to 2**20 words of bits, which lets few others through before shingles are dealt out. What comes to the driver is
 which lengths below five words items have, four numbers at most.
 
 Defined cases: words are lower-cased runs of anything but ASCII white space; a document of fewer words than an item is one window;
@@ -115,20 +115,18 @@ def clean(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, radius: i
     return docs.join(F.broadcast(bad) if bad.count() <= BROADCAST_ROWS else bad, on, "left_anti")
 
 
-SIEVE_BITS = 26  # 8 MB whatever the benchmark
+SIEVE_BITS = 26  # a row for each 64 of them at most: some 1 M rows of two numbers, whatever the benchmark
 
 
-def _sieve(bag: DataFrame) -> DataFrame:
-    """One row, sieve: an array of 64-bit words with the bit set that each shingle's low SIEVE_BITS bits name."""
-    at = F.col("shingle").bitwiseAND(F.lit((1 << SIEVE_BITS) - 1))
-    used = bag.select(F.shiftrightunsigned(at, 6).alias("word"), at.bitwiseAND(F.lit(63)).cast("int").alias("bit")).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
-    every = bag.sparkSession.range(1 << (SIEVE_BITS - 6)).withColumnRenamed("id", "word").join(used, "word", "left").select("word", F.coalesce("bits", F.lit(0)).alias("bits"))
-    return every.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"]).alias("sieve"))
+def _word(h: Column) -> Column:
+    return F.shiftrightunsigned(h.bitwiseAND(F.lit((1 << SIEVE_BITS) - 1)), 6)
 
 
-def _in_sieve(h: Column) -> Column:
-    at = h.bitwiseAND(F.lit((1 << SIEVE_BITS) - 1))
-    return F.getbit(F.get("sieve", F.shiftrightunsigned(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")) == 1
+def _sieved(placed: DataFrame, bag: DataFrame) -> DataFrame:
+    """The rows of placed whose shingle's low SIEVE_BITS bits are those of a shingle of the benchmark."""
+    bit = F.col("shingle").bitwiseAND(F.lit(63)).cast("int")
+    sieve = bag.select(_word(F.col("shingle")).alias("_word"), bit.alias("bit")).groupBy("_word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("_bits"))
+    return placed.join(F.broadcast(sieve), _word(F.col("shingle")) == F.col("_word")).where(F.getbit("_bits", bit) == 1).drop("_word", "_bits")
 
 
 def leaks_by_text(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, radius: int = RADIUS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -146,15 +144,14 @@ def leaks_by_text(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, r
     # 1. positions that hold a shingle of an item, for each item length
     whole_docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("of"), cut(F.col("text"), sizes).alias("c"))
     known = bag.select("shingle", "len").distinct()
-    if bag.count() <= broadcast_rows:
-        known = F.broadcast(known)
-    else:  # what no item has does not leave its document: else every shingle of every document would be dealt out
-        whole_docs = whole_docs.join(F.broadcast(_sieve(bag))).select("doc_id", "of", F.struct("c.n", F.transform("c.s", lambda x: F.struct(x["k"].alias("k"), F.transform(x["s"], lambda h: F.when(_in_sieve(h), h)).alias("s"))).alias("s")).alias("c"))
+    few = bag.count() <= broadcast_rows
     if len(sizes) == 1:
         placed = whole_docs.select("doc_id", "of", F.col("c.n").alias("n"), F.posexplode_outer(F.get("c.s", 0)["s"]).alias("pos", "shingle"))
     else:
         placed = whole_docs.select("doc_id", "of", F.col("c.n").alias("n"), F.explode_outer("c.s").alias("s")).select("doc_id", "of", "n", F.posexplode_outer("s.s").alias("pos", "shingle"))
-    anchors = placed.where("shingle is not null").join(known, "shingle")
+    placed = placed.where("shingle is not null")
+    # beyond the broadcast bound what no item has does not leave its document: else every shingle of every document would be dealt out
+    anchors = placed.join(F.broadcast(known), "shingle") if few else _sieved(placed, bag).join(known, "shingle")
     # a document's positions are no more than its words, so a group is bounded by a row that was read
     per = anchors.groupBy("doc_id", "of", "n", "len").agg(F.array_sort(F.collect_set(F.struct("pos", "shingle"))).alias("at"))
     more = F.least("len", F.lit(SHINGLE)) - 1  # positions that a window's last shingle takes beyond its first word
