@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from brindle.operators import sketches
 from brindle.operators.joins import asof_join, broadcast_below, range_join, salted_join
 from brindle.operators.ranking import qualify, sum_over_groups, top_k
 from brindle.plans.query import Query, frame, sql
+from brindle.plans.workspace import workspace
+from brindle.session import table
 
 D = "CAST({} AS DECIMAL(15,2))"
 REVENUE = "CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))"
@@ -55,6 +58,8 @@ QUERIES: dict[str, Query] = {
     "a7_mode": frame(lambda n: n.groupBy("l_returnflag").agg(F.mode("l_linestatus", True).alias("common")), "lineitem", "SELECT l_returnflag, arg_max(l_linestatus, (n, -ascii(l_linestatus))) AS common FROM (SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY ALL) GROUP BY 1"),
     "a8_approximate": frame(lambda e: e.groupBy("event_type").agg(F.approx_count_distinct("user_id", 0.02).alias("users"), F.percentile_approx("value", 0.5, 10_000).alias("mid"), F.hll_sketch_estimate(F.hll_sketch_agg("user_id")).alias("hll")), "events", None),
     "a8_error": frame(lambda e: _errors(e), "events", "SELECT event_type, count(DISTINCT user_id) AS users, true AS near, true AS sketch, true AS mid FROM events GROUP BY 1"),
+    "a8_rollup": Query(lambda spark, d: _rolled(spark, d), "SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users, round(sum(value), 4) AS total, max(value) AS most, true AS hll, true AS theta, true AS kll FROM events GROUP BY 1"),
+    "a8_common": Query(lambda spark, d: _common(spark, d), "SELECT date_trunc('week', ts) AS week, count(DISTINCT user_id) FILTER (event_type = 'view') AS views, true AS near FROM events GROUP BY 1"),
     "a9_arg_max": sql("SELECT event_type, max_by(event_id, ts) AS last_id, min_by(event_id, ts) AS first_id FROM {events} GROUP BY event_type", "SELECT event_type, arg_max(event_id, ts) AS last_id, arg_min(event_id, ts) AS first_id FROM {events} GROUP BY event_type"),
     "a9_listagg": sql("SELECT n_regionkey, listagg(n_name, '|') WITHIN GROUP (ORDER BY n_name) AS names FROM {nation} GROUP BY n_regionkey", "SELECT n_regionkey, string_agg(n_name, '|' ORDER BY n_name) AS names FROM {nation} GROUP BY n_regionkey"),
     "a10_pivot": frame(lambda e: e.groupBy("user_id").pivot("event_type", ["click", "view", "purchase"]).agg(F.count("event_id")), "events", "SELECT user_id, nullif(count(*) FILTER (event_type = 'click'), 0) AS click, nullif(count(*) FILTER (event_type = 'view'), 0) AS view, nullif(count(*) FILTER (event_type = 'purchase'), 0) AS purchase FROM events GROUP BY 1"),
@@ -99,6 +104,37 @@ def _errors(events):
     return by.join(ranks, F.col("event_type") == F.col("_t")).select("event_type", "users", near("a", 0.02).alias("near"), near("h", 0.016).alias("sketch"), ((F.col("below") <= 0.501) & (F.col("upto") >= 0.499)).alias("mid"))
 
 
+def _daily(spark, sf_dir):
+    """Sketches of each day and event type, written in two goes, as days come in."""
+    events, path = table(spark, sf_dir, "events"), workspace(spark)
+    for part in ("ts < timestamp_ntz '2024-01-15'", "ts >= timestamp_ntz '2024-01-15'"):
+        days = sketches.sketched(events.where(part), [F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"), "event_type"], "user_id", "value")
+        days.write.mode("append").parquet(path)
+    return events, spark.read.parquet(path)
+
+
+def _rolled(spark, sf_dir):
+    """By event type, from the days' sketches: exact figures, and whether estimates are within three times their error (the median by its rank, within 1 %)."""
+    events, days = _daily(spark, sf_dir)
+    by = sketches.rolled_up(days, ["event_type"]).select("event_type", "n", F.round("total", 4).alias("total"), "most", sketches.distinct_hll().alias("h"), sketches.distinct_theta().alias("t"), sketches.quantile(0.5).alias("m"))
+    exact = events.groupBy(F.col("event_type").alias("_t")).agg(F.countDistinct("user_id").alias("users"))
+    ranks = events.join(broadcast_below(by.select(F.col("event_type").alias("_e"), "m")), F.col("event_type") == F.col("_e")).groupBy("_e").agg(F.avg((F.col("value") < F.col("m")).cast("double")).alias("below"), F.avg((F.col("value") <= F.col("m")).cast("double")).alias("upto"))
+    near = lambda c, e: F.abs(F.col(c) - F.col("users")) <= F.greatest(F.lit(1.0), 3 * e * F.col("users"))
+    both = by.join(exact, F.col("event_type") == F.col("_t")).join(ranks, F.col("event_type") == F.col("_e"))
+    return both.select("event_type", "n", "users", "total", "most", near("h", 0.016).alias("hll"), near("t", 0.008).alias("theta"), ((F.col("below") <= 0.51) & (F.col("upto") >= 0.49)).alias("kll"))
+
+
+def _common(spark, sf_dir):
+    """Users with views and purchases in a week, by theta intersection of the weeks' sketches: whether within three times the error of the union."""
+    events, days = _daily(spark, sf_dir)
+    week = F.date_trunc("week", F.col("day")).cast("timestamp_ntz").alias("week")
+    of = lambda kind, name: sketches.rolled_up(days.where(F.col("event_type") == kind), [week]).select(F.col("week").alias(f"_{name}"), F.col("theta").alias(name))
+    got = of("view", "a").join(of("purchase", "b"), F.col("_a") == F.col("_b")).select("_a", sketches.in_common("a", "b").alias("est"))
+    users = events.groupBy(F.date_trunc("week", "ts").cast("timestamp_ntz").alias("week"), "user_id").agg(F.max((F.col("event_type") == "view").cast("int")).alias("v"), F.max((F.col("event_type") == "purchase").cast("int")).alias("p"))
+    exact = users.groupBy("week").agg(F.sum("v").cast("long").alias("views"), F.sum(F.col("v") * F.col("p")).alias("both"), F.sum(F.greatest("v", "p")).alias("either"))
+    return exact.join(got, F.col("week") == F.col("_a"), "left").select("week", "views", (F.abs(F.coalesce("est", F.lit(0)) - F.col("both")) <= F.greatest(F.lit(1.0), 3 * 0.008 * F.col("either"))).alias("near"))
+
+
 def _near(events):
     us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     a = events.where("event_type = 'purchase'").select(F.col("event_id").alias("a"), us("ts").alias("low"), (us("ts") + 60_000_000).alias("high"))

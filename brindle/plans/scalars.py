@@ -14,6 +14,19 @@ WITH q AS (SELECT embedding AS e FROM embeddings WHERE vec_id = 0),
 p AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(q.e)::DOUBLE AS y, generate_subscripts(embedding, 1) AS i FROM embeddings, q)
 """
 
+#: crc32 bit by bit, and xxhash64 of a 64-bit number (seed 42) in arithmetic modulo 2**64: DuckDB has neither.
+_CHECKSUMS = """
+WITH m AS (SELECT 18446744073709551616::UHUGEINT AS m, 11400714785074694791::UHUGEINT AS p1, 14029467366897019727::UHUGEINT AS p2, 1609587929392839161::UHUGEINT AS p3, 9650029242287828579::UHUGEINT AS p4, 2870177450012600261::UHUGEINT AS p5),
+a AS (SELECT p_partkey, p_name, p_partkey::UHUGEINT * p2 % m AS k, (42 + p5 + 8) % m AS h, m.* FROM part, m),
+b AS (SELECT *, xor(h, (k * 2147483648 % m + k // 8589934592) * p1 % m) AS h1 FROM a),
+c AS (SELECT *, ((h1 * 134217728 % m + h1 // 137438953472) * p1 + p4) % m AS h2 FROM b),
+d AS (SELECT *, xor(h2, h2 // 8589934592) * p2 % m AS h3 FROM c),
+e AS (SELECT *, xor(h3, h3 // 536870912) * p3 % m AS h4 FROM d),
+f AS (SELECT *, xor(h4, h4 // 4294967296)::HUGEINT AS x FROM e)
+SELECT p_partkey, xor(list_reduce(list_prepend(4294967295, list_transform(split(p_name, ''), lambda z: ascii(z)::BIGINT)), lambda s, b: list_reduce(list_prepend(xor(s, b), range(8)), lambda y, i: xor(y >> 1, (y & 1) * 3988292384))), 4294967295)::BIGINT AS c,
+       (CASE WHEN x >= 9223372036854775808 THEN x - 18446744073709551616 ELSE x END)::BIGINT AS x FROM f
+"""
+
 QUERIES: dict[str, Query] = {
     "f1_strings": sql(
         "SELECT p_partkey, upper(p_name) AS u, CAST(length(p_type) AS BIGINT) AS n, substr(p_brand, 1, 5) AS head, p_name || '/' || p_type AS both, split_part(p_name, ' ', 1) AS word, CAST(levenshtein(p_name, p_type) AS BIGINT) AS far, lpad(p_brand, 12, '*') AS padded, replace(p_type, 'A', 'a') AS swapped, reverse(p_name) AS back, trim(concat('  ', p_name, ' ')) AS trimmed, ltrim(' ' || p_name) AS l, repeat(substr(p_name, 1, 1), 3) AS r, translate(p_brand, 'Br', 'bR') AS t, CAST(instr(p_name, 'e') AS BIGINT) AS at, starts AS starts FROM (SELECT *, startswith(p_name, 'b') AS starts FROM {part})",
@@ -28,7 +41,7 @@ QUERIES: dict[str, Query] = {
         "SELECT event_id, array_join(regexp_extract_all(props, '[0-9]', 0), '-') AS digits, event_type COLLATE UTF8_LCASE = upper(event_type) AS same, soundex('Miller') AS sound, CAST(char_length(event_type) AS BIGINT) AS n, initcap(event_type) AS cap FROM {events}",
         "SELECT event_id, array_to_string(regexp_extract_all(props, '[0-9]'), '-') AS digits, lower(event_type) = lower(upper(event_type)) AS same, 'M460' AS sound, length(event_type) AS n, upper(event_type[1]) || lower(event_type[2:]) AS cap FROM {events}",
     ),
-    "f2_known": sql("SELECT crc32('123456789') AS c, crc32('Spark') AS d, xxhash64('Spark', array(123), 2) AS x", "SELECT 3421780262::BIGINT AS c, 1557323817::BIGINT AS d, 5602566077635097486::BIGINT AS x"),
+    "f2_checksums": frame(lambda p: p.select("p_partkey", F.crc32("p_name").alias("c"), F.xxhash64("p_partkey").alias("x")), "part", _CHECKSUMS),
     "f2_hashes": sql("SELECT doc_id, md5(text) AS m, sha2(text, 256) AS s FROM {documents}", "SELECT doc_id, md5(text) AS m, sha256(text) AS s FROM {documents}"),
     "f2_crc32": frame(lambda d: d.select("doc_id", F.crc32("text").alias("c"), F.xxhash64("text").alias("x")), "documents", None),
     "f3_dates": frame(

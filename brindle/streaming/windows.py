@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
 
 from brindle.functions.times import event_time
 
@@ -82,11 +83,50 @@ def run_complete(spark: SparkSession, df: DataFrame, out: str, checkpoint: str)
     return spark.read.schema(df.schema).parquet(f"{out}/{last[0]}") if last else spark.createDataFrame([], df.schema)
 
 
-def run_to_files(df: DataFrame, out: str, checkpoint: str) -> int:
-    """Append to parquet files exactly once; a restart from the checkpoint goes on where it stopped. Returns how many rows came too late."""
-    query = df.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+def run_to_files(df: DataFrame, out: str, checkpoint: str, idle_batches: bool = True) -> int:
+    """Append to parquet files exactly once; a restart from the checkpoint goes on where it stopped. Returns how many rows came too late.
+
+    idle_batches: whether batches without rows may run, which move timers and windows on. State by the clock asks for them without end, so it wants none.
+    """
+    late, conf = _Late(), "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = df.sparkSession.conf.get(conf)
+    df.sparkSession.conf.set(conf, str(idle_batches).lower())
+    df.sparkSession.streams.addListener(late)
+    try:
+        query = df.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+        late.wait(str(query.runId))
+    finally:
+        df.sparkSession.streams.removeListener(late)
+        df.sparkSession.conf.set(conf, before)
+    return late.rows
+
+
+class _Late(StreamingQueryListener):
+    """Counts late rows batch by batch: a query itself keeps only the last batches' progress."""
+
+    def __init__(self):
+        self.by_query: dict[str, int] = {}
+        self.over: dict[str, threading.Event] = {}
+        self.rows = 0
+
+    def wait(self, run: str) -> None:
+        """Until the listener has heard of the query's end, and so of all its batches."""
+        self.over.setdefault(run, threading.Event()).wait(60)
+        self.rows = self.by_query.get(run, 0)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        self.by_query[run] = self.by_query.get(run, 0) + sum(s.numRowsDroppedByWatermark for s in event.progress.stateOperators)
+
+    def onQueryTerminated(self, event) -> None:
+        self.over.setdefault(str(event.runId), threading.Event()).set()
 
 
 def run_each_batch(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:

@@ -9,7 +9,7 @@ from brindle.functions.vectors import cosine, dot
 from brindle.operators.joins import asof_join, broadcast_below, range_join, salted_join
 from brindle.operators.ranking import sum_over_groups, top_k
 from brindle.plans import registry
-from brindle.plans.sources import workspace
+from brindle.plans.workspace import workspace
 from brindle.session import table
 from brindle.streaming import windows as w
 
