@@ -10,8 +10,9 @@ Messages (conv_id, turn, role, text) become canonical JSON records. A text that
 anything else is plain content. Calls and results meet in a hash join on (conversation, identifier). Calls are put in topological
 order: a call whose arguments name another call of the conversation as "${id}" stands on a higher level than that,
 and a result right after its call or in its own turn, whichever is later. Arguments are validated against the tool's schema at
-every depth: type (one or several; a number without a fraction is an integer, of any size), enum, required, properties, additionalProperties (false or a schema),
-items. Each record's JSON is canonical: keys sorted at every depth, no white space, one spelling of escapes, and of numbers that of
+every depth: type (one or several; a number without a fraction is an integer, of any size), enum, const, required, properties, additionalProperties, items (each a schema
+or true or false), minimum, maximum, exclusiveMinimum, exclusiveMaximum, multipleOf (as doubles), minLength, maxLength (code points), minItems, maxItems, minProperties,
+maxProperties. Other keywords that can refuse a value (UNSUPPORTED) are not judged, and said to be so. Each record's JSON is canonical: keys sorted at every depth, no white space, one spelling of escapes, and of numbers that of
 JavaScript (100 for 1e2 and 100.0; whole numbers written without fraction or exponent keep all their digits), so equal records are equal
 texts. What a call or an assistant's message with calls holds besides is kept under "extra".
 
@@ -20,8 +21,8 @@ call, result), role, status, json. Ascending (turn, kind, level, part) is the co
 a conversation of any length needs no task of its own.
 
 status of a call: ok, no_result, duplicate (its id was used before: only the first call is linked), cycle; then ":" and the
-schema's complaints, sorted, where there are any (unknown_tool, missing x, type x, enum x, unexpected x; x is a path as a.b[0], $ for the
-arguments themselves). Of a result: ok, orphan (no call of
+schema's complaints, sorted, where there are any (unknown_tool, missing x, type x, enum x, unexpected x, unsupported k x, and k x for another
+keyword k; x is a path as a.b[0], $ for the arguments themselves). Of a result: ok, orphan (no call of
 that id), duplicate (only the first result is linked). Of a message: ok.
 
 DataFrame operations only. Defined cases: null or empty text is empty content; null conv_id is a conversation and null turns come first;
@@ -39,6 +40,11 @@ from brindle.llm.common import settle
 TOOL = "struct<name:string,parameters:variant>"
 #: What JSON types a schema's types admit, as Spark names a value's kind.
 KINDS = {"string": "STRING", "number": "BIGINT|DOUBLE|FLOAT|DECIMAL.*", "boolean": "BOOLEAN", "array": "ARRAY.*", "object": "OBJECT.*", "null": "VOID"}
+#: Keywords of schemas that may refuse a value and are not judged here.
+UNSUPPORTED = (
+    "$ref", "$dynamicRef", "allOf", "anyOf", "oneOf", "not", "if", "pattern", "patternProperties", "propertyNames", "contains", "prefixItems", "additionalItems",
+    "uniqueItems", "dependentRequired", "dependentSchemas", "dependencies", "unevaluatedItems", "unevaluatedProperties",
+)
 #: A string (its quotes and escapes skipped), a number, or what lies between; each possessive, so none is tried twice.
 TOKEN = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|-?[0-9][0-9.eE+\-]*+|[^"0-9\-]++|-'
 
@@ -148,7 +154,7 @@ def _judged(now: DataFrame) -> DataFrame:
     own = of("$.type", "variant")
     types = F.when(_kind(own).startswith("ARRAY"), of("$.type", "array<string>")).when(_kind(own) == "STRING", F.array(of("$.type", "string")))
     now = now.select("key", "path", "v", _kind(F.col("v")).alias("kind"), types.alias("types"), of("$.enum", "array<variant>").alias("enum"), of("$.required", "array<string>").alias("required"),
-                     of("$.properties", "map<string,variant>").alias("props"), of("$.additionalProperties", "variant").alias("more"), of("$.items", "variant").alias("items"))
+                     of("$.properties", "map<string,variant>").alias("props"), of("$.additionalProperties", "variant").alias("more"), of("$.items", "variant").alias("items"), of("$", "map<string,variant>").alias("keys"))
     is_object, is_array = F.col("kind").startswith("OBJECT"), F.col("kind").startswith("ARRAY")
     number = F.try_variant_get("v", "$", "double")
     whole = F.col("kind").rlike(r"^(?:BIGINT|DECIMAL\(\d+,0\))$") | (F.col("kind").rlike(f"^(?:{KINDS['number']})$") & (number == F.floor(number)))
@@ -161,13 +167,31 @@ def _judged(now: DataFrame) -> DataFrame:
     now = now.withColumns({"given": given, "elements": elements, "props": F.coalesce("props", F.create_map().cast("map<string,variant>"))})
     same = F.exists("enum", lambda e: canonical(F.to_json(e)) == canonical(F.to_json("v")))
     unknown = F.filter(F.map_entries("given"), lambda e: ~F.map_contains_key("props", e["key"]))
-    closed = F.coalesce((_kind(F.col("more")) == "BOOLEAN") & ~F.try_variant_get("more", "$", "boolean"), F.lit(False))
+    refuses = lambda x: F.coalesce((_kind(x) == "BOOLEAN") & ~F.try_variant_get(x, "$", "boolean"), F.lit(False))
+    closed = refuses(F.col("more"))
+    refused = F.filter(F.map_entries("given"), lambda e: refuses(F.try_element_at("props", e["key"])))
+    is_number = F.col("kind").rlike(f"^(?:{KINDS['number']})$")
+    length = F.when(F.col("kind") == "STRING", F.length(F.try_variant_get("v", "$", "string"))).cast("double")
+    items_n, given_n = F.when(is_array, F.size("elements")).cast("double"), F.when(is_object, F.size("given")).cast("double")
+    value = F.when(is_number, number)
+    asked = lambda k: F.try_variant_get(F.try_element_at("keys", F.lit(k)), "$", "double")
+    broken = {
+        "minimum": value < asked("minimum"), "maximum": value > asked("maximum"), "exclusiveMinimum": value <= asked("exclusiveMinimum"), "exclusiveMaximum": value >= asked("exclusiveMaximum"),
+        "multipleOf": F.when(asked("multipleOf") > 0, value / asked("multipleOf") != F.rint(value / asked("multipleOf"))),
+        "minLength": length < asked("minLength"), "maxLength": length > asked("maxLength"), "minItems": items_n < asked("minItems"), "maxItems": items_n > asked("maxItems"),
+        "minProperties": given_n < asked("minProperties"), "maxProperties": given_n > asked("maxProperties"),
+        "const": F.map_contains_key("keys", F.lit("const")) & (canonical(F.to_json(F.try_element_at("keys", F.lit("const")))) != canonical(F.to_json("v"))),
+    }
     nothing = F.array().cast("array<string>")
     wrong = F.concat(
         F.when(F.coalesce(~fits, F.lit(False)), F.array(F.concat(F.lit("type "), name))).otherwise(nothing),
         F.when(F.coalesce(~same, F.lit(False)), F.array(F.concat(F.lit("enum "), name))).otherwise(nothing),
         F.when(is_object, F.transform(F.filter(F.coalesce("required", nothing), lambda k: ~F.map_contains_key("given", k)), lambda k: F.concat(F.lit("missing "), below(k)))).otherwise(nothing),
         F.when(closed, F.transform(unknown, lambda e: F.concat(F.lit("unexpected "), below(e["key"])))).otherwise(nothing),
+        F.transform(refused, lambda e: F.concat(F.lit("unexpected "), below(e["key"]))),
+        F.when(refuses(F.col("items")), F.transform("elements", lambda _, i: F.concat(F.lit("unexpected "), name, F.lit("["), i.cast("string"), F.lit("]")))).otherwise(nothing),
+        F.filter(F.array(*(F.when(F.coalesce(c, F.lit(False)), F.concat(F.lit(f"{k} "), name)) for k, c in broken.items())), lambda x: x.isNotNull()),
+        F.transform(F.filter(F.map_keys(F.coalesce("keys", F.create_map().cast("map<string,variant>"))), lambda k: k.isin(*UNSUPPORTED)), lambda k: F.concat(F.lit("unsupported "), k, F.lit(" "), name)),
     )
     part = lambda path, v, s: F.struct(path.alias("path"), F.to_json(v).alias("value"), F.to_json(s).alias("schema"))
     is_schema = lambda s: _kind(s).startswith("OBJECT")

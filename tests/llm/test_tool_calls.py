@@ -1,6 +1,7 @@
 import json
 from decimal import Decimal
 
+import duckdb
 import numpy as np
 
 from brindle.llm import tool_calls as tc
@@ -106,18 +107,30 @@ def judged(v, s, path=""):
         out.add(f"type {name}")
     if "enum" in s and not any(type(e) is type(v) and e == v or num(e) and num(v) and e == v for e in s["enum"]):
         out.add(f"enum {name}")
+    if "const" in s and not (type(s["const"]) is type(v) and s["const"] == v or num(s["const"]) and num(v) and s["const"] == v):
+        out.add(f"const {name}")
+    n = len(v) if isinstance(v, (str, list, dict)) else v if num(v) else None
+    for key, kind, bad in (
+        ("minimum", num, lambda a, b: a < b), ("maximum", num, lambda a, b: a > b), ("exclusiveMinimum", num, lambda a, b: a <= b), ("exclusiveMaximum", num, lambda a, b: a >= b), ("multipleOf", num, lambda a, b: not (float(a) / b).is_integer()),
+        ("minLength", of["string"], lambda a, b: a < b), ("maxLength", of["string"], lambda a, b: a > b), ("minItems", of["array"], lambda a, b: a < b), ("maxItems", of["array"], lambda a, b: a > b),
+        ("minProperties", of["object"], lambda a, b: a < b), ("maxProperties", of["object"], lambda a, b: a > b),
+    ):
+        if key in s and kind(v) and bad(n, s[key]):
+            out.add(f"{key} {name}")
+    out |= {f"unsupported {k} {name}" for k in s if k in tc.UNSUPPORTED}
     if isinstance(v, dict):
         out |= {f"missing {below(k)}" for k in s.get("required", []) if k not in v}
         for k, x in v.items():
             if k in s.get("properties", {}):
-                out |= judged(x, s["properties"][k], below(k))
+                of_k = s["properties"][k]
+                out |= {f"unexpected {below(k)}"} if of_k is False else set() if of_k is True else judged(x, of_k, below(k))
             elif s.get("additionalProperties") is False:
                 out.add(f"unexpected {below(k)}")
             elif isinstance(s.get("additionalProperties"), dict):
                 out |= judged(x, s["additionalProperties"], below(k))
     if isinstance(v, list) and "items" in s:
         for k, x in enumerate(v):
-            out |= judged(x, s["items"], f"{name}[{k}]")
+            out |= {f"unexpected {name}[{k}]"} if s["items"] is False else set() if s["items"] is True else judged(x, s["items"], f"{name}[{k}]")
     return out
 
 
@@ -131,7 +144,7 @@ def test_validation_against_brute_force(spark):
             return [value(depth - 1) for _ in range(int(rng.integers(3)))]
         if kind == 7:
             return {k: value(depth - 1) for k in "abc" if rng.random() < 0.5}
-        return [1, 2.5, 3.0, "x", True, None][kind] if rng.random() < 0.9 else 12345678901234567890
+        return [1, 2.5, 3.0, "xyz"[: 1 + int(rng.integers(3))], True, None][kind] if rng.random() < 0.9 else 12345678901234567890
 
     def schema(depth):
         s = {}
@@ -140,17 +153,24 @@ def test_validation_against_brute_force(spark):
         if rng.random() < 0.15:
             s["enum"] = [value(1) for _ in range(3)]
         if depth and rng.random() < 0.8:
-            s["properties"] = {k: schema(depth - 1) for k in "abc" if rng.random() < 0.6}
+            s["properties"] = {k: pick([True, False]) if rng.random() < 0.1 else schema(depth - 1) for k in "abc" if rng.random() < 0.6}
         if rng.random() < 0.3:
             s["required"] = [k for k in "abc" if rng.random() < 0.5]
         if rng.random() < 0.4:
             s["additionalProperties"] = pick([False, True, schema(depth - 1) if depth else False])
         if depth and rng.random() < 0.6:
-            s["items"] = schema(depth - 1)
+            s["items"] = pick([True, False]) if rng.random() < 0.1 else schema(depth - 1)
+        for key in ("minimum", "maximum", "exclusiveMinimum", "exclusiveMaximum", "multipleOf", "minLength", "maxLength", "minItems", "maxItems", "minProperties", "maxProperties"):
+            if rng.random() < 0.2:
+                s[key] = pick([1, 2, 2.5, 3]) if key[:3] not in ("min", "max") or key in ("minimum", "maximum") else pick([0, 1, 2])
+        if rng.random() < 0.06:
+            s["const"] = value(1)
+        if rng.random() < 0.06:
+            s[pick(tc.UNSUPPORTED)] = pick([[], {}, True])
         return s
 
     rows, want = [], {}
-    for k in range(150):
+    for k in range(180):
         s = schema(3) | ({"type": "object"} if rng.random() < 0.7 else {})
         args = {n: value(3) for n in "abc"}
         rows.append((k, 0, "system", json.dumps({"tools": [{"name": "f", "parameters": s}]})))
@@ -160,6 +180,45 @@ def test_validation_against_brute_force(spark):
     assert got == want and sum(":" in x for x in want.values()) > 50
 
 
+def test_each_keyword(spark):
+    one = {
+        "const": ("b", {"const": "a"}), "minimum": (1, {"minimum": 2}), "maximum": (2.5, {"maximum": 2}), "exclusiveMinimum": (2, {"exclusiveMinimum": 2}), "exclusiveMaximum": (3, {"exclusiveMaximum": 3.0}),
+        "multipleOf": (7, {"multipleOf": 2}), "minLength": ("é😀", {"minLength": 3}), "maxLength": ("abc", {"maxLength": 2}), "minItems": ([], {"minItems": 1}), "maxItems": ([1, 2], {"maxItems": 1}),
+        "minProperties": ({}, {"minProperties": 1}), "maxProperties": ({"p": 1, "q": 2}, {"maxProperties": 1}), "unsupported anyOf": (1, {"anyOf": [{"type": "string"}]}), "unsupported pattern": ("x", {"pattern": "(("}), "unexpected": (1, False),
+    }
+    fine = {"const": ("a", {"const": "a"}), "minimum": (2, {"minimum": 2}), "minLength": ("é😀", {"minLength": 2, "maxLength": 2}), "numbers": ("x", {"minimum": 5, "minItems": 3}), "true": (1, True), "null": (None, {"const": None})}
+    rows = []
+    for k, (v, s) in enumerate([*one.values(), *fine.values()]):
+        rows += [(k, 0, "system", json.dumps({"tools": [{"name": "f", "parameters": {"properties": {"x": s}}}]})), (k, 1, "assistant", call(("1", "f", {"x": v})))]
+    got = {r.conv_id: r.status for r in tc.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).where("kind = 'call'").collect()}
+    assert [got[k] for k in sorted(got)] == [f"no_result:{k} x" for k in one] + ["no_result"] * len(fine)
+
+
+LINKS = """
+WITH m AS (SELECT DISTINCT conv_id, turn, role, text FROM t WHERE json_valid(text)),
+c AS (SELECT conv_id, turn, text, x->>'id' AS id, k FROM (SELECT conv_id, turn, text, unnest(json_extract(text, '$.tool_calls[*]')) AS x, unnest(range(json_array_length(text, '$.tool_calls')::BIGINT)) AS k FROM m WHERE role = 'assistant')),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id, id ORDER BY turn, k, text) AS place FROM c),
+r AS (SELECT conv_id, turn, text, text->>'tool_call_id' AS id, row_number() OVER (PARTITION BY conv_id, text->>'tool_call_id' ORDER BY turn, text) AS place FROM m WHERE role = 'tool')
+SELECT n.conv_id, n.turn, 'call' AS kind, n.id, CASE WHEN n.place > 1 THEN 'duplicate' WHEN r.id IS NULL THEN 'no_result' ELSE 'ok' END || ':unknown_tool' AS status FROM n LEFT JOIN r ON r.conv_id = n.conv_id AND r.id = n.id AND r.place = 1
+UNION ALL SELECT r.conv_id, greatest(r.turn, n.turn), 'result', r.id, CASE WHEN n.id IS NULL THEN 'orphan' WHEN r.place > 1 THEN 'duplicate' ELSE 'ok' END FROM r LEFT JOIN n ON n.conv_id = r.conv_id AND n.id = r.id AND n.place = 1
+"""
+
+
+def test_links_by_sql(spark):
+    """Calls and results of random conversations, half of the identifiers used more than once, against DuckDB."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for c in range(60):
+        for t in range(int(rng.integers(1, 9))):
+            ids = [str(x) for x in rng.integers(0, 6, 1 + int(rng.integers(2)))]
+            rows.append((c, t, "assistant", call(*((i, "f", {"x": int(rng.integers(9))}) for i in ids))) if rng.random() < 0.5 else (c, t, "tool", result(ids[0], int(rng.integers(3)))))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?, ?, ?, ?)", rows)
+    got = [(r.conv_id, r.turn, r.kind, json.loads(r.json)["id"], r.status) for r in tc.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).where("kind <> 'message'").collect()]
+    assert sorted(got) == sorted(con.execute(LINKS).fetchall()) and len(got) > 200
+
+
 def test_long_chain_and_repeats(spark):
     rows = [(1, k, "assistant", call((str(k), "f", {"x": f"${{{k - 1}}}"} if k else {}))) for k in range(12)] * 2
     got = tc.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).where("kind = 'call'").collect()
