@@ -10,7 +10,7 @@ stretch of more than STRETCH tokens has no such place, at every STRETCH tokens o
 with a penalty of 0 for the end of a document, SENTENCE for that of a sentence, INSIDE for other places. As padding(p - q) is most - p + q, the minimum
 is that of cost(q) + q over a sliding window: a monotone queue gives it in constant time; lengths that are powers of two are
 looked at besides. What is minimised is exact for each block, a run of documents of about BLOCK tokens (a longer document is a block of
-its own), so no task holds more ids than that and one document's, and nothing runs over the whole stream.
+its own, and beyond four times that several), so no task holds more ids than that and one document's, and nothing runs over the whole stream.
 
 Ids are those of the tokenizers library over the whole text. Where its tokenizer is byte-level without normalizer, no token crosses the place before a space
 that does not lie within white space, so distinct words are encoded once (ByteLevel). Sequences are numbered in the order of the stream, without gaps.
@@ -136,7 +136,7 @@ class ByteLevel:
                 ids[k] = made[words[k]]
             if len(self.known) + len(made) <= self.keep:
                 self.known |= {w: x for w, x in made.items() if len(w) <= KEPT_BYTES}
-        out += ids
+        out.append(b"".join(ids))
 
     def _made(self, words: list[bytes]) -> dict[bytes, bytes]:
         out: dict[bytes, bytes] = {}
@@ -245,6 +245,17 @@ def windows(at: np.ndarray, cost: np.ndarray, most: int) -> list[int]:
     return out[::-1]
 
 
+def in_spans(at: np.ndarray, cost: np.ndarray, most: int, span: int) -> list[int]:
+    """windows() of stretches of about `span`, so that what a very long document takes is bounded."""
+    out: list[int] = []
+    begin, base = 0, 0
+    while begin < len(at):
+        end = len(at) if at[-1] - base <= span else max(begin + 1, int(np.searchsorted(at, base + span, "right")))
+        out += [base + c for c in windows(at[begin:end] - base, cost[begin:end], most)]
+        begin, base = end, int(at[end - 1])
+    return out
+
+
 _NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "number", "offset"]
 
 
@@ -269,7 +280,7 @@ def packed(docs: DataFrame, tokenizer: str, most: int = MOST, end_id: int = 1, b
             nonlocal held, size, number
             flat = np.frombuffer(b"".join([raw for _, raw in held]), enc.type)
             ends = np.cumsum([len(raw) // enc.type.itemsize for _, raw in held])
-            cuts = windows(*places(flat, ends, enc, most), most)
+            cuts = in_spans(*places(flat, ends, enc, most), most, 4 * block)
             rows, k, begin, s = [], 0, 0, 0
             for (doc_id, _), stop in zip(held, ends.tolist()):
                 at, n = 0, stop - s

@@ -86,6 +86,14 @@ def test_windows_cost_least(gaps, most):
     assert cost_of(got, at.tolist(), cost, most) == min(possible)
 
 
+def test_spans():
+    at = np.cumsum(np.random.default_rng(3).integers(1, 40, 3000))
+    cost = np.full(3000, 8)
+    cuts = pk.in_spans(at, cost, 256, 5000)
+    assert cuts[-1] == at[-1] and set(cuts) <= set(at.tolist()) and max(np.diff([0, *cuts])) <= 256
+    assert pk.in_spans(at, cost, 256, 10**9) == pk.windows(at, cost, 256)
+
+
 def test_places():
     enc = pk.encoder(PATH)
     one, two = ([*whole(t), 1] for t in ("One two. Three four! 3.5 five?\nSix.", "Seven."))
@@ -157,7 +165,7 @@ def test_defined_cases(spark):
 def test_small_blocks_and_other_lengths(spark):
     docs = [(k, f"Words of number {k}. " * (k % 9)) for k in range(120)]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
-    for most, block in ((64, 100), (100, 5000), (20, 3000)):
+    for most, block in ((64, 100), (100, 5000), (20, 3000), (64, 8)):
         held(pk.packed(frame, PATH, most=most, block=block).collect(), docs, most)
 
 
