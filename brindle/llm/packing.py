@@ -10,7 +10,8 @@ stretch of more than STRETCH tokens has no such place, at every STRETCH tokens o
 with a penalty of 0 for the end of a document, SENTENCE for that of a sentence, INSIDE for other places. As padding(p - q) is most - p + q, the minimum
 is that of cost(q) + q over a sliding window: a monotone queue gives it in constant time; lengths that are powers of two are
 looked at besides. What is minimised is exact for each block, a run of documents of about BLOCK tokens (a longer document is a block of
-its own, and beyond four times that several), so no task holds more ids than that and one document's, and nothing runs over the whole stream.
+its own, and beyond four times that several). Blocks lie within ranges of documents of some RANGE characters, a task each, whose bounds come from the documents
+alone, so the same documents are packed alike however they lie in files; so no task holds more ids than that and one document's, and nothing runs over the whole stream.
 
 Ids are those of the tokenizers library over the whole text. Where its tokenizer is byte-level without normalizer, no token crosses the place before a space
 that does not lie within white space, so distinct words are encoded once (ByteLevel). Sequences are numbered in the order of the stream, without gaps.
@@ -29,13 +30,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from brindle.llm.common import KEPT_BYTES, bounded_batches, column, stored, take_turn, tidy
 
 MOST, BLOCK = 2048, 1 << 20
+RANGE, RANGES, SAMPLED = 4_000_000, 20_000, 40
+LEAST = -(1 << 63)  # where null ids lie
 #: Costs in tokens of padding.
 WINDOW, SENTENCE, INSIDE, STRETCH = 8, 8, 64, 64
 PIECE = 1 << 20
@@ -256,10 +259,42 @@ def in_spans(at: np.ndarray, cost: np.ndarray, most: int, span: int) -> list[int
     return out
 
 
+def range_cuts(rows: DataFrame, chars: int) -> list[tuple[int, int]]:
+    """Where ranges of (doc_id, _tie) begin, of about `chars` characters of rows (doc_id, text, _tie): the same for the same rows, however they lie in
+    files and tasks. From SAMPLED rows a range, those of certain hashes; at most RANGES ranges, so what comes to the driver is bounded."""
+    size = F.coalesce(F.length("text"), F.lit(0)) + 1
+    n, total = rows.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    many = min(RANGES, -(-total // chars))
+    if many < 2:
+        return []
+    every = max(1, n // (SAMPLED * many))
+    some = rows.where(F.pmod(F.xxhash64("doc_id", "_tie"), F.lit(every)) == 0).select(F.coalesce("doc_id", F.lit(LEAST)).alias("d"), "_tie", size.alias("n")).collect()
+    some = sorted(map(tuple, some))
+    before = np.cumsum([n for _, _, n in some]) - [n for _, _, n in some] if some else np.zeros(0)
+    share = sum(n for _, _, n in some) / many
+    at = np.searchsorted(before, share * np.arange(1, many))
+    return sorted({some[k][:2] for k in at.tolist() if k < len(some)})
+
+
+def sent_within(cuts: list[tuple[int, int]]):
+    """A function of doc_id and _tie: how many of the cuts are at or before them."""
+    ids, ties = (np.array(x, np.int64) for x in zip(*cuts))
+
+    @F.arrow_udf(LongType())
+    def within(doc_id: pa.Array, tie: pa.Array) -> pa.Array:
+        d, t = doc_id.fill_null(LEAST).to_numpy(zero_copy_only=False), tie.to_numpy(zero_copy_only=False)
+        low, high = np.searchsorted(ids, d, "left"), np.searchsorted(ids, d, "right")
+        for k in np.flatnonzero(low < high):
+            low[k] += np.searchsorted(ties[low[k] : high[k]], t[k], "right")
+        return pa.array(low, pa.int64())
+
+    return within
+
+
 _NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "number", "offset"]
 
 
-def packed(docs: DataFrame, tokenizer: str, most: int = MOST, end_id: int = 1, block: int = BLOCK, ids: bool = False) -> DataFrame:
+def packed(docs: DataFrame, tokenizer: str, most: int = MOST, end_id: int = 1, block: int = BLOCK, ids: bool = False, range_chars: int = RANGE) -> DataFrame:
     """A row for each piece of docs (doc_id, text): doc_id, start and length of the piece in its document's ids, ids_crc32 (of the piece's ids as unsigned
     32-bit little-endian), doc_tokens (all of the document's), sequence_id, offset in the sequence; and ids, where asked for.
 
@@ -271,7 +306,7 @@ def packed(docs: DataFrame, tokenizer: str, most: int = MOST, end_id: int = 1, b
     names = [*_NAMES, "ids"][: len(kinds)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part, number = encoder(tokenizer), TaskContext.get().partitionId(), 0
+        enc, part, number = encoder(tokenizer), 0, 0
         end = np.asarray(end_id, enc.type).tobytes()
         held: list[tuple[int | None, bytes]] = []
         size = 0
@@ -300,7 +335,11 @@ def packed(docs: DataFrame, tokenizer: str, most: int = MOST, end_id: int = 1, b
             held, size = [], 0
 
         for batch in batches:
-            for doc_id, text in zip(column(batch, "doc_id"), column(batch, "text"), strict=True):
+            for of, doc_id, text in zip(*(column(batch, c) for c in ("_range", "doc_id", "text")), strict=True):
+                if of != part:
+                    if held:
+                        yield from pack()
+                    part, number = of, 0
                 held.append((doc_id, enc.ids(text or "") + end))
                 size += len(held[-1][1]) // enc.type.itemsize
                 if size >= block:
@@ -308,16 +347,15 @@ def packed(docs: DataFrame, tokenizer: str, most: int = MOST, end_id: int = 1, b
         if held:
             yield from pack()
 
-    tie = F.xxhash64(F.col("text").cast("string"))
-    rows = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), tie.alias("_tie"))
-        .repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("_tie"))
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("_tie"))
-        .select("doc_id", "text")
-    )
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("_tie"))
+    cuts = range_cuts(rows, range_chars)
+    many = len(cuts) + 1
+    within = sent_within(cuts)("doc_id", "_tie") if many > 1 else F.lit(0).cast("long")
+    order = ["_range", F.col("doc_id").asc_nulls_first(), "_tie"]
+    rows = rows.withColumn("_range", within).repartitionById(many, F.col("_range").cast("int")).sortWithinPartitions(*order).select("_range", "doc_id", "text")
     schema = ", ".join(f"{c} long" for c in _NAMES) + ", ids array<long>" * ids
     pieces = stored(rows.mapInArrow(tidy(run), schema), "packed")
-    # sequences before a part's own: a row for each task that wrote
+    # sequences before a range's own: a row for each range
     parts = pieces.groupBy("part").agg((F.max("number") + 1).alias("n"))
     before = parts.select(F.col("part").alias("_part"), F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     numbered = pieces.join(F.broadcast(before), F.col("part") == F.col("_part"))

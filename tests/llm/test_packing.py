@@ -162,6 +162,20 @@ def test_defined_cases(spark):
     assert pk.packed(frame.limit(0), PATH).collect() == []
 
 
+def test_the_same_however_rows_lie(spark):
+    """Ranges, blocks and sequences depend on the documents alone; ids that repeat, many times, too."""
+    docs = [(k % 40 if k % 3 else 7, f"Words of text {k}. " * (k % 23)) for k in range(400)] + [(None, "Null. " * k) for k in range(30)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    one = sorted(map(tuple, pk.packed(frame.coalesce(1), PATH, range_chars=3000).collect()), key=str)
+    other = sorted(map(tuple, pk.packed(frame.repartition(7), PATH, range_chars=3000).collect()), key=str)
+    assert one == other
+    cuts = pk.range_cuts(frame.withColumn("_tie", pk.F.xxhash64("text")), 3000)
+    assert len(cuts) > 10 and cuts == sorted(set(cuts))
+    order = [r[0] for r in sorted(one, key=lambda r: (r[5], r[6]))]
+    assert order == sorted(order, key=lambda d: (d is not None, d or 0))
+    held(pk.packed(frame, PATH, range_chars=3000).collect(), docs)
+
+
 def test_small_blocks_and_other_lengths(spark):
     docs = [(k, f"Words of number {k}. " * (k % 9)) for k in range(120)]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
