@@ -110,7 +110,8 @@ WITH s AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY
 g AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM s),
 t AS (SELECT user_id, k, string_agg(event_type || ':' || n, ',' ORDER BY event_type) AS kinds FROM (SELECT user_id, k, event_type, count(*) AS n FROM g GROUP BY ALL) GROUP BY ALL)
 SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS "end", count(*) AS n, any_value(kinds) AS kinds, string_agg(event_id, ',' ORDER BY ts) AS events
-FROM g JOIN t USING (user_id, k) GROUP BY user_id, k HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)
+FROM g JOIN t USING (user_id, k) GROUP BY user_id, k
+HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) OR k < (SELECT max(l.k) FROM g l WHERE l.user_id = g.user_id)
 """
 
 _CLOSED = """
