@@ -61,12 +61,17 @@ class Visits(StatefulProcessor):
         every = sorted((at, e, k) for pdf in rows for at, e, k in zip(pdf["us"], pdf["event_id"], pdf["event_type"]))
         out, now = [], []
         last = self.visit.get()[1] if self.visit.exists() else None
+        stored = last is not None
         for event in every:
             if last is not None and event[0] - last >= self.gap:
-                if now:
-                    self._take(now)
-                    now = []
-                out.append(self._close(key[0]))
+                if stored:
+                    if now:
+                        self._take(now)
+                    out.append(self._close(key[0]))
+                else:  # begun and ended in this batch: no state is made for it
+                    kinds = ",".join(f"{k}:{n}" for k, n in sorted(Counter(k for _, _, k in now).items()))
+                    out.append((key[0], now[0][0], last + self.gap, len(now), kinds, ",".join(str(e) for _, e, _ in now)))
+                now, stored = [], False
             now.append(event)
             last = event[0]
         if now:
