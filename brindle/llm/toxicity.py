@@ -4,7 +4,7 @@ A word is the bag of its character n-grams (3 to 5 characters of `<word>`, and t
 in a hashed table; words that were never met, and misspellings, share the n-grams of those that were. Words are parted by Unicode
 white space; of a run of more than LONGEST characters (scripts without spaces, minified code) each part up to punctuation is a word, and of
 a part still longer each piece of LONGEST, which overlap so that no n-gram is lost. The embeddings of a
-window of WINDOW words are averaged and go into a linear softmax over (clean, toxic); embeddings and softmax are trained jointly
+window of WINDOW words (two: in longer ones a lone toxic word drowns) are averaged and go into a linear softmax over (clean, toxic); embeddings and softmax are trained jointly
 in numpy. A document's logit is that of its most toxic window, so a few words count in a text of any length.
 
 Labels are of documents, so the windows to train on are chosen and chosen again: first by how much more often words
@@ -31,7 +31,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from brindle.llm.common import KEPT_BYTES, bounded_batches, column, pieces, release, take_turn, tidy, unused
 from brindle.llm.labelled import add_rows, fold, sample, sigmoid, temperature
 
-BUCKETS, DIM, WINDOW, ROUNDS, EPOCHS = 1 << 17, 12, 5, 3, 12
+BUCKETS, DIM, WINDOW, ROUNDS, EPOCHS = 1 << 17, 12, 2, 3, 12
 LONGEST, OVERLAP = 64, 4
 MOST, MOST_CHARS = 1500, 16_000_000
 
