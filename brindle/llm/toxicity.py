@@ -5,7 +5,8 @@ in a hashed table; words that were never met, and misspellings, share the n-gram
 white space; of a run of more than LONGEST characters (scripts without spaces, minified code) each part up to punctuation is a word, and of
 a part still longer each piece of LONGEST, which overlap so that no n-gram is lost. The embeddings of a
 window of WINDOW words (two: in longer ones a lone toxic word drowns) are averaged and go into a linear softmax over (clean, toxic); embeddings and softmax are trained jointly
-in numpy. A document's logit is that of its most toxic window, so a few words count in a text of any length.
+in numpy. A document's logit is the mean of those of its WORST most toxic windows (of all, where it has fewer; windows over its edges have empty places), so a few words count in a text of
+any length, and one word that merely looks like a toxic one does not decide.
 
 Labels are of documents, so the windows to train on are chosen and chosen again: first by how much more often words
 stand in toxic documents, then by the model itself; from clean documents come their own worst windows and others. At
@@ -31,7 +32,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from brindle.llm.common import KEPT_BYTES, bounded_batches, column, pieces, release, take_turn, tidy, unused
 from brindle.llm.labelled import add_rows, fold, sample, sigmoid, temperature
 
-BUCKETS, DIM, WINDOW, ROUNDS, EPOCHS = 1 << 17, 12, 2, 3, 12
+BUCKETS, DIM, WINDOW, WORST, ROUNDS, EPOCHS = 1 << 17, 12, 2, 4, 3, 12
 LONGEST, OVERLAP = 64, 4
 MOST, MOST_CHARS = 1500, 16_000_000
 
@@ -121,11 +122,11 @@ class Model:
         return np.array(got)
 
     def windows(self, words: list[bytes]) -> np.ndarray:
-        """Logits of all windows; the whole text is the one window of a shorter text."""
-        return _means(self.word_scores(words)) + self.bias
+        """Logits of all windows, those over an edge of the text too; the whole text is the one window of a shorter text."""
+        return _means(_edged(self.word_scores(words))) + self.bias
 
     def logit(self, words: list[bytes]) -> float:
-        return float(self.windows(words).max())
+        return _worst(self.windows(words))
 
     def scores(self, texts: list[str]) -> list[float]:
         return [float(sigmoid(self.scale * self.logit(words_of(t)) + self.shift)) for t in texts]
@@ -174,7 +175,7 @@ def fit(rows: list[tuple[str, int]], seed: int = 1) -> Model | None:
         emb, out, bias = _train(chosen, ids, at, emb, out, bias, rng)
         model = Model(emb @ (out[:, 1] - out[:, 0]), float(bias[1] - bias[0]), 1.0, 0.0)
         score = np.add.reduceat(model.buckets[ids], at[:-1]) / size
-    logits = np.array([_means(score[d]).max() + model.bias for d in docs])
+    logits = np.array([_worst(_means(_edged(score[d])) + model.bias) for d in docs])
     model.scale, model.shift = temperature(logits, y)
     return model
 
@@ -187,6 +188,16 @@ def _means(s: np.ndarray) -> np.ndarray:
     return (c[WINDOW:] - c[:-WINDOW]) / WINDOW
 
 
+def _edged(s: np.ndarray) -> np.ndarray:
+    """With empty places before and behind, so that the first and last words lie in as many windows as others."""
+    return np.pad(s, WINDOW - 1) if len(s) > WINDOW else s
+
+
+def _worst(windows: np.ndarray) -> float:
+    """The mean of the WORST greatest."""
+    return float(np.sort(windows if len(windows) <= WORST else np.partition(windows, -WORST)[-WORST:]).mean())
+
+
 def _train(windows, ids, at, emb, out, bias, rng, rate: float = 0.5, batch: int = 64):
     """Adagrad over windows (words, label): embeddings, softmax and bias jointly. A word's n-grams are ids[at[word] : at[word + 1]]."""
     seen_e, seen_o, seen_b = np.full(len(emb), 1e-4), np.full(out.shape, 1e-4), np.full(2, 1e-4)

@@ -124,14 +124,41 @@ def quality_by_hand(m, text):
 
 
 def toxicity_by_hand(m, text):
-    """The greatest mean over all windows of the means of their words' n-grams."""
+    """The means of all windows' words' n-grams, and of these the mean of the four greatest."""
     one = {w: np.mean([m.buckets[g] for g in toxicity.grams([w])[0]]) for w in set(toxicity.words_of(text))}
     values = [one[w] for w in toxicity.words_of(text)]
     n = toxicity.WINDOW
-    best = max((sum(values[k : k + n]) / len(values[k : k + n]) for k in range(max(1, len(values) - n + 1))), default=0.0) if values else 0.0
+    if len(values) <= n:
+        means = [sum(values) / max(1, len(values))]
+    else:
+        means = [sum(values[max(0, k) : max(0, k + n)]) / n for k in range(1 - n, len(values))]
+    best = np.mean(sorted(means)[-toxicity.WORST :])
     return labelled.sigmoid(m.scale * (best + m.bias) + m.shift)
 
 
+def test_toxicity_counts_words_in_any_length_and_no_lone_lookalike():
+    """A word that clean documents hold once each decides nothing; several toxic words do, in a short text and in a long one."""
+    rng = np.random.default_rng(5)
+    some = lambda n: [f"w{rng.integers(0, 80)}" for _ in range(n)]
+
+    def text(*extra):
+        words = some(40)
+        for e in extra:
+            words.insert(int(rng.integers(0, len(words) + 1)), e)
+        return " ".join(words)
+
+    rows = [(text(*rng.choice(["vilest", "scum", "crook"], 4)), 1) if k % 2 else (text("scumbled") if k % 10 == 0 else text(), 0) for k in range(600)]
+    m = toxicity.fit(rows)
+    long = " ".join(some(20_000))
+    assert max(m.scores([text("scumbled"), long, "w1 w2", text()])) < 0.5
+    assert min(m.scores([text("vilest", "crook", "scum"), f"{long} vilest scum crook {long}", "scum", "vilest crook scum"])) > 0.5
+
+
+@pytest.mark.parametrize("values, want", [([3.0], 3.0), ([1.0, 2.0, 3.0], 2.0), ([5.0, 1.0, 4.0, 2.0, 3.0, 3.0], 3.75), ([2.0] * 9, 2.0)])
+def test_worst_windows(values, want):
+    assert toxicity._worst(np.array(values)) == want
+
+
 @pytest.mark.parametrize("of, by_hand", [(quality, quality_by_hand), (toxicity, toxicity_by_hand)])
 def test_scores_against_brute_force(spark, sf_dir, of, by_hand):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
