@@ -21,10 +21,12 @@ import os
 import struct
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections import deque
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -78,10 +80,11 @@ class Encoder:
     """A tokenizer of the tokenizers library, with the ids of words it has met.
 
     Where the tokenizer drops white space before it looks for merges, no token crosses ASCII white space, and
-    a text's ids are those of its words one after another; then each distinct word is encoded once. A word's
+    a text's ids are those of its words one after another; then texts are taken some BLOCK_CHARS characters at a time, and each
+    distinct word of those is looked at once. A word's
     trailing ASCII punctuation is a run of its own behind what is a letter or number in normal form, and case falls away, so what is
-    encoded and kept is the stem. The first `keep` distinct words of KEPT_BYTES at most and a third as many stems stay (memory
-    is bounded); others are encoded again in each text. Any other tokenizer gets whole texts.
+    encoded and kept is the stem. The first `keep` stems of letters (`known`), of KEPT_BYTES at most, and a third as many other stems and tails (`stems`)
+    stay (memory is bounded); others are encoded again in each block. Any other tokenizer gets whole texts.
     """
 
     def __init__(self, path: str, keep: int = 300_000):
@@ -104,67 +107,116 @@ class Encoder:
         self.last = np.array([(self.of.id_to_token(k) or "").endswith(suffix) for k in range(size)]) if suffix else None
         self.keep, self.known, self.stems = keep, {}, {}
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
+    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """The ids of each text, as little-endian unsigned integers of `width` bytes."""
-        for t in texts:
-            if not self.by_word:
-                yield self._one(t)
-                continue
-            parts = []
-            for piece in pieces(t):
-                words = piece.encode().split()  # bytes part at ASCII white space only
-                ids = list(map(self.known.get, words))
-                if None in ids:
-                    places = [k for k, x in enumerate(ids) if x is None]
-                    made = self._words({words[k] for k in places})
-                    for k in places:
-                        ids[k] = made[words[k]]
-                    if len(self.known) + len(made) <= self.keep:
-                        self.known |= {w: x for w, x in made.items() if len(w) <= KEPT_BYTES}
-                parts.append(b"".join(ids))
+        if not self.by_word:
+            yield from map(self._one, texts)
+            return
+        parts: list[bytes] | None = None
+        for block in blocks(texts):
+            for ids, (_, first) in zip(self._block([piece for piece, _ in block]), block, strict=True):
+                if first and parts is not None:
+                    yield b"".join(parts)
+                parts = [ids] if first else [*parts, ids]
+        if parts is not None:
             yield b"".join(parts)
 
+    def _block(self, texts: list[str]) -> list[bytes]:
+        words = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+        each = words.flatten().dictionary_encode()
+        if not len(each):
+            return [b""] * len(texts)
+        made = pc.binary_join_element_wise(*map(self._ids, parted(each.dictionary)), pa.scalar(b"", pa.large_binary()))
+        data = made.take(each.indices)
+        ends = np.frombuffer(data.buffers()[1], "i8", len(data) + 1)[words.offsets.to_numpy()].tolist()
+        raw = memoryview(data.buffers()[2] or b"")
+        return [bytes(raw[a:b]) for a, b in zip(ends, ends[1:])]
+
+    def _ids(self, parts: pa.Array) -> pa.Array:
+        """The ids of stems or tails."""
+        each = parts.dictionary_encode()
+        keys = each.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.known.get, keys))
+        places = [k for k, x in enumerate(ids) if x is None]
+        for k, x in zip(places, self._made([keys[k] for k in places]), strict=True):
+            ids[k] = x
+        return pa.array(ids, pa.large_binary()).take(each.indices)
+
+    def _made(self, new: list[bytes]) -> list[bytes]:
+        """The ids of distinct stems or tails that are not known; the first are kept from now on."""
+        out = list(map(self.stems.get, new))
+        places = [k for k, x in enumerate(out) if x is None]
+        texts = [new[k].decode() for k in places]
+        made = self._stems(texts)
+        for k, t in zip(places, texts, strict=True):
+            out[k] = made[t]
+            kept, most = (self.known, self.keep) if t.isalpha() else (self.stems, self.keep // 3)
+            if len(kept) < most and len(new[k]) <= KEPT_BYTES:
+                kept[new[k]] = made[t]
+        return out
+
     def _one(self, text: str) -> bytes:
         return np.asarray(self.of.encode(text, add_special_tokens=False).ids, self.type).tobytes()
 
-    def _words(self, words: set[bytes]) -> dict[bytes, bytes]:
-        split = {}
-        for key in words:
-            w = key.decode()
-            stem = w.rstrip(_PUNCTUATION)
-            if not stem or not _stays(stem[-1]) or "<|" in w:
-                stem = w
-            tail = w[len(stem) :]
-            split[key] = (stem.lower() if stem.isascii() else stem), tail
-        stems = self.stems
-        new = {x for pair in split.values() for x in pair if x and x not in stems}
-        if new:
-            stems |= self._stems(list(new))
-        out = {w: stems[a] + stems[b] if b else stems[a] for w, (a, b) in split.items()}
-        full = len(stems) > self.keep // 3
-        for x in new:
-            if full or len(x) > KEPT_BYTES:
-                del stems[x]
-        return out
-
     def _stems(self, new: list[str]) -> dict[str, bytes]:
+        out: dict[str, bytes] = {}
         letters = [w for w in new if w.isalpha()] if self.last is not None else []
-        out = {}
-        if letters:
-            ids = np.asarray(self.of.encode(" ".join(letters), add_special_tokens=False).ids, self.type)
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) == len(letters):  # each is one run of letters, as it is but for a few odd characters
-                data, at = ids.tobytes(), 0
-                for w, end in zip(letters, (ends * self.width).tolist(), strict=True):
-                    out[w] = data[at:end]
-                    at = end
-        return out | {w: self._one(w) for w in new if w not in out}
+        for some in _runs(letters, TOGETHER * 8):
+            runs = list(_runs(some, TOGETHER))
+            for own, ids in zip(runs, self._batch([" ".join(r) for r in runs]), strict=True):
+                ends = np.flatnonzero(self.last[np.frombuffer(ids, self.type)]) + 1
+                if len(ends) == len(own):  # each is one run of letters, as it is but for a few odd characters
+                    cuts = [0, *(ends * self.width).tolist()]
+                    out |= {w: ids[a:b] for w, a, b in zip(own, cuts, cuts[1:])}
+        for some in _runs([w for w in new if w not in out], TOGETHER):
+            out |= dict(zip(some, self._batch(some), strict=True))
+        return out
+
+    def _batch(self, texts: list[str]) -> list[bytes]:
+        return [np.asarray(e.ids, self.type).tobytes() for e in self.of.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+#: Characters of texts whose distinct words are looked up together, and stems that the tokenizer gets as one text.
+BLOCK_CHARS, TOGETHER = 2 << 20, 256
+
+
+def _runs(items: list, n: int) -> Iterator[list]:
+    return (items[k : k + n] for k in range(0, len(items), n))
+
+
+def blocks(texts: Iterable[str]) -> Iterator[list[tuple[str, bool]]]:
+    """Pieces of the texts in order, some BLOCK_CHARS characters at a time, and whether each is its text's first."""
+    held, size = [], 0
+    for t in texts:
+        for k, piece in enumerate(pieces(t)):
+            held.append((piece, k == 0))
+            size += len(piece)
+            if size >= BLOCK_CHARS:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
 
 
 #: ASCII punctuation but the apostrophe, which the tokenizer's own patterns may tie to letters.
 _PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
+def parted(words: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Stems of distinct words, ASCII ones in lower case, and the punctuation behind them. What may hold a special token stays as it is."""
+    stem = pc.utf8_rtrim(words, characters=_PUNCTUATION)
+    last = pc.utf8_slice_codeunits(stem, start=-1).dictionary_encode()
+    stays = pa.array([_stays(c) for c in last.dictionary.to_pylist()], pa.bool_()).take(last.indices)
+    special = pc.match_substring(words, "<|")
+    stem = pc.if_else(pc.and_not(stays, special), stem, words)
+    ends = np.frombuffer(words.buffers()[1], "i4", len(words) + 1, 4 * words.offset)[1:]
+    lengths = (pc.binary_length(words).to_numpy() - pc.binary_length(stem).to_numpy()).astype("i4")
+    to = np.append(np.zeros(1, "i4"), np.cumsum(lengths, dtype="i4"))
+    marks = np.frombuffer(words.buffers()[2], "u1")[np.arange(to[-1]) + np.repeat(ends - to[1:], lengths)]
+    tail = pa.Array.from_buffers(pa.string(), len(words), [None, pa.py_buffer(to), pa.py_buffer(marks)])
+    return pc.if_else(pc.and_not(pc.string_is_ascii(stem), special), pc.ascii_lower(stem), stem), tail
+
+
 def _stays(last: str) -> bool:
     """Whether a letter or number still is one at its end when normalised: of some (a capital I with a dot, letters that
     are taken apart) a mark is left last, which would be one run with punctuation behind it."""
@@ -218,17 +270,24 @@ def write_token_records(docs: DataFrame, out_dir: str, tokenizer: str, end_id: i
             done.append((name, len(index), tokens, at))
             data, index, tokens, at = [], [], 0, 0
 
-        for batch in batches:
-            texts = [t or "" for t in column(batch, "text")]
-            for doc_id, ids in zip(column(batch, "doc_id"), enc.encode(texts), strict=True):
-                ids += end
-                one = frame(struct.pack(_HEAD, doc_id is None, enc.width, doc_id or 0) + ids)
-                if index and at + len(one) > shard_bytes:
-                    flush()
-                data.append(one)
-                index.append((at, len(one)))
-                tokens += len(ids) // enc.width
-                at += len(one)
+        doc_ids: deque = deque()  # of the texts that the encoder has taken
+
+        def texts() -> Iterator[str]:
+            for batch in batches:
+                for doc_id, text in zip(column(batch, "doc_id"), column(batch, "text"), strict=True):
+                    doc_ids.append(doc_id)
+                    yield text or ""
+
+        for ids in enc.encode(texts()):
+            doc_id = doc_ids.popleft()
+            ids += end
+            one = frame(struct.pack(_HEAD, doc_id is None, enc.width, doc_id or 0) + ids)
+            if index and at + len(one) > shard_bytes:
+                flush()
+            data.append(one)
+            index.append((at, len(one)))
+            tokens += len(ids) // enc.width
+            at += len(one)
         if index:
             flush()
         yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.int64()))], names=["shard", "n_docs", "n_tokens", "n_bytes"])

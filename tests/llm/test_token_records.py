@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from brindle.llm import token_records as tr
-from brindle.llm.common import KEPT_BYTES, scratch
+from brindle.llm.common import KEPT_BYTES, pieces, scratch
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 WHOLE = Tokenizer.from_file(PATH)
@@ -69,6 +69,50 @@ def test_bounded_memory_changes_nothing():
     assert many.by_word and many.last is not None
 
 
+class Counting:
+    """A tokenizer that counts the characters it is given."""
+
+    def __init__(self, of):
+        self.of, self.chars = of, 0
+
+    def encode(self, text, **options):
+        self.chars += len(text)
+        return self.of.encode(text, **options)
+
+    def encode_batch_fast(self, texts, **options):
+        self.chars += sum(map(len, texts))
+        return self.of.encode_batch_fast(texts, **options)
+
+
+def test_a_word_of_many_texts_is_encoded_once():
+    """Also where nothing is kept: what costs is the number of distinct stems of some megabytes, not of each text."""
+    enc = tr.Encoder(PATH, keep=0)
+    enc.of = Counting(enc.of)
+    texts = ["Erkeit, enzuver! 77,", "erkeit ENZUVER."] * 100
+    got = [np.frombuffer(x, "<u2").tolist() for x in enc.encode(texts)]
+    assert got == [WHOLE.encode(t, add_special_tokens=False).ids for t in texts]
+    assert enc.of.chars < len("".join(texts[:2])) and not enc.known and not enc.stems
+
+
+@pytest.mark.parametrize("text", ["<|ENDOFTEXT|>", "a<|EndOfText|>. <|endoftext|>! A<|endoftext|>B", "<|STARTOFTEXT|> <|startoftext|>, <|X"])
+def test_special_tokens_in_capitals_are_none(text):
+    assert np.frombuffer(next(tr.Encoder(PATH).encode([text])), "<u2").tolist() == WHOLE.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("most", [1, 7, 40])
+def test_texts_across_blocks(monkeypatch, most):
+    monkeypatch.setattr(tr, "BLOCK_CHARS", most)
+    monkeypatch.setattr(tr, "pieces", lambda t: pieces(t, 5))
+    texts = ["", "One, two! three", "\t x\x0by\x0cz\r\n ", "", "été. " * 9, "end", ""]
+    got = [np.frombuffer(x, "<u2").tolist() for x in tr.Encoder(PATH).encode(iter(texts))]
+    assert got == [WHOLE.encode(t, add_special_tokens=False).ids for t in texts]
+    assert list(tr.Encoder(PATH).encode([])) == []
+
+
+def test_texts_of_no_words():
+    assert list(tr.Encoder(PATH).encode(["", " \n", "\t"])) == [b""] * 3
+
+
 @pytest.mark.parametrize("rows", [
     [(5, "Hello world"), (1, None), (3, ""), (None, "no id"), (2, "x " * 5000), (9, "y" * 3000)],
     [],
