@@ -6,9 +6,11 @@ import contextlib
 import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,3 +122,31 @@ def n_words(text: Column) -> Column:
 
 def column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
+
+
+def spans(values: pa.LargeBinaryArray, offsets: pa.Array) -> list[bytes]:
+    """The values between one offset and the next, joined."""
+    if not len(values):
+        return [b""] * (len(offsets) - 1)
+    ends = np.frombuffer(values.buffers()[1], "i8", len(values) + 1)[offsets.to_numpy()].tolist()
+    data = memoryview(values.buffers()[2] or b"")
+    return [bytes(data[a:b]) for a, b in zip(ends, ends[1:])]
+
+
+#: ASCII punctuation but the apostrophe, which the tokenizers' own patterns may tie to letters.
+_PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def parted(words: pa.StringArray, stays: Callable[[str], bool], whole: pa.BooleanArray | None = None) -> tuple[pa.Array, pa.Array]:
+    """Stems and the ASCII punctuation behind them, where the stem's last character is one that `stays` and the word is none of `whole`; else the word and nothing."""
+    stem = pc.utf8_rtrim(words, characters=_PUNCTUATION)
+    last = pc.utf8_slice_codeunits(stem, start=-1).dictionary_encode()
+    can = pa.array([stays(c) for c in last.dictionary.to_pylist()], pa.bool_()).take(last.indices)
+    stem = pc.if_else(can if whole is None else pc.and_not(can, whole), stem, words)
+    if not len(words):
+        return stem, words
+    ends = np.frombuffer(words.buffers()[1], "i4", len(words) + 1, 4 * words.offset)[1:]
+    n = (pc.binary_length(words).to_numpy() - pc.binary_length(stem).to_numpy()).astype("i4")
+    to = np.append(np.zeros(1, "i4"), np.cumsum(n, dtype="i4"))
+    marks = np.frombuffer(words.buffers()[2] or b"", "u1")[np.arange(to[-1]) + np.repeat(ends - to[1:], n)]
+    return stem, pa.Array.from_buffers(pa.string(), len(words), [None, pa.py_buffer(to), pa.py_buffer(marks)])

@@ -21,20 +21,22 @@ Defined cases: null and empty texts are the end id alone; repeated rows are docu
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import re
 import zlib
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from brindle.llm.common import KEPT_BYTES, bounded_batches, column, stored, take_turn, tidy
+from brindle.llm.common import KEPT_BYTES, bounded_batches, column, parted, spans, stored, take_turn, tidy
 
 MOST, BLOCK = 2048, 1 << 20
 RANGE, RANGES, SAMPLED = 4_000_000, 20_000, 40
@@ -42,10 +44,13 @@ LEAST = -(1 << 63)  # where null ids lie
 #: Costs in tokens of padding.
 WINDOW, SENTENCE, INSIDE, STRETCH = 8, 8, 64, 64
 PIECE = 1 << 20
+#: Characters of texts whose parts are encoded together.
+BLOCK_CHARS = 6 << 20
 #: The white space of Unicode, as the tokenizer's pattern takes it.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _RUN = re.compile(rf"[{WHITE}]{{3,}}|[{WHITE}]{{2,}}\Z")
-_WHITE = re.compile(rf"[{WHITE}]")
+#: White space that words may hold; spaces and line breaks only begin them.
+_WITHIN = re.compile(rf"[{WHITE.replace(' ', '').replace(chr(10), '')}]")
 #: As bytes, to see at once that a text has no long run: ASCII white space made one, what a text may not end in, beginnings of the rest.
 _SPACES = bytes(32 if chr(b) in WHITE and b < 128 else b for b in range(256))
 _ENDS = (b"\t", b"\n", b"\x0b", b"\x0c", b"\r", b" ")
@@ -56,8 +61,9 @@ class ByteLevel:
     """A tokenizer's ids, word by word where it is byte-level and has no other rules; else of whole texts.
 
     The tokenizer takes a run of white space before a word as all but its last character, then that one (a space with the word behind it). So a text
-    without runs of three and more falls apart before each space and line break; longer runs are encoded for themselves. The first `keep`
-    words of KEPT_BYTES at most stay. Words that were not met yet are encoded together: a token that begins with a space or a line break begins the
+    without runs of three and more falls apart before each space and line break; longer runs are encoded for themselves. Texts are taken BLOCK_CHARS characters
+    at a time, of which each distinct word is looked up once, without the punctuation at its end, which no token holds together with a letter or number.
+    The first `keep` of those, of KEPT_BYTES at most, stay. Words that were not met yet are encoded together: a token that begins with a space or a line break begins the
     next. Where the file's merges are in the order of ids, tiktoken does that, for which the file's vocabulary is a table of ranks: the same ids in a third of the time.
     """
 
@@ -89,30 +95,59 @@ class ByteLevel:
 
     def ids(self, text: str) -> bytes:
         """As little-endian unsigned integers of `type`."""
+        return next(self.encode([text]))
+
+    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of each text: of BLOCK_CHARS characters at a time the parts are made together, each distinct word once."""
         if not self.by_word:
-            return self._whole([text])[0]
-        out: list[bytes] = []
-        for k, part in enumerate(self.special.split(text) if self.special else [text]):
-            if k % 2:
-                out += self._whole([part])
-            elif part:
-                self._segment(part, out)
-        return b"".join(out)
-
-    def _segment(self, text: str, out: list[bytes]) -> None:
+            yield from (self._whole([t])[0] for t in texts)
+            return
+        own: list[bytes] | None = None
+        for block in self._blocks(texts):
+            for first, ids in zip((p is None for p in block), self._ids(block), strict=True):
+                if first:
+                    if own is not None:
+                        yield b"".join(own)
+                    own = []
+                own.append(ids)
+        if own is not None:
+            yield b"".join(own)
+
+    def _blocks(self, texts: Iterable[str]) -> Iterator[list[str | bytes | None]]:
+        """Where a text begins None, then its parts: str to be encoded as it is, bytes for words between spaces that have one before them each."""
+        held, size = [], 0
+        for text in texts:
+            held.append(None)
+            for k, part in enumerate(self.special.split(text) if self.special else [text]):
+                for x in [part] if k % 2 else self._segment(part) if part else ():
+                    held.append(x)
+                    size += len(x)
+                    if size >= BLOCK_CHARS:
+                        yield held
+                        held, size = [], 0
+        if held:
+            yield held
+
+    def _ids(self, block: list[str | bytes | None]) -> list[bytes]:
+        texts = list({x for x in block if isinstance(x, str)})
+        whole = dict(zip(texts, self._whole(texts), strict=True))
+        words = iter(self._looked_up([x for x in block if isinstance(x, bytes)]))
+        return [b"" if x is None else whole[x] if isinstance(x, str) else next(words) for x in block]
+
+    def _segment(self, text: str) -> Iterator[str | bytes]:
         raw = text.encode()
         if b"   " not in raw.translate(_SPACES) and raw[-1:] not in _ENDS and not any(x in raw for x in _BEYOND):
-            self._words(text, out)
+            yield from self._words(text)
             return
         at = 0
         for m in _RUN.finditer(text):
-            self._words(text[at : m.start()], out)
+            yield from self._words(text[at : m.start()])
             last = m.end() == len(text)
-            out += self._whole([m[0] if last else m[0][:-1]])
+            yield m[0] if last else m[0][:-1]
             at = len(text) if last else m.end() - 1
-        self._words(text[at:] if at else text, out)
+        yield from self._words(text[at:] if at else text)
 
-    def _words(self, text: str, out: list[bytes]) -> None:
+    def _words(self, text: str) -> Iterator[str | bytes]:
         """Of a text without long runs of white space."""
         at = 0
         while len(text) - at > PIECE:  # a piece ends before a word
@@ -121,31 +156,39 @@ class ByteLevel:
                 cut = text.find(" ", cut + 1)
             if cut < 0:
                 break
-            self._piece(text[at:cut], out)
+            yield from self._piece(text[at:cut])
             at = cut
-        self._piece(text[at:] if at else text, out)
+        yield from self._piece(text[at:] if at else text)
 
-    def _piece(self, text: str, out: list[bytes]) -> None:
+    def _piece(self, text: str) -> Iterator[str | bytes]:
         # a word that begins with a line break has no space before it, others have; but the first, which is encoded by itself
-        words = text.encode().replace(b"\n", b" \n").split(b" ")
-        if words[0]:
-            out += self._whole([words[0].decode()])
-        del words[0]
-        ids = list(map(self.known.get, words))
-        if None in ids:
-            places = [k for k, x in enumerate(ids) if x is None]
-            made = self._made(list({words[k] for k in places}))
-            for k in places:
-                ids[k] = made[words[k]]
-            if len(self.known) + len(made) <= self.keep:
-                self.known |= {w: x for w, x in made.items() if len(w) <= KEPT_BYTES}
-        out.append(b"".join(ids))
+        first, space, words = text.encode().replace(b"\n", b" \n").partition(b" ")
+        if first:
+            yield first.decode()
+        if space:
+            yield words
+
+    def _looked_up(self, pieces: list[bytes]) -> list[bytes]:
+        words = pc.split_pattern(pa.array(pieces, pa.string()), " ")
+        each = words.flatten().dictionary_encode()
+        stem, tail = (x.dictionary_encode() for x in parted(each.dictionary, _stays))
+        keys = stem.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.known.get, keys))
+        new = [w for w, x in zip(keys, ids) if x is None]
+        made = self._made(new)
+        for w in itertools.islice((w for w in new if len(w) <= KEPT_BYTES), max(0, self.keep - len(self.known))):
+            self.known[w] = made[w]
+        ids = [made[w] if x is None else x for w, x in zip(keys, ids)]
+        behind = self._whole(tail.dictionary.to_pylist())
+        both = (pa.array(x, pa.large_binary()).take(of.indices) for x, of in ((ids, stem), (behind, tail)))
+        return spans(pc.binary_join_element_wise(*both, pa.scalar(b"", pa.large_binary())).take(each.indices), words.offsets)
 
     def _made(self, words: list[bytes]) -> dict[bytes, bytes]:
         out: dict[bytes, bytes] = {}
         texts = [w.decode() if w[:1] == b"\n" else " " + w.decode() for w in words]
         if self.ranks:
-            plain = [k for k, t in enumerate(texts) if len(t) > 1 and not _WHITE.search(t, 1)]
+            odd = _WITHIN.search("".join(texts)) is not None
+            plain = [k for k, t in enumerate(texts) if len(t) > 1 and not (odd and _WITHIN.search(t))]
             ids = self.ranks.encode_to_numpy("".join([texts[k] for k in plain]), allowed_special=set(), disallowed_special=()).astype(self.type)
             starts = np.flatnonzero(self.first[ids])
             if len(starts) == len(plain):
@@ -156,6 +199,11 @@ class ByteLevel:
         return out | dict(zip([words[k] for k in rest], self._whole([texts[k] for k in rest]), strict=True))
 
 
+def _stays(last: str) -> bool:
+    """Whether a word's last character is a letter or number in every version of Unicode: punctuation behind it is a run of its own."""
+    return last.isalnum() and last < "\u0180"
+
+
 #: The character that stands for each byte in byte-level vocabularies: printable ones of Latin-1 for themselves, the others from U+0100 on.
 _SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _BYTES = [chr(b) if b in _SHOWN else chr(256 + b - sum(c < b for c in _SHOWN)) for b in range(256)]
@@ -334,16 +382,24 @@ def packed(docs: DataFrame, tokenizer: str, most: int = MOST, end_id: int = 1, b
             yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(kinds)], names=names)
             held, size = [], 0
 
-        for batch in batches:
-            for of, doc_id, text in zip(*(column(batch, c) for c in ("_range", "doc_id", "text")), strict=True):
-                if of != part:
-                    if held:
-                        yield from pack()
-                    part, number = of, 0
-                held.append((doc_id, enc.ids(text or "") + end))
-                size += len(held[-1][1]) // enc.type.itemsize
-                if size >= block:
+        taken: deque = deque()  # range and doc_id of the texts that the encoder has taken
+
+        def texts() -> Iterator[str]:
+            for batch in batches:
+                for of, doc_id, text in zip(*(column(batch, c) for c in ("_range", "doc_id", "text")), strict=True):
+                    taken.append((of, doc_id))
+                    yield text or ""
+
+        for raw in enc.encode(texts()):
+            of, doc_id = taken.popleft()
+            if of != part:
+                if held:
                     yield from pack()
+                part, number = of, 0
+            held.append((doc_id, raw + end))
+            size += len(held[-1][1]) // enc.type.itemsize
+            if size >= block:
+                yield from pack()
         if held:
             yield from pack()
 

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brindle.llm.common import KEPT_BYTES, bounded_batches, column, pieces, scratch, take_turn, tidy
+from brindle.llm.common import _PUNCTUATION, KEPT_BYTES, bounded_batches, column, parted, pieces, scratch, spans, take_turn, tidy
 
 MAGIC = b"BRNDLIX1"
 _HEAD = "<BBq"
@@ -126,11 +126,8 @@ class Encoder:
         each = words.flatten().dictionary_encode()
         if not len(each):
             return [b""] * len(texts)
-        made = pc.binary_join_element_wise(*map(self._ids, parted(each.dictionary)), pa.scalar(b"", pa.large_binary()))
-        data = made.take(each.indices)
-        ends = np.frombuffer(data.buffers()[1], "i8", len(data) + 1)[words.offsets.to_numpy()].tolist()
-        raw = memoryview(data.buffers()[2] or b"")
-        return [bytes(raw[a:b]) for a, b in zip(ends, ends[1:])]
+        made = pc.binary_join_element_wise(*map(self._ids, folded(each.dictionary)), pa.scalar(b"", pa.large_binary()))
+        return spans(made.take(each.indices), words.offsets)
 
     def _ids(self, parts: pa.Array) -> pa.Array:
         """The ids of stems or tails."""
@@ -198,22 +195,10 @@ def blocks(texts: Iterable[str]) -> Iterator[list[tuple[str, bool]]]:
         yield held
 
 
-#: ASCII punctuation but the apostrophe, which the tokenizer's own patterns may tie to letters.
-_PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-
-
-def parted(words: pa.Array) -> tuple[pa.Array, pa.Array]:
-    """Stems of distinct words, ASCII ones in lower case, and the punctuation behind them. What may hold a special token stays as it is."""
-    stem = pc.utf8_rtrim(words, characters=_PUNCTUATION)
-    last = pc.utf8_slice_codeunits(stem, start=-1).dictionary_encode()
-    stays = pa.array([_stays(c) for c in last.dictionary.to_pylist()], pa.bool_()).take(last.indices)
+def folded(words: pa.StringArray) -> tuple[pa.Array, pa.Array]:
+    """Stems of words, ASCII ones in lower case, and the punctuation behind them. What may hold a special token stays as it is."""
     special = pc.match_substring(words, "<|")
-    stem = pc.if_else(pc.and_not(stays, special), stem, words)
-    ends = np.frombuffer(words.buffers()[1], "i4", len(words) + 1, 4 * words.offset)[1:]
-    lengths = (pc.binary_length(words).to_numpy() - pc.binary_length(stem).to_numpy()).astype("i4")
-    to = np.append(np.zeros(1, "i4"), np.cumsum(lengths, dtype="i4"))
-    marks = np.frombuffer(words.buffers()[2], "u1")[np.arange(to[-1]) + np.repeat(ends - to[1:], lengths)]
-    tail = pa.Array.from_buffers(pa.string(), len(words), [None, pa.py_buffer(to), pa.py_buffer(marks)])
+    stem, tail = parted(words, _stays, special)
     return pc.if_else(pc.and_not(pc.string_is_ascii(stem), special), pc.ascii_lower(stem), stem), tail
 
 

@@ -61,6 +61,49 @@ def test_long_words_are_not_kept():
     assert set(enc.known) == {b"short"}
 
 
+class Counting:
+    """An encoder that counts the characters it is given."""
+
+    def __init__(self, of):
+        self.of, self.chars = of, 0
+
+    def encode_batch(self, texts, **options):
+        self.chars += sum(map(len, texts))
+        return self.of.encode_batch(texts, **options)
+
+    def encode_to_numpy(self, text, **options):
+        self.chars += len(text)
+        return self.of.encode_to_numpy(text, **options)
+
+
+@pytest.mark.parametrize("ranked", [True, False])
+def test_a_word_of_many_texts_is_encoded_once(ranked):
+    """Also where nothing is kept, and with other punctuation behind it."""
+    enc = pk.ByteLevel(PATH, keep=0, ranked=ranked)
+    enc.of = Counting(enc.of)
+    enc.ranks = enc.ranks and Counting(enc.ranks)
+    texts = ["Erkeit enzuver! erkeit, 77,", "Erkeit enzuver. erkeit!"] * 100
+    got = list(enc.encode(texts)) if hasattr(enc, "encode") else list(map(enc.ids, texts))
+    assert [np.frombuffer(x, enc.type).tolist() for x in got] == [whole(t) for t in texts]
+    assert enc.of.chars + (enc.ranks.chars if ranked else 0) < 2 * len("".join(texts[:2])) and not enc.known
+
+
+@pytest.mark.parametrize("most", [1, 7, 40])
+def test_texts_across_blocks(monkeypatch, most):
+    monkeypatch.setattr(pk, "BLOCK_CHARS", most)
+    monkeypatch.setattr(pk, "PIECE", 9)
+    texts = ["", "One, two! three", "\t x\x0by\n\n\nz\r\n ", "", "été. " * 9, "a<|endoftext|>! b", "end", "", " ", "\n", "No\xa0break. \u0180. \xb2, \u02b0."]
+    got = list(pk.ByteLevel(PATH).encode(iter(texts)))
+    assert [np.frombuffer(x, "<u2").tolist() for x in got] == [whole(t) for t in texts]
+    assert list(pk.ByteLevel(PATH).encode([])) == []
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.one_of(st.text(max_size=6), st.sampled_from(ODD)), max_size=8).map("".join), max_size=6))
+def test_texts_together_equal_each_alone(texts):
+    assert [np.frombuffer(x, "<u2").tolist() for x in ENCODERS[True].encode(texts)] == [whole(t) for t in texts]
+
+
 def padding(n, most):
     return 0 if n & (n - 1) == 0 else most - n
 
