@@ -46,10 +46,15 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Parquet's writer looks at sizes every 100 rows: of rows of megabytes, a page would be hundreds of them, and with it
+#: the native buffers that compress and read it, which executors keep.
+_BY_SIZE = {"parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1"}
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """As settle(), in compressed columns: for wide or binary rows."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**_BY_SIZE).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +38,10 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, train, most: int, mos
             chosen.append((r.doc_id, r.of, int(r.y), r.key))
     if not chosen:
         return []
+    # by Arrow: a list of rows would be an RDD of Python's, for which every executor would start workers of another kind beside those it has
     spark = docs.sparkSession
-    ids = spark.createDataFrame(chosen, f"_id {docs.schema['doc_id'].dataType.simpleString()}, _of long, y int, key string")
+    table = pa.table([pa.array(c) for c in zip(*chosen)], names=["_id", "_of", "y", "key"])
+    ids = spark.createDataFrame(table, f"_id {docs.schema['doc_id'].dataType.simpleString()}, _of long, y int, key string")
     got = texts.join(F.broadcast(ids), (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_of"))).dropDuplicates(["doc_id"]).select("key", "text", "y").collect()
     return [(r.text, int(r.y)) for r in sorted(got, key=lambda r: r.key)]
 

@@ -222,6 +222,45 @@ def encoder(path: str, keep: int = 300_000) -> Encoder:
     return _encoders[path, keep]
 
 
+class Shards:
+    """Files of about `most` bytes (one longer frame has a file of its own). Frames go to the file as they come, so none is held."""
+
+    def __init__(self, fs: pafs.FileSystem, base: str, name: str, attempt: int, most: int):
+        self.fs, self.base, self.name, self.attempt, self.most = fs, base, name, attempt, most
+        #: name, frames, tokens, bytes of each file
+        self.done: list[tuple] = []
+        self._open()
+
+    def _open(self) -> None:
+        self.file, self.index, self.tokens, self.at = None, [], 0, 0
+
+    def _path(self, kind: str, done: bool = False) -> str:
+        name = f"{self.name}-{len(self.done):06d}.{kind}"
+        return f"{self.base}/{name}" if done else f"{self.base}/.{name}.{self.attempt}"
+
+    def add(self, one: bytes, tokens: int) -> None:
+        if self.index and self.at + len(one) > self.most:
+            self.close()
+        if self.file is None:
+            self.file = self.fs.open_output_stream(self._path("rec"), buffer_size=1 << 20)
+        self.file.write(one)
+        self.index.append((self.at, len(one)))
+        self.tokens += tokens
+        self.at += len(one)
+
+    def close(self) -> None:
+        """End the file; the next frame begins another."""
+        if not self.index:
+            return
+        self.file.close()
+        with self.fs.open_output_stream(self._path("idx")) as f:
+            f.write(MAGIC + np.asarray(self.index, "<u8").tobytes())
+        for kind in ("rec", "idx"):
+            self.fs.move(self._path(kind), self._path(kind, done=True))
+        self.done.append((f"{self.name}-{len(self.done):06d}", len(self.index), self.tokens, self.at))
+        self._open()
+
+
 def write_token_records(docs: DataFrame, out_dir: str, tokenizer: str, end_id: int | None = 2, shard_bytes: int = 16 << 20) -> DataFrame:
     """Write the ids of docs (doc_id long, text string) below out_dir; return the manifest.
 
@@ -240,20 +279,7 @@ def write_token_records(docs: DataFrame, out_dir: str, tokenizer: str, end_id: i
         part, attempt = context.partitionId(), context.taskAttemptId()
         end = b"" if end_id is None else np.asarray([end_id], enc.type).tobytes()
         fs.create_dir(base, recursive=True)
-        done: list[tuple] = []
-        data, index, tokens, at = [], [], 0, 0
-
-        def flush() -> None:
-            nonlocal data, index, tokens, at
-            name = f"part-{part:08d}-{len(done):06d}"
-            body = (("rec", data), ("idx", [MAGIC, np.asarray(index, "<u8").tobytes()]))
-            for kind, blocks in body:
-                with fs.open_output_stream(f"{base}/.{name}.{kind}.{attempt}") as f:
-                    for b in blocks:
-                        f.write(b)
-                fs.move(f"{base}/.{name}.{kind}.{attempt}", f"{base}/{name}.{kind}")
-            done.append((name, len(index), tokens, at))
-            data, index, tokens, at = [], [], 0, 0
+        to = Shards(fs, base, f"part-{part:08d}", attempt, shard_bytes)
 
         doc_ids: deque = deque()  # of the texts that the encoder has taken
 
@@ -266,16 +292,9 @@ def write_token_records(docs: DataFrame, out_dir: str, tokenizer: str, end_id: i
         for ids in enc.encode(texts()):
             doc_id = doc_ids.popleft()
             ids += end
-            one = frame(struct.pack(_HEAD, doc_id is None, enc.width, doc_id or 0) + ids)
-            if index and at + len(one) > shard_bytes:
-                flush()
-            data.append(one)
-            index.append((at, len(one)))
-            tokens += len(ids) // enc.width
-            at += len(one)
-        if index:
-            flush()
-        yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in done], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.int64()))], names=["shard", "n_docs", "n_tokens", "n_bytes"])
+            to.add(frame(struct.pack(_HEAD, doc_id is None, enc.width, doc_id or 0) + ids), len(ids) // enc.width)
+        to.close()
+        yield pa.RecordBatch.from_arrays([pa.array([d[k] for d in to.done], t) for k, t in enumerate((pa.string(), pa.int64(), pa.int64(), pa.int64()))], names=["shard", "n_docs", "n_tokens", "n_bytes"])
 
     rows = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("_tie"))

@@ -175,3 +175,19 @@ def test_sample_leaves_giants_out_and_stays_full(spark):
     assert len(got) == 40 and {y for _, y in got} == {0, 1} and max(len(t) for t, _ in got) <= 5
     assert labelled.sample(docs, labels, "toxic", labelled.F.lit(True), 20, 1000) == got
     assert labelled.sample(docs.limit(0), labels, "toxic", labelled.F.lit(True), 20, 1000) == []
+
+
+@pytest.mark.parametrize("kind", ["long", "int", "string", "decimal(20,0)"])
+def test_sample_starts_no_other_workers(spark, monkeypatch, kind):
+    """A list of rows made a table is an RDD of Python's: daemon and workers of its own on every executor, beside those of the scoring."""
+    from pyspark import SparkContext
+
+    docs = spark.range(40).selectExpr(f"cast(id as {kind}) as doc_id", "concat('text ', id) as text")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic")
+
+    def refused(*_, **__):
+        raise AssertionError("an RDD of Python's")
+
+    monkeypatch.setattr(SparkContext, "parallelize", refused)
+    got = labelled.sample(docs, labels, "toxic", labelled.F.lit(True), 5, 1000)
+    assert len(got) == 10 and all(int(t.split()[1]) % 2 == y for t, y in got)

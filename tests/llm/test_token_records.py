@@ -130,6 +130,20 @@ def test_documents(spark, sf_dir):
     assert [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in got] == by_hand([tuple(r) for r in docs.collect()])
 
 
+def test_frames_go_to_the_file_as_they_come(tmp_path):
+    """A worker holds no file's frames, however large the file may become."""
+    to = tr.Shards(tr._fs(str(tmp_path))[0], str(tmp_path), "part-0", 7, 16 << 20)
+    for _ in range(5):
+        to.add(bytes(2 << 20), 3)
+    assert sum(f.stat().st_size for f in tmp_path.iterdir()) >= 8 << 20 and not to.done
+    to.add(bytes(7 << 20), 4)
+    to.close()
+    to.close()
+    assert to.done == [("part-0-000000", 5, 15, 10 << 20), ("part-0-000001", 1, 4, 7 << 20)]
+    assert sorted(f.name for f in tmp_path.iterdir()) == [f"part-0-00000{k}.{x}" for k in (0, 1) for x in ("idx", "rec")]
+    assert (tmp_path / "part-0-000000.rec").stat().st_size == 10 << 20
+
+
 def test_small_shards_index_and_damage(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").limit(30)
     out = scratch(spark, "t")
