@@ -54,6 +54,18 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, salts: int) -> Data
     return l.join(r, [key, "_salt"]).drop("_salt")
 
 
+def not_in(left: DataFrame, right: DataFrame, key: str, value: str) -> DataFrame:
+    """Rows of left whose `key` is NOT IN the `value`s of right, as SQL has it: none if one of these is null, all if there are none; a key that is null stays only then.
+
+    Spark's own null-aware join broadcasts right whatever its size and holds it on the driver. Here one number (by a scalar subquery) says whether right has
+    rows and nulls, and what is left is an anti join like any other: shuffled, or broadcast where right is below the threshold.
+    """
+    kind = right.agg(F.max(F.when(F.col(value).isNull(), 2).otherwise(1))).scalar()  # null: no rows; 2: a null among them
+    asked = left.where(kind.isNull() | ((kind == 1) & F.col(key).isNotNull()))
+    values = right.select(F.col(value).alias("_value")).where("_value is not null")
+    return asked.join(values, F.col(key) == F.col("_value"), "left_anti")
+
+
 def broadcast_below(df: DataFrame, most: int = 100_000) -> DataFrame:
     """df marked for broadcast if it has at most `most` rows (counted no further than that), else as it is."""
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from brindle.operators import sketches
-from brindle.operators.joins import asof_join, broadcast_below, range_join, salted_join
+from brindle.operators.joins import asof_join, broadcast_below, not_in, range_join, salted_join
 from brindle.operators.ranking import qualify, sum_over_groups, top_k
 from brindle.plans.query import Query, frame, sql
 from brindle.plans.workspace import workspace
@@ -34,7 +34,7 @@ QUERIES: dict[str, Query] = {
     "j7_left_right_outer": sql("SELECT o_orderkey, s_suppkey, n_name FROM {orders} LEFT JOIN (SELECT * FROM {lineitem} WHERE l_quantity > 45) l ON o_orderkey = l_orderkey RIGHT JOIN {supplier} ON l_suppkey = s_suppkey LEFT JOIN {nation} ON s_nationkey = n_nationkey"),
     "j8_semi": frame(lambda o, l: o.join(l.where("l_quantity > 48"), F.col("o_orderkey") == F.col("l_orderkey"), "left_semi").select("o_orderkey", "o_orderdate"), "orders lineitem", "SELECT o_orderkey, o_orderdate FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity > 48)"),
     "j8_anti": frame(lambda o, l: o.join(l, F.col("o_orderkey") == F.col("l_orderkey"), "left_anti").select("o_orderkey", "o_orderdate"), "orders lineitem", "SELECT o_orderkey, o_orderdate FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)"),
-    "j9_not_in": sql("SELECT o_orderkey FROM {orders} WHERE o_orderkey NOT IN (SELECT l_orderkey FROM {lineitem} WHERE l_quantity > 10)"),
+    "j9_not_in": frame(lambda o, l: not_in(o, l.where("l_quantity > 10"), "o_orderkey", "l_orderkey").select("o_orderkey"), "orders lineitem", "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 10)"),
     "j9_not_in_null": sql("SELECT o_orderkey FROM {orders} WHERE o_orderkey NOT IN (SELECT nullif(l_orderkey, 7) FROM {lineitem})"),
     "j10_scalar_subquery": sql("SELECT c_custkey, (SELECT max(o_totalprice) FROM {orders} WHERE o_custkey = c_custkey) AS most FROM {customer}"),
     "j10_exists": sql("SELECT s_suppkey FROM {supplier} WHERE EXISTS (SELECT 1 FROM {lineitem} WHERE l_suppkey = s_suppkey AND l_discount = 0.1 AND l_quantity > 49)"),

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brindle.functions.vectors import cosine, dot
-from brindle.operators.joins import asof_join, broadcast_below, range_join, salted_join
+from brindle.operators.joins import asof_join, broadcast_below, not_in, range_join, salted_join
 from brindle.operators.ranking import sum_over_groups, top_k
 from brindle.plans import registry
 from brindle.plans.workspace import workspace
@@ -43,6 +43,25 @@ def test_salted_join_equals_join(spark):
     assert sorted(map(tuple, salted_join(a, b, "k", 5).select("id", "v").collect())) == sorted(map(tuple, a.join(b, "k").select("id", "v").collect()))
 
 
+@pytest.mark.parametrize("keys, values", [([1, 2, None], [2, 2, 3]), ([1, 2, None], [2, None]), ([1, 2, None], []), ([], [2, None]), ([1, 2, 2, None], [None]), ([1, 1, None], [2])])
+def test_not_in_is_sqls(spark, keys, values):
+    left, right = spark.createDataFrame([(k,) for k in keys], "k long"), spark.createDataFrame([(v,) for v in values], "v long")
+    want = spark.sql("SELECT k FROM {l} WHERE k NOT IN (SELECT v FROM {r})", l=left, r=right)
+    order = lambda df: sorted(df.collect(), key=str)
+    assert order(not_in(left, right, "k", "v")) == order(want)
+    assert order(not_in(left, left.where("k = 1"), "k", "k")) == order(left.where("k <> 1" if 1 in keys else "true"))
+
+
+def test_not_in_obeys_the_broadcast_threshold(spark, sf_dir):
+    """Spark's null-aware join broadcasts its right side whatever its size."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(registry.queries()["j9_not_in"](spark, sf_dir))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in p and "Broadcast" not in p, p
+
+
 def test_broadcast_only_below(spark):
     a = spark.range(1000)
     assert "BroadcastHashJoin" in plan(a.join(broadcast_below(spark.range(10), 10), "id"))
