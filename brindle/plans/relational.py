@@ -35,7 +35,7 @@ QUERIES: dict[str, Query] = {
     "j8_semi": frame(lambda o, l: o.join(l.where("l_quantity > 48"), F.col("o_orderkey") == F.col("l_orderkey"), "left_semi").select("o_orderkey", "o_orderdate"), "orders lineitem", "SELECT o_orderkey, o_orderdate FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity > 48)"),
     "j8_anti": frame(lambda o, l: o.join(l, F.col("o_orderkey") == F.col("l_orderkey"), "left_anti").select("o_orderkey", "o_orderdate"), "orders lineitem", "SELECT o_orderkey, o_orderdate FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)"),
     "j9_not_in": frame(lambda o, l: not_in(o, l.where("l_quantity > 10"), "o_orderkey", "l_orderkey").select("o_orderkey"), "orders lineitem", "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 10)"),
-    "j9_not_in_null": sql("SELECT o_orderkey FROM {orders} WHERE o_orderkey NOT IN (SELECT nullif(l_orderkey, 7) FROM {lineitem})"),
+    "j9_not_in_null": frame(lambda o, l: not_in(o, l.select(F.nullif("l_orderkey", F.lit(7)).alias("v")), "o_orderkey", "v").select("o_orderkey"), "orders lineitem", "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT nullif(l_orderkey, 7) FROM lineitem)"),
     "j10_scalar_subquery": sql("SELECT c_custkey, (SELECT max(o_totalprice) FROM {orders} WHERE o_custkey = c_custkey) AS most FROM {customer}"),
     "j10_exists": sql("SELECT s_suppkey FROM {supplier} WHERE EXISTS (SELECT 1 FROM {lineitem} WHERE l_suppkey = s_suppkey AND l_discount = 0.1 AND l_quantity > 49)"),
     "j11_lateral": sql("SELECT r_name, t.n_name FROM {region}, LATERAL (SELECT n_name FROM {nation} WHERE n_regionkey = r_regionkey ORDER BY n_name LIMIT 2) t"),

@@ -52,11 +52,12 @@ def test_not_in_is_sqls(spark, keys, values):
     assert order(not_in(left, left.where("k = 1"), "k", "k")) == order(left.where("k <> 1" if 1 in keys else "true"))
 
 
-def test_not_in_obeys_the_broadcast_threshold(spark, sf_dir):
+@pytest.mark.parametrize("name", ["j9_not_in", "j9_not_in_null"])
+def test_not_in_obeys_the_broadcast_threshold(spark, sf_dir, name):
     """Spark's null-aware join broadcasts its right side whatever its size."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        p = plan(registry.queries()["j9_not_in"](spark, sf_dir))
+        p = plan(registry.queries()[name](spark, sf_dir))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in p and "Broadcast" not in p, p
