@@ -5,10 +5,12 @@ Both want spark.sql.streaming.stateStore.providerClass to be RocksDB's.
 
 from __future__ import annotations
 
+import json
 from collections import Counter
+from zlib import crc32
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -98,32 +100,74 @@ def visits(events: DataFrame, gap_seconds: int, late: str) -> DataFrame:
     return e.groupBy("user_id").transformWithStateInPandas(Visits(gap_seconds * 1_000_000), VISIT, "append", "EventTime")
 
 
+def _bucket(buckets: int, *keys: str) -> Column:
+    """The bucket of `keys`, the first of which may be null: then it is -1. A call of a processor and of its state costs some milliseconds, so keys share them."""
+    return F.when(F.col(keys[0]).isNull(), -1).otherwise(F.pmod(F.xxhash64(*keys), F.lit(buckets))).alias("bucket")
+
+
 class Remembered(StatefulProcessor):
-    """The first row of each key; a key is forgotten `ttl` milliseconds after it came (by the clock), so state does not grow with all keys there ever were."""
+    """The first row of each key; a key is forgotten `ttl` milliseconds after it came (by the clock), so state does not grow with all keys there ever were.
+
+    State of a bucket of keys: pages (a map) of keys and when they expire, and their number (a value), which doubles when one grows beyond PAGE keys.
+    So a batch reads and writes a bounded page for a key, or for many. Both go when no key came for `ttl`; keys of a page that is written go by their own time.
+    """
+
+    PAGE = 512
 
     def __init__(self, ttl: int):
         self.ttl = ttl
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "event_id long", self.ttl)
-        self.types = handle.getMapState("types", "kind string", "n long", self.ttl)
+        self.count = handle.getValueState("count", "n int", self.ttl)
+        self.pages = handle.getMapState("pages", "page int", "expiries string", self.ttl)
+
+    def _page(self, page: int, now: int) -> dict[str, int]:
+        got = self.pages.getValue((page,))
+        return {k: t for k, t in json.loads(got[0]).items() if t > now} if got else {}
 
     def handleInputRows(self, key, rows, timerValues):
-        first = None
+        first: dict[tuple, int] = {}
         for pdf in rows:
-            for e, kind in zip(pdf["event_id"], pdf["event_type"]):
-                first = (int(e), kind) if first is None else min(first, (int(e), kind))
-        fresh = first is not None and not self.types.containsKey((first[1],))
-        if fresh:
-            self.types.updateValue((first[1],), (1,))
-            self.seen.update((first[0],))
-        yield pd.DataFrame({"event_id": [first[0]] if fresh else [], "user_id": [key[0]] if fresh else [], "event_type": [key[1]] if fresh else []}).astype({"event_id": "int64", "user_id": "int64", "event_type": object})
+            users = pdf["user_id"].tolist() if key[0] >= 0 else [None] * len(pdf)
+            for k, e in zip(zip(users, _texts(pdf["event_type"])), pdf["event_id"].tolist()):
+                if first.get(k, e) >= e:
+                    first[k] = e
+        now, count = timerValues.getCurrentProcessingTimeInMs(), self.count.get()
+        n = had = count[0] if count else 1
+        asked: dict[int, list] = {}
+        for (user, kind), e in first.items():
+            name = str(user) if kind is None else f"{user}:{kind}"
+            asked.setdefault(crc32(name.encode()) % n, []).append((name, e, user, kind))
+        out, written = [], {}
+        for page, keys in asked.items():
+            held = self._page(page, now)
+            fresh = [k for k in keys if k[0] not in held]
+            if fresh:
+                held.update((k[0], now + self.ttl) for k in fresh)
+                written[page] = held
+                out += [k[1:] for k in fresh]
+        if any(len(held) > self.PAGE for held in written.values()):
+            every = {k: t for page in range(had) for k, t in (written[page] if page in written else self._page(page, now)).items()}
+            while n * self.PAGE < 2 * len(every):
+                n *= 2
+            written = {page: {} for page in range(n)}
+            for k, t in every.items():
+                written[crc32(k.encode()) % n][k] = t
+        for page, held in written.items():
+            self.pages.updateValue((page,), (json.dumps(held, separators=(",", ":")),))
+        if written:
+            self.count.update((n,))
+            yield pd.DataFrame(out, columns=["event_id", "user_id", "event_type"]).astype({"event_id": "int64", "user_id": "Int64", "event_type": object})
 
     def close(self) -> None:
         pass
 
 
-def first_seen(events: DataFrame, ttl_seconds: float) -> DataFrame:
-    """The first event of each user and type within `ttl_seconds`."""
-    keyed = events.select("user_id", "event_type", "event_id").groupBy("user_id", "event_type")
+def _texts(column: pd.Series) -> list:
+    return column.astype(object).where(column.notna(), None).tolist()
+
+
+def first_seen(events: DataFrame, ttl_seconds: float, buckets: int = 1024) -> DataFrame:
+    """The first event of each user and type within `ttl_seconds`. A checkpoint holds for one number of buckets; a bucket's rows of a batch are in memory at once."""
+    keyed = events.select(_bucket(buckets, "user_id", "event_type"), F.coalesce("user_id", F.lit(0)).alias("user_id"), "event_type", "event_id").groupBy("bucket")
     return keyed.transformWithStateInPandas(Remembered(int(ttl_seconds * 1000)), "event_id long, user_id long, event_type string", "append", "ProcessingTime")

@@ -84,6 +84,28 @@ def test_keys_are_forgotten(spark, rocksdb):
         assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == want
 
 
+def numbered(keys):
+    return f"SELECT id AS event_id, id % {keys} AS user_id, 'a' AS event_type, timestamp_ntz '2024-01-01 08:00:00' AS ts FROM range({{}}, {{}})"
+
+
+def test_many_keys_share_state(spark, rocksdb):
+    """Each key was a call of the processor and two rows of state: some milliseconds a key and batch."""
+    part = numbered(6000)
+    df = visits.first_seen(batches(spark, part.format(1000, 4000), part.format(2000, 7000), part.format(6000, 12000)), 3600, buckets=2)
+    out, checkpoint = workspace(spark), workspace(spark)
+    w.run_to_files(df, out, checkpoint, idle_batches=False)
+    assert sorted((r.user_id, r.event_id) for r in spark.read.parquet(out).collect()) == [(e % 6000, e) for e in sorted(range(1000, 7000), key=lambda e: e % 6000)]
+    assert sum(spark.read.format("statestore").option("stateVarName", v).load(checkpoint).count() for v in ("count", "pages")) < 100
+
+
+def test_null_keys_are_remembered(spark, rocksdb):
+    part = "SELECT event_id, user_id, event_type, timestamp_ntz '2024-01-01 08:00:00' AS ts FROM VALUES {} AS t(event_id, user_id, event_type)"
+    parts = [part.format("(5L, null, 'a'), (4L, null, 'a'), (6L, 0L, 'a'), (7L, 0L, null)"), part.format("(8L, null, 'a'), (9L, null, null), (1L, 0L, ''), (2L, 0L, null), (3L, -1L, 'a')")]
+    out = workspace(spark)
+    w.run_to_files(visits.first_seen(batches(spark, *parts), 3600), out, workspace(spark), idle_batches=False)
+    assert sorted(map(tuple, spark.read.parquet(out).select("event_id", "user_id", "event_type").collect())) == [(1, 0, ""), (3, -1, "a"), (4, None, "a"), (6, 0, "a"), (7, 0, None), (9, None, None)]
+
+
 def test_late_rows_are_counted_beyond_the_progress_that_is_kept(spark, sf_dir):
     before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
     spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1")
