@@ -9,6 +9,7 @@ import json
 from collections import Counter
 from zlib import crc32
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,90 +20,132 @@ from brindle.functions.times import event_time
 VISIT = "user_id long, start timestamp_ntz, end timestamp_ntz, n long, kinds string, events string"
 
 
+def _bucket(buckets: int, *keys: str) -> Column:
+    """The bucket of `keys`, the first of which may be null: then it is -1. A call of a processor and of its state costs some milliseconds, so keys share them."""
+    return F.when(F.col(keys[0]).isNull(), -1).otherwise(F.pmod(F.xxhash64(*keys), F.lit(buckets))).alias("bucket")
+
+
 class Visits(StatefulProcessor):
     """A user's events no further apart than `gap` microseconds are a visit. It is emitted when an event shows it to be over, or when the watermark passes
-    its end, by a timer: a user who does not come back needs no event to be closed.
+    its end, by a timer: a user who does not come back needs no event to be closed. An event before a visit begins joins it if within the gap, else is over.
 
-    State: bounds and number (a value), events in order (a list, appended to), their kinds (a map of counts). All of it goes with the visit.
+    State of a bucket of users: their open visits (a list of pages), when the first of them ends (a value, for which there is the timer), and of visits
+    of more than TAIL events the ids of earlier ones (a map), which are not written again. All of it goes with the visits.
     """
 
+    PAGE, TAIL, PART = 512, 256, 10_000
+
     def __init__(self, gap: int):
         self.gap = gap
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.visit = handle.getValueState("visit", "start long, last long, n long")
-        self.events = handle.getListState("events", "event_id long")
-        self.kinds = handle.getMapState("kinds", "kind string", "n long")
+        self.alarm = handle.getValueState("alarm", "at long")
+        self.open = handle.getListState("open", "visits string")
+        self.earlier = handle.getMapState("earlier", "user_id long, part int", "events string")
 
-    def _alarm(self, last: int) -> int:
+    def _ends(self, last: int) -> int:
         return -(-(last + self.gap) // 1000)  # timers are in milliseconds
 
-    def _close(self, user: int) -> tuple:
-        start, last, n = self.visit.get()
-        kinds = ",".join(f"{k[0]}:{v[0]}" for k, v in sorted(self.kinds.iterator()))
-        row = user, start, last + self.gap, n, kinds, ",".join(str(e[0]) for e in self.events.get())
-        self.handle.deleteTimer(self._alarm(last))
-        for state in (self.visit, self.events, self.kinds):
-            state.clear()
-        return row
-
-    def _take(self, events: list[tuple[int, int, str]]) -> None:
-        """Events of the open visit, in order."""
-        had = self.visit.get() if self.visit.exists() else None
-        if had:
-            self.handle.deleteTimer(self._alarm(had[1]))
-        last = events[-1][0]
-        self.visit.update((had[0] if had else events[0][0], last, (had[2] if had else 0) + len(events)))
-        self.events.appendList([(e,) for _, e, _ in events])
-        for kind, n in Counter(k for _, _, k in events).items():
-            self.kinds.updateValue((kind,), (n + (self.kinds.getValue((kind,))[0] if self.kinds.containsKey((kind,)) else 0),))
-        self.handle.registerTimer(self._alarm(last))
+    def _row(self, user: int, start: int, last: int, kinds: dict[str, int], events: list[int], n: int, parts: int = 0) -> tuple:
+        known = ",".join(f"{k}:{n}" for k, n in sorted(kinds.items())) or None
+        ids = [",".join(map(str, events))] if events else []
+        if parts:
+            ids = [self.earlier.getValue((user, part))[0] for part in range(parts)] + ids
+            for part in range(parts):
+                self.earlier.removeKey((user, part))
+        return user, start, last + self.gap, n, known, ",".join(ids)
+
+    def _load(self) -> dict[int, list]:
+        """The open visits by user: start, last, kinds, the last events, number of events, parts of earlier ones."""
+        return {v[0]: v[1:] for page in self.open.get() for v in json.loads(page[0])}
+
+    def _close(self, visits: dict[int, list], had: int | None, fired: bool, watermark: int) -> list[tuple]:
+        """Rows of what the watermark has passed; the others are stored, with a timer for the first to end."""
+        due = [u for u, v in visits.items() if self._ends(v[1]) <= watermark]
+        out = [self._row(u, *visits.pop(u)) for u in due]
+        for u, v in visits.items():
+            if len(v[3]) > self.TAIL:
+                for i in range(0, len(v[3]), self.PART):
+                    self.earlier.updateValue((u, v[5]), (",".join(map(str, v[3][i : i + self.PART])),))
+                    v[5] += 1
+                v[3] = []
+        pages = [[u, *v] for u, v in visits.items()]
+        at = self._ends(min(v[1] for v in visits.values())) if visits else None
+        if had is not None and had != at and not fired:  # a timer that fired is deleted by Spark
+            self.handle.deleteTimer(had)
+        if at is None:
+            self.alarm.clear()
+            self.open.clear()
+            return out
+        self.open.put([(json.dumps(pages[i : i + self.PAGE], separators=(",", ":")),) for i in range(0, len(pages), self.PAGE)])
+        if had != at:
+            self.alarm.update((at,))
+            self.handle.registerTimer(at)
+        return out
 
     def handleInputRows(self, key, rows, timerValues):
-        every = sorted((at, e, k) for pdf in rows for at, e, k in zip(pdf["us"], pdf["event_id"], pdf["event_type"]))
-        out, now = [], []
-        last = self.visit.get()[1] if self.visit.exists() else None
-        stored = last is not None
-        for event in every:
-            if last is not None and event[0] - last >= self.gap:
-                if stored:
-                    if now:
-                        self._take(now)
-                    out.append(self._close(key[0]))
-                else:  # begun and ended in this batch: no state is made for it
-                    kinds = ",".join(f"{k}:{n}" for k, n in sorted(Counter(k for _, _, k in now).items()))
-                    out.append((key[0], now[0][0], last + self.gap, len(now), kinds, ",".join(str(e) for _, e, _ in now)))
-                now, stored = [], False
-            now.append(event)
-            last = event[0]
-        if now:
-            self._take(now)
-        yield _frame(out)
+        pdf = pd.concat(list(rows), ignore_index=True)
+        user, us, event = (pdf[c].astype("int64").to_numpy() for c in ("user_id", "us", "event_id"))
+        order = np.lexsort((event, us, user))
+        user, us = user[order], us[order]
+        cuts = np.flatnonzero((np.diff(user) != 0) | (np.diff(us) >= self.gap)) + 1
+        lows, highs = np.concatenate(([0], cuts)), np.concatenate((cuts, [len(user)]))
+        event, kind = event[order].tolist(), _texts(pdf["event_type"].iloc[order])
+        alarm = self.alarm.get()
+        visits = self._load() if alarm else {}
+        out = []
+        for u, first, last, lo, hi in zip(user[lows].tolist(), us[lows].tolist(), us[highs - 1].tolist(), lows.tolist(), highs.tolist()):
+            kinds = {kind[lo]: 1} if hi - lo == 1 else dict(Counter(kind[lo:hi]))
+            kinds.pop(None, None)
+            now = [first, last, kinds, event[lo:hi], hi - lo, 0]
+            was = visits.get(u)
+            if was is None:
+                visits[u] = now
+            elif first - was[1] >= self.gap:
+                out.append(self._row(u, *was))
+                visits[u] = now
+            elif was[0] - last >= self.gap:
+                out.append(self._row(u, *now))
+            else:
+                for k, n in kinds.items():
+                    was[2][k] = was[2].get(k, 0) + n
+                visits[u] = [min(first, was[0]), max(last, was[1]), was[2], was[3] + now[3], was[4] + now[4], was[5]]
+        out += self._close(visits, alarm[0] if alarm else None, False, timerValues.getCurrentWatermarkInMs())
+        if out:
+            yield _frame(out, key[0] < 0)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        yield _frame([self._close(key[0])] if self.visit.exists() else [])
+        alarm = self.alarm.get()
+        if alarm and alarm[0] <= expiredTimerInfo.getExpiryTimeInMs():
+            out = self._close(self._load(), alarm[0], True, max(alarm[0], timerValues.getCurrentWatermarkInMs()))
+            yield _frame(out, key[0] < 0)
 
     def close(self) -> None:
         pass
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
+def _frame(rows: list[tuple], unknown: bool) -> pd.DataFrame:
     out = pd.DataFrame(rows, columns=["user_id", "start", "end", "n", "kinds", "events"])
     for c in ("start", "end"):
         out[c] = pd.to_datetime(out[c].astype("int64"), unit="us")
-    return out.astype({"user_id": "int64", "n": "int64", "kinds": object, "events": object})
+    if unknown:
+        out["user_id"] = None
+    return out.astype({"user_id": "Int64", "n": "int64", "kinds": object, "events": object})
 
 
-def visits(events: DataFrame, gap_seconds: int, late: str) -> DataFrame:
-    """Visits of each user of events (event_id, user_id, event_type, ts), as the watermark closes them."""
-    e = events.withColumn("at", event_time(F.col("ts"))).withWatermark("at", late).select("user_id", "event_id", "event_type", "at", F.unix_micros("at").alias("us"))
-    return e.groupBy("user_id").transformWithStateInPandas(Visits(gap_seconds * 1_000_000), VISIT, "append", "EventTime")
+def _texts(column: pd.Series) -> list:
+    return column.astype(object).where(column.notna(), None).tolist()
 
 
-def _bucket(buckets: int, *keys: str) -> Column:
-    """The bucket of `keys`, the first of which may be null: then it is -1. A call of a processor and of its state costs some milliseconds, so keys share them."""
-    return F.when(F.col(keys[0]).isNull(), -1).otherwise(F.pmod(F.xxhash64(*keys), F.lit(buckets))).alias("bucket")
+def visits(events: DataFrame, gap_seconds: int, late: str, buckets: int = 1024) -> DataFrame:
+    """Visits of each user of events (event_id, user_id, event_type, ts), as the watermark closes them; events without a time belong to none.
+
+    A checkpoint holds for one number of buckets; a bucket's rows of a batch and its open visits are in memory at once.
+    """
+    e = events.where("ts is not null").withColumn("at", event_time(F.col("ts"))).withWatermark("at", late)
+    e = e.select(_bucket(buckets, "user_id"), F.coalesce("user_id", F.lit(0)).alias("user_id"), "event_id", "event_type", "at", F.unix_micros("at").alias("us"))
+    return e.groupBy("bucket").transformWithStateInPandas(Visits(gap_seconds * 1_000_000), VISIT, "append", "EventTime")
 
 
 class Remembered(StatefulProcessor):
@@ -163,10 +206,6 @@ class Remembered(StatefulProcessor):
         pass
 
 
-def _texts(column: pd.Series) -> list:
-    return column.astype(object).where(column.notna(), None).tolist()
-
-
 def first_seen(events: DataFrame, ttl_seconds: float, buckets: int = 1024) -> DataFrame:
     """The first event of each user and type within `ttl_seconds`. A checkpoint holds for one number of buckets; a bucket's rows of a batch are in memory at once."""
     keyed = events.select(_bucket(buckets, "user_id", "event_type"), F.coalesce("user_id", F.lit(0)).alias("user_id"), "event_type", "event_id").groupBy("bucket")

@@ -58,6 +58,37 @@ def test_visits_end_by_timer_and_by_event(spark, rocksdb):
     ]  # user 3's last visit and user 4's are open still
 
 
+def test_visits_of_many_users_share_state(spark, rocksdb):
+    """Each user was a call of the processor and some twenty requests to the state in each batch."""
+    part = "SELECT id AS event_id, id % 3000 AS user_id, 'a' AS event_type, timestampadd(SECOND, CAST(id / 10 AS INT), timestamp_ntz '2024-01-01 08:00:00') AS ts FROM range({}, {})"
+    out, checkpoint = workspace(spark), workspace(spark)
+    w.run_to_files(visits.visits(batches(spark, part.format(0, 4500), part.format(4500, 9000)), 1800, "1 hour", buckets=2), out, checkpoint)
+    assert spark.read.parquet(out).count() == 0
+    assert 0 < sum(spark.read.format("statestore").option("stateVarName", v).load(checkpoint).count() for v in ("alarm", "open")) < 100
+    w.run_to_files(visits.visits(batches(spark, part.format(0, 4500), part.format(4500, 9000), at((99999, 3000, "z", "14:00:00"))), 1800, "1 hour", buckets=2), out := workspace(spark), workspace(spark))
+    assert sorted((r.user_id, r.n, r.kinds, r.events) for r in spark.read.parquet(out).collect()) == [(u, 3, "a:3", f"{u},{u + 3000},{u + 6000}") for u in range(3000)]
+
+
+def test_long_visits_keep_all_events(spark, rocksdb):
+    part = "SELECT id AS event_id, id % 2 AS user_id, concat('k', id % 4) AS event_type, timestampadd(SECOND, CAST(id / 10 AS INT), timestamp_ntz '2024-01-01 08:00:00') AS ts FROM range({}, {})"
+    cuts = [0, 300, 700, 710, 30000, 30001]
+    stream = batches(spark, *(part.format(a, b) for a, b in zip(cuts, cuts[1:])), at((99999, 3, "z", "14:00:00")))
+    got = sorted((r.user_id, r.n, r.kinds, r.events) for r in run(spark, visits.visits(stream, 1800, "1 hour", buckets=1)))
+    assert got == [(0, 15001, "k0:7501,k2:7500", ",".join(map(str, range(0, 30001, 2)))), (1, 15000, "k1:7500,k3:7500", ",".join(map(str, range(1, 30001, 2))))]
+
+
+def test_visits_with_events_out_of_order_and_nulls(spark, rocksdb):
+    null = "SELECT {}L AS event_id, CAST(null AS BIGINT) AS user_id, {} AS event_type, {} AS ts"
+    stream = batches(
+        spark,
+        at((1, 1, "a", "08:30:00"), (2, 0, "a", "08:30:00")) + " UNION ALL " + null.format(3, "null", "timestamp_ntz '2024-01-01 08:31:00'") + " UNION ALL " + null.format(4, "'x'", "CAST(null AS timestamp_ntz)"),
+        at((5, 1, "b", "08:10:00"), (6, 0, "b", "07:50:00")) + " UNION ALL " + null.format(7, "null", "timestamp_ntz '2024-01-01 08:40:00'"),
+        at((8, 2, "a", "12:00:00")),
+    )
+    got = {(r.user_id, str(r.start)[11:], str(r.end)[11:], r.n, r.kinds, r.events) for r in run(spark, visits.visits(stream, 1800, "1 hour"))}
+    assert got == {(1, "08:10:00", "09:00:00", 2, "a:1,b:1", "1,5"), (0, "07:50:00", "08:20:00", 1, "b:1", "6"), (0, "08:30:00", "09:00:00", 1, "a:1", "2"), (None, "08:31:00", "09:10:00", 2, None, "3,7")}
+
+
 def test_visits_are_emitted_only_after_the_watermark(spark, rocksdb):
     stream = batches(spark, at((1, 1, "a", "08:00:00")), at((2, 2, "a", "09:29:00")))
     assert run(spark, visits.visits(stream, 1800, "1 hour")) == []
